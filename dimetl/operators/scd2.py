@@ -209,8 +209,15 @@ class Scd2Table:
         return int(v or 0)
 
     def _parts(self, version: int) -> tuple[DataFrame, DataFrame]:
-        active = self.spark.read.parquet(f"{self.root}/active").where(F.col("version") == version).drop("version")
-        history = self.spark.read.parquet(f"{self.root}/history").where(F.col("version") <= version).drop("version")
+        active_all = self.spark.read.parquet(f"{self.root}/active")
+        active = active_all.where(F.col("version") == version).drop("version")
+        # History may still be empty (no version closed anything): read it with the active schema.
+        history = (
+            self.spark.read.schema(active_all.schema)
+            .parquet(f"{self.root}/history")
+            .where(F.col("version") <= version)
+            .drop("version")
+        )
         return active, history
 
     def read(self) -> DataFrame:

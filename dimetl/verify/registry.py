@@ -19,12 +19,28 @@ ORACLES: dict[str, str] = {}
 
 
 def finish(df: DataFrame) -> DataFrame:
-    """Zone-less output timestamps (the oracle's ``TIMESTAMP``); UTC values unchanged."""
-    casts = {f.name: F.col(f"`{f.name}`").cast("timestamp_ntz") for f in df.schema.fields if isinstance(f.dataType, T.TimestampType)}
+    """Verification output: zone-less timestamps and ISO date text.
+
+    UTC timestamp values are unchanged.  Dates are handed over as
+    ``yyyy-MM-dd`` text (the open end ``9999-12-31`` does not fit a
+    nanosecond timestamp); the oracle casts its dates the same way
+    (``dates=`` of ``register``).
+    """
+    casts = {}
+    for f in df.schema.fields:
+        if isinstance(f.dataType, T.TimestampType):
+            casts[f.name] = F.col(f"`{f.name}`").cast("timestamp_ntz")
+        elif isinstance(f.dataType, T.DateType):
+            casts[f.name] = F.col(f"`{f.name}`").cast("string")
     return df.withColumns(casts) if casts else df
 
 
-def register(key: str, sql: str | None = None):
+def dates_as_text(sql: str, dates: tuple[str, ...]) -> str:
+    repl = ", ".join(f"CAST(CAST({c} AS DATE) AS VARCHAR) AS {c}" for c in dates)
+    return f"SELECT * REPLACE ({repl}) FROM (\n{sql}\n)"
+
+
+def register(key: str, sql: str | None = None, dates: tuple[str, ...] = ()):
     def deco(fn: QueryFn) -> QueryFn:
         if key in QUERIES:
             raise ValueError(f"duplicate query key {key}")
@@ -36,7 +52,7 @@ def register(key: str, sql: str | None = None):
         run.__doc__ = fn.__doc__
         QUERIES[key] = run
         if sql is not None:
-            ORACLES[key] = sql.strip()
+            ORACLES[key] = dates_as_text(sql.strip(), dates) if dates else sql.strip()
         return fn
 
     return deco
