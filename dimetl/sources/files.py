@@ -83,20 +83,17 @@ def scan_csv_events(
     return df
 
 
-def copy_json_mapped(
-    spark: SparkSession,
-    path: str | Sequence[str],
+def apply_json_paths(
+    df: DataFrame,
     mapping: Sequence[tuple[str, str]],
-    source_schema: T.StructType = LOG_SCHEMA,
     epoch_ms_columns: Sequence[str] = ("ts",),
 ) -> DataFrame:
-    """COPY with a JSONPaths list: ``[(target, "$.field.sub"), ...]`` in target order.
+    """Project a JSON-shaped frame through a JSONPaths list ``[(target, "$.a.b"), ...]``.
 
     Targets listed in ``epoch_ms_columns`` are converted from epoch
     milliseconds to timestamps (``timeformat 'epochmillisecs'``).
     """
     _need(mapping, "mapping")
-    df = scan_json(spark, path, source_schema)
     cols = []
     for target, jpath in mapping:
         if not jpath.startswith("$."):
@@ -106,6 +103,17 @@ def copy_json_mapped(
     return df.select(*cols)
 
 
+def copy_json_mapped(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    mapping: Sequence[tuple[str, str]],
+    source_schema: T.StructType = LOG_SCHEMA,
+    epoch_ms_columns: Sequence[str] = ("ts",),
+) -> DataFrame:
+    """COPY with a JSONPaths list, in target column order."""
+    return apply_json_paths(scan_json(spark, path, source_schema), mapping, epoch_ms_columns)
+
+
 def copy_json_auto(spark: SparkSession, path: str | Sequence[str], schema: T.StructType) -> DataFrame:
     """COPY ``'auto'``: fields matched to the declared target columns by name."""
     return scan_json(spark, path, schema)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimetl.functions import html as H
-from dimetl.functions.text import remove_unicode, rename_mapped
+from dimetl.functions.text import digit_sum, parse_price, remove_unicode, rename_mapped
 from dimetl.schemas import LISTING_PAGE_SCHEMA
 
 # Fixed value: API field -> listing field.
@@ -31,17 +31,30 @@ API_FIELD_MAP: dict[str, str] = {
 
 
 def page_extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
-    """One listing record per stored page."""
+    """One listing record per stored page.
+
+    The two page layouts carry some attributes in different places (element
+    ids, labelled list items, icon indicators); each such attribute is the
+    first value found, in that order.
+    """
     h = F.col(html_col)
     keep = [c for c in pages.columns if c != html_col]
+    el = {name: H.element_text(h, *spec) for name, spec in H.ELEMENT_MAP.items()}
+    lab = {c: H.label_value(h, H.LABELS[c]) for c in H.LABELS}
+    ind = {name: H.indicator(h, title) for title, name in H.INDICATOR_MAP.items()}
+    energy_icon = H.indicators(h)[-1]
     return pages.select(
         *keep,
         remove_unicode(H.tag_text(h, "title")).alias("title"),
         remove_unicode(H.tag_text(h, "h1")).alias("headline"),
         *H.meta_map(h),
-        *H.element_map(h),
-        *H.label_values(h),
-        *H.indicators(h),
+        *[c.alias(n) for n, c in el.items() if n != "listing_type"],
+        F.coalesce(el["listing_type"], lab["listing_type"]).alias("listing_type"),
+        parse_price(lab["price"]).alias("price"),
+        F.coalesce(lab["energy_certificate"], energy_icon).alias("energy_certificate"),
+        ind["bedrooms"].alias("bedrooms"),
+        ind["bathrooms"].alias("bathrooms"),
+        F.coalesce(ind["parking_spaces"].try_cast("int"), digit_sum(lab["parking"])).alias("parking_spaces"),
         *H.coordinates(h),
         H.amenities(h).alias("amenities"),
     )

@@ -1 +1,487 @@
-"""Registered queries."""
+"""Sources, sinks, catalog, incremental loads and query-keyed tables.
+
+Round-trip queries write data Spark derives from the driver tables under the
+shared checkpoint folder (a fresh folder per call), then read it back with the
+operator under test; the oracle is the plain SELECT of the same projection.
+"""
+
+from __future__ import annotations
+
+import datetime as _dt
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from dimetl.operators import quality as Q
+from dimetl.operators.filters import filter_not_blank, lookup_session_item, lookup_song_users, lookup_user_session
+from dimetl.plans import event_tables as ET
+from dimetl.plans import songplays as SP
+from dimetl.schemas import LISTING_ATTRIBUTES, LOG_SCHEMA, SONG_SCHEMA
+from dimetl.session import scratch_path
+from dimetl.sinks import catalog as C
+from dimetl.sinks import writers as W
+from dimetl.sources import files as S
+from dimetl.sources import staging as ST
+from dimetl.streaming.incremental import backfill_slice, ingest_available_now
+from dimetl.verify.adapters import (
+    a_events,
+    a_listing,
+    a_play,
+    a_song,
+    csv_event_frame,
+    log_json_frame,
+    register_view,
+    table,
+    with_views,
+)
+from dimetl.verify.q_songs import SQL_LOOKUP_FACT, _songs_lookup
+from dimetl.verify.registry import register
+from dimetl.verify.sqlfn import sql_first
+
+SONG_COLS = ", ".join(SONG_SCHEMA.names)
+LOG_COLS = ", ".join(LOG_SCHEMA.names)
+
+# ------------------------------------------------------------ file writers
+
+
+def write_songs(spark, d) -> str:
+    """Song JSON files three directory levels deep (hash letter / year parity / fixed)."""
+    root = scratch_path(spark, "song_data")
+    s = a_song(spark, d).withColumns(
+        {"l1": F.substring(F.md5("song_id"), 1, 1), "l2": (F.col("year") % 2).cast("string"), "l3": F.lit("A")}
+    )
+    s.repartition("l1", "l2").write.partitionBy("l1", "l2", "l3").json(root)
+    return root
+
+
+def write_log(spark, d, split_by_level: bool = False):
+    """Event log JSON files by year and month (``y=YYYY/m=M``)."""
+    ev = a_events(spark, d)
+    log = log_json_frame(ev).withColumns(
+        {"y": F.year(F.timestamp_millis("ts")), "m": F.month(F.timestamp_millis("ts"))}
+    )
+    if not split_by_level:
+        root = scratch_path(spark, "log_data")
+        log.repartition("y", "m").write.partitionBy("y", "m").json(root)
+        return root
+    roots = []
+    for lvl in ("paid", "free"):
+        r = scratch_path(spark, f"log_{lvl}")
+        log.where(F.col("level") == lvl).drop("y", "m").write.json(r)
+        roots.append(r)
+    return roots
+
+
+STAGING_EVENT_MAPPING = [
+    ("artist", "$.artist"), ("auth", "$.auth"), ("first_name", "$.firstName"), ("gender", "$.gender"),
+    ("item_in_session", "$.itemInSession"), ("last_name", "$.lastName"), ("length", "$.length"),
+    ("level", "$.level"), ("location", "$.location"), ("method", "$.method"), ("page", "$.page"),
+    ("registration", "$.registration"), ("session_id", "$.sessionId"), ("song", "$.song"),
+    ("status", "$.status"), ("ts", "$.ts"), ("user_agent", "$.userAgent"), ("user_id", "$.userId"),
+]
+
+SQL_STAGING_EVENTS = (
+    "SELECT artist, auth, firstName AS first_name, gender, itemInSession AS item_in_session, lastName AS last_name, "
+    "length, level, location, method, page, registration, sessionId AS session_id, song, status, "
+    "make_timestamp(ts * 1000) AS ts, userAgent AS user_agent, userId AS user_id FROM a_log_json"
+)
+
+# ------------------------------------------------------------------ scans
+
+
+@register("scan_json_songs", with_views("a_song") + f"SELECT {SONG_COLS} FROM a_song")
+def q_scan_json_songs(spark, d):
+    return S.scan_json_songs(spark, write_songs(spark, d))
+
+
+@register("scan_recursive", with_views("a_song") + f"SELECT {SONG_COLS} FROM a_song")
+def q_scan_recursive(spark, d):
+    return S.scan_recursive(spark, write_songs(spark, d), SONG_SCHEMA)
+
+
+@register("scan_json_events", with_views("a_log_json") + f"SELECT {LOG_COLS} FROM a_log_json")
+def q_scan_json_events(spark, d):
+    return S.scan_json_events(spark, write_log(spark, d))
+
+
+@register("copy_json_mapped", with_views("a_log_json") + SQL_STAGING_EVENTS)
+def q_copy_json_mapped(spark, d):
+    return S.copy_json_mapped(spark, f"{write_log(spark, d)}/*/*/*.json", STAGING_EVENT_MAPPING)
+
+
+STAGING_SONGS = T.StructType(
+    [T.StructField(n, SONG_SCHEMA[n].dataType) for n in ("title", "song_id", "artist_id", "year", "duration")]
+)
+
+
+@register("copy_json_auto", with_views("a_song") + "SELECT title, song_id, artist_id, year, duration FROM a_song")
+def q_copy_json_auto(spark, d):
+    return S.copy_json_auto(spark, f"{write_songs(spark, d)}/*/*/*/*.json", STAGING_SONGS)
+
+
+CLEAN_LENGTHS = {"text": 256, "lang": 2, "source": 8}
+
+
+@register(
+    "copy_clean_flags",
+    "SELECT doc_id, "
+    + ", ".join(f"CASE WHEN trim({c}) = '' THEN NULL ELSE substring({c}, 1, {n}) END AS {c}" for c, n in CLEAN_LENGTHS.items())
+    + ", n_chars FROM documents",
+)
+def q_copy_clean_flags(spark, d):
+    return S.copy_clean(table(spark, d, "documents"), CLEAN_LENGTHS)
+
+
+@register(
+    "stage_source",
+    with_views("a_log_json") + SQL_STAGING_EVENTS.replace(
+        "FROM a_log_json", "FROM a_log_json WHERE year(make_timestamp(ts * 1000)) = 2024 AND month(make_timestamp(ts * 1000)) = 1"
+    ),
+)
+def q_stage_source(spark, d):
+    """Run-date templated staging key; the run date 2024-01-15 selects the January 2024 slice."""
+    root = write_log(spark, d)
+    ctx = ST.run_context(_dt.date(2024, 1, 15))
+    raw = ST.stage_json(spark, root, "y={year}/m={month}/*.json", ctx, LOG_SCHEMA)
+    return S.apply_json_paths(raw, STAGING_EVENT_MAPPING)
+
+
+@register("stage_parquet", "SELECT * FROM orders")
+def q_stage_parquet(spark, d):
+    target = scratch_path(spark, "staging_orders")
+    src = f"{d.rstrip('/')}/orders.parquet"
+    ST.stage_parquet(spark, src, target)
+    return ST.stage_parquet(spark, src, target)
+
+
+@register(
+    "snapshot_slice",
+    "SELECT o_orderkey, o_custkey, o_orderdate, CAST(isoyear(o_orderdate) AS INTEGER) AS snap_year, "
+    "CAST(month(o_orderdate) AS INTEGER) AS snap_month, CAST(week(o_orderdate) AS INTEGER) AS snap_week FROM orders",
+)
+def q_snapshot_slice(spark, d):
+    root = scratch_path(spark, "snapshots")
+    ST.write_snapshots(table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate"), "o_orderdate", root)
+    return spark.read.parquet(root).select("o_orderkey", "o_custkey", "o_orderdate", "snap_year", "snap_month", "snap_week")
+
+
+@register(
+    "scan_json_subset",
+    with_views("a_listing0") + "SELECT " + ", ".join(LISTING_ATTRIBUTES) + " FROM a_listing0",
+)
+def q_scan_json_subset(spark, d):
+    root = scratch_path(spark, "listings")
+    a_listing(spark, d, 0).drop("c_custkey").write.json(root)
+    return S.scan_json_subset(spark, root)
+
+
+def write_csv(spark, d) -> str:
+    root = scratch_path(spark, "event_csv")
+    csv_event_frame(a_play(spark, d)).write.option("header", "true").csv(root)
+    return root
+
+
+CSV_KEPT = "artist, firstName, gender, itemInSession, lastName, length, level, location, sessionId, song, userId"
+
+
+@register("scan_csv_events", with_views("a_csv") + f"SELECT {CSV_KEPT} FROM a_csv WHERE artist <> ''")
+def q_scan_csv_events(spark, d):
+    return S.scan_csv_events(spark, write_csv(spark, d))
+
+
+@register("filter_blank", with_views("a_csv") + f"SELECT {CSV_KEPT} FROM a_csv WHERE song IS NOT NULL AND song <> ''")
+def q_filter_blank(spark, d):
+    return filter_not_blank(S.scan_csv_events(spark, write_csv(spark, d), drop_blank=None), "song")
+
+
+TYPED = {"itemInSession": "int", "length": "double", "sessionId": "bigint", "userId": "bigint"}
+TYPED_SQL = {"int": "INTEGER", "double": "DOUBLE", "bigint": "BIGINT"}
+
+
+@register(
+    "typed_cast",
+    with_views("a_csv") + "SELECT " + ", ".join(
+        f"TRY_CAST({c} AS {TYPED_SQL[TYPED[c]]}) AS {c}" if c in TYPED else c for c in CSV_KEPT.split(", ")
+    ) + " FROM a_csv WHERE artist <> ''",
+)
+def q_typed_cast(spark, d):
+    from dimetl.functions.text import typed_cast
+
+    return typed_cast(S.scan_csv_events(spark, write_csv(spark, d)), TYPED)
+
+
+@register("union_files", with_views("a_log_json") + f"SELECT {LOG_COLS} FROM a_log_json")
+def q_union_files(spark, d):
+    return S.union_files(spark, write_log(spark, d, split_by_level=True), LOG_SCHEMA)
+
+
+@register(
+    "ingest_counts",
+    with_views("a_song") + "SELECT substr(md5(song_id), 1, 1) AS l1, count(*) AS n_rows FROM a_song GROUP BY 1",
+)
+def q_ingest_counts(spark, d):
+    per_file = S.ingest_counts(S.scan_json_songs(spark, write_songs(spark, d)))
+    return per_file.groupBy(F.regexp_extract("file", r"l1=([0-9a-f])", 1).alias("l1")).agg(
+        F.sum("n_rows").cast("bigint").alias("n_rows")
+    )
+
+
+# ------------------------------------------------------------------ sinks
+
+
+@register("sink_partitioned", SQL_LOOKUP_FACT)
+def q_sink_partitioned(spark, d):
+    path = scratch_path(spark, "songplays")
+    W.write_partitioned(SP.songplays(a_play(spark, d), _songs_lookup(spark, d), "lookup"), path, ["year", "month"])
+    return spark.read.parquet(path)
+
+
+@register("sink_parquet", "SELECT * FROM customer")
+def q_sink_parquet(spark, d):
+    path = scratch_path(spark, "customer")
+    W.write_parquet(table(spark, d, "customer"), path)
+    return spark.read.parquet(path)
+
+
+FACT_COLS = ["session_id", "item_in_session", "user_id", "level", "song", "start_time"]
+
+
+@register("load_fact_append", with_views("a_play") + "SELECT " + ", ".join(FACT_COLS) + " FROM a_play")
+def q_load_fact_append(spark, d):
+    path = scratch_path(spark, "fact_append")
+    plays = a_play(spark, d).select(*FACT_COLS)
+    W.append(plays.where(F.col("level") == "paid"), path)
+    W.append(plays.where(F.col("level") != "paid"), path)
+    return spark.read.parquet(path)
+
+
+SQL_USERS_DISTINCT = "SELECT DISTINCT user_id, first_name, last_name, gender FROM a_events"
+
+
+@register(
+    "load_dim_modes",
+    with_views("a_events") + f"SELECT * FROM ({SQL_USERS_DISTINCT}) UNION ALL SELECT * FROM ({SQL_USERS_DISTINCT})",
+)
+def q_load_dim_modes(spark, d):
+    """Truncate-insert twice (one copy), then one append (two copies)."""
+    path = scratch_path(spark, "dim_users")
+    users = a_events(spark, d).select("user_id", "first_name", "last_name", "gender").distinct()
+    W.load_dimension(users, path)
+    W.load_dimension(users, path)
+    W.load_dimension(users, path, append_rows=True)
+    return spark.read.parquet(path)
+
+
+@register(
+    "sink_csv_quoted",
+    with_views("a_song")
+    + "SELECT '\"' || song_id || '\",\"' || title || '\",\"' || artist_name || '\",\"' || CAST(year AS VARCHAR) || '\"' AS line FROM a_song",
+)
+def q_sink_csv_quoted(spark, d):
+    path = scratch_path(spark, "songs_csv")
+    W.write_csv_quoted(a_song(spark, d).select("song_id", "title", "artist_name", "year"), path)
+    header = '"song_id","title","artist_name","year"'
+    return spark.read.text(path).where(F.col("value") != header).select(F.col("value").alias("line"))
+
+
+JSON_SINK = T.StructType(
+    [T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()), T.StructField("page", T.StringType()),
+     T.StructField("level", T.StringType()), T.StructField("value", T.DoubleType())]
+)
+
+
+@register("sink_json", with_views("a_events") + "SELECT event_id, user_id, page, level, value FROM a_events")
+def q_sink_json(spark, d):
+    path = scratch_path(spark, "events_json")
+    W.write_json(a_events(spark, d).select(*JSON_SINK.names), path)
+    return S.scan_json(spark, path, JSON_SINK)
+
+
+USERS_TABLE = "presentation.users"
+
+
+def _users_src(spark, d):
+    return SP.users_table(a_events(spark, d), latest_level=True, plays_only=False)
+
+
+SQL_USERS_ALL = (
+    "plays AS (SELECT * FROM a_events WHERE user_id IS NOT NULL),\n"
+    "f AS " + sql_first("plays", "user_id", "start_time, event_id", "user_id, first_name, last_name, gender") + ",\n"
+    "l AS " + sql_first("plays", "user_id", "start_time DESC, event_id DESC", "user_id, level") + "\n"
+)
+
+
+@register(
+    "ddl_roundtrip",
+    with_views("a_events").rstrip() + ",\n" + SQL_USERS_ALL
+    + "SELECT f.user_id, f.first_name, f.last_name, f.gender, l.level FROM f JOIN l ON f.user_id = l.user_id",
+)
+def q_ddl_roundtrip(spark, d):
+    """Create, load, drop + recreate, reload: the table holds exactly one load."""
+    root = scratch_path(spark, "warehouse")
+    C.recreate_tables(spark, ["users"], root)
+    users = _users_src(spark, d)
+    users.write.insertInto(USERS_TABLE, overwrite=True)
+    C.recreate_tables(spark, ["users"], root)
+    users.write.insertInto(USERS_TABLE, overwrite=True)
+    return spark.read.parquet(f"{root}/presentation.db/users")
+
+
+@register(
+    "insert_subset",
+    with_views("a_events").rstrip() + ",\n" + SQL_USERS_ALL
+    + "SELECT f.user_id, CAST(NULL AS VARCHAR) AS first_name, CAST(NULL AS VARCHAR) AS last_name, "
+    "CAST(NULL AS VARCHAR) AS gender, l.level FROM f JOIN l ON f.user_id = l.user_id",
+)
+def q_insert_subset(spark, d):
+    root = scratch_path(spark, "warehouse")
+    C.recreate_tables(spark, ["users"], root)
+    W.insert_subset(_users_src(spark, d), USERS_TABLE, ["user_id", "level"])
+    return spark.read.parquet(f"{root}/presentation.db/users")
+
+
+# ---------------------------------------------------------- incremental
+
+
+@register("stream_available_now", with_views("a_log_json") + SQL_STAGING_EVENTS)
+def q_stream_available_now(spark, d):
+    """Two runs over the same folder: the second finds no new file and adds nothing."""
+    src = scratch_path(spark, "stream_src")
+    log_json_frame(a_events(spark, d)).repartition(4).write.json(src)
+    target, ckpt = scratch_path(spark, "stream_out"), scratch_path(spark, "stream_ckpt")
+    for _ in range(2):
+        ingest_available_now(
+            spark, src, LOG_SCHEMA, target, ckpt,
+            transform=lambda b: S.apply_json_paths(b, STAGING_EVENT_MAPPING), max_files_per_trigger=1,
+        )
+    return spark.read.parquet(target).drop("batch_id")
+
+
+BACKFILL_COLS = ["session_id", "item_in_session", "level", "start_time"]
+
+
+@register(
+    "backfill_slice",
+    with_views("a_play")
+    + "SELECT session_id, item_in_session, CASE WHEN year(start_time) = 1998 AND month(start_time) = 6 THEN upper(level) ELSE level END AS level, "
+    "start_time, CAST(year(start_time) AS INTEGER) AS year, CAST(month(start_time) AS INTEGER) AS month FROM a_play",
+)
+def q_backfill_slice(spark, d):
+    """Rewrite the June 1998 slice with a corrected rule; all other slices stay untouched."""
+    path = scratch_path(spark, "plays_by_month")
+    t = a_play(spark, d).select(*BACKFILL_COLS).withColumns({"year": F.year("start_time"), "month": F.month("start_time")})
+    W.write_partitioned(t, path, ["year", "month"])
+    stored = spark.read.parquet(path)
+    fixed = (
+        a_play(spark, d).select(*BACKFILL_COLS)
+        .withColumns({"year": F.year("start_time"), "month": F.month("start_time")})
+        .where((F.col("year") == 1998) & (F.col("month") == 6))
+        .withColumn("level", F.upper("level"))
+        .select(*stored.columns)
+    )
+    backfill_slice(stored, fixed, path, ["year", "month"])
+    return spark.read.parquet(path)
+
+
+# ------------------------------------------------------ query-keyed tables
+
+register_view(
+    "ev_rows",
+    "ev_rows AS (SELECT TRY_CAST(sessionId AS BIGINT) AS session_id, TRY_CAST(itemInSession AS INTEGER) AS item_in_session, "
+    "TRY_CAST(userId AS BIGINT) AS user_id, artist AS artist_name, song AS song_title, "
+    "TRY_CAST(length AS DECIMAL(18,5)) AS song_length, firstName AS first_name, lastName AS last_name "
+    "FROM a_csv WHERE artist <> '')",
+    ["a_csv"],
+)
+
+
+def _sql_event_table(name: str) -> str:
+    pk, ck, rest = ET.EVENT_TABLES[name]
+    cols = ", ".join(pk + ck + rest)
+    order = ", ".join(f"{c} DESC" for c in rest)
+    return f"SELECT {cols} FROM " + sql_first(f"(SELECT {cols} FROM ev_rows)", ", ".join(pk + ck), order)
+
+
+def _event_table(spark, d, name):
+    rows = ET.event_rows(S.scan_csv_events(spark, write_csv(spark, d)))
+    return ET.event_table(rows, name)
+
+
+@register("pk_replace_sessions", with_views("ev_rows") + _sql_event_table("music_sessions"))
+def q_music_sessions(spark, d):
+    return _event_table(spark, d, "music_sessions")
+
+
+@register("clustered_layout", with_views("ev_rows") + _sql_event_table("music_users"))
+def q_clustered_layout(spark, d):
+    return ET.event_table_layout(_event_table(spark, d, "music_users"), "music_users")
+
+
+# Keys of the three lookups of the query-keyed tables (chosen to exist in the sf0.01 data).
+LOOKUP_SESSION, LOOKUP_ITEM = 338, 3
+LOOKUP_USER, LOOKUP_USER_SESSION = 780, 3
+LOOKUP_SONG = "red widget"
+
+
+@register(
+    "lookup_session_item",
+    with_views("ev_rows")
+    + f"SELECT artist_name, song_title, song_length FROM ({_sql_event_table('music_sessions')}) "
+    f"WHERE session_id = {LOOKUP_SESSION} AND item_in_session = {LOOKUP_ITEM}",
+)
+def q_lookup_session_item(spark, d):
+    t = _event_table(spark, d, "music_sessions")
+    return lookup_session_item(t, LOOKUP_SESSION, LOOKUP_ITEM).select("artist_name", "song_title", "song_length")
+
+
+@register(
+    "lookup_user_session",
+    with_views("ev_rows")
+    + f"SELECT item_in_session, artist_name, song_title, first_name, last_name FROM ({_sql_event_table('music_users')}) "
+    f"WHERE user_id = {LOOKUP_USER} AND session_id = {LOOKUP_USER_SESSION}",
+)
+def q_lookup_user_session(spark, d):
+    t = _event_table(spark, d, "music_users")
+    return lookup_user_session(t, LOOKUP_USER, LOOKUP_USER_SESSION).select(
+        "item_in_session", "artist_name", "song_title", "first_name", "last_name"
+    )
+
+
+@register(
+    "lookup_song_users",
+    with_views("ev_rows")
+    + f"SELECT DISTINCT song_title, user_id, first_name, last_name FROM ({_sql_event_table('music_history')}) "
+    f"WHERE song_title = '{LOOKUP_SONG}'",
+)
+def q_lookup_song_users(spark, d):
+    t = _event_table(spark, d, "music_history")
+    return lookup_song_users(t, LOOKUP_SONG).select("song_title", "user_id", "first_name", "last_name")
+
+
+# ------------------------------------------------------------ DQ suite
+
+
+SUITE_SQL = (
+    "WITH sp AS (" + SQL_LOOKUP_FACT + "),\n"
+    "c AS (SELECT 'row_count' AS check_name, 'songplays' AS subject, count(*) AS observed, CAST(1 AS BIGINT) AS expected, count(*) >= 1 AS passed FROM sp),\n"
+    "o1 AS (SELECT 'fk_orphans' AS check_name, 'songplays.song_id' AS subject, count(*) AS observed, CAST(0 AS BIGINT) AS expected, count(*) = 0 AS passed "
+    "FROM sp WHERE song_id IS NOT NULL AND song_id NOT IN (SELECT 'SO' || CAST(p_partkey AS VARCHAR) FROM part)),\n"
+    "o2 AS (SELECT 'fk_orphans' AS check_name, 'songplays.artist_id' AS subject, count(*) AS observed, CAST(0 AS BIGINT) AS expected, count(*) = 0 AS passed "
+    "FROM sp WHERE artist_id IS NOT NULL AND artist_id NOT IN (SELECT p_brand FROM part)),\n"
+    "e AS (SELECT 'expectation' AS check_name, 'plays_without_song' AS subject, count(*) AS observed, CAST(0 AS BIGINT) AS expected, count(*) = 0 AS passed "
+    "FROM sp WHERE song_id IS NULL)\n"
+    "SELECT * FROM c UNION ALL SELECT * FROM o1 UNION ALL SELECT * FROM o2 UNION ALL SELECT * FROM e"
+)
+
+
+@register("dq_suite", SUITE_SQL)
+def q_dq_suite(spark, d):
+    songs_raw = a_song(spark, d)
+    fact = SP.songplays(a_play(spark, d), _songs_lookup(spark, d), "lookup")
+    one = F.count(F.lit(1)).alias("v")
+    return Q.dq_suite(
+        Q.dq_counts({"songplays": fact}),
+        Q.dq_fk_orphans(fact, {"song_id": (SP.songs_table(songs_raw), "song_id"),
+                               "artist_id": (SP.artists_table(songs_raw), "artist_id")}, "songplays"),
+        Q.dq_expectations([("plays_without_song", fact.where(F.col("song_id").isNull()).agg(one), 0)]),
+    )

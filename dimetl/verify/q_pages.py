@@ -1 +1,208 @@
-"""Registered queries."""
+"""Stored-page extraction and whole-text functions over ``pages`` and ``documents``."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from dimetl.functions import html as H
+from dimetl.functions.text import absolute_url, digit_sum, limit_length, strip_tags
+from dimetl.sources.pages import page_extract, page_links
+from dimetl.verify.adapters import table
+from dimetl.verify.q_listings import sql_strip_tags
+from dimetl.verify.registry import register
+
+_META = "^$.*+?()[]{}|\\"
+
+
+def _esc(s: str) -> str:
+    """Escape regex metacharacters only (same text for Java regex and RE2)."""
+    return "".join("\\" + ch if ch in _META else ch for ch in s)
+
+
+def _q(s: str) -> str:
+    return s.replace("'", "''")
+
+
+def sql_nullif(e: str) -> str:
+    return f"NULLIF({e}, '')"
+
+
+def sql_tag_text(tag: str) -> str:
+    return sql_nullif(f"regexp_extract(html, '<{tag}(?:\\s[^>]*)?>([^<]*)</{tag}>', 1)")
+
+
+def sql_element(tag: str, attr: str, value: str) -> str:
+    return sql_nullif(f"regexp_extract(html, '<{tag}[^>]*{attr}=\"{_esc(value)}\"[^>]*>([^<]*)</{tag}>', 1)")
+
+
+def sql_meta(prop: str) -> str:
+    return sql_nullif(f"regexp_extract(html, '<meta[^>]*property=\"{_esc(prop)}\"[^>]*content=\"([^\"]*)\"', 1)")
+
+
+def sql_label(label: str) -> str:
+    items = "regexp_extract_all(html, '<li>([\\s\\S]*?)</li>', 1)"
+    first = f"list_filter({items}, lambda x: contains(lower(x), '{_q(label.lower())}'))[1]"
+    return sql_nullif(f"trim(regexp_extract({first}, '<strong>([^<]*)</strong>', 1))")
+
+
+def sql_price(e: str) -> str:
+    text = f"CASE WHEN regexp_extract(replace({e}, ' ', ''), '^([^,€$£]+)', 1) = '' THEN 'Unknown' ELSE regexp_extract(replace({e}, ' ', ''), '^([^,€$£]+)', 1) END"
+    return f"TRY_CAST({text} AS DOUBLE)"
+
+
+def sql_digit_sum(e: str) -> str:
+    return (
+        f"CASE WHEN {e} IS NULL THEN NULL ELSE CAST(COALESCE(list_sum(list_transform("
+        f"regexp_extract_all({e}, '\\d', 0), lambda x: CAST(x AS INTEGER))), 0) AS INTEGER) END"
+    )
+
+
+def sql_indicator(title: str) -> str:
+    return sql_nullif(
+        f"trim(regexp_extract(html, '<span[^>]*title=\"{_esc(title)}\"[^>]*>[^<]*</span>[^<]*"
+        f"<span[^>]*class=\"num\"[^>]*>([^<]*)</span>', 1))"
+    )
+
+
+COORD = H.COORD_PATTERN
+
+
+def sql_coord(i: int) -> str:
+    return f"TRY_CAST({sql_nullif(f'regexp_extract(html, {chr(39)}{COORD}{chr(39)}, {i})')} AS DOUBLE)"
+
+
+def sql_amenities_text() -> str:
+    block = "regexp_extract(html, '<ul class=\"tags-list\">([\\s\\S]*?)</ul>', 1)"
+    return f"array_to_string(regexp_extract_all({block}, '<li>([^<]*)</li>', 1), '|')"
+
+
+def _sql_title(tag: str) -> str:
+    from dimetl.functions.text import REMOVED_CODE_POINTS
+
+    return f"translate({sql_tag_text(tag)}, '{REMOVED_CODE_POINTS}', '')"
+
+
+META_SQL = ", ".join(f"{sql_meta(p)} AS {n}" for n, p in H.META_MAP.items())
+ELEMENT_SQL = ", ".join(f"{sql_element(*spec)} AS {n}" for n, spec in H.ELEMENT_MAP.items())
+LABEL_SQL = ", ".join(
+    [
+        f"{sql_price(sql_label(H.LABELS['price']))} AS price",
+        f"{sql_label(H.LABELS['listing_type'])} AS listing_type",
+        f"{sql_label(H.LABELS['energy_certificate'])} AS energy_certificate",
+        f"{sql_digit_sum(sql_label(H.LABELS['parking']))} AS parking_spaces",
+    ]
+)
+INDICATOR_SQL = ", ".join(
+    [f"{sql_indicator(t)} AS {n}" for t, n in H.INDICATOR_MAP.items()]
+    + [
+        sql_nullif(f"trim(regexp_extract(html, '<span[^>]*title=\"{_esc(H.ENERGY_TITLE_PREFIX)}([^\"]*)\"', 1))")
+        + " AS energy_certificate_icon"
+    ]
+)
+COORD_SQL = f"{sql_coord(1)} AS latitude, {sql_coord(2)} AS longitude"
+
+
+def _pages(spark, d):
+    return table(spark, d, "pages")
+
+
+PAGE_SQL = (
+    f"SELECT page_id, url, {_sql_title('title')} AS title, {_sql_title('h1')} AS headline, {META_SQL}, "
+    + ", ".join(f"{sql_element(*spec)} AS {n}" for n, spec in H.ELEMENT_MAP.items() if n != "listing_type")
+    + f", COALESCE({sql_element(*H.ELEMENT_MAP['listing_type'])}, {sql_label(H.LABELS['listing_type'])}) AS listing_type"
+    + f", {sql_price(sql_label(H.LABELS['price']))} AS price"
+    + f", COALESCE({sql_label(H.LABELS['energy_certificate'])}, "
+    + sql_nullif(f"trim(regexp_extract(html, '<span[^>]*title=\"{_esc(H.ENERGY_TITLE_PREFIX)}([^\"]*)\"', 1))")
+    + ") AS energy_certificate"
+    + f", {sql_indicator('Bedrooms')} AS bedrooms, {sql_indicator('Bathroom')} AS bathrooms"
+    + f", COALESCE(TRY_CAST({sql_indicator('Parking')} AS INTEGER), {sql_digit_sum(sql_label(H.LABELS['parking']))}) AS parking_spaces"
+    + f", {COORD_SQL}, {sql_amenities_text()} AS amenities FROM pages"
+)
+
+
+@register("page_extract", PAGE_SQL)
+def q_page_extract(spark, d):
+    out = page_extract(_pages(spark, d))
+    return out.withColumn("amenities", F.array_join("amenities", "|"))
+
+
+@register("html_element_map", f"SELECT page_id, {ELEMENT_SQL} FROM pages")
+def q_html_element_map(spark, d):
+    return _pages(spark, d).select("page_id", *H.element_map(F.col("html")))
+
+
+@register("html_meta", f"SELECT page_id, {_sql_title('title')} AS title, {META_SQL} FROM pages")
+def q_html_meta(spark, d):
+    from dimetl.functions.text import remove_unicode
+
+    h = F.col("html")
+    return _pages(spark, d).select("page_id", remove_unicode(H.tag_text(h, "title")).alias("title"), *H.meta_map(h))
+
+
+@register("html_label_value", f"SELECT page_id, {LABEL_SQL} FROM pages")
+def q_html_label_value(spark, d):
+    return _pages(spark, d).select("page_id", *H.label_values(F.col("html")))
+
+
+@register("html_indicators", f"SELECT page_id, {INDICATOR_SQL} FROM pages")
+def q_html_indicators(spark, d):
+    return _pages(spark, d).select("page_id", *H.indicators(F.col("html")))
+
+
+@register("extract_coords", f"SELECT page_id, {COORD_SQL} FROM pages")
+def q_extract_coords(spark, d):
+    return _pages(spark, d).select("page_id", *H.coordinates(F.col("html")))
+
+
+SQL_LINKS = (
+    "SELECT page_id, url, CAST(unnest(range(0, len(l))) AS INTEGER) AS link_pos, unnest(l) AS href "
+    "FROM (SELECT page_id, url, regexp_extract_all(html, 'href=\"([^\"]*)\"', 1) AS l FROM pages)"
+)
+
+
+@register("page_links", f"SELECT page_id, link_pos, href FROM ({SQL_LINKS})")
+def q_page_links(spark, d):
+    return page_links(_pages(spark, d))
+
+
+@register(
+    "absolute_url",
+    "SELECT page_id, link_pos, CASE WHEN starts_with(href, '/') THEN regexp_extract(url, '^(https?://[^/]+)', 1) || href "
+    f"ELSE href END AS link_url FROM ({SQL_LINKS})",
+)
+def q_absolute_url(spark, d):
+    p = _pages(spark, d)
+    links = p.select("page_id", "url", F.posexplode(H.links(F.col("html"))).alias("link_pos", "href"))
+    host = F.regexp_extract("url", r"^(https?://[^/]+)", 1)
+    return links.select(
+        "page_id", "link_pos",
+        F.when(F.col("href").startswith("/"), F.concat(host, F.col("href"))).otherwise(F.col("href")).alias("link_url"),
+    )
+
+
+@register(
+    "amenity_array",
+    "SELECT page_id, CAST(len(l) AS INTEGER) AS n_items, array_to_string(list_transform(l, lambda x: "
+    + sql_strip_tags("x") + "), '|') AS items_text FROM (SELECT page_id, regexp_extract_all(html, '<li>([\\s\\S]*?)</li>', 1) AS l FROM pages)",
+)
+def q_amenity_array(spark, d):
+    items = H.list_items(F.col("html"))
+    return _pages(spark, d).select(
+        "page_id", F.size(items).alias("n_items"),
+        F.array_join(F.transform(items, lambda x: strip_tags(x)), "|").alias("items_text"),
+    )
+
+
+@register("strip_tags", "SELECT page_id, " + sql_strip_tags("html") + " AS text FROM pages")
+def q_strip_tags(spark, d):
+    return _pages(spark, d).select("page_id", strip_tags("html").alias("text"))
+
+
+@register("digit_sum", f"SELECT doc_id, {sql_digit_sum('text')} AS digit_sum FROM documents")
+def q_digit_sum(spark, d):
+    return table(spark, d, "documents").select("doc_id", digit_sum("text").alias("digit_sum"))
+
+
+@register("limit_length", "SELECT doc_id, substring(text, 1, 250) AS text FROM documents")
+def q_limit_length(spark, d):
+    return table(spark, d, "documents").select("doc_id", limit_length("text", 250).alias("text"))
