@@ -182,14 +182,15 @@ class Scd2Table:
 
     Layout under ``root``::
 
-        active/version=N/    active rows after load N
-        history/version=N/   rows closed by load N
-        _commits/version=N/  one marker row, written last
+        rows/kind=active/version=N/    active rows after load N
+        rows/kind=history/version=N/   rows closed by load N
+        _commits/version=N/            one marker row, written last
 
-    A reader takes the highest committed version ``N`` and reads
+    One load is one write job (the merge join runs once) plus the marker.  A
+    reader takes the highest committed version ``N`` and reads
     ``active[version = N] ∪ history[version <= N]`` (partition pruning).  An
-    interrupted load leaves an uncommitted version that readers ignore and
-    the next attempt overwrites.
+    interrupted load leaves an uncommitted version that readers ignore and the
+    next attempt overwrites.
     """
 
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], id_column: str):
@@ -199,39 +200,38 @@ class Scd2Table:
         self.root = root.rstrip("/")
         self.keys = list(keys)
         self.id_column = id_column
+        self._version: int | None = None
 
     def committed_version(self) -> int:
+        if self._version is not None:
+            return self._version
         try:
             commits = self.spark.read.parquet(f"{self.root}/_commits")
         except Exception:  # noqa: BLE001 - no commit yet
             return 0
         v = commits.agg(F.max("version")).first()[0]
-        return int(v or 0)
-
-    def _parts(self, version: int) -> tuple[DataFrame, DataFrame]:
-        active_all = self.spark.read.parquet(f"{self.root}/active")
-        active = active_all.where(F.col("version") == version).drop("version")
-        # History may still be empty (no version closed anything): read it with the active schema.
-        history = (
-            self.spark.read.schema(active_all.schema)
-            .parquet(f"{self.root}/history")
-            .where(F.col("version") <= version)
-            .drop("version")
-        )
-        return active, history
+        self._version = int(v or 0)
+        return self._version
+
+    def _rows(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/rows")
 
     def read(self) -> DataFrame:
         v = self.committed_version()
         if v == 0:
             raise ValueError(f"no committed load under {self.root}")
-        active, history = self._parts(v)
-        return history.unionByName(active, allowMissingColumns=False)
+        rows = self._rows()
+        keep = ((F.col("kind") == "active") & (F.col("version") == v)) | (
+            (F.col("kind") == "history") & (F.col("version") <= v)
+        )
+        return rows.where(keep).drop("kind", "version")
 
     def read_active(self) -> DataFrame:
         v = self.committed_version()
         if v == 0:
             raise ValueError(f"no committed load under {self.root}")
-        return self._parts(v)[0]
+        rows = self._rows()
+        return rows.where((F.col("kind") == "active") & (F.col("version") == v)).drop("kind", "version")
 
     def load(self, staging: DataFrame, load_date) -> int:
         """Apply one staging load; returns the committed version number."""
@@ -245,19 +245,20 @@ class Scd2Table:
             )
             target = self.spark.createDataFrame([], schema)
         else:
-            target = self._parts(current)[0].select(*out_cols)
+            target = self.read_active().select(*out_cols)
         new_active, closed = scd2_merge(target, staging, self.keys, load_date, self.id_column)
         nxt = current + 1
-        for name, df in (("active", new_active), ("history", closed)):
-            (
-                df.withColumn("version", F.lit(nxt))
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("version")
-                .parquet(f"{self.root}/{name}")
-            )
+        rows = new_active.withColumn("kind", F.lit("active")).unionByName(closed.withColumn("kind", F.lit("history")))
+        (
+            rows.withColumn("version", F.lit(nxt))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("kind", "version")
+            .parquet(f"{self.root}/rows")
+        )
         marker = self.spark.range(1).select(F.lit(nxt).alias("version"), _date(load_date).alias("load_date"))
         marker.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("version").parquet(
             f"{self.root}/_commits"
         )
+        self._version = nxt
         return nxt

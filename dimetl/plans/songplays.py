@@ -77,6 +77,13 @@ def song_lookup(songs: DataFrame, artists: DataFrame | None = None) -> DataFrame
     return s.join(a, "artist_id", "inner")
 
 
+def song_rows(songs_raw: DataFrame) -> DataFrame:
+    """Distinct song source rows ``(title, artist_name, duration, song_id, artist_id)``."""
+    return filter_not_null(
+        songs_raw.select("title", "artist_name", "duration", "song_id", "artist_id"), "song_id"
+    ).distinct()
+
+
 def play_key(*cols) -> F.Column:
     return md5_key(*cols)
 
@@ -117,7 +124,8 @@ def star_schema(plays_log: DataFrame, songs_raw: DataFrame, variant: str = "look
     """All five tables of one variant (lazy frames)."""
     songs = songs_table(songs_raw, first_wins=variant == "lookup")
     artists = artists_table(songs_raw, first_wins=variant == "lookup")
-    fact = songplays(plays_log, song_lookup(songs, artists), variant)
+    lookup = song_lookup(songs, artists) if variant == "lookup" else song_rows(songs_raw)
+    fact = songplays(plays_log, lookup, variant)
     return {
         "songplays": fact,
         "users": users_table(plays_log, latest_level=variant == "lookup"),

@@ -341,12 +341,14 @@ def q_star_lookup(spark, d):
     return SP.songplays(a_play(spark, d), _songs_lookup(spark, d), "lookup")
 
 
+SQL_SONG_ROWS = (
+    "lk AS (SELECT DISTINCT title, artist_name, duration, song_id, artist_id FROM a_song WHERE song_id IS NOT NULL)\n"
+)
+
+
 def _star_inner_sql() -> str:
     dims = (
-        "songs AS (SELECT DISTINCT song_id, title, artist_id, year, duration FROM a_song WHERE song_id IS NOT NULL),\n"
-        "artists AS (SELECT DISTINCT artist_id, artist_name AS name, artist_location AS location, artist_latitude AS latitude, "
-        "artist_longitude AS longitude FROM a_song WHERE artist_id IS NOT NULL),\n"
-        "lk AS (SELECT s.song_id, s.title, s.artist_id, s.duration, a.name AS artist_name FROM songs s JOIN artists a ON s.artist_id = a.artist_id),\n"
+        SQL_SONG_ROWS.rstrip() + ",\n"
         "pl AS (SELECT DISTINCT start_time, user_id, level, song, artist, session_id, location, user_agent FROM a_play WHERE page = 'NextSong'),\n"
         "j AS (SELECT DISTINCT p.*, l.song_id, l.artist_id FROM pl p JOIN lk l ON p.song = l.title AND p.artist = l.artist_name)\n"
     )
@@ -358,14 +360,8 @@ def _star_inner_sql() -> str:
 
 
 def _star_left_sql() -> str:
-    dims = (
-        "songs AS (SELECT DISTINCT song_id, title, artist_id, year, duration FROM a_song WHERE song_id IS NOT NULL),\n"
-        "artists AS (SELECT DISTINCT artist_id, artist_name AS name, artist_location AS location, artist_latitude AS latitude, "
-        "artist_longitude AS longitude FROM a_song WHERE artist_id IS NOT NULL),\n"
-        "lk AS (SELECT s.song_id, s.title, s.artist_id, s.duration, a.name AS artist_name FROM songs s JOIN artists a ON s.artist_id = a.artist_id)\n"
-    )
     return (
-        with_views("a_play", "a_song").rstrip() + ",\n" + dims
+        with_views("a_play", "a_song").rstrip() + ",\n" + SQL_SONG_ROWS
         + "SELECT " + sql_md5("p.session_id", PLAY_TS, "p.user_id", "p.item_in_session", "l.song_id") + " AS songplay_id, "
         + SQL_FACT_TAIL.format(sid="l.song_id", aid="l.artist_id")
         + " FROM a_play p LEFT JOIN lk l ON p.song = l.title AND p.artist = l.artist_name"
@@ -373,19 +369,19 @@ def _star_left_sql() -> str:
     )
 
 
-def _songs_lookup_distinct(spark, d):
-    songs = a_song(spark, d)
-    return SP.song_lookup(SP.songs_table(songs, first_wins=False), SP.artists_table(songs, first_wins=False))
+def _song_rows(spark, d):
+    """Song source rows (they carry the artist name); no artist-table join, so no artist fan-out."""
+    return SP.song_rows(a_song(spark, d))
 
 
 @register("star_songplays_inner", _star_inner_sql())
 def q_star_inner(spark, d):
-    return SP.songplays(a_play(spark, d), _songs_lookup_distinct(spark, d), "inner")
+    return SP.songplays(a_play(spark, d), _song_rows(spark, d), "inner")
 
 
 @register("star_songplays_left", _star_left_sql())
 def q_star_left(spark, d):
-    return SP.songplays(a_play(spark, d), _songs_lookup_distinct(spark, d), "left")
+    return SP.songplays(a_play(spark, d), _song_rows(spark, d), "left")
 
 
 # -------------------------------------------------------- ids and previews
