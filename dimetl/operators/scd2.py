@@ -36,6 +36,7 @@ from dimetl.schemas import OPEN_END_DATE
 START = "record_start_date"
 END = "record_end_date"
 HASH = "hash"
+KEPT, OPENED, CLOSED = "kept", "opened", "closed"
 
 
 def _date(d: str | _dt.date | Column) -> Column:
@@ -93,18 +94,18 @@ def scd2_open(
     return out
 
 
-def scd2_merge(
+def scd2_merge_rows(
     target: DataFrame,
     staging: DataFrame,
     keys: Sequence[str],
     load_date,
     id_column: str,
-) -> tuple[DataFrame, DataFrame]:
-    """One SCD2 load.  Returns ``(new_active, newly_closed)``.
+) -> DataFrame:
+    """Every row one SCD2 load produces, tagged in ``change``: kept / opened / closed.
 
-    The full new table is ``history ∪ newly_closed ∪ new_active`` where
-    ``history`` are the target's already closed rows (untouched).
-    ``target`` may be the whole table or only its active rows.
+    One full outer join, one pass: ``kept`` and ``opened`` rows form the new
+    active set, ``closed`` rows join the history.  ``target`` may be the whole
+    table or only its active rows (history never enters the join).
     """
     if not keys:
         raise ValueError("scd2_merge needs business keys")
@@ -132,25 +133,33 @@ def scd2_merge(
     closed_struct = F.struct(
         *[F.col(f"t.`{c}`").alias(c) for c in out_cols if c != END], F.date_sub(load, 1).alias(END)
     )
-    # kind: 0 = active kept, 1 = active opened by this load, 2 = closed by this load
     rows = F.array(
-        F.when(t_present & ~changed, F.struct(F.lit(0).alias("kind"), t_struct.alias("r"))),
-        F.when(changed & ~same_day, F.struct(F.lit(2).alias("kind"), closed_struct.alias("r"))),
-        F.when(s_present & (~t_present | changed), F.struct(F.lit(1).alias("kind"), s_struct.alias("r"))),
+        F.when(t_present & ~changed, F.struct(F.lit(KEPT).alias("change"), t_struct.alias("r"))),
+        F.when(changed & ~same_day, F.struct(F.lit(CLOSED).alias("change"), closed_struct.alias("r"))),
+        F.when(s_present & (~t_present | changed), F.struct(F.lit(OPENED).alias("change"), s_struct.alias("r"))),
     )
-    exploded = j.select(F.explode(F.filter(rows, lambda x: x.isNotNull())).alias("x")).select(
-        F.col("x.kind").alias("kind"), *[F.col(f"x.r.`{c}`").alias(c) for c in out_cols]
+    return j.select(F.explode(F.filter(rows, lambda x: x.isNotNull())).alias("x")).select(
+        *[F.col(f"x.r.`{c}`").alias(c) for c in out_cols], F.col("x.change").alias("change")
     )
-    new_active = exploded.where(F.col("kind") != 2).drop("kind")
-    closed = exploded.where(F.col("kind") == 2).drop("kind")
-    return new_active, closed
+
+
+def scd2_merge(
+    target: DataFrame,
+    staging: DataFrame,
+    keys: Sequence[str],
+    load_date,
+    id_column: str,
+) -> tuple[DataFrame, DataFrame]:
+    """One SCD2 load as ``(new_active, newly_closed)`` (two views of ``scd2_merge_rows``)."""
+    rows = scd2_merge_rows(target, staging, keys, load_date, id_column)
+    return rows.where(F.col("change") != CLOSED).drop("change"), rows.where(F.col("change") == CLOSED).drop("change")
 
 
 def scd2_apply(target: DataFrame, staging: DataFrame, keys: Sequence[str], load_date, id_column: str) -> DataFrame:
-    """The whole table after one load (history + closed + active)."""
-    new_active, closed = scd2_merge(target, staging, keys, load_date, id_column)
-    history = target.where(F.col(END) != _open_end()).select(*new_active.columns)
-    return history.unionByName(closed).unionByName(new_active)
+    """The whole table after one load: untouched history plus the load's rows (one join)."""
+    rows = scd2_merge_rows(target, staging, keys, load_date, id_column).drop("change")
+    history = target.where(F.col(END) != _open_end()).select(*rows.columns)
+    return history.unionByName(rows)
 
 
 def scd2_bulk(snapshots: DataFrame, keys: Sequence[str], date_col: str, id_column: str) -> DataFrame:
@@ -160,6 +169,15 @@ def scd2_bulk(snapshots: DataFrame, keys: Sequence[str], date_col: str, id_colum
     previous appearance; it ends the day before the next version starts, or
     stays open.  Keys that disappear stay active (as with one-by-one loads).
     """
+    # One row per key and snapshot first (as a one-by-one load would see it); the
+    # per-key window then holds at most one row per snapshot, so its size is
+    # bounded by the number of loads, never by the data volume.
+    rest = [c for c in snapshots.columns if c not in set(keys) | {date_col}]
+    snapshots = (
+        snapshots.groupBy(*keys, date_col)
+        .agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in rest]), F.col(HASH)).alias("__r"))
+        .select(*keys, date_col, *[F.col(f"__r.`{c}`").alias(c) for c in rest])
+    )
     w = Window.partitionBy(*keys).orderBy(F.col(date_col))
     marked = snapshots.withColumn("__prev", F.lag(HASH).over(w))
     starts = marked.where(F.col("__prev").isNull() | (F.col("__prev") != F.col(HASH))).drop("__prev")
@@ -168,7 +186,7 @@ def scd2_bulk(snapshots: DataFrame, keys: Sequence[str], date_col: str, id_colum
     out = starts.withColumn(END, F.coalesce(F.date_sub(nxt, 1), _open_end())).withColumn(
         START, F.col(date_col).cast("date")
     )
-    cols = [c for c in snapshots.columns if c != date_col]
+    cols = [*keys, *rest]
     return out.select(hash_key(*keys, START).alias(id_column), *cols, START, END)
 
 
@@ -246,9 +264,11 @@ class Scd2Table:
             target = self.spark.createDataFrame([], schema)
         else:
             target = self.read_active().select(*out_cols)
-        new_active, closed = scd2_merge(target, staging, self.keys, load_date, self.id_column)
+        changes = scd2_merge_rows(target, staging, self.keys, load_date, self.id_column)
         nxt = current + 1
-        rows = new_active.withColumn("kind", F.lit("active")).unionByName(closed.withColumn("kind", F.lit("history")))
+        rows = changes.withColumn(
+            "kind", F.when(F.col("change") == CLOSED, F.lit("history")).otherwise(F.lit("active"))
+        ).drop("change")
         (
             rows.withColumn("version", F.lit(nxt))
             .write.mode("overwrite")
