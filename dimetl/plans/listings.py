@@ -6,13 +6,18 @@ asset, stock) -> SCD2 loads of the three dimensions -> ``fact_stock``.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from dimetl.functions.keys import hash_key, row_hash
 from dimetl.functions.text import fill_missing, limit_length, parse_price_text, rename_snake, strip_tags
 from dimetl.functions.time import calendar_columns, date_id, date_spine
 from dimetl.operators.joins import broadcast_if_small
+from dimetl.operators.scd2 import Scd2Table
 from dimetl.schemas import DIMENSIONS
 
 # Cleaning rules of the listing attributes.
@@ -71,6 +76,35 @@ def staging_frames(clean: DataFrame, stock_date) -> dict[str, DataFrame]:
     }
 
 
+def load_dimensions(
+    spark: SparkSession,
+    root: str,
+    dims: Sequence[str],
+    staging_for: Callable[[str, int], DataFrame],
+    load_dates: Sequence[str],
+) -> dict[str, DataFrame]:
+    """Replay ``len(load_dates)`` loads into one ``Scd2Table`` per dimension.
+
+    Loads of one dimension run in date order; the dimensions are independent,
+    so their jobs are submitted from one thread each and run side by side.
+    Returns the whole table (history + active) of every dimension.
+    """
+    if not root or not dims or not load_dates:
+        raise ValueError("load_dimensions needs root, dims and load dates")
+
+    def run(dim: str) -> DataFrame:
+        spec = DIMENSIONS[dim]
+        store = Scd2Table(spark, f"{root.rstrip('/')}/{dim}", spec.match_columns, spec.id_column)
+        for k, day in enumerate(load_dates):
+            store.load(staging_for(dim, k), day)
+        return store.read()
+
+    # The wrapper carries the caller's job group and local properties into the worker threads.
+    target = inheritable_thread_target(run)
+    with ThreadPoolExecutor(max_workers=len(dims)) as pool:
+        return dict(zip(dims, pool.map(target, dims)))
+
+
 def _valid_at(dim: DataFrame, day_col) -> F.Column:
     return (dim["record_start_date"] <= day_col) & (dim["record_end_date"] >= day_col)
 

@@ -353,7 +353,9 @@ def q_scd2_bulk(spark, d):
     ),
 )
 def q_dq_scd2_unique(spark, d):
-    return Q.dq_scd2_unique({dim: (dim_stored(spark, d, dim, 3), KEYS[dim]) for dim in ("dim_asset", "dim_broker", "dim_geography")})
+    dims = ("dim_asset", "dim_broker", "dim_geography")
+    tables = L.load_dimensions(spark, scratch_path(spark, "dims"), dims, lambda dim, k: staged(spark, d, dim, k), SNAPSHOT_DATES)
+    return Q.dq_scd2_unique({dim: (tables[dim], KEYS[dim]) for dim in dims})
 
 
 # ------------------------------------------------------------------- fact
@@ -372,7 +374,10 @@ SQL_FACT_STOCK = (
 
 @register("fact_stock", SQL_FACT_STOCK)
 def q_fact_stock(spark, d):
-    dims = {dim: dim_stored(spark, d, dim, 3) for dim in ("dim_broker", "dim_asset", "dim_geography")}
+    dims = L.load_dimensions(
+        spark, scratch_path(spark, "dims"), ("dim_broker", "dim_asset", "dim_geography"),
+        lambda dim, k: staged(spark, d, dim, k), SNAPSHOT_DATES,
+    )
     stock = L.staging_stock(clean(spark, d, 2), SNAPSHOT_DATES[2])
     return L.fact_stock(stock, dims["dim_broker"], dims["dim_asset"], dims["dim_geography"])
 
@@ -429,3 +434,10 @@ def q_dim_date(spark, d):
     li = table(spark, d, "lineitem")
     bounds = li.agg(F.min("l_shipdate").alias("lo"), F.max("l_shipdate").alias("hi"))
     return date_spine_between(bounds, "lo", "hi").select(*calendar_columns("full_date"))
+
+
+@register("date_id", "SELECT o_orderkey, CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS date_id FROM orders")
+def q_date_id(spark, d):
+    from dimetl.functions.time import date_id
+
+    return table(spark, d, "orders").select("o_orderkey", date_id("o_orderdate").alias("date_id"))
