@@ -99,10 +99,12 @@ def songplays(plays_log: DataFrame, songs: DataFrame, variant: str = "lookup") -
         key = play_key("session_id", ts_text("start_time"), "user_id", "item_in_session")
     elif variant == "inner":
         cols = ["start_time", "user_id", "level", "song", "artist", "session_id", "location", "user_agent"]
+        # Both inputs distinct on the columns kept => the join output is distinct
+        # (no second de-dup shuffle over the fanned-out result).
         j = natural_join(
-            plays.select(*cols).distinct(), songs.select("title", "artist_name", "song_id", "artist_id"),
+            plays.select(*cols).distinct(), songs.select("title", "artist_name", "song_id", "artist_id").distinct(),
             [("song", "title"), ("artist", "artist_name")], "inner",
-        ).distinct()
+        )
         key = play_key("session_id", ts_text("start_time"), "user_id", "song_id", "artist_id")
     elif variant == "left":
         j = natural_join(
