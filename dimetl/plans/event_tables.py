@@ -44,3 +44,13 @@ def event_table(rows: DataFrame, name: str) -> DataFrame:
 def event_table_layout(table: DataFrame, name: str, num_partitions: int | None = None) -> DataFrame:
     pk, ck, _ = EVENT_TABLES[name]
     return clustered(table, pk, ck, num_partitions)
+
+
+def save_event_table(table: DataFrame, name: str, path: str, num_buckets: int, catalog_name: str | None = None) -> str:
+    """Store a query-keyed table bucketed by its partition key and sorted by its clustering key."""
+    from dimetl.sinks.catalog import save_bucketed
+
+    pk, ck, _ = EVENT_TABLES[name]
+    qualified = catalog_name or name
+    save_bucketed(table, qualified, path, pk, num_buckets, pk + ck)
+    return qualified

@@ -47,3 +47,25 @@ def recreate_tables(spark: SparkSession, names: Sequence[str], root: str) -> lis
 def temp_view_query(df: DataFrame, view: str, sql: str) -> DataFrame:
     df.createOrReplaceTempView(view)
     return df.sparkSession.sql(sql)
+
+
+def save_bucketed(
+    df: DataFrame,
+    table: str,
+    path: str,
+    bucket_cols: Sequence[str],
+    num_buckets: int,
+    sort_cols: Sequence[str] = (),
+) -> None:
+    """Catalog table hash-bucketed by ``bucket_cols`` and sorted within buckets.
+
+    Joins and aggregations on the bucket columns between tables with the same
+    bucket count need no shuffle, and an equality filter on the bucket columns
+    reads one bucket (distribution and sort keys of a warehouse table).
+    """
+    if df is None or not table or not path or not bucket_cols or num_buckets < 1:
+        raise ValueError("save_bucketed needs data, table, path, bucket columns and a bucket count")
+    writer = df.write.mode("overwrite").format("parquet").option("path", path).bucketBy(num_buckets, *bucket_cols)
+    if sort_cols:
+        writer = writer.sortBy(*sort_cols)
+    writer.saveAsTable(table)

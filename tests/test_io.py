@@ -90,3 +90,31 @@ def test_copy_json_paths(spark, tmp_dir):
     df = S.copy_json_mapped(spark, tmp_dir, [("user_id", "$.userId"), ("start_time", "$.ts")], epoch_ms_columns=("start_time",))
     r = df.first()
     assert r["user_id"] == "1" and r["start_time"].microsecond == 797000
+
+
+def test_bucketed_tables_lookup_and_join(spark, tmp_dir):
+    from dimetl.plans.event_tables import EVENT_TABLES, save_event_table
+    from dimetl.operators.filters import lookup_session_item
+
+    rows = spark.range(2000).select(
+        (F.col("id") % 97).alias("session_id"), (F.col("id") % 13).cast("int").alias("item_in_session"),
+        F.lit("a").alias("artist_name"), F.lit("s").alias("song_title"), F.lit(1.5).cast("decimal(18,5)").alias("song_length"),
+    ).dropDuplicates(["session_id", "item_in_session"])
+    t1 = save_event_table(rows, "music_sessions", tmp_dir + "/t1", 8, "ms_one")
+    t2 = save_event_table(rows, "music_sessions", tmp_dir + "/t2", 8, "ms_two")
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    # A filter alone does not make Spark keep the bucketed scan; point-lookup workloads turn that rule off.
+    spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
+    try:
+        hit = lookup_session_item(spark.table(t1), 5, 5)
+        assert hit.count() == 1
+        assert "SelectedBucketsCount: 1 out of 8" in hit._jdf.queryExecution().explainString(mode)
+    finally:
+        spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
+    a = spark.table(t1).select("session_id", F.col("item_in_session").alias("i1"))
+    b = spark.table(t2).select("session_id", F.col("item_in_session").alias("i2"))
+    j = a.join(b, "session_id")
+    assert j.count() == rows.groupBy("session_id").count().select(F.sum(F.col("count") * F.col("count"))).first()[0]
+    assert "Exchange" not in j._jdf.queryExecution().explainString(mode)
+    spark.sql(f"DROP TABLE IF EXISTS {t1}")
+    spark.sql(f"DROP TABLE IF EXISTS {t2}")
