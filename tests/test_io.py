@@ -113,8 +113,13 @@ def test_bucketed_tables_lookup_and_join(spark, tmp_dir):
         spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
     a = spark.table(t1).select("session_id", F.col("item_in_session").alias("i1"))
     b = spark.table(t2).select("session_id", F.col("item_in_session").alias("i2"))
-    j = a.join(b, "session_id")
-    assert j.count() == rows.groupBy("session_id").count().select(F.sum(F.col("count") * F.col("count"))).first()[0]
-    assert "Exchange" not in j._jdf.queryExecution().explainString(mode)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = a.join(b, "session_id")
+        want = rows.groupBy("session_id").count().select(F.sum(F.col("count") * F.col("count"))).first()[0]
+        assert j.count() == want
+        assert "Exchange" not in j._jdf.queryExecution().explainString(mode)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     spark.sql(f"DROP TABLE IF EXISTS {t1}")
     spark.sql(f"DROP TABLE IF EXISTS {t2}")
