@@ -40,8 +40,9 @@ def remove_unicode(c: str | Column) -> Column:
     return F.translate(_c(c), REMOVED_CODE_POINTS, "")
 
 
-def absolute_url(prefix: str, c: str | Column) -> Column:
-    return F.concat(F.lit(prefix), _c(c))
+def absolute_url(prefix: str | Column, c: str | Column) -> Column:
+    """Absolute URL: ``prefix`` (a literal base or a per-row host column) + relative path."""
+    return F.concat(prefix if isinstance(prefix, Column) else F.lit(prefix), _c(c))
 
 
 def parse_price_text(c: str | Column) -> Column:

@@ -176,7 +176,7 @@ def q_absolute_url(spark, d):
     host = F.regexp_extract("url", r"^(https?://[^/]+)", 1)
     return links.select(
         "page_id", "link_pos",
-        F.when(F.col("href").startswith("/"), F.concat(host, F.col("href"))).otherwise(F.col("href")).alias("link_url"),
+        F.when(F.col("href").startswith("/"), absolute_url(host, "href")).otherwise(F.col("href")).alias("link_url"),
     )
 
 

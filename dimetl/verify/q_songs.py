@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from dimetl.functions.keys import md5_key, ts_text
-from dimetl.functions.time import epoch_ms_to_ts, epoch_ms_to_ts_seconds, time_parts, weekday
+from dimetl.functions.time import epoch_ms_to_ts, epoch_ms_to_ts_seconds, weekday
 from dimetl.operators import quality as Q
 from dimetl.operators.filters import (
     dedup_rows,

@@ -93,7 +93,7 @@ def test_copy_json_paths(spark, tmp_dir):
 
 
 def test_bucketed_tables_lookup_and_join(spark, tmp_dir):
-    from dimetl.plans.event_tables import EVENT_TABLES, save_event_table
+    from dimetl.plans.event_tables import save_event_table
     from dimetl.operators.filters import lookup_session_item
 
     rows = spark.range(2000).select(
