@@ -44,6 +44,11 @@ def recreate_tables(spark: SparkSession, names: Sequence[str], root: str) -> lis
     return create_tables(spark, names, root)
 
 
+def insertion_columns(spark: SparkSession, table: str, exclude: Sequence[str] = ("id",)) -> list[str]:
+    """Columns of a catalog table in table order, without the surrogate id column(s)."""
+    return [c for c in spark.table(table).columns if c not in set(exclude)]
+
+
 def temp_view_query(df: DataFrame, view: str, sql: str) -> DataFrame:
     df.createOrReplaceTempView(view)
     return df.sparkSession.sql(sql)

@@ -4,7 +4,9 @@ Every load validates its arguments before any work (``ValueError``).
 Partitioned writes use dynamic partition overwrite: a backfill replaces only
 the partitions it produces.  Partition columns should be low-cardinality
 (year, month); a per-entity partition column (e.g. an artist id) creates one
-tiny file per entity and is refused above ``max_partition_values``.
+tiny file per entity: ``write_partitioned(..., max_partition_values=n)``
+refuses such a layout before writing (the check stops after ``n + 1``
+distinct values).
 """
 
 from __future__ import annotations
@@ -33,6 +35,7 @@ def write_partitioned(
     partition_by: Sequence[str],
     mode: str = "overwrite",
     spread_by: Sequence[str] = (),
+    max_partition_values: int | None = None,
 ) -> None:
     """Partitioned Parquet write, dynamic overwrite.
 
@@ -42,6 +45,10 @@ def write_partitioned(
     _check(df, path)
     if not partition_by:
         raise ValueError("no partition columns")
+    if max_partition_values is not None:
+        n = df.select(*partition_by).distinct().limit(max_partition_values + 1).count()
+        if n > max_partition_values:
+            raise ValueError(f"more than {max_partition_values} partition values for {list(partition_by)}")
     out = df
     if spread_by:
         out = df.repartition(*[F.col(c) for c in (*partition_by, *spread_by)])

@@ -123,3 +123,18 @@ def test_bucketed_tables_lookup_and_join(spark, tmp_dir):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     spark.sql(f"DROP TABLE IF EXISTS {t1}")
     spark.sql(f"DROP TABLE IF EXISTS {t2}")
+
+
+def test_partition_cardinality_guard(spark, tmp_dir):
+    import pytest
+
+    df = spark.range(50).select(F.col("id").alias("artist_id"), F.lit(1).alias("v"))
+    with pytest.raises(ValueError):
+        W.write_partitioned(df, tmp_dir + "/p", ["artist_id"], max_partition_values=10)
+    W.write_partitioned(df.withColumn("year", F.lit(2024)), tmp_dir + "/q", ["year"], max_partition_values=10)
+
+
+def test_insertion_columns(spark, tmp_dir):
+    C.recreate_tables(spark, ["dim_broker"], tmp_dir)
+    assert C.insertion_columns(spark, "presentation.dim_broker", ["broker_id"]) == [
+        "broker", "hash", "record_start_date", "record_end_date"]
