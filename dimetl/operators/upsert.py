@@ -79,3 +79,34 @@ def insert_if_absent(existing: DataFrame, new: DataFrame, key: Sequence[str], or
 def pk_replace(df: DataFrame, pk: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
     """Primary-key replacing write: the last row of every key wins."""
     return last_per_key(df, pk, order_cols)
+
+
+def merge_first_last(
+    state: DataFrame | None,
+    rows: DataFrame,
+    key: Sequence[str],
+    first_cols: Sequence[str],
+    last_cols: Sequence[str],
+    order_cols: Sequence[str],
+) -> DataFrame:
+    """Order-aware incremental upsert: ``first_cols`` from the earliest, ``last_cols`` from the latest row.
+
+    Unlike ``upsert_last_wins(existing=...)`` (arrival order), the state keeps
+    the order of the rows it took its values from (``first_seen``,
+    ``last_seen``), so merging batches is commutative and idempotent: any
+    batching of the input, in any arrival order and with replays, gives the
+    same table as one batch over all rows.
+    """
+    order = _struct(order_cols)
+    cols = [*key, *first_cols, *last_cols]
+    batch = rows.select(*[F.col(f"`{c}`") for c in cols], order.alias("__fo"), order.alias("__lo"))
+    if state is not None:
+        batch = state.select(
+            *[F.col(f"`{c}`") for c in cols], F.col("first_seen").alias("__fo"), F.col("last_seen").alias("__lo")
+        ).unionByName(batch)
+    return batch.groupBy(*key).agg(
+        *[F.min_by(F.col(f"`{c}`"), F.col("__fo")).alias(c) for c in first_cols],
+        *[F.max_by(F.col(f"`{c}`"), F.col("__lo")).alias(c) for c in last_cols],
+        F.min("__fo").alias("first_seen"),
+        F.max("__lo").alias("last_seen"),
+    )

@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dimetl.operators.upsert import merge_first_last
+
 
 def ingest_available_now(
     spark: SparkSession,
@@ -75,3 +77,90 @@ def backfill_slice(
         .partitionBy(*partition_by)
         .parquet(path)
     )
+
+
+class VersionedTable:
+    """A table rewritten as numbered versions, each made visible by a commit marker written last.
+
+    Layout: ``rows/version=N/`` and ``_commits/version=N/``.  Readers take the
+    highest committed version; a write never touches the version being read.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        if not root:
+            raise ValueError("VersionedTable needs a root path")
+        self.spark = spark
+        self.root = root.rstrip("/")
+
+    def version(self, at_most: int | None = None) -> int:
+        """Highest committed version (not above ``at_most`` when given); 0 if none."""
+        try:
+            commits = self.spark.read.parquet(f"{self.root}/_commits")
+        except Exception:  # noqa: BLE001 - nothing committed yet
+            return 0
+        if at_most is not None:
+            commits = commits.where(F.col("version") <= at_most)
+        v = commits.agg(F.max("version")).first()[0]
+        return int(v or 0)
+
+    def read(self, at_most: int | None = None) -> DataFrame | None:
+        v = self.version(at_most)
+        if v == 0:
+            return None
+        return self.spark.read.parquet(f"{self.root}/rows").where(F.col("version") == v).drop("version")
+
+    def write(self, df: DataFrame, version: int) -> None:
+        for sub, frame in (("rows", df), ("_commits", self.spark.range(1).select(F.lit(1).alias("marker")))):
+            (
+                frame.withColumn("version", F.lit(version))
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy("version")
+                .parquet(f"{self.root}/{sub}")
+            )
+
+
+def stream_upsert_available_now(
+    spark: SparkSession,
+    source_dir: str,
+    schema: T.StructType,
+    root: str,
+    checkpoint: str,
+    prepare: Callable[[DataFrame], DataFrame],
+    key: Sequence[str],
+    first_cols: Sequence[str],
+    last_cols: Sequence[str],
+    order_cols: Sequence[str],
+    max_files_per_trigger: int | None = None,
+    file_format: str = "json",
+) -> VersionedTable:
+    """Maintain a first/last-wins dimension from a file stream, one version per micro-batch.
+
+    Each micro-batch merges its rows into the current version with
+    ``merge_first_last`` and writes version ``batch_id + 1``.  The merge is
+    commutative and idempotent, so file arrival order, batching and replays
+    after a failure do not change the result.
+    """
+    if not source_dir or not root or not checkpoint or not key:
+        raise ValueError("stream_upsert_available_now needs source_dir, root, checkpoint and key")
+    table = VersionedTable(spark, root)
+    reader = spark.readStream.schema(schema).format(file_format)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+
+    def merge_batch(batch: DataFrame, batch_id: int) -> None:
+        # State as of before this batch: a replayed batch recomputes the same
+        # version and never reads the partition it rewrites.
+        state = table.read(at_most=batch_id)
+        merged = merge_first_last(state, prepare(batch), key, first_cols, last_cols, order_cols)
+        table.write(merged, batch_id + 1)
+
+    query = (
+        reader.load(source_dir)
+        .writeStream.foreachBatch(merge_batch)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return table

@@ -22,7 +22,7 @@ from dimetl.sinks import catalog as C
 from dimetl.sinks import writers as W
 from dimetl.sources import files as S
 from dimetl.sources import staging as ST
-from dimetl.streaming.incremental import backfill_slice, ingest_available_now
+from dimetl.streaming.incremental import backfill_slice, ingest_available_now, stream_upsert_available_now
 from dimetl.verify.adapters import (
     a_events,
     a_listing,
@@ -357,6 +357,33 @@ def q_stream_available_now(spark, d):
     return spark.read.parquet(target).drop("batch_id")
 
 
+def _user_rows(batch):
+    from dimetl.operators.filters import filter_not_null, filter_plays
+    from dimetl.plans.jobs import normalise_log
+
+    return filter_not_null(filter_plays(normalise_log(batch)), "user_id")
+
+
+@register(
+    "stream_upsert_users",
+    with_views("a_events").rstrip() + ",\n"
+    "plays AS (SELECT * FROM a_events WHERE page = 'NextSong' AND user_id IS NOT NULL),\n"
+    "f AS " + sql_first("plays", "user_id", "ts_ms, event_id", "user_id, first_name, last_name, gender") + ",\n"
+    "l AS " + sql_first("plays", "user_id", "ts_ms DESC, event_id DESC", "user_id, level") + "\n"
+    "SELECT f.user_id, f.first_name, f.last_name, f.gender, l.level FROM f JOIN l ON f.user_id = l.user_id",
+)
+def q_stream_upsert_users(spark, d):
+    """Users dimension kept by a file stream (one file per micro-batch, files in arbitrary time order)."""
+    src = scratch_path(spark, "users_stream_src")
+    log_json_frame(a_events(spark, d)).repartition(4).write.json(src)
+    table = stream_upsert_available_now(
+        spark, src, LOG_SCHEMA, scratch_path(spark, "users_dim"), scratch_path(spark, "users_ckpt"), _user_rows,
+        ["user_id"], ["first_name", "last_name", "gender"], ["level"], ["start_time", "item_in_session"],
+        max_files_per_trigger=1,
+    )
+    return table.read().select("user_id", "first_name", "last_name", "gender", "level")
+
+
 BACKFILL_COLS = ["session_id", "item_in_session", "level", "start_time"]
 
 
