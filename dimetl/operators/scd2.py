@@ -23,6 +23,7 @@ so a reader never sees half a load and Spark never overwrites a path it reads.
 from __future__ import annotations
 
 import datetime as _dt
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -219,6 +220,7 @@ class Scd2Table:
         self.keys = list(keys)
         self.id_column = id_column
         self._version: int | None = None
+        self._schema: T.StructType | None = None
 
     def committed_version(self) -> int:
         if self._version is not None:
@@ -227,12 +229,16 @@ class Scd2Table:
             commits = self.spark.read.parquet(f"{self.root}/_commits")
         except Exception:  # noqa: BLE001 - no commit yet
             return 0
-        v = commits.agg(F.max("version")).first()[0]
-        self._version = int(v or 0)
+        last = commits.orderBy(F.col("version").desc()).select("version", "row_schema").first()
+        if last is None:
+            return 0
+        self._version, self._schema = int(last["version"]), T.StructType.fromJson(json.loads(last["row_schema"]))
         return self._version
 
     def _rows(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/rows")
+        # The schema comes from the commit marker: a load may have written no data file at all.
+        self.committed_version()
+        return self.spark.read.schema(self._schema).parquet(f"{self.root}/rows")
 
     def read(self) -> DataFrame:
         v = self.committed_version()
@@ -269,16 +275,15 @@ class Scd2Table:
         rows = changes.withColumn(
             "kind", F.when(F.col("change") == CLOSED, F.lit("history")).otherwise(F.lit("active"))
         ).drop("change")
-        (
-            rows.withColumn("version", F.lit(nxt))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("kind", "version")
-            .parquet(f"{self.root}/rows")
+        rows = rows.withColumn("version", F.lit(nxt))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("kind", "version").parquet(
+            f"{self.root}/rows"
+        )
+        marker = self.spark.range(1).select(
+            F.lit(nxt).alias("version"), _date(load_date).alias("load_date"), F.lit(rows.schema.json()).alias("row_schema")
         )
-        marker = self.spark.range(1).select(F.lit(nxt).alias("version"), _date(load_date).alias("load_date"))
         marker.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("version").parquet(
             f"{self.root}/_commits"
         )
-        self._version = nxt
+        self._version, self._schema = nxt, rows.schema
         return nxt

@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from dimetl.functions.time import epoch_ms_to_ts
 from dimetl.operators import quality as Q
-from dimetl.operators.scd2 import Scd2Table
 from dimetl.plans import listings as L
 from dimetl.plans import songplays as SP
 from dimetl.schemas import DIMENSIONS
@@ -110,11 +109,9 @@ def run_listing_week(
     clean = spark.read.parquet(clean_path)
     staging = L.staging_frames(clean, load_date)
 
-    stores = {}
-    for dim, spec in DIMENSIONS.items():
-        store = Scd2Table(spark, f"{out}/presentation/{dim}", spec.match_columns, spec.id_column)
-        store.load(staging[spec.base_table], load_date)
-        stores[dim] = store.read()
+    stores = L.load_dimensions(
+        spark, f"{out}/presentation", list(DIMENSIONS), lambda dim, _k: staging[DIMENSIONS[dim].base_table], [load_date]
+    )
 
     fact = L.fact_stock(staging["staging_stock"], stores["dim_broker"], stores["dim_asset"], stores["dim_geography"])
     fact_path = f"{out}/presentation/fact_stock"

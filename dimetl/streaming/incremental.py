@@ -13,6 +13,7 @@ table; dynamic partition overwrite leaves every other slice untouched.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -92,31 +93,35 @@ class VersionedTable:
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def version(self, at_most: int | None = None) -> int:
-        """Highest committed version (not above ``at_most`` when given); 0 if none."""
+    def _commit(self, at_most: int | None = None):
         try:
             commits = self.spark.read.parquet(f"{self.root}/_commits")
         except Exception:  # noqa: BLE001 - nothing committed yet
-            return 0
+            return None
         if at_most is not None:
             commits = commits.where(F.col("version") <= at_most)
-        v = commits.agg(F.max("version")).first()[0]
-        return int(v or 0)
+        return commits.orderBy(F.col("version").desc()).select("version", "row_schema").first()
+
+    def version(self, at_most: int | None = None) -> int:
+        """Highest committed version (not above ``at_most`` when given); 0 if none."""
+        last = self._commit(at_most)
+        return int(last["version"]) if last else 0
 
     def read(self, at_most: int | None = None) -> DataFrame | None:
-        v = self.version(at_most)
-        if v == 0:
+        last = self._commit(at_most)
+        if last is None:
             return None
-        return self.spark.read.parquet(f"{self.root}/rows").where(F.col("version") == v).drop("version")
+        # The schema comes from the commit marker: a version may hold no data file.
+        schema = T.StructType.fromJson(json.loads(last["row_schema"]))
+        rows = self.spark.read.schema(schema).parquet(f"{self.root}/rows")
+        return rows.where(F.col("version") == int(last["version"])).drop("version")
 
     def write(self, df: DataFrame, version: int) -> None:
-        for sub, frame in (("rows", df), ("_commits", self.spark.range(1).select(F.lit(1).alias("marker")))):
-            (
-                frame.withColumn("version", F.lit(version))
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("version")
-                .parquet(f"{self.root}/{sub}")
+        rows = df.withColumn("version", F.lit(version))
+        marker = self.spark.range(1).select(F.lit(rows.schema.json()).alias("row_schema"))
+        for sub, frame in (("rows", rows), ("_commits", marker.withColumn("version", F.lit(version)))):
+            frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("version").parquet(
+                f"{self.root}/{sub}"
             )
 
 
