@@ -73,7 +73,9 @@ def last_per_key(df: DataFrame, key: Sequence[str], order_cols: Sequence[str]) -
 def insert_if_absent(existing: DataFrame, new: DataFrame, key: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
     """First wins: keys already present keep their row; new keys add their first row."""
     fresh = new.join(existing.select(*key), list(key), "left_anti")
-    return existing.unionByName(first_per_key(fresh.select(*existing.columns, *[c for c in order_cols if c not in existing.columns]), key, order_cols).select(*existing.columns))
+    extra_order = [c for c in order_cols if c not in existing.columns]
+    firsts = first_per_key(fresh.select(*existing.columns, *extra_order), key, order_cols)
+    return existing.unionByName(firsts.select(*existing.columns))
 
 
 def pk_replace(df: DataFrame, pk: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
