@@ -180,6 +180,30 @@ def log_json_frame(ev: DataFrame) -> DataFrame:
     )
 
 
+def play_log_json_frame(play: DataFrame) -> DataFrame:
+    """``a_play`` in the player's JSON layout (camelCase, epoch-ms ``ts``, text ``userId``)."""
+    return play.select(
+        "artist",
+        F.lit("Logged In").alias("auth"),
+        F.col("first_name").alias("firstName"),
+        "gender",
+        F.col("item_in_session").cast("bigint").alias("itemInSession"),
+        F.col("last_name").alias("lastName"),
+        "length",
+        "level",
+        "location",
+        F.lit("PUT").alias("method"),
+        "page",
+        "registration",
+        F.col("session_id").alias("sessionId"),
+        "song",
+        F.lit(200).alias("status"),
+        F.col("ts_ms").alias("ts"),
+        F.col("user_agent").alias("userAgent"),
+        F.col("user_id").cast("string").alias("userId"),
+    )
+
+
 def csv_event_frame(play: DataFrame) -> DataFrame:
     """``a_play`` in the CSV export layout (17 text columns; blank song fields on non-plays)."""
     is_play = F.col("page") == "NextSong"

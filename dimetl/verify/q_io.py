@@ -30,6 +30,7 @@ from dimetl.verify.adapters import (
     a_song,
     csv_event_frame,
     log_json_frame,
+    play_log_json_frame,
     register_view,
     table,
     with_views,
@@ -384,6 +385,19 @@ def q_stream_upsert_users(spark, d):
     return table.read().select("user_id", "first_name", "last_name", "gender", "level")
 
 
+@register("song_star_job", SQL_LOOKUP_FACT)
+def q_song_star_job(spark, d):
+    """The whole song-play load: raw song and play-log JSON folders -> five gated star tables."""
+    from dimetl.plans.jobs import run_song_star
+
+    log_root = scratch_path(spark, "play_log")
+    log = play_log_json_frame(a_play(spark, d))
+    log = log.withColumns({"y": F.year(F.timestamp_millis("ts")), "m": F.month(F.timestamp_millis("ts"))})
+    log.repartition("y", "m").write.partitionBy("y", "m").json(log_root)
+    paths = run_song_star(spark, write_songs(spark, d), log_root, scratch_path(spark, "song_star"))
+    return spark.read.parquet(paths["songplays"])
+
+
 BACKFILL_COLS = ["session_id", "item_in_session", "level", "start_time"]
 
 
