@@ -455,3 +455,23 @@ def q_date_id(spark, d):
     from dimetl.functions.time import date_id
 
     return table(spark, d, "orders").select("o_orderkey", date_id("o_orderdate").alias("date_id"))
+
+
+SQL_WEEKS_FACT = SQL_FACT_STOCK.replace(
+    with_views("stock2", "scd_dim_asset3", "scd_dim_broker3", "scd_dim_geography3"),
+    with_views("stock0", "stock1", "stock2", "scd_dim_asset3", "scd_dim_broker3", "scd_dim_geography3"),
+).replace(" FROM stock2 f ", " FROM (SELECT * FROM stock0 UNION ALL SELECT * FROM stock1 UNION ALL SELECT * FROM stock2) f ")
+
+
+@register("listing_week_job", SQL_WEEKS_FACT)
+def q_listing_week_job(spark, d):
+    """Three weekly loads end to end: raw listing JSON -> staging -> SCD2 stores -> stock fact."""
+    from dimetl.plans.jobs import run_listing_week
+
+    out = scratch_path(spark, "listing_wh")
+    paths = None
+    for k, day in enumerate(SNAPSHOT_DATES):
+        raw_path = scratch_path(spark, f"listing_raw{k}")
+        a_listing(spark, d, k).drop("c_custkey").write.json(raw_path)
+        paths = run_listing_week(spark, raw_path, out, day)
+    return spark.read.parquet(paths["fact_stock"])
