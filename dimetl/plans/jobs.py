@@ -67,11 +67,16 @@ def run_song_star(
         tables["songplays"] if variant == "left" else filter_plays(log), weekday_convention
     )
     paths = {name: f"{out}/{name}" for name in tables}
-    W.write_partitioned(tables["songplays"], paths["songplays"], ["year", "month"])
-    W.write_partitioned(tables["time"], paths["time"], ["year", "month"])
-    W.write_partitioned(tables["songs"], paths["songs"], ["year"])
-    W.write_parquet(tables["users"], paths["users"])
-    W.write_parquet(tables["artists"], paths["artists"])
+    # Five independent sinks: submitted as concurrent jobs.
+    W.run_writes(
+        {
+            "songplays": lambda: W.write_partitioned(tables["songplays"], paths["songplays"], ["year", "month"]),
+            "time": lambda: W.write_partitioned(tables["time"], paths["time"], ["year", "month"]),
+            "songs": lambda: W.write_partitioned(tables["songs"], paths["songs"], ["year"]),
+            "users": lambda: W.write_parquet(tables["users"], paths["users"]),
+            "artists": lambda: W.write_parquet(tables["artists"], paths["artists"]),
+        }
+    )
 
     written = {name: spark.read.parquet(p) for name, p in paths.items()}
     fact = written["songplays"]

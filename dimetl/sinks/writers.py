@@ -11,7 +11,8 @@ distinct values).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -98,3 +99,21 @@ def insert_subset(df: DataFrame, table: str, fields: Sequence[str] | None = None
         for f in target.fields
     ]
     df.select(*cols).write.insertInto(table)
+
+
+def run_writes(writes: Mapping[str, Callable[[], None]], max_parallel: int = 4) -> None:
+    """Run independent sink writes as concurrent Spark jobs (one driver thread each).
+
+    The threads carry the caller's job group and local properties; an error in
+    any write is raised after all writes have finished.
+    """
+    from pyspark.util import inheritable_thread_target
+
+    if not writes:
+        return
+    with ThreadPoolExecutor(max_workers=max(1, min(max_parallel, len(writes)))) as pool:
+        futures = [pool.submit(inheritable_thread_target(fn)) for fn in writes.values()]
+        errors = [f.exception() for f in futures]
+    for err in errors:
+        if err is not None:
+            raise err
