@@ -287,3 +287,25 @@ class Scd2Table:
         )
         self._version, self._schema = nxt, rows.schema
         return nxt
+
+    def vacuum(self, keep: int = 2) -> list[int]:
+        """Delete the active sets of all but the last ``keep`` committed versions.
+
+        History partitions and commit markers stay (the table's content is
+        unchanged); only superseded copies of the active set go, so storage
+        grows with the changes, not with the number of loads.  Readers pinned to
+        a removed version must re-read.  Returns the removed version numbers.
+        """
+        if keep < 1:
+            raise ValueError("keep at least one version")
+        current = self.committed_version()
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        removed = []
+        for v in range(1, current - keep + 1):
+            path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/rows/kind=active/version={v}")
+            fs = path.getFileSystem(conf)
+            if fs.exists(path) and fs.delete(path, True):
+                removed.append(v)
+        return removed
+

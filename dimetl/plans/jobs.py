@@ -104,8 +104,12 @@ def run_listing_week(
     out_root: str,
     load_date: str,
     multi_line: bool = False,
+    keep_versions: int | None = None,
 ) -> dict[str, str]:
-    """One weekly load: staging, SCD2 dimensions (versioned stores), stock fact append, gates."""
+    """One weekly load: staging, SCD2 dimensions (versioned stores), stock fact append, gates.
+
+    ``keep_versions`` vacuums superseded active sets of the dimension stores.
+    """
     if not raw_path or not out_root or not load_date:
         raise ValueError("run_listing_week needs raw_path, out_root and load_date")
     out = out_root.rstrip("/")
@@ -115,7 +119,8 @@ def run_listing_week(
     staging = L.staging_frames(clean, load_date)
 
     stores = L.load_dimensions(
-        spark, f"{out}/presentation", list(DIMENSIONS), lambda dim, _k: staging[DIMENSIONS[dim].base_table], [load_date]
+        spark, f"{out}/presentation", list(DIMENSIONS), lambda dim, _k: staging[DIMENSIONS[dim].base_table], [load_date],
+        keep_versions,
     )
 
     fact = L.fact_stock(staging["staging_stock"], stores["dim_broker"], stores["dim_asset"], stores["dim_geography"])

@@ -82,11 +82,13 @@ def load_dimensions(
     dims: Sequence[str],
     staging_for: Callable[[str, int], DataFrame],
     load_dates: Sequence[str],
+    keep_versions: int | None = None,
 ) -> dict[str, DataFrame]:
     """Replay ``len(load_dates)`` loads into one ``Scd2Table`` per dimension.
 
     Loads of one dimension run in date order; the dimensions are independent,
     so their jobs are submitted from one thread each and run side by side.
+    With ``keep_versions`` superseded active sets are vacuumed after the loads.
     Returns the whole table (history + active) of every dimension.
     """
     if not root or not dims or not load_dates:
@@ -97,6 +99,8 @@ def load_dimensions(
         store = Scd2Table(spark, f"{root.rstrip('/')}/{dim}", spec.match_columns, spec.id_column)
         for k, day in enumerate(load_dates):
             store.load(staging_for(dim, k), day)
+        if keep_versions:
+            store.vacuum(keep_versions)
         return store.read()
 
     # The wrapper carries the caller's job group and local properties into the worker threads.

@@ -66,7 +66,7 @@ def test_listing_weeks(spark, tmp_dir):
         os.makedirs(raw)
         with open(f"{raw}/bot.json", "w", encoding="utf-8") as fh:
             json.dump(rows, fh, indent=2)
-        paths = run_listing_week(spark, raw, f"{tmp_dir}/wh", day, multi_line=True)
+        paths = run_listing_week(spark, raw, f"{tmp_dir}/wh", day, multi_line=True, keep_versions=1)
     from dimetl.operators.scd2 import Scd2Table
 
     asset = Scd2Table(spark, paths["dim_asset"], ["contract_number"], "asset_id").read()

@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 from pyspark.sql import functions as F
 
@@ -120,3 +121,21 @@ def test_merge_outputs(spark):
     active, closed = scd2_merge(t, staging(spark, [("a", "2")]), ["k"], D[1], "dim_id")
     assert [r["v"] for r in active.collect()] == ["2"]
     assert [str(r["record_end_date"]) for r in closed.collect()] == ["2024-01-07"]
+
+
+def test_vacuum_keeps_content(spark, tmp_dir):
+    loads = [
+        (D[0], [("a", "1"), ("b", "1")]),
+        (D[1], [("a", "2"), ("c", "1")]),
+        (D[2], [("a", "2"), ("b", "3"), ("c", "1")]),
+    ]
+    store = Scd2Table(spark, tmp_dir + "/dim", ["k"], "dim_id")
+    for d, rows in loads:
+        store.load(staging(spark, rows), d)
+    before = sorted(map(tuple, store.read().collect()))
+    assert store.vacuum(keep=1) == [1, 2]
+    assert not os.path.exists(tmp_dir + "/dim/rows/kind=active/version=1")
+    fresh = Scd2Table(spark, tmp_dir + "/dim", ["k"], "dim_id")
+    assert sorted(map(tuple, fresh.read().collect())) == before
+    store.load(staging(spark, [("a", "9")]), "2024-01-29")  # loads go on after a vacuum
+    assert store.read().where("k = 'a' AND record_end_date = DATE'9999-12-31'").first()["v"] == "9"
