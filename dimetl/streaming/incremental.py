@@ -116,6 +116,26 @@ class VersionedTable:
         rows = self.spark.read.schema(schema).parquet(f"{self.root}/rows")
         return rows.where(F.col("version") == int(last["version"])).drop("version")
 
+    def vacuum(self, keep: int = 2) -> list[int]:
+        """Delete all but the last ``keep`` committed versions (rows and markers)."""
+        if keep < 1:
+            raise ValueError("keep at least one version")
+        try:
+            versions = sorted(r[0] for r in self.spark.read.parquet(f"{self.root}/_commits").select("version").collect())
+        except Exception:  # noqa: BLE001 - nothing committed yet
+            return []
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        removed = []
+        for v in versions[:-keep]:
+            for sub in ("_commits", "rows"):  # marker first: a reader never sees a marker without rows
+                path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{sub}/version={v}")
+                fs = path.getFileSystem(conf)
+                if fs.exists(path):
+                    fs.delete(path, True)
+            removed.append(v)
+        return removed
+
     def write(self, df: DataFrame, version: int) -> None:
         rows = df.withColumn("version", F.lit(version))
         marker = self.spark.range(1).select(F.lit(rows.schema.json()).alias("row_schema"))
@@ -138,13 +158,16 @@ def stream_upsert_available_now(
     order_cols: Sequence[str],
     max_files_per_trigger: int | None = None,
     file_format: str = "json",
+    keep_versions: int | None = None,
 ) -> VersionedTable:
     """Maintain a first/last-wins dimension from a file stream, one version per micro-batch.
 
     Each micro-batch merges its rows into the current version with
     ``merge_first_last`` and writes version ``batch_id + 1``.  The merge is
     commutative and idempotent, so file arrival order, batching and replays
-    after a failure do not change the result.
+    after a failure do not change the result.  ``keep_versions`` bounds the
+    number of stored state versions (keep at least 2 so a replayed batch still
+    finds the state it started from).
     """
     if not source_dir or not root or not checkpoint or not key:
         raise ValueError("stream_upsert_available_now needs source_dir, root, checkpoint and key")
@@ -159,6 +182,8 @@ def stream_upsert_available_now(
         state = table.read(at_most=batch_id)
         merged = merge_first_last(state, prepare(batch), key, first_cols, last_cols, order_cols)
         table.write(merged, batch_id + 1)
+        if keep_versions:
+            table.vacuum(keep_versions)
 
     query = (
         reader.load(source_dir)

@@ -63,7 +63,8 @@ def test_stream_upsert_restart(spark, tmp_dir):
     with open(src + "/b.json", "w") as fh:
         fh.write(_log(1, 7, "free", 1000) + "\n")
     args = (LOG_SCHEMA, root, ckpt, _prepare, ["user_id"], ["first_name"], ["level"], ["start_time", "item_in_session"])
-    t = stream_upsert_available_now(spark, src, *args, max_files_per_trigger=1)
+    t = stream_upsert_available_now(spark, src, *args, max_files_per_trigger=1, keep_versions=1)
+    assert sorted(x for x in os.listdir(root + "/_commits") if x.startswith("version=")) == ["version=2"]
     r = t.read().collect()[0]
     assert (r["first_name"], r["level"]) == ("f1", "paid")
     v = t.version()
