@@ -209,7 +209,8 @@ class Scd2Table:
     reader takes the highest committed version ``N`` and reads
     ``active[version = N] ∪ history[version <= N]`` (partition pruning).  An
     interrupted load leaves an uncommitted version that readers ignore and the
-    next attempt overwrites.
+    next attempt overwrites.  One writer per table at a time (loads of one
+    dimension are sequential by nature); any number of concurrent readers.
     """
 
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], id_column: str):
