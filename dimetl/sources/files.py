@@ -59,7 +59,9 @@ def scan_json_subset(
     """Listing files narrowed to a common attribute subset.
 
     Attributes absent from a file come back as NULL instead of failing.
-    ``multi_line=True`` reads files holding one (indented) JSON array each.
+    ``multi_line=True`` reads files holding one (indented) JSON array each;
+    such a file cannot be split, so each is read by one task (one crawler
+    output per site and week).  JSON lines, the default, split at any size.
     """
     df = scan_json(spark, path, LISTING_RAW_SCHEMA, multiLine=str(bool(multi_line)).lower())
     return df.select(*attributes)
