@@ -102,6 +102,11 @@ def rename_positional(df: DataFrame, names: list[str]) -> DataFrame:
     return df.toDF(*names)
 
 
+def canonical_zero(c: Column) -> Column:
+    """``-0.0`` -> ``0.0`` (other values, NULL included, unchanged)."""
+    return F.when(c == 0, F.lit(0.0)).otherwise(c)
+
+
 def fill_missing(
     df: DataFrame,
     numeric: list[str],
@@ -111,10 +116,12 @@ def fill_missing(
 ) -> DataFrame:
     """Cast the numeric attributes to double, then fill missing values.
 
-    Casting first matters: a numeric fill on a string column is a no-op.
+    Casting first matters: a numeric fill on a string column is a no-op.  A
+    negative zero is made ``0.0`` so equal values hash equally (``"-0"`` and
+    ``"0"`` must not look like a change).
     """
     present = set(df.columns)
-    casts = {c: F.col(c).try_cast("double") for c in numeric if c in present}
+    casts = {c: canonical_zero(F.col(c).try_cast("double")) for c in numeric if c in present}
     out = df.withColumns(casts) if casts else df
     num = [c for c in numeric if c in present]
     txt = [c for c in textual if c in present]

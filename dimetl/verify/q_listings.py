@@ -110,7 +110,8 @@ def sql_strip_tags(e: str) -> str:
 
 
 def sql_num(e: str) -> str:
-    return f"COALESCE(TRY_CAST({e} AS DOUBLE), -1)"
+    t = f"TRY_CAST({e} AS DOUBLE)"
+    return f"COALESCE(CASE WHEN {t} = 0 THEN CAST(0.0 AS DOUBLE) ELSE {t} END, -1)"
 
 
 def sql_clean(k: int) -> str:

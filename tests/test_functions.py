@@ -110,3 +110,9 @@ def test_date_spine_length(spark):
     assert last == "2047-12-25"
     r = cal.where(F.col("full_date") == "2018-01-31").first()
     assert r["is_last_of_month"] == 1 and r["weekday_number"] == 4 and r["is_weekday"] == 1
+
+
+def test_fill_missing_canonical_zero(spark):
+    df = spark.createDataFrame([("-0",), ("0",)], "n string")
+    out = X.fill_missing(df, ["n"], []).withColumn("h", K.row_hash("n")).collect()
+    assert out[0]["h"] == out[1]["h"] and str(out[0]["n"]) == "0.0"
