@@ -57,3 +57,15 @@ def test_query_matches_oracle(spark, duck, key):
     got = E.queries()[key](spark, SF).toPandas()
     want = duck.execute(E.oracle_sql()[key]).df()
     assert _rows(got) == _rows(want)
+
+
+def test_entry_loaded_by_path(spark):
+    import importlib.util
+
+    path = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "__spark_entry__.py")
+    spec = importlib.util.spec_from_file_location("entry_by_path", path)
+    mod = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(mod)
+    df = mod.entry(spark)
+    assert df.count() > 0
+    assert len(mod.queries()) == len(mod.oracle_sql()) >= 98
