@@ -3,7 +3,8 @@
 ``run_song_star``     raw song + event JSON folders -> the five star tables,
                       partitioned Parquet, gated by data-quality checks.
 ``run_listing_week``  one weekly listing snapshot -> staging tables -> SCD2
-                      dimensions -> stock fact append, gated by checks.
+                      dimensions -> stock fact rows of that week (a rerun of
+                      the week replaces its partition), gated by checks.
 
 Each job stages its normalised input once as Parquet in the output folder (a
 written table: columnar, and the lineage of every later write starts there
@@ -106,7 +107,7 @@ def run_listing_week(
     multi_line: bool = False,
     keep_versions: int | None = None,
 ) -> dict[str, str]:
-    """One weekly load: staging, SCD2 dimensions (versioned stores), stock fact append, gates.
+    """One weekly load: staging, SCD2 dimensions (versioned stores), the week's stock fact rows, gates.
 
     ``keep_versions`` vacuums superseded active sets of the dimension stores.
     """
