@@ -7,8 +7,6 @@ an error.  Patterns use only constructs shared by Java regex and RE2.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -50,6 +48,12 @@ LABELS: dict[str, str] = {
 # --------------------------------------------------------------------------
 
 _ANY = r"[\s\S]"
+_META = "^$.*+?()[]{}|\\"
+
+
+def regex_literal(text: str) -> str:
+    """Escape regex metacharacters only, so the pattern reads the same in Java regex and RE2."""
+    return "".join("\\" + ch if ch in _META else ch for ch in text)
 
 
 def _c(c: str | Column) -> Column:
@@ -62,7 +66,7 @@ def _nullif_empty(c: Column) -> Column:
 
 def element_text(html: str | Column, tag: str, attr: str, value: str) -> Column:
     """Text of the first ``<tag ... attr="value" ...>text</tag>``."""
-    pattern = f"<{tag}[^>]*{attr}=\"{re.escape(value)}\"[^>]*>([^<]*)</{tag}>"
+    pattern = f"<{tag}[^>]*{attr}=\"{regex_literal(value)}\"[^>]*>([^<]*)</{tag}>"
     return _nullif_empty(F.regexp_extract(_c(html), pattern, 1))
 
 
@@ -72,7 +76,7 @@ def tag_text(html: str | Column, tag: str) -> Column:
 
 
 def meta_content(html: str | Column, prop: str) -> Column:
-    pattern = f"<meta[^>]*property=\"{re.escape(prop)}\"[^>]*content=\"([^\"]*)\""
+    pattern = f"<meta[^>]*property=\"{regex_literal(prop)}\"[^>]*content=\"([^\"]*)\""
     return _nullif_empty(F.regexp_extract(_c(html), pattern, 1))
 
 
@@ -111,7 +115,7 @@ def label_values(html: str | Column) -> list[Column]:
 def indicator(html: str | Column, title: str) -> Column:
     """``<span class="num">`` value following the icon ``<span title="...">``."""
     pattern = (
-        f"<span[^>]*title=\"{re.escape(title)}\"[^>]*>[^<]*</span>[^<]*"
+        f"<span[^>]*title=\"{regex_literal(title)}\"[^>]*>[^<]*</span>[^<]*"
         r"<span[^>]*class=\"num\"[^>]*>([^<]*)</span>"
     )
     return _nullif_empty(F.trim(F.regexp_extract(_c(html), pattern, 1)))
@@ -119,7 +123,7 @@ def indicator(html: str | Column, title: str) -> Column:
 
 def indicators(html: str | Column) -> list[Column]:
     cols = [indicator(html, title).alias(name) for title, name in INDICATOR_MAP.items()]
-    energy = F.regexp_extract(_c(html), f"<span[^>]*title=\"{re.escape(ENERGY_TITLE_PREFIX)}([^\"]*)\"", 1)
+    energy = F.regexp_extract(_c(html), f"<span[^>]*title=\"{regex_literal(ENERGY_TITLE_PREFIX)}([^\"]*)\"", 1)
     cols.append(_nullif_empty(F.trim(energy)).alias("energy_certificate_icon"))
     return cols
 

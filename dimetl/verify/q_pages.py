@@ -11,12 +11,7 @@ from dimetl.verify.adapters import table
 from dimetl.verify.q_listings import sql_strip_tags
 from dimetl.verify.registry import register
 
-_META = "^$.*+?()[]{}|\\"
-
-
-def _esc(s: str) -> str:
-    """Escape regex metacharacters only (same text for Java regex and RE2)."""
-    return "".join("\\" + ch if ch in _META else ch for ch in s)
+_esc = H.regex_literal
 
 
 def _q(s: str) -> str:
