@@ -448,7 +448,7 @@ def _event_table(spark, d, name):
     return ET.event_table(rows, name)
 
 
-@register("pk_replace_sessions", with_views("ev_rows") + _sql_event_table("music_sessions"))
+@register("pk_replace_sessions", with_views("ev_rows") + _sql_event_table("music_sessions"), doubles=("song_length",))
 def q_music_sessions(spark, d):
     return _event_table(spark, d, "music_sessions")
 
@@ -469,6 +469,7 @@ LOOKUP_SONG = "red widget"
     with_views("ev_rows")
     + f"SELECT artist_name, song_title, song_length FROM ({_sql_event_table('music_sessions')}) "
     f"WHERE session_id = {LOOKUP_SESSION} AND item_in_session = {LOOKUP_ITEM}",
+    doubles=("song_length",),
 )
 def q_lookup_session_item(spark, d):
     t = _event_table(spark, d, "music_sessions")

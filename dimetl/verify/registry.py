@@ -24,7 +24,8 @@ def finish(df: DataFrame) -> DataFrame:
     UTC timestamp values are unchanged.  Dates are handed over as
     ``yyyy-MM-dd`` text (the open end ``9999-12-31`` does not fit a
     nanosecond timestamp); the oracle casts its dates the same way
-    (``dates=`` of ``register``).
+    (``dates=`` of ``register``).  Decimals are handed over as doubles
+    (``doubles=``), the type both engines give to every client.
     """
     casts = {}
     for f in df.schema.fields:
@@ -32,6 +33,8 @@ def finish(df: DataFrame) -> DataFrame:
             casts[f.name] = F.col(f"`{f.name}`").cast("timestamp_ntz")
         elif isinstance(f.dataType, T.DateType):
             casts[f.name] = F.col(f"`{f.name}`").cast("string")
+        elif isinstance(f.dataType, T.DecimalType):
+            casts[f.name] = F.col(f"`{f.name}`").cast("double")
     return df.withColumns(casts) if casts else df
 
 
@@ -40,7 +43,12 @@ def dates_as_text(sql: str, dates: tuple[str, ...]) -> str:
     return f"SELECT * REPLACE ({repl}) FROM (\n{sql}\n)"
 
 
-def register(key: str, sql: str | None = None, dates: tuple[str, ...] = ()):
+def doubles_as_double(sql: str, cols: tuple[str, ...]) -> str:
+    repl = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in cols)
+    return f"SELECT * REPLACE ({repl}) FROM (\n{sql}\n)"
+
+
+def register(key: str, sql: str | None = None, dates: tuple[str, ...] = (), doubles: tuple[str, ...] = ()):
     def deco(fn: QueryFn) -> QueryFn:
         if key in QUERIES:
             raise ValueError(f"duplicate query key {key}")
@@ -52,7 +60,8 @@ def register(key: str, sql: str | None = None, dates: tuple[str, ...] = ()):
         run.__doc__ = fn.__doc__
         QUERIES[key] = run
         if sql is not None:
-            ORACLES[key] = dates_as_text(sql.strip(), dates) if dates else sql.strip()
+            text = dates_as_text(sql.strip(), dates) if dates else sql.strip()
+            ORACLES[key] = doubles_as_double(text, doubles) if doubles else text
         return fn
 
     return deco
