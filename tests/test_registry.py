@@ -52,10 +52,19 @@ def test_entry(spark):
     assert "songplay_id" in df.columns
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+                 "timestamp_ntz": "TIMESTAMP"}
+
+
 @pytest.mark.parametrize("key", sorted(E.queries()))
 def test_query_matches_oracle(spark, duck, key):
-    got = E.queries()[key](spark, SF).toPandas()
-    want = duck.execute(E.oracle_sql()[key]).df()
+    sdf = E.queries()[key](spark, SF)
+    sql = E.oracle_sql()[key]
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in sdf.schema.fields}
+    duck_types = {d[0]: str(d[1]) for d in duck.execute(f"SELECT * FROM ({sql}) LIMIT 0").description}
+    assert spark_types == duck_types
+    got = sdf.toPandas()
+    want = duck.execute(sql).df()
     assert _rows(got) == _rows(want)
 
 
