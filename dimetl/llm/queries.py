@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from dimetl.llm import chat_format, exact_dedup
+from dimetl.llm import chat_format, exact_dedup, maxscore, secrets
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -27,12 +28,27 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top 10 of every vector whose id is divisible by 100, against all vectors."""
+    vectors = maxscore.integer_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return maxscore.top_k(vectors.filter(F.col("id") % 100 == 0), vectors)
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_secrets(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_text", 256).alias("base_sha256"), "spans"
+    )
+
+
 QUERIES: dict[str, QueryFn] = {
     "op2_chat_format": op2_chat_format,
     "op4_exact_dedup": op4_exact_dedup,
+    "op8_exact_top_k": op8_exact_top_k,
+    "op9_secret_scan": op9_secret_scan,
 }
 
 ORACLES: dict[str, str] = {
     "op2_chat_format": chat_format.SQL.strip(),
     "op4_exact_dedup": exact_dedup.SQL.strip(),
+    "op8_exact_top_k": maxscore.SQL.strip(),
 }
