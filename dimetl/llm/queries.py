@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimetl.llm import chat_format, exact_dedup, maxscore, secrets
+from dimetl.llm import chat_format, exact_dedup, maxscore, secrets, simhash
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", simhash.hex_digits("fp").alias("fingerprint"), "component_id"
+    )
+
+
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation, and conversation -1 whose texts hold the template's own control strings."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -41,6 +47,7 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, QueryFn] = {
+    "op1_simhash_dedup": op1_simhash_dedup,
     "op2_chat_format": op2_chat_format,
     "op4_exact_dedup": op4_exact_dedup,
     "op8_exact_top_k": op8_exact_top_k,
