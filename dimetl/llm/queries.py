@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimetl.llm import chat_format, exact_dedup, maxscore, pii, secrets, simhash
+from dimetl.llm import chat_format, exact_dedup, maxscore, pii, quality, secrets, simhash
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +34,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(table(spark, sf_dir, "documents")).select(
         "doc_id", *(f"n_{k}" for k in pii.KINDS), F.sha2("base_text", 256).alias("base_sha256"), "spans"
@@ -56,6 +60,7 @@ QUERIES: dict[str, QueryFn] = {
     "op1_simhash_dedup": op1_simhash_dedup,
     "op2_chat_format": op2_chat_format,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_quality": op5_quality,
     "op6_personal_data": op6_personal_data,
     "op8_exact_top_k": op8_exact_top_k,
     "op9_secret_scan": op9_secret_scan,
