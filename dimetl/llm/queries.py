@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimetl.llm import chat_format, exact_dedup, maxscore, pii, quality, secrets, simhash
+from dimetl.llm import chat_format, exact_dedup, maxscore, packing, pii, quality, secrets, simhash
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -56,6 +56,17 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tokenizer_path(name: str) -> str:
+    """Place of an installed public tokenizer file, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, QueryFn] = {
     "op1_simhash_dedup": op1_simhash_dedup,
     "op2_chat_format": op2_chat_format,
@@ -64,6 +75,7 @@ QUERIES: dict[str, QueryFn] = {
     "op6_personal_data": op6_personal_data,
     "op8_exact_top_k": op8_exact_top_k,
     "op9_secret_scan": op9_secret_scan,
+    "op10_best_fit_packing": op10_best_fit_packing,
 }
 
 ORACLES: dict[str, str] = {
