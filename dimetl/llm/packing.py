@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimetl.llm.common import id_col, materialise, text_or_empty
+from dimetl.llm.idcache import IdCache
 
 LENGTH = 4096
 END_ID = 1
@@ -51,29 +52,12 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.max_words = Tokenizer.from_file(path), max_words
-        self._clear()
+        self.tokenizer = Tokenizer.from_file(path)
+        self.cache = IdCache(self._learn, max_words)
 
-    def _clear(self) -> None:
-        self.code: dict[bytes, int] = {}
-        self.ids = np.zeros(1 << 16, np.uint32)
-        self.start = np.zeros(1 << 15, np.int64)
-        self.words, self.used = 0, 0
-
-    def _learn(self, words: list[bytes]) -> None:
+    def _learn(self, words: list[bytes]) -> list[list[int]]:
         texts = [w.decode("utf-8", "replace") for w in words]
-        encoded = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        flat = np.fromiter((i for ids in encoded for i in ids), np.uint32)
-        ends = self.used + np.cumsum(np.fromiter(map(len, encoded), np.int64, len(encoded)))
-        while self.used + len(flat) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while self.words + len(words) + 1 > len(self.start):
-            self.start = np.concatenate([self.start, np.zeros_like(self.start)])
-        self.ids[self.used : self.used + len(flat)] = flat
-        self.start[self.words + 1 : self.words + 1 + len(words)] = ends
-        for n, w in enumerate(words):
-            self.code[w] = self.words + n
-        self.words, self.used = self.words + len(words), self.used + len(flat)
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, without special tokens added."""
@@ -81,19 +65,7 @@ class WordEncoder:
         for t in texts:
             data = t.encode("utf-8", "replace")
             split.append((data if b"<|" in data else data.lower()).split())
-        new = set().union(*split) - self.code.keys() if split else set()
-        if self.words + len(new) > self.max_words:
-            self._clear()
-            new = set().union(*split)
-        if new:
-            self._learn(sorted(new))
-        out = []
-        for words in split:
-            codes = np.fromiter(map(self.code.__getitem__, words), np.int64, len(words))
-            begin, size = self.start[codes], self.start[codes + 1] - self.start[codes]
-            place = np.repeat(begin - np.concatenate(([0], np.cumsum(size)[:-1])) if len(size) else begin, size)
-            out.append(self.ids[place + np.arange(len(place))])
-        return out
+        return self.cache.encode(split)
 
 
 @lru_cache(maxsize=1)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimetl.llm import chat_format, exact_dedup, maxscore, packing, pii, quality, secrets, simhash
+from dimetl.llm import chat_format, exact_dedup, maxscore, packing, pieces, pii, quality, secrets, simhash
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """Place of an installed public tokenizer file, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_dedup(table(spark, sf_dir, "documents")).select(
         "doc_id", simhash.hex_digits("fp").alias("fingerprint"), "component_id"
@@ -44,6 +51,13 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text encoded to piece ids and decoded again; the digests are of the ids and the decoded text."""
+    path = tokenizer_path("piece_bpe_32k.model")
+    decoded = pieces.decode_documents(pieces.encode_documents(table(spark, sf_dir, "documents"), path), path)
+    return decoded.select("doc_id", "n_ids", "ids_crc32", F.length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))
+
+
 def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top 10 of every vector whose id is divisible by 100, against all vectors."""
     vectors = maxscore.integer_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
@@ -56,13 +70,6 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def tokenizer_path(name: str) -> str:
-    """Place of an installed public tokenizer file, the same on every machine."""
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
@@ -73,6 +80,7 @@ QUERIES: dict[str, QueryFn] = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_quality": op5_quality,
     "op6_personal_data": op6_personal_data,
+    "op7_piece_round_trip": op7_piece_round_trip,
     "op8_exact_top_k": op8_exact_top_k,
     "op9_secret_scan": op9_secret_scan,
     "op10_best_fit_packing": op10_best_fit_packing,
