@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimetl.llm import chat_format, exact_dedup, maxscore, packing, pieces, pii, quality, secrets, simhash
+from dimetl.llm import chat_format, exact_dedup, maxscore, packing, pieces, pii, quality, secrets, simhash, wrappers
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +37,10 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.conversation_digests(rows.unionByName(extra))
 
 
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -77,6 +81,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, QueryFn] = {
     "op1_simhash_dedup": op1_simhash_dedup,
     "op2_chat_format": op2_chat_format,
+    "op3_main_text": op3_main_text,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_quality": op5_quality,
     "op6_personal_data": op6_personal_data,
