@@ -15,15 +15,17 @@ with the staging rows on the business keys (NULL-safe), classified per key:
   on the same ``load_date`` is replaced instead, so ``end >= start`` always);
 * key only in staging                         -> new version opened.
 
-Closed history never enters the join.  ``Scd2Table`` stores the active set and
-the history in versioned Parquet folders with a commit marker written last,
-so a reader never sees half a load and Spark never overwrites a path it reads.
+A business key that occurs twice in the staging rows stops the load with an
+error (``unique_rows``): which of two rows is the version is not ours to pick.
+
+``Scd2Table`` stores a log: each load writes the versions it opens and the end
+dates of those it closes, never the unchanged rows, to a folder of its own
+that a commit marker makes visible.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,11 +35,12 @@ from pyspark.sql import types as T
 
 from dimetl.functions.keys import hash_key
 from dimetl.schemas import OPEN_END_DATE
+from dimetl.sinks.commits import ATTEMPTS, CommitLog
 
 START = "record_start_date"
 END = "record_end_date"
 HASH = "hash"
-KEPT, OPENED, CLOSED = "kept", "opened", "closed"
+KEPT, OPENED, CLOSED, REPLACED = "kept", "opened", "closed", "replaced"
 
 
 def _date(d: str | _dt.date | Column) -> Column:
@@ -60,14 +63,15 @@ def _key_cond(keys: Sequence[str], a: str = "t", b: str = "s") -> Column:
     return cond
 
 
-def one_per_key(staging: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Staging reduced to one row per business key (smallest hash wins, deterministic)."""
+def unique_rows(staging: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The staging rows; a business key with more than one row fails the job that reads them."""
     rest = [c for c in staging.columns if c not in set(keys)]
-    return (
-        staging.groupBy(*keys)
-        .agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in rest]), F.col(HASH)).alias("__r"))
-        .select(*keys, *[F.col(f"__r.`{c}`").alias(c) for c in rest])
-    )
+    n = F.count(F.lit(1))
+    shown = F.concat_ws(", ", *[F.coalesce(F.col(f"`{k}`").cast("string"), F.lit("NULL")) for k in keys])
+    row = F.min_by(F.struct(*[F.col(f"`{c}`") for c in rest]), F.col(HASH))
+    grouped = staging.groupBy(*keys).agg(row.alias("__r"), n.alias("__n"))
+    checked = F.when(F.col("__n") > 1, F.raise_error(F.concat(F.lit("duplicate business key in staging: "), shown))).otherwise(F.col("__r"))
+    return grouped.withColumn("__r", checked).select(*keys, *[F.col(f"__r.`{c}`").alias(c) for c in rest])
 
 
 def scd2_close(target: DataFrame, staging: DataFrame, keys: Sequence[str], load_date) -> DataFrame:
@@ -102,11 +106,12 @@ def scd2_merge_rows(
     load_date,
     id_column: str,
 ) -> DataFrame:
-    """Every row one SCD2 load produces, tagged in ``change``: kept / opened / closed.
+    """Every row one SCD2 load produces, tagged in ``change``: kept / opened / closed / replaced.
 
-    One full outer join, one pass: ``kept`` and ``opened`` rows form the new
-    active set, ``closed`` rows join the history.  ``target`` may be the whole
-    table or only its active rows (history never enters the join).
+    One full outer join, one pass over ``target``, which may be the whole table
+    or its active rows only: history rows match no staging row and are kept.
+    ``replaced`` are versions opened on ``load_date`` itself that change again
+    that day; they are no part of the table any more.
     """
     if not keys:
         raise ValueError("scd2_merge needs business keys")
@@ -115,10 +120,10 @@ def scd2_merge_rows(
     load = _date(load_date)
     stage_cols = list(staging.columns)
     out_cols = [id_column, *stage_cols, START, END]
-    active = active_rows(target).select(*out_cols)
-    stg = one_per_key(staging, keys).select(*stage_cols)
+    stg = unique_rows(staging, keys).select(*stage_cols)
 
-    j = active.alias("t").join(stg.alias("s"), _key_cond(keys), "full_outer")
+    open_row = F.col(f"t.{END}") == _open_end()
+    j = target.select(*out_cols).alias("t").join(stg.alias("s"), _key_cond(keys) & open_row, "full_outer")
     t_present = F.col(f"t.{START}").isNotNull()
     s_present = F.col(f"s.{HASH}").isNotNull()
     changed = t_present & s_present & (F.col(f"t.{HASH}") != F.col(f"s.{HASH}"))
@@ -131,12 +136,12 @@ def scd2_merge_rows(
         load.alias(START),
         _open_end().alias(END),
     )
-    closed_struct = F.struct(
-        *[F.col(f"t.`{c}`").alias(c) for c in out_cols if c != END], F.date_sub(load, 1).alias(END)
-    )
+    ended = F.when(same_day, F.lit(None).cast("date")).otherwise(F.date_sub(load, 1))
+    closed_struct = F.struct(*[F.col(f"t.`{c}`").alias(c) for c in out_cols if c != END], ended.alias(END))
+    gone = F.when(same_day, F.lit(REPLACED)).otherwise(F.lit(CLOSED))
     rows = F.array(
-        F.when(t_present & ~changed, F.struct(F.lit(KEPT).alias("change"), t_struct.alias("r"))),
-        F.when(changed & ~same_day, F.struct(F.lit(CLOSED).alias("change"), closed_struct.alias("r"))),
+        F.when(t_present & ~F.coalesce(changed, F.lit(False)), F.struct(F.lit(KEPT).alias("change"), t_struct.alias("r"))),
+        F.when(changed, F.struct(gone.alias("change"), closed_struct.alias("r"))),
         F.when(s_present & (~t_present | changed), F.struct(F.lit(OPENED).alias("change"), s_struct.alias("r"))),
     )
     return j.select(F.explode(F.filter(rows, lambda x: x.isNotNull())).alias("x")).select(
@@ -152,15 +157,13 @@ def scd2_merge(
     id_column: str,
 ) -> tuple[DataFrame, DataFrame]:
     """One SCD2 load as ``(new_active, newly_closed)`` (two views of ``scd2_merge_rows``)."""
-    rows = scd2_merge_rows(target, staging, keys, load_date, id_column)
-    return rows.where(F.col("change") != CLOSED).drop("change"), rows.where(F.col("change") == CLOSED).drop("change")
+    rows = scd2_merge_rows(active_rows(target), staging, keys, load_date, id_column)
+    return rows.where(F.col("change").isin(KEPT, OPENED)).drop("change"), rows.where(F.col("change") == CLOSED).drop("change")
 
 
 def scd2_apply(target: DataFrame, staging: DataFrame, keys: Sequence[str], load_date, id_column: str) -> DataFrame:
-    """The whole table after one load: untouched history plus the load's rows (one join)."""
-    rows = scd2_merge_rows(target, staging, keys, load_date, id_column).drop("change")
-    history = target.where(F.col(END) != _open_end()).select(*rows.columns)
-    return history.unionByName(rows)
+    """The whole table after one load: history and the load's rows from one pass over ``target``."""
+    return scd2_merge_rows(target, staging, keys, load_date, id_column).where(F.col("change") != REPLACED).drop("change")
 
 
 def scd2_bulk(snapshots: DataFrame, keys: Sequence[str], date_col: str, id_column: str) -> DataFrame:
@@ -170,15 +173,10 @@ def scd2_bulk(snapshots: DataFrame, keys: Sequence[str], date_col: str, id_colum
     previous appearance; it ends the day before the next version starts, or
     stays open.  Keys that disappear stay active (as with one-by-one loads).
     """
-    # One row per key and snapshot first (as a one-by-one load would see it); the
-    # per-key window then holds at most one row per snapshot, so its size is
-    # bounded by the number of loads, never by the data volume.
+    # One row per key and snapshot (more fail, as one by one), so the per-key window
+    # holds at most one row per load, whatever the data volume.
     rest = [c for c in snapshots.columns if c not in set(keys) | {date_col}]
-    snapshots = (
-        snapshots.groupBy(*keys, date_col)
-        .agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in rest]), F.col(HASH)).alias("__r"))
-        .select(*keys, date_col, *[F.col(f"__r.`{c}`").alias(c) for c in rest])
-    )
+    snapshots = unique_rows(snapshots, [*keys, date_col]).select(*keys, date_col, *rest)
     w = Window.partitionBy(*keys).orderBy(F.col(date_col))
     marked = snapshots.withColumn("__prev", F.lag(HASH).over(w))
     starts = marked.where(F.col("__prev").isNull() | (F.col("__prev") != F.col(HASH))).drop("__prev")
@@ -197,20 +195,18 @@ def duplicate_active_keys(dim: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 class Scd2Table:
-    """Versioned SCD2 storage on a shared file system.
+    """SCD2 storage as a log of loads on a shared file system.
 
     Layout under ``root``::
 
-        rows/kind=active/version=N/    active rows after load N
-        rows/kind=history/version=N/   rows closed by load N
-        _commits/version=N/            one marker row, written last
+        attempts/load=<id>/change=opened/   versions opened by a load
+        attempts/load=<id>/change=closed/   versions it closed, with their end date (NULL: replaced the same day)
+        _commits/<version>.json             marker of a load: folder, load date, schema
 
-    One load is one write job (the merge join runs once) plus the marker.  A
-    reader takes the highest committed version ``N`` and reads
-    ``active[version = N] ∪ history[version <= N]`` (partition pruning).  An
-    interrupted load leaves an uncommitted version that readers ignore and the
-    next attempt overwrites.  One writer per table at a time (loads of one
-    dimension are sequential by nature); any number of concurrent readers.
+    One load joins the active rows with the staging rows and writes only what
+    changed.  A reader takes the newest marker every time it reads: the opened
+    rows of all loads, each ended by the later closing of its id.  ``vacuum``
+    folds the log into one folder.  One writer per table at a time.
     """
 
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], id_column: str):
@@ -220,93 +216,87 @@ class Scd2Table:
         self.root = root.rstrip("/")
         self.keys = list(keys)
         self.id_column = id_column
-        self._version: int | None = None
-        self._schema: T.StructType | None = None
+        self.log = CommitLog(spark, root)
 
     def committed_version(self) -> int:
-        if self._version is not None:
-            return self._version
-        try:
-            commits = self.spark.read.parquet(f"{self.root}/_commits")
-        except Exception:  # noqa: BLE001 - no commit yet
-            return 0
-        last = commits.orderBy(F.col("version").desc()).select("version", "row_schema").first()
-        if last is None:
-            return 0
-        self._version, self._schema = int(last["version"]), T.StructType.fromJson(json.loads(last["row_schema"]))
-        return self._version
-
-    def _rows(self) -> DataFrame:
-        # The schema comes from the commit marker: a load may have written no data file at all.
-        self.committed_version()
-        return self.spark.read.schema(self._schema).parquet(f"{self.root}/rows")
+        return max(self.log.versions(), default=0)
 
-    def read(self) -> DataFrame:
-        v = self.committed_version()
-        if v == 0:
+    def _log_rows(self) -> DataFrame:
+        """Rows of all committed loads with their ``change`` and load ``version``."""
+        versions = self.log.versions()
+        if not versions:
             raise ValueError(f"no committed load under {self.root}")
-        rows = self._rows()
-        keep = ((F.col("kind") == "active") & (F.col("version") == v)) | (
-            (F.col("kind") == "history") & (F.col("version") <= v)
+        markers: dict[int, dict] = {}
+        for v in reversed(versions):  # back to the newest fold
+            markers[v] = self.log.read(v)
+            if markers[v]["fold"]:
+                break
+        # The schema comes from the marker: a load may have written no data file at all.
+        schema = T.StructType.fromJson(markers[versions[-1]]["schema"])
+        schema = schema.add("load", T.StringType()).add("change", T.StringType())
+        folders = [self.log.path(m["folder"]) for m in markers.values()]
+        rows = self.spark.read.schema(schema).option("basePath", f"{self.root}/{ATTEMPTS}").parquet(*folders)
+        number = F.create_map(*[F.lit(x) for v, m in markers.items() for x in (m["folder"].removeprefix("load="), v)])
+        return rows.withColumn("__version", number[F.col("load")]).drop("load")
+
+    def read(self) -> DataFrame:
+        rows = self._log_rows()
+        ends = rows.where(F.col("change") == CLOSED).select(
+            F.col(self.id_column).alias("__id"), F.col(END).alias("__end"), F.col("__version").alias("__at")
         )
-        return rows.where(keep).drop("kind", "version")
+        opened = rows.where(F.col("change") == OPENED)
+        later = (F.col(self.id_column) == F.col("__id")) & (F.col("__at") > F.col("__version"))
+        known = opened.join(ends, later, "left").where(F.col("__at").isNull() | F.col("__end").isNotNull())
+        return known.withColumn(END, F.coalesce("__end", END)).drop("change", "__id", "__end", "__at", "__version")
 
     def read_active(self) -> DataFrame:
-        v = self.committed_version()
-        if v == 0:
-            raise ValueError(f"no committed load under {self.root}")
-        rows = self._rows()
-        return rows.where((F.col("kind") == "active") & (F.col("version") == v)).drop("kind", "version")
+        return active_rows(self.read())
 
     def load(self, staging: DataFrame, load_date) -> int:
-        """Apply one staging load; returns the committed version number."""
+        """Apply one staging load; returns the committed version number.
+
+        Loads come in date order: an earlier date than the last one is an
+        error (rebuild with ``scd2_bulk`` instead); the same date replaces the
+        versions opened that day.
+        """
+        day = str(load_date)
         current = self.committed_version()
         out_cols = [self.id_column, *staging.columns, START, END]
         if current == 0:
             schema = T.StructType(
-                [T.StructField(self.id_column, T.LongType())]
+                [T.StructField(self.id_column, T.StringType())]
                 + list(staging.schema.fields)
                 + [T.StructField(START, T.DateType()), T.StructField(END, T.DateType())]
             )
             target = self.spark.createDataFrame([], schema)
         else:
+            last = self.log.read(current)["load_date"]
+            if day < last:
+                raise ValueError(f"load date {day} is before the last committed load {last} of {self.root}")
             target = self.read_active().select(*out_cols)
-        changes = scd2_merge_rows(target, staging, self.keys, load_date, self.id_column)
-        nxt = current + 1
-        rows = changes.withColumn(
-            "kind", F.when(F.col("change") == CLOSED, F.lit("history")).otherwise(F.lit("active"))
-        ).drop("change")
-        rows = rows.withColumn("version", F.lit(nxt))
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("kind", "version").parquet(
-            f"{self.root}/rows"
-        )
-        marker = self.spark.range(1).select(
-            F.lit(nxt).alias("version"), _date(load_date).alias("load_date"), F.lit(rows.schema.json()).alias("row_schema")
-        )
-        marker.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("version").parquet(
-            f"{self.root}/_commits"
-        )
-        self._version, self._schema = nxt, rows.schema
-        return nxt
+        changes = scd2_merge_rows(target, staging, self.keys, load_date, self.id_column).where(F.col("change") != KEPT)
+        return self._write(changes.replace(REPLACED, CLOSED, subset=["change"]), current + 1, day)
+
+    def _write(self, rows: DataFrame, version: int, day: str, fold: bool = False) -> int:
+        attempt = self.log.attempt()
+        rows.write.partitionBy("change").parquet(self.log.path(attempt))
+        marker = {"folder": attempt, "load_date": day, "fold": fold, "schema": rows.drop("change").schema.jsonValue()}
+        self.log.commit(version, marker)
+        return version
 
-    def vacuum(self, keep: int = 2) -> list[int]:
-        """Delete the active sets of all but the last ``keep`` committed versions.
+    def vacuum(self, keep: int = 1) -> list[int]:
+        """Fold the log into one folder if it holds more than ``keep`` loads; returns the versions folded away.
 
-        History partitions and commit markers stay (the table's content is
-        unchanged); only superseded copies of the active set go, so storage
-        grows with the changes, not with the number of loads.  Readers pinned to
-        a removed version must re-read.  Returns the removed version numbers.
+        The table's content stays as it is.  Readers that have begun on the old
+        folders must read again.
         """
         if keep < 1:
-            raise ValueError("keep at least one version")
-        current = self.committed_version()
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        removed = []
-        for v in range(1, current - keep + 1):
-            path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/rows/kind=active/version={v}")
-            fs = path.getFileSystem(conf)
-            if fs.exists(path) and fs.delete(path, True):
-                removed.append(v)
-        return removed
-
+            raise ValueError("keep at least one load")
+        versions = self.log.versions()
+        if len(versions) <= keep:
+            return []
+        last = self.log.read(versions[-1])["load_date"]
+        self._write(self.read().withColumn("change", F.lit(OPENED)), versions[-1] + 1, last, fold=True)
+        for v in versions:
+            self.log.forget(v)
+        return versions

@@ -63,6 +63,8 @@ CSV_EVENT_COLUMNS = [
 CSV_EVENT_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in CSV_EVENT_COLUMNS])
 # Fixed value: positions kept from the CSV export, in order.
 CSV_KEPT_POSITIONS = [0, 2, 3, 4, 5, 6, 7, 8, 12, 13, 16]
+# The event time as well, which orders the writes of the query-keyed tables.
+CSV_TIMED_POSITIONS = [*CSV_KEPT_POSITIONS, 15]
 
 # Listing attributes as crawled (numbers arrive as text).
 LISTING_ATTRIBUTES = [
@@ -73,6 +75,9 @@ LISTING_RAW_SCHEMA = T.StructType(
     [T.StructField(c, T.StringType()) for c in LISTING_ATTRIBUTES]
     + [
         T.StructField("FullLocation", T.StringType()),
+        T.StructField("AreaGross", T.StringType()),
+        T.StructField("Photo", T.StringType()),
+        T.StructField("URLSEOv2", T.StringType()),
         T.StructField("EnergyCertificate", T.StringType()),
         T.StructField("ParkingSpaces", T.LongType()),
         T.StructField("Ammenities", T.ArrayType(T.StringType())),
@@ -138,23 +143,23 @@ TABLES: dict[str, dict[str, str]] = {
     },
     # listing model: presentation
     "dim_broker": {
-        "schema": "broker_id bigint, broker string, hash string, record_start_date date, record_end_date date",
+        "schema": "broker_id string, broker string, hash string, record_start_date date, record_end_date date",
         "namespace": "presentation",
     },
     "dim_geography": {
-        "schema": "geography_id bigint, country string, county string, parish string, hash string, "
+        "schema": "geography_id string, country string, county string, parish string, hash string, "
         "record_start_date date, record_end_date date",
         "namespace": "presentation",
     },
     "dim_asset": {
-        "schema": "asset_id bigint, contract_number string, country string, county string, parish string, "
+        "schema": "asset_id string, contract_number string, country string, county string, parish string, "
         "title string, description string, price double, property_type string, bathrooms double, "
         "bedrooms double, area_net double, latitude double, longitude double, hash string, "
         "record_start_date date, record_end_date date",
         "namespace": "presentation",
     },
     "fact_stock": {
-        "schema": "id bigint, broker_id bigint, asset_id bigint, geography_id bigint, price double, "
+        "schema": "id string, broker_id string, asset_id string, geography_id string, price double, "
         "quantity int, date_id int",
         "namespace": "presentation",
     },

@@ -1,0 +1,91 @@
+"""Commit log of a versioned table folder, on any Hadoop file system.
+
+Data is written to an attempt folder of its own (a fresh name per attempt), and
+a marker file ``_commits/<version>.json`` that names the folder makes it
+visible.  A crashed attempt leaves a folder that no marker names, so a retry
+never shows its rows.  A missing commit folder means "no commits"; any other
+failure to list or read markers is raised.  One writer per table at a time;
+any number of readers, each of which sees the newest marker when it reads.
+"""
+
+from __future__ import annotations
+
+import json
+import uuid
+
+from pyspark.sql import SparkSession
+
+ATTEMPTS = "attempts"
+
+
+def file_system(spark: SparkSession, path: str):
+    """``(file system, path)`` of the JVM for a folder or file."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = file_system(spark, path)
+    return bool(fs.exists(p))
+
+
+def delete(spark: SparkSession, path: str) -> bool:
+    fs, p = file_system(spark, path)
+    return bool(fs.exists(p) and fs.delete(p, True))
+
+
+class CommitLog:
+    def __init__(self, spark: SparkSession, root: str):
+        if not root:
+            raise ValueError("a versioned table needs a root path")
+        self.spark = spark
+        self.root = root.rstrip("/")
+
+    def versions(self) -> list[int]:
+        """Committed versions in order, read from the markers' names."""
+        fs, p = file_system(self.spark, f"{self.root}/_commits")
+        if not fs.exists(p):
+            return []
+        names = [s.getPath().getName() for s in fs.listStatus(p)]
+        return sorted(int(n[: -len(".json")]) for n in names if n.endswith(".json"))
+
+    def read(self, version: int) -> dict:
+        fs, p = file_system(self.spark, self._marker(version))
+        stream = fs.open(p)
+        try:
+            text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return json.loads(text)
+
+    def attempt(self) -> str:
+        """Name of a new attempt folder under ``attempts``."""
+        return f"load=a{uuid.uuid4().hex}"
+
+    def path(self, attempt: str) -> str:
+        return f"{self.root}/{ATTEMPTS}/{attempt}"
+
+    def commit(self, version: int, payload: dict, replace: bool = False) -> None:
+        """Write the marker of ``version``; an existing one is an error unless ``replace``."""
+        fs, marker = file_system(self.spark, self._marker(version))
+        if fs.exists(marker) and not replace:
+            raise ValueError(f"version {version} of {self.root} is already committed: another writer is at work")
+        tmp = file_system(self.spark, f"{self.root}/_commits/.{version}-{uuid.uuid4().hex}")[1]
+        out = fs.create(tmp, True)
+        try:
+            out.write(bytearray(json.dumps(payload).encode("utf-8")))
+        finally:
+            out.close()
+        if fs.exists(marker):
+            fs.delete(marker, False)
+        if not fs.rename(tmp, marker):
+            raise OSError(f"cannot commit version {version} of {self.root}")
+
+    def forget(self, version: int) -> None:
+        """Drop a version: its marker first, so that no reader sees a marker without rows."""
+        payload = self.read(version)
+        delete(self.spark, self._marker(version))
+        delete(self.spark, self.path(payload["folder"]))
+
+    def _marker(self, version: int) -> str:
+        return f"{self.root}/_commits/{version:012d}.json"

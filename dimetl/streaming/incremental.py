@@ -3,24 +3,28 @@
 ``ingest_available_now``: file-by-file ingest as a Structured Streaming query
 with ``trigger(availableNow=True)``.  The checkpoint records which files were
 committed, so a rerun ingests only new files; each micro-batch is written to
-its own ``batch_id`` partition with overwrite, so a replayed batch (after a
-failure between write and commit) replaces its own output instead of
-duplicating it.
-
-``backfill_slice``: recompute and rewrite one time slice of a partitioned
-table; dynamic partition overwrite leaves every other slice untouched.
+its own ``(source, batch_id)`` partition with overwrite, so a replayed batch
+(after a failure between write and commit) replaces its own output instead of
+duplicating it, and sources that share a target never meet.  A target that
+holds rows of a source is refused if that source's checkpoint is gone.
+
+``backfill_slice``: recompute and rewrite time slices of a partitioned table;
+dynamic partition overwrite leaves every other slice untouched, and a named
+slice without rows is emptied.
 """
 
 from __future__ import annotations
 
-import json
-from collections.abc import Callable, Sequence
+import hashlib
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dimetl.operators.upsert import merge_first_last
+from dimetl.sinks.commits import CommitLog, delete, exists
+from dimetl.sinks.writers import write_partitioned
 
 
 def ingest_available_now(
@@ -40,14 +44,17 @@ def ingest_available_now(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = reader.load(source_dir)
+    source = "s" + hashlib.md5(source_dir.rstrip("/").encode("utf-8")).hexdigest()[:16]
+    if exists(spark, f"{target.rstrip('/')}/source={source}") and not exists(spark, checkpoint):
+        raise ValueError(f"{target} holds rows of {source_dir}, but its checkpoint {checkpoint} is not there")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         out = transform(batch) if transform else batch
         (
-            out.withColumn("batch_id", F.lit(batch_id).cast("long"))
+            out.withColumns({"source": F.lit(source), "batch_id": F.lit(batch_id).cast("long")})
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
+            .partitionBy("source", "batch_id")
             .parquet(target)
         )
 
@@ -65,84 +72,67 @@ def backfill_slice(
     slice_rows: DataFrame,
     path: str,
     partition_by: Sequence[str],
+    slices: Sequence[Mapping[str, object]] = (),
 ) -> None:
     """Replace the partitions present in ``slice_rows``; all others stay as they are.
 
+    ``slices`` names the partitions that were recomputed (a value for each
+    partition column): those without rows in ``slice_rows`` are emptied.
     ``table`` is only used to validate the schema of the slice.
     """
     if list(slice_rows.columns) != list(table.columns):
         raise ValueError("slice columns differ from the table's")
-    (
-        slice_rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
+    if any(set(s) != set(partition_by) for s in slices):
+        raise ValueError("a slice needs a value for each partition column")
+    spark = slice_rows.sparkSession
+    write_partitioned(slice_rows, path, partition_by, replace="slices")
+    for s in slices:
+        here = None
+        for c in partition_by:
+            term = F.col(f"`{c}`") == F.lit(s[c])
+            here = term if here is None else here & term
+        if slice_rows.where(here).isEmpty():
+            delete(spark, "/".join([path.rstrip("/"), *(f"{c}={s[c]}" for c in partition_by)]))
 
 
 class VersionedTable:
-    """A table rewritten as numbered versions, each made visible by a commit marker written last.
+    """A table rewritten as numbered versions, each visible by a commit marker (``CommitLog``).
 
-    Layout: ``rows/version=N/`` and ``_commits/version=N/``.  Readers take the
-    highest committed version; a write never touches the version being read.
+    Readers take the highest committed version whenever they read; a write goes
+    to a folder of its own and never touches the version being read.
     """
 
     def __init__(self, spark: SparkSession, root: str):
-        if not root:
-            raise ValueError("VersionedTable needs a root path")
         self.spark = spark
-        self.root = root.rstrip("/")
-
-    def _commit(self, at_most: int | None = None):
-        try:
-            commits = self.spark.read.parquet(f"{self.root}/_commits")
-        except Exception:  # noqa: BLE001 - nothing committed yet
-            return None
-        if at_most is not None:
-            commits = commits.where(F.col("version") <= at_most)
-        return commits.orderBy(F.col("version").desc()).select("version", "row_schema").first()
+        self.log = CommitLog(spark, root)
+        self.root = self.log.root
 
     def version(self, at_most: int | None = None) -> int:
         """Highest committed version (not above ``at_most`` when given); 0 if none."""
-        last = self._commit(at_most)
-        return int(last["version"]) if last else 0
+        return max((v for v in self.log.versions() if at_most is None or v <= at_most), default=0)
 
     def read(self, at_most: int | None = None) -> DataFrame | None:
-        last = self._commit(at_most)
-        if last is None:
+        version = self.version(at_most)
+        if not version:
             return None
         # The schema comes from the commit marker: a version may hold no data file.
-        schema = T.StructType.fromJson(json.loads(last["row_schema"]))
-        rows = self.spark.read.schema(schema).parquet(f"{self.root}/rows")
-        return rows.where(F.col("version") == int(last["version"])).drop("version")
+        marker = self.log.read(version)
+        return self.spark.read.schema(T.StructType.fromJson(marker["schema"])).parquet(self.log.path(marker["folder"]))
 
     def vacuum(self, keep: int = 2) -> list[int]:
         """Delete all but the last ``keep`` committed versions (rows and markers)."""
         if keep < 1:
             raise ValueError("keep at least one version")
-        try:
-            versions = sorted(r[0] for r in self.spark.read.parquet(f"{self.root}/_commits").select("version").collect())
-        except Exception:  # noqa: BLE001 - nothing committed yet
-            return []
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        removed = []
-        for v in versions[:-keep]:
-            for sub in ("_commits", "rows"):  # marker first: a reader never sees a marker without rows
-                path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{sub}/version={v}")
-                fs = path.getFileSystem(conf)
-                if fs.exists(path):
-                    fs.delete(path, True)
-            removed.append(v)
+        removed = self.log.versions()[:-keep]
+        for v in removed:
+            self.log.forget(v)
         return removed
 
     def write(self, df: DataFrame, version: int) -> None:
-        rows = df.withColumn("version", F.lit(version))
-        marker = self.spark.range(1).select(F.lit(rows.schema.json()).alias("row_schema"))
-        for sub, frame in (("rows", rows), ("_commits", marker.withColumn("version", F.lit(version)))):
-            frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("version").parquet(
-                f"{self.root}/{sub}"
-            )
+        """Write and commit ``version``; a replayed version replaces its marker."""
+        attempt = self.log.attempt()
+        df.write.parquet(self.log.path(attempt))
+        self.log.commit(version, {"folder": attempt, "schema": df.schema.jsonValue()}, replace=True)
 
 
 def stream_upsert_available_now(
@@ -166,12 +156,16 @@ def stream_upsert_available_now(
     ``merge_first_last`` and writes version ``batch_id + 1``.  The merge is
     commutative and idempotent, so file arrival order, batching and replays
     after a failure do not change the result.  ``keep_versions`` bounds the
-    number of stored state versions (keep at least 2 so a replayed batch still
+    number of stored state versions (at least 2, so that a replayed batch still
     finds the state it started from).
     """
     if not source_dir or not root or not checkpoint or not key:
         raise ValueError("stream_upsert_available_now needs source_dir, root, checkpoint and key")
+    if keep_versions is not None and keep_versions < 2:
+        raise ValueError("keep at least two versions: a replayed batch starts from the one before")
     table = VersionedTable(spark, root)
+    if table.version() and not exists(spark, checkpoint):
+        raise ValueError(f"{root} holds a table, but its checkpoint {checkpoint} is not there")
     reader = spark.readStream.schema(schema).format(file_format)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 
 def _parts(*exprs: str) -> str:
-    return ", ".join(f"coalesce(CAST({e} AS VARCHAR), chr(0))" for e in exprs)
+    return ", ".join(f"coalesce(replace(replace(CAST({e} AS VARCHAR), '\\', '\\\\'), '|', '\\|'), chr(0))" for e in exprs)
 
 
 def sql_md5(*exprs: str) -> str:
@@ -16,7 +16,7 @@ def sql_sha256(*exprs: str) -> str:
 
 
 def sql_hash_key(*exprs: str) -> str:
-    return f"CAST(('0x' || substr({sql_md5(*exprs)}, 1, 15)) AS BIGINT)"
+    return sql_md5(*exprs)
 
 
 def sql_ts_text(e: str) -> str:

@@ -75,10 +75,12 @@ def test_row_hash_tells_null_positions(spark):
     assert h[0] != h[1]
 
 
-def test_hash_key_is_deterministic_and_positive(spark):
+def test_hash_key_is_deterministic_and_wide(spark):
     df = spark.createDataFrame([("k1", dt.date(2024, 1, 1))] * 2, "k string, d date")
     ids = {r["i"] for r in df.select(K.hash_key("k", "d").alias("i")).collect()}
-    assert len(ids) == 1 and next(iter(ids)) > 0
+    assert len(ids) == 1 and len(next(iter(ids))) == 32
+    pairs = spark.createDataFrame([("a||b", "c"), ("a", "b||c"), ("a|", "|b|c"), ("a\\", "b")], "x string, y string")
+    assert pairs.select(K.hash_key("x", "y").alias("i")).distinct().count() == 4
 
 
 def test_weekday_conventions(spark):

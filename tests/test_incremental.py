@@ -3,6 +3,8 @@ import json
 import os
 import random
 
+import pytest
+
 from dimetl.operators.upsert import merge_first_last, upsert_last_wins
 from dimetl.streaming.incremental import stream_upsert_available_now
 from dimetl.schemas import LOG_SCHEMA
@@ -63,8 +65,12 @@ def test_stream_upsert_restart(spark, tmp_dir):
     with open(src + "/b.json", "w") as fh:
         fh.write(_log(1, 7, "free", 1000) + "\n")
     args = (LOG_SCHEMA, root, ckpt, _prepare, ["user_id"], ["first_name"], ["level"], ["start_time", "item_in_session"])
-    t = stream_upsert_available_now(spark, src, *args, max_files_per_trigger=1, keep_versions=1)
-    assert sorted(x for x in os.listdir(root + "/_commits") if x.startswith("version=")) == ["version=2"]
+    t = stream_upsert_available_now(spark, src, *args, max_files_per_trigger=1, keep_versions=2)
+    assert t.log.versions() == [1, 2]
+    with pytest.raises(ValueError):
+        stream_upsert_available_now(spark, src, *args, keep_versions=1)
+    with pytest.raises(ValueError):  # a new checkpoint would start from nothing
+        stream_upsert_available_now(spark, src, LOG_SCHEMA, root, ckpt + "2", *args[3:])
     r = t.read().collect()[0]
     assert (r["first_name"], r["level"]) == ("f1", "paid")
     v = t.version()
@@ -75,3 +81,17 @@ def test_stream_upsert_restart(spark, tmp_dir):
     stream_upsert_available_now(spark, src, *args, max_files_per_trigger=1)
     r = t.read().collect()[0]
     assert (r["first_name"], r["level"]) == ("f1", "free")
+
+
+def test_second_source_and_lost_checkpoint(spark, tmp_dir):
+    from dimetl.streaming.incremental import ingest_available_now
+
+    target = tmp_dir + "/out"
+    for name, ids in (("one", [1, 2]), ("two", [3])):
+        os.makedirs(f"{tmp_dir}/{name}")
+        with open(f"{tmp_dir}/{name}/a.json", "w") as fh:
+            fh.write("\n".join(_log(i, i, "free", 1000) for i in ids) + "\n")
+        ingest_available_now(spark, f"{tmp_dir}/{name}", LOG_SCHEMA, target, f"{tmp_dir}/ckpt-{name}")
+    assert sorted(r["userId"] for r in spark.read.parquet(target).collect()) == ["1", "2", "3"]
+    with pytest.raises(ValueError):
+        ingest_available_now(spark, f"{tmp_dir}/one", LOG_SCHEMA, target, f"{tmp_dir}/ckpt-other")

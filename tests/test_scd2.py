@@ -1,6 +1,7 @@
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from dimetl.functions.keys import row_hash
@@ -17,7 +18,7 @@ def staging(spark, rows):
 
 
 def empty_target(spark, stg):
-    return spark.createDataFrame([], "dim_id long, k string, v string, hash string, record_start_date date, record_end_date date")
+    return spark.createDataFrame([], "dim_id string, k string, v string, hash string, record_start_date date, record_end_date date")
 
 
 def replay(spark, loads):
@@ -78,9 +79,20 @@ def test_null_business_key_matches_itself(spark):
     assert t.count() == 1
 
 
-def test_duplicate_staging_rows_give_one_version(spark):
-    t = replay(spark, [(D[0], [("a", "1"), ("a", "2")])])
+def test_duplicate_staging_rows_stop_the_load(spark, tmp_dir):
+    twice = staging(spark, [("a", "1"), ("a", "2")])
+    with pytest.raises(Exception, match="duplicate business key in staging: a"):
+        replay(spark, [(D[0], [("a", "1"), ("a", "2")])]).collect()
+    store = Scd2Table(spark, tmp_dir + "/dim", ["k"], "dim_id")
+    with pytest.raises(Exception, match="duplicate business key"):
+        store.load(twice, D[0])
+    assert store.committed_version() == 0
+
+
+def test_duplicate_active_keys_are_found(spark):
+    t = replay(spark, [(D[0], [("a", "1")])])
     assert duplicate_active_keys(t, ["k"]).count() == 0
+    assert duplicate_active_keys(t.union(t), ["k"]).count() == 1
 
 
 def test_bulk_equals_replay(spark):
@@ -133,9 +145,62 @@ def test_vacuum_keeps_content(spark, tmp_dir):
     for d, rows in loads:
         store.load(staging(spark, rows), d)
     before = sorted(map(tuple, store.read().collect()))
-    assert store.vacuum(keep=1) == [1, 2]
-    assert not os.path.exists(tmp_dir + "/dim/rows/kind=active/version=1")
+    assert store.vacuum(keep=1) == [1, 2, 3]
+    assert len(os.listdir(tmp_dir + "/dim/attempts")) == 1
     fresh = Scd2Table(spark, tmp_dir + "/dim", ["k"], "dim_id")
     assert sorted(map(tuple, fresh.read().collect())) == before
     store.load(staging(spark, [("a", "9")]), "2024-01-29")  # loads go on after a vacuum
     assert store.read().where("k = 'a' AND record_end_date = DATE'9999-12-31'").first()["v"] == "9"
+
+
+def test_crashed_load_shows_no_rows_after_the_retry(spark, tmp_dir, monkeypatch):
+    store = Scd2Table(spark, tmp_dir + "/dim", ["k"], "dim_id")
+    store.load(staging(spark, [("a", "1")]), D[0])
+    monkeypatch.setattr(store.log, "commit", lambda *a, **k: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        store.load(staging(spark, [("a", "2")]), D[1])
+    fresh = Scd2Table(spark, tmp_dir + "/dim", ["k"], "dim_id")
+    fresh.load(staging(spark, [("a", "1"), ("b", "1")]), D[1])
+    assert sorted(r["k"] for r in fresh.read().collect()) == ["a", "b"]
+
+
+def test_unreadable_marker_is_an_error(spark, tmp_dir):
+    store = Scd2Table(spark, tmp_dir + "/dim", ["k"], "dim_id")
+    store.load(staging(spark, [("a", "1")]), D[0])
+    marker = tmp_dir + "/dim/_commits/000000000001.json"
+    with open(marker, "w") as fh:
+        fh.write("{")
+    for hidden in os.listdir(tmp_dir + "/dim/_commits"):
+        if hidden.endswith(".crc"):
+            os.remove(tmp_dir + "/dim/_commits/" + hidden)
+    with pytest.raises(ValueError):
+        store.read()
+    with pytest.raises(ValueError):
+        store.load(staging(spark, [("a", "2")]), D[1])
+
+
+def test_loads_come_in_date_order(spark, tmp_dir):
+    store = Scd2Table(spark, tmp_dir + "/dim", ["k"], "dim_id")
+    store.load(staging(spark, [("a", "1")]), D[1])
+    with pytest.raises(ValueError):
+        store.load(staging(spark, [("a", "2")]), D[0])
+    store.load(staging(spark, [("a", "2")]), D[1])  # the same day replaces
+    assert [(r["v"], str(r["record_start_date"])) for r in store.read().collect()] == [("2", D[1])]
+
+
+def test_reader_and_second_writer_see_the_newest_version(spark, tmp_dir):
+    one, two = (Scd2Table(spark, tmp_dir + "/dim", ["k"], "dim_id") for _ in range(2))
+    one.load(staging(spark, [("a", "1")]), D[0])
+    assert two.read().count() == 1
+    two.load(staging(spark, [("a", "2")]), D[1])
+    assert one.committed_version() == 2 and one.read().count() == 2
+    one.load(staging(spark, [("a", "3")]), D[2])
+    assert two.read_active().first()["v"] == "3" and two.read().count() == 3
+
+
+def test_unchanged_rows_are_not_written_again(spark, tmp_dir):
+    store = Scd2Table(spark, tmp_dir + "/dim", ["k"], "dim_id")
+    store.load(staging(spark, [(f"k{n}", "1") for n in range(50)]), D[0])
+    store.load(staging(spark, [(f"k{n}", "1" if n else "2") for n in range(50)]), D[1])
+    last = store.log.path(store.log.read(2)["folder"])
+    assert spark.read.parquet(last).count() == 2

@@ -12,7 +12,7 @@ from dimetl.schemas import OPEN_END_DATE
 
 OPEN = dt.date.fromisoformat(OPEN_END_DATE)
 DAYS = ["2024-01-01", "2024-01-08", "2024-01-15", "2024-01-22"]
-TARGET = "dim_id long, k string, v string, hash string, record_start_date date, record_end_date date"
+TARGET = "dim_id string, k string, v string, hash string, record_start_date date, record_end_date date"
 
 loads_strategy = st.lists(
     st.dictionaries(st.sampled_from(["a", "b", "c", "d"]), st.sampled_from(["1", "2", "3"]), max_size=4),
