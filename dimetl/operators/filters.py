@@ -60,9 +60,17 @@ def preview(df: DataFrame, order_cols: Sequence[str], n: int = 5) -> DataFrame:
     return df.orderBy(*order_cols).limit(n)
 
 
-def clustered(df: DataFrame, partition_cols: Sequence[str], clustering_cols: Sequence[str], num_partitions: int | None = None) -> DataFrame:
-    """Query-keyed layout: hash-distributed by partition key, sorted by clustering key."""
+def clustered(
+    df: DataFrame, partition_cols: Sequence[str], clustering_cols: Sequence[str], num_partitions: int | None = None, spread: int = 1
+) -> DataFrame:
+    """Query-keyed layout: hash-distributed by partition key, sorted by clustering key.
+
+    With ``spread`` over 1 each partition key is dealt over up to that many
+    partitions by a hash of its clustering key (for hot keys).
+    """
     parts = [F.col(c) for c in partition_cols]
+    if spread > 1:
+        parts.append(F.pmod(F.xxhash64(*clustering_cols), F.lit(spread)))
     out = df.repartition(num_partitions, *parts) if num_partitions else df.repartition(*parts)
     return out.sortWithinPartitions(*partition_cols, *clustering_cols)
 

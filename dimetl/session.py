@@ -63,8 +63,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of this session.
 
     Read from the running context first, then from ``spark.checkpoint.dir``;
-    only when neither is set (local mode, tests) a fresh local folder is
-    created and registered.
+    only in local mode, when neither is set, a fresh local folder is created
+    and registered; on a cluster that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -77,6 +77,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset key
             configured = None
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="dimetl-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from dimetl.schemas import TABLES
+from dimetl.sinks.commits import delete
 
 
 def create_schema(spark: SparkSession, name: str, root: str) -> None:
@@ -39,8 +40,13 @@ def drop_tables(spark: SparkSession, names: Sequence[str]) -> None:
 
 
 def recreate_tables(spark: SparkSession, names: Sequence[str], root: str) -> list[str]:
-    """Idempotent drop + create (staging tables are recreated for every run)."""
+    """Idempotent drop + create of *empty* tables (staging tables are recreated for every run).
+
+    The tables have locations, whose files a drop leaves behind: they go too.
+    """
     drop_tables(spark, names)
+    for name in names:
+        delete(spark, f"{root.rstrip('/')}/{TABLES[name]['namespace']}.db/{name}")
     return create_tables(spark, names, root)
 
 

@@ -1,12 +1,11 @@
 """Parquet / CSV / JSON sinks and table loads.
 
-Every load validates its arguments before any work (``ValueError``).
-Partitioned writes use dynamic partition overwrite: a backfill replaces only
-the partitions it produces.  Partition columns should be low-cardinality
-(year, month); a per-entity partition column (e.g. an artist id) creates one
-tiny file per entity: ``write_partitioned(..., max_partition_values=n)``
-refuses such a layout before writing (the check stops after ``n + 1``
-distinct values).
+Every load validates its arguments before any work (``ValueError``).  A
+partitioned write replaces the whole table (full builds) or only the
+partitions it produces (``replace="slices"``, for backfills and weekly loads).
+Rows are rebalanced by the partition columns first: a partition value gets few
+files, a hot one is split over several tasks.  Partition columns should be
+low-cardinality (year, month).
 """
 
 from __future__ import annotations
@@ -14,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -34,28 +33,18 @@ def write_partitioned(
     df: DataFrame,
     path: str,
     partition_by: Sequence[str],
-    mode: str = "overwrite",
-    spread_by: Sequence[str] = (),
-    max_partition_values: int | None = None,
+    replace: str = "all",
 ) -> None:
-    """Partitioned Parquet write, dynamic overwrite.
-
-    ``spread_by`` adds columns to the pre-write shuffle so one hot partition
-    value is written by several tasks instead of one.
-    """
+    """Partitioned Parquet write; ``replace`` is ``"all"`` (the table) or ``"slices"`` (the partitions present)."""
     _check(df, path)
     if not partition_by:
         raise ValueError("no partition columns")
-    if max_partition_values is not None:
-        n = df.select(*partition_by).distinct().limit(max_partition_values + 1).count()
-        if n > max_partition_values:
-            raise ValueError(f"more than {max_partition_values} partition values for {list(partition_by)}")
-    out = df
-    if spread_by:
-        out = df.repartition(*[F.col(c) for c in (*partition_by, *spread_by)])
+    if replace not in ("all", "slices"):
+        raise ValueError(f"replace is 'all' or 'slices', not {replace!r}")
     (
-        out.write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
+        df.hint("rebalance", *[F.col(f"`{c}`") for c in partition_by])
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static" if replace == "all" else "dynamic")
         .partitionBy(*partition_by)
         .parquet(path)
     )
@@ -101,19 +90,20 @@ def insert_subset(df: DataFrame, table: str, fields: Sequence[str] | None = None
     df.select(*cols).write.insertInto(table)
 
 
-def run_writes(writes: Mapping[str, Callable[[], None]], max_parallel: int = 4) -> None:
-    """Run independent sink writes as concurrent Spark jobs (one driver thread each).
+def run_writes(spark: SparkSession, writes: Mapping[str, Callable[[], object]], max_parallel: int = 4) -> dict[str, object]:
+    """Run independent writes as concurrent Spark jobs (one driver thread each); results by name.
 
-    The threads carry the caller's job group and local properties; an error in
-    any write is raised after all writes have finished.
+    The threads carry the caller's job group, tags and local properties; an
+    error in any write is raised after all writes have finished.
     """
     from pyspark.util import inheritable_thread_target
 
     if not writes:
-        return
+        return {}
     with ThreadPoolExecutor(max_workers=max(1, min(max_parallel, len(writes)))) as pool:
-        futures = [pool.submit(inheritable_thread_target(fn)) for fn in writes.values()]
-        errors = [f.exception() for f in futures]
+        futures = {name: pool.submit(inheritable_thread_target(spark)(fn)) for name, fn in writes.items()}
+        errors = [f.exception() for f in futures.values()]
     for err in errors:
         if err is not None:
             raise err
+    return {name: f.result() for name, f in futures.items()}

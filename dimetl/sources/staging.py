@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dimetl.functions.time import iso_week, iso_year
+from dimetl.sinks.writers import write_partitioned
 from dimetl.sources.files import scan_json
 
-SNAPSHOT_COLUMNS = ("snap_year", "snap_month", "snap_week")
+#: A week is one slice: ISO year and ISO week, whatever months it touches.
+SNAPSHOT_COLUMNS = ("snap_year", "snap_week")
 
 
 def render_path(template: str, context: Mapping[str, object]) -> str:
@@ -28,14 +30,15 @@ def render_path(template: str, context: Mapping[str, object]) -> str:
 
 
 def run_context(execution_date: _dt.date) -> dict[str, object]:
-    """Template fields for a run: year, month, ISO week (with its ISO year), day, ds."""
-    y, w, _ = execution_date.isocalendar()
+    """Template fields for a run: calendar year, month, day and ds; ``iso_year`` and ``week`` of its ISO week."""
+    iso_year_, week, _ = execution_date.isocalendar()
     return {
-        "year": y,
+        "year": execution_date.year,
         "month": execution_date.month,
-        "week": w,
         "day": execution_date.day,
         "ds": execution_date.isoformat(),
+        "iso_year": iso_year_,
+        "week": week,
     }
 
 
@@ -57,31 +60,22 @@ def stage_parquet(spark: SparkSession, source: str, target: str) -> DataFrame:
 
 
 def snapshot_columns(date_col: str | Column) -> list[Column]:
-    """Snapshot partition keys of a date: ISO year, calendar month, ISO week."""
+    """Snapshot partition keys of a date: ISO year and ISO week."""
     d = F.col(date_col) if isinstance(date_col, str) else date_col
-    return [iso_year(d).alias("snap_year"), F.month(d).alias("snap_month"), iso_week(d).alias("snap_week")]
+    return [iso_year(d).alias("snap_year"), iso_week(d).alias("snap_week")]
 
 
 def snapshot_path(root: str, execution_date: _dt.date) -> str:
     ctx = run_context(execution_date)
-    return f"{root.rstrip('/')}/snap_year={ctx['year']}/snap_month={ctx['month']}/snap_week={ctx['week']}"
+    return f"{root.rstrip('/')}/snap_year={ctx['iso_year']}/snap_week={ctx['week']}"
 
 
 def read_snapshot(spark: SparkSession, root: str, execution_date: _dt.date) -> DataFrame:
-    """One week's slice of a snapshot-partitioned table (partition pruning)."""
+    """The slice of the date's week of a snapshot-partitioned table (partition pruning)."""
     ctx = run_context(execution_date)
-    df = spark.read.parquet(root)
-    return df.where(
-        (F.col("snap_year") == ctx["year"]) & (F.col("snap_month") == ctx["month"]) & (F.col("snap_week") == ctx["week"])
-    )
+    return spark.read.parquet(root).where((F.col("snap_year") == ctx["iso_year"]) & (F.col("snap_week") == ctx["week"]))
 
 
 def write_snapshots(df: DataFrame, date_col: str, root: str, partition_cols: Sequence[str] = SNAPSHOT_COLUMNS) -> None:
-    """Write with snapshot partition columns; dynamic overwrite touches only the slices present."""
-    (
-        df.select("*", *snapshot_columns(date_col))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_cols)
-        .parquet(root)
-    )
+    """Write with snapshot partition columns; only the slices present are replaced."""
+    write_partitioned(df.select("*", *snapshot_columns(date_col)), root, partition_cols, replace="slices")

@@ -16,7 +16,7 @@ from dimetl.operators import quality as Q
 from dimetl.operators.filters import filter_not_blank, lookup_session_item, lookup_song_users, lookup_user_session
 from dimetl.plans import event_tables as ET
 from dimetl.plans import songplays as SP
-from dimetl.schemas import LISTING_ATTRIBUTES, LOG_SCHEMA, SONG_SCHEMA
+from dimetl.schemas import CSV_TIMED_POSITIONS, LISTING_ATTRIBUTES, LOG_SCHEMA, SONG_SCHEMA
 from dimetl.session import scratch_path
 from dimetl.sinks import catalog as C
 from dimetl.sinks import writers as W
@@ -155,24 +155,28 @@ def q_stage_parquet(spark, d):
     return ST.stage_parquet(spark, src, target)
 
 
+SLICE_DAY = _dt.date(1997, 12, 30)
+
+
 @register(
     "snapshot_slice",
     "SELECT o_orderkey, o_custkey, o_orderdate, CAST(isoyear(o_orderdate) AS INTEGER) AS snap_year, "
-    "CAST(month(o_orderdate) AS INTEGER) AS snap_month, CAST(week(o_orderdate) AS INTEGER) AS snap_week FROM orders",
+    "CAST(week(o_orderdate) AS INTEGER) AS snap_week FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1997-12-29' AND DATE '1998-01-04'",
 )
 def q_snapshot_slice(spark, d):
+    """One week's slice of all orders; the week lies in two months and two years."""
     root = scratch_path(spark, "snapshots")
     ST.write_snapshots(table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate"), "o_orderdate", root)
-    return spark.read.parquet(root).select("o_orderkey", "o_custkey", "o_orderdate", "snap_year", "snap_month", "snap_week")
+    return ST.read_snapshot(spark, root, SLICE_DAY).select("o_orderkey", "o_custkey", "o_orderdate", "snap_year", "snap_week")
 
 
 @register(
     "scan_json_subset",
-    with_views("a_listing0") + "SELECT " + ", ".join(LISTING_ATTRIBUTES) + " FROM a_listing0",
+    with_views("a_listing") + "SELECT " + ", ".join(LISTING_ATTRIBUTES) + " FROM a_listing",
 )
 def q_scan_json_subset(spark, d):
     root = scratch_path(spark, "listings")
-    a_listing(spark, d, 0).drop("c_custkey").write.json(root)
+    a_listing(spark, d).drop("c_custkey").write.json(root)
     return S.scan_json_subset(spark, root)
 
 
@@ -232,8 +236,11 @@ def q_ingest_counts(spark, d):
 
 @register("sink_partitioned", SQL_LOOKUP_FACT)
 def q_sink_partitioned(spark, d):
+    """A full build over an older one: partitions that only the older build had are gone."""
     path = scratch_path(spark, "songplays")
-    W.write_partitioned(SP.songplays(a_play(spark, d), _songs_lookup(spark, d), "lookup"), path, ["year", "month"])
+    facts = SP.songplays(a_play(spark, d), _songs_lookup(spark, d), "lookup")
+    W.write_partitioned(facts.withColumn("year", F.col("year") - 100), path, ["year", "month"])
+    W.write_partitioned(facts, path, ["year", "month"])
     return spark.read.parquet(path)
 
 
@@ -322,9 +329,9 @@ def q_ddl_roundtrip(spark, d):
     root = scratch_path(spark, "warehouse")
     C.recreate_tables(spark, ["users"], root)
     users = _users_src(spark, d)
-    users.write.insertInto(USERS_TABLE, overwrite=True)
+    users.write.insertInto(USERS_TABLE)
     C.recreate_tables(spark, ["users"], root)
-    users.write.insertInto(USERS_TABLE, overwrite=True)
+    users.write.insertInto(USERS_TABLE)
     return spark.read.parquet(f"{root}/presentation.db/users")
 
 
@@ -355,7 +362,7 @@ def q_stream_available_now(spark, d):
             spark, src, LOG_SCHEMA, target, ckpt,
             transform=lambda b: S.apply_json_paths(b, STAGING_EVENT_MAPPING), max_files_per_trigger=1,
         )
-    return spark.read.parquet(target).drop("batch_id")
+    return spark.read.parquet(target).drop("source", "batch_id")
 
 
 def _user_rows(batch):
@@ -405,10 +412,11 @@ BACKFILL_COLS = ["session_id", "item_in_session", "level", "start_time"]
     "backfill_slice",
     with_views("a_play")
     + "SELECT session_id, item_in_session, CASE WHEN year(start_time) = 1998 AND month(start_time) = 6 THEN upper(level) ELSE level END AS level, "
-    "start_time, CAST(year(start_time) AS INTEGER) AS year, CAST(month(start_time) AS INTEGER) AS month FROM a_play",
+    "start_time, CAST(year(start_time) AS INTEGER) AS year, CAST(month(start_time) AS INTEGER) AS month FROM a_play "
+    "WHERE NOT (year(start_time) = 1998 AND month(start_time) = 7)",
 )
 def q_backfill_slice(spark, d):
-    """Rewrite the June 1998 slice with a corrected rule; all other slices stay untouched."""
+    """Rewrite June 1998 with a corrected rule and July 1998, which has no rows any more; all other slices stay."""
     path = scratch_path(spark, "plays_by_month")
     t = a_play(spark, d).select(*BACKFILL_COLS).withColumns({"year": F.year("start_time"), "month": F.month("start_time")})
     W.write_partitioned(t, path, ["year", "month"])
@@ -420,7 +428,7 @@ def q_backfill_slice(spark, d):
         .withColumn("level", F.upper("level"))
         .select(*stored.columns)
     )
-    backfill_slice(stored, fixed, path, ["year", "month"])
+    backfill_slice(stored, fixed, path, ["year", "month"], [{"year": 1998, "month": 6}, {"year": 1998, "month": 7}])
     return spark.read.parquet(path)
 
 
@@ -430,7 +438,7 @@ register_view(
     "ev_rows",
     "ev_rows AS (SELECT TRY_CAST(sessionId AS BIGINT) AS session_id, TRY_CAST(itemInSession AS INTEGER) AS item_in_session, "
     "TRY_CAST(userId AS BIGINT) AS user_id, artist AS artist_name, song AS song_title, "
-    "TRY_CAST(length AS DECIMAL(18,5)) AS song_length, firstName AS first_name, lastName AS last_name "
+    "TRY_CAST(length AS DECIMAL(18,5)) AS song_length, firstName AS first_name, lastName AS last_name, TRY_CAST(ts AS BIGINT) AS ts "
     "FROM a_csv WHERE artist <> '')",
     ["a_csv"],
 )
@@ -439,13 +447,19 @@ register_view(
 def _sql_event_table(name: str) -> str:
     pk, ck, rest = ET.EVENT_TABLES[name]
     cols = ", ".join(pk + ck + rest)
-    order = ", ".join(f"{c} DESC" for c in rest)
-    return f"SELECT {cols} FROM " + sql_first(f"(SELECT {cols} FROM ev_rows)", ", ".join(pk + ck), order)
+    order = ", ".join(f"{c} DESC" for c in ["ts", *rest])
+    return f"SELECT {cols} FROM " + sql_first(f"(SELECT {cols}, ts FROM ev_rows)", ", ".join(pk + ck), order)
 
 
 def _event_table(spark, d, name):
-    rows = ET.event_rows(S.scan_csv_events(spark, write_csv(spark, d)))
-    return ET.event_table(rows, name)
+    return ET.event_table(ET.event_rows(S.scan_csv_events(spark, write_csv(spark, d), positions=CSV_TIMED_POSITIONS)), name)
+
+
+def _stored_event_table(spark, d, name):
+    """The table stored bucketed and sorted for its query, read from the catalog."""
+    path = scratch_path(spark, name)
+    saved = ET.save_event_table(_event_table(spark, d, name), name, path, 8, path.rsplit("/", 1)[-1].replace("-", "_"))
+    return spark.table(saved)
 
 
 @register("pk_replace_sessions", with_views("ev_rows") + _sql_event_table("music_sessions"), doubles=("song_length",))
@@ -458,46 +472,45 @@ def q_clustered_layout(spark, d):
     return ET.event_table_layout(_event_table(spark, d, "music_users"), "music_users")
 
 
-# Keys of the three lookups of the query-keyed tables (chosen to exist in the sf0.01 data).
-LOOKUP_SESSION, LOOKUP_ITEM = 338, 3
-LOOKUP_USER, LOOKUP_USER_SESSION = 780, 3
-LOOKUP_SONG = "red widget"
+# The three lookups ask the stored tables; their keys are taken from the data.
 
 
 @register(
     "lookup_session_item",
-    with_views("ev_rows")
-    + f"SELECT artist_name, song_title, song_length FROM ({_sql_event_table('music_sessions')}) "
-    f"WHERE session_id = {LOOKUP_SESSION} AND item_in_session = {LOOKUP_ITEM}",
+    with_views("ev_rows").rstrip() + f",\nt AS ({_sql_event_table('music_sessions')})\n"
+    "SELECT artist_name, song_title, song_length FROM t "
+    "WHERE (session_id, item_in_session) = (SELECT (session_id, item_in_session) FROM t ORDER BY session_id DESC, item_in_session DESC LIMIT 1)",
     doubles=("song_length",),
 )
 def q_lookup_session_item(spark, d):
-    t = _event_table(spark, d, "music_sessions")
-    return lookup_session_item(t, LOOKUP_SESSION, LOOKUP_ITEM).select("artist_name", "song_title", "song_length")
+    t = _stored_event_table(spark, d, "music_sessions")
+    key = t.agg(F.max(F.struct("session_id", "item_in_session")).alias("k")).first()["k"]
+    return lookup_session_item(t, key[0], key[1]).select("artist_name", "song_title", "song_length")
 
 
 @register(
     "lookup_user_session",
-    with_views("ev_rows")
-    + f"SELECT item_in_session, artist_name, song_title, first_name, last_name FROM ({_sql_event_table('music_users')}) "
-    f"WHERE user_id = {LOOKUP_USER} AND session_id = {LOOKUP_USER_SESSION}",
+    with_views("ev_rows").rstrip() + f",\nt AS ({_sql_event_table('music_users')})\n"
+    "SELECT item_in_session, artist_name, song_title, first_name, last_name FROM t "
+    "WHERE (user_id, session_id) = (SELECT (user_id, session_id) FROM t ORDER BY user_id DESC, session_id DESC LIMIT 1)",
 )
 def q_lookup_user_session(spark, d):
-    t = _event_table(spark, d, "music_users")
-    return lookup_user_session(t, LOOKUP_USER, LOOKUP_USER_SESSION).select(
+    t = _stored_event_table(spark, d, "music_users")
+    key = t.agg(F.max(F.struct("user_id", "session_id")).alias("k")).first()["k"]
+    return lookup_user_session(t, key[0], key[1]).select(
         "item_in_session", "artist_name", "song_title", "first_name", "last_name"
     )
 
 
 @register(
     "lookup_song_users",
-    with_views("ev_rows")
-    + f"SELECT DISTINCT song_title, user_id, first_name, last_name FROM ({_sql_event_table('music_history')}) "
-    f"WHERE song_title = '{LOOKUP_SONG}'",
+    with_views("ev_rows").rstrip() + f",\nt AS ({_sql_event_table('music_history')})\n"
+    "SELECT DISTINCT song_title, user_id, first_name, last_name FROM t WHERE song_title = (SELECT min(song_title) FROM t)",
 )
 def q_lookup_song_users(spark, d):
-    t = _event_table(spark, d, "music_history")
-    return lookup_song_users(t, LOOKUP_SONG).select("song_title", "user_id", "first_name", "last_name")
+    t = _stored_event_table(spark, d, "music_history")
+    title = t.agg(F.min("song_title").alias("s")).first()["s"]
+    return lookup_song_users(t, title).select("song_title", "user_id", "first_name", "last_name")
 
 
 # ------------------------------------------------------------ DQ suite
@@ -519,7 +532,9 @@ SUITE_SQL = (
 @register("dq_suite", SUITE_SQL)
 def q_dq_suite(spark, d):
     songs_raw = a_song(spark, d)
-    fact = SP.songplays(a_play(spark, d), _songs_lookup(spark, d), "lookup")
+    path = scratch_path(spark, "dq_fact")  # written once, checked three times
+    W.write_parquet(SP.songplays(a_play(spark, d), _songs_lookup(spark, d), "lookup"), path)
+    fact = spark.read.parquet(path)
     one = F.count(F.lit(1)).alias("v")
     return Q.dq_suite(
         Q.dq_counts({"songplays": fact}),

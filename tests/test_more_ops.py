@@ -95,4 +95,5 @@ def test_run_context_iso_week():
     import datetime as dt
 
     ctx = run_context(dt.date(2018, 12, 31))
-    assert (ctx["year"], ctx["month"], ctx["week"], ctx["day"]) == (2019, 12, 1, 31)
+    assert (ctx["year"], ctx["month"], ctx["day"]) == (2018, 12, 31)
+    assert (ctx["iso_year"], ctx["week"]) == (2019, 1)
