@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 # Fixed values -------------------------------------------------------------
 # HTML tag remover that keeps <a ...> and </a> (Java regex, lookaheads).
-TAG_PATTERN = r"<(?!\/?a(?=>|\s.*>))\/?.*?>"
+TAG_PATTERN = r"<(?!/?a(?:>|\s[^>\n\r\u0085\u2028\u2029]*>))[^>\n\r\u0085\u2028\u2029]*>"
 # Code points removed from listing text fields: left and right double
 # quotation marks, heavy black heart, variation selector-16.
 REMOVED_CODE_POINTS = "“”❤️"
@@ -81,8 +81,16 @@ def digit_sum(c: str | Column) -> Column:
 
 
 def snake_case(name: str) -> str:
-    """``PriceCurrencyFormated`` -> ``price_currency_formated`` (split on capitals)."""
-    return "_".join(tok.lower() for tok in re.sub(r"([A-Z])", r" \1", name).split())
+    """``PriceCurrencyFormated`` -> ``price_currency_formated``: every capital starts a word."""
+    words: list[str] = []
+    for char in name:
+        if char.isspace():
+            words.append("")
+        elif char.isupper() or not words:
+            words.append(char.lower())
+        else:
+            words[-1] += char
+    return "_".join(w for w in words if w)
 
 
 def rename_snake(df: DataFrame) -> DataFrame:
@@ -135,7 +143,7 @@ def fill_missing(
 def clean_strings(
     df: DataFrame,
     max_lengths: dict[str, int] | None = None,
-    default_max_length: int | None = 256,
+    default_max_length: int | None = None,
     blanks_as_null: bool = True,
     empty_as_null: bool = True,
     truncate: bool = True,
@@ -143,7 +151,8 @@ def clean_strings(
     """COPY-style cleaning of every string column.
 
     ``empty_as_null``: ``''`` -> NULL; ``blanks_as_null``: whitespace-only ->
-    NULL; ``truncate``: cut at the column's declared length (characters).
+    NULL; ``truncate``: cut at the column's declared length (characters);
+    a column without one is not cut unless ``default_max_length`` says so.
     """
     max_lengths = max_lengths or {}
     exprs = {}

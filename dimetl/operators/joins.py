@@ -97,14 +97,3 @@ def fk_orphans(fact: DataFrame, fk: str, dim: DataFrame, dim_key: str) -> DataFr
     """Fact rows whose non-NULL foreign key has no row in the dimension."""
     keys = dim.select(F.col(f"`{dim_key}`").alias("__dk"))
     return fact.where(F.col(f"`{fk}`").isNotNull()).join(keys, F.col(f"`{fk}`") == F.col("__dk"), "left_anti")
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only when the frame is proven to hold at most ``max_rows`` rows.
-
-    The check scans until ``max_rows + 1`` rows are found, so it is cheap for
-    a small side and stops early for a big one; a big side is joined by the
-    regular shuffle strategy.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df

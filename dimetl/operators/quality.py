@@ -66,6 +66,29 @@ def dq_scd2_unique(dims: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataF
     return _union(frames)
 
 
+def dq_unique_keys(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
+    """Key gate: number of keys that more than one row has (must be 0)."""
+    frames = []
+    for name, (df, keys) in tables.items():
+        n = F.count(F.lit(1))
+        twice = df.groupBy(*keys).agg(n.alias("__n")).where(F.col("__n") > 1)
+        frames.append(twice.agg(*_row("unique_keys", name, n, F.lit(0), n == F.lit(0))))
+    return _union(frames)
+
+
+def dq_null_keys(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
+    """Key gate: number of rows with a NULL in any key column (must be 0)."""
+    frames = []
+    for name, (df, keys) in tables.items():
+        missing = None
+        for k in keys:
+            term = F.col(f"`{k}`").isNull()
+            missing = term if missing is None else missing | term
+        n = F.count_if(missing)
+        frames.append(df.agg(*_row("null_keys", name, n, F.lit(0), n == F.lit(0))))
+    return _union(frames)
+
+
 def dq_fk_orphans(fact: DataFrame, fks: Mapping[str, tuple[DataFrame, str]], fact_name: str = "fact") -> DataFrame:
     """Referential integrity: fact rows whose non-NULL key has no dimension row."""
     frames = []

@@ -22,6 +22,7 @@ from dimetl.plans import listings as L
 from dimetl.plans import songplays as SP
 from dimetl.schemas import DIMENSIONS
 from dimetl.sinks import writers as W
+from dimetl.sinks.commits import exists
 from dimetl.operators.filters import filter_plays
 from dimetl.sources import files as S
 
@@ -70,6 +71,7 @@ def run_song_star(
     paths = {name: f"{out}/{name}" for name in tables}
     # Five independent sinks: submitted as concurrent jobs.
     W.run_writes(
+        spark,
         {
             "songplays": lambda: W.write_partitioned(tables["songplays"], paths["songplays"], ["year", "month"]),
             "time": lambda: W.write_partitioned(tables["time"], paths["time"], ["year", "month"]),
@@ -109,7 +111,8 @@ def run_listing_week(
 ) -> dict[str, str]:
     """One weekly load: staging, SCD2 dimensions (versioned stores), the week's stock fact rows, gates.
 
-    ``keep_versions`` vacuums superseded active sets of the dimension stores.
+    An empty crawl, a duplicate business key or a NULL one stops the week before
+    anything is loaded.  ``keep_versions`` folds longer logs of the dimension stores.
     """
     if not raw_path or not out_root or not load_date:
         raise ValueError("run_listing_week needs raw_path, out_root and load_date")
@@ -117,21 +120,35 @@ def run_listing_week(
     clean_path = f"{out}/staging/listings/load_date={load_date}"
     L.clean_listings(S.scan_json_subset(spark, raw_path, multi_line=multi_line)).write.mode("overwrite").parquet(clean_path)
     clean = spark.read.parquet(clean_path)
-    staging = L.staging_frames(clean, load_date)
+    # The four staging tables, written and gated before any presentation table is touched.
+    frames = L.staging_frames(clean, load_date)
+    stage_paths = {name: f"{out}/staging/{name}" for name in frames}
+    W.run_writes(spark, {name: (lambda name=name: W.write_parquet(frames[name], stage_paths[name])) for name in frames})
+    staging = {name: spark.read.parquet(p) for name, p in stage_paths.items()}
+    keyed = {DIMENSIONS[d].base_table: (staging[DIMENSIONS[d].base_table], DIMENSIONS[d].match_columns) for d in DIMENSIONS}
+    Q.assert_passed(Q.dq_suite(Q.dq_counts(staging), Q.dq_unique_keys(keyed), Q.dq_null_keys(keyed)))
 
     stores = L.load_dimensions(
         spark, f"{out}/presentation", list(DIMENSIONS), lambda dim, _k: staging[DIMENSIONS[dim].base_table], [load_date],
         keep_versions,
     )
+    date_path = f"{out}/presentation/dim_date"
+    if not exists(spark, date_path):
+        W.write_parquet(L.dim_date(spark), date_path)
 
     fact = L.fact_stock(staging["staging_stock"], stores["dim_broker"], stores["dim_asset"], stores["dim_geography"])
     fact_path = f"{out}/presentation/fact_stock"
-    W.write_partitioned(fact, fact_path, ["date_id"])
+    W.write_partitioned(fact, fact_path, ["date_id"], replace="slices")
 
+    written = spark.read.parquet(fact_path)
+    ids = {DIMENSIONS[d].id_column: (stores[d], DIMENSIONS[d].id_column) for d in DIMENSIONS}
     Q.assert_passed(
         Q.dq_suite(
-            Q.dq_counts({"fact_stock": spark.read.parquet(fact_path), **{d: t for d, t in stores.items()}}),
+            Q.dq_counts({"fact_stock": written, **{d: t for d, t in stores.items()}}),
             Q.dq_scd2_unique({d: (t, DIMENSIONS[d].match_columns) for d, t in stores.items()}),
+            Q.dq_unique_keys({"fact_stock": (written, ["id"])}),
+            Q.dq_null_keys({"fact_stock": (written, list(ids))}),
+            Q.dq_fk_orphans(written, {**ids, "date_id": (spark.read.parquet(date_path), "date_id")}, "fact_stock"),
         )
     )
-    return {"fact_stock": fact_path, **{d: f"{out}/presentation/{d}" for d in stores}}
+    return {"fact_stock": fact_path, "dim_date": date_path, **stage_paths, **{d: f"{out}/presentation/{d}" for d in stores}}

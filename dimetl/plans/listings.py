@@ -7,18 +7,16 @@ asset, stock) -> SCD2 loads of the three dimensions -> ``fact_stock``.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.util import inheritable_thread_target
 
 from dimetl.functions.keys import hash_key, row_hash
 from dimetl.functions.text import fill_missing, limit_length, parse_price_text, rename_snake, strip_tags
 from dimetl.functions.time import calendar_columns, date_id, date_spine
-from dimetl.operators.joins import broadcast_if_small
 from dimetl.operators.scd2 import Scd2Table
 from dimetl.schemas import DIMENSIONS
+from dimetl.sinks.writers import run_writes
 
 # Cleaning rules of the listing attributes.
 NUMERIC_ATTRIBUTES = ["AreaNet", "Bathrooms", "Bedrooms", "PriceCurrencyFormated", "Latitude", "Longitude"]
@@ -32,8 +30,12 @@ GEOGRAPHY_COLUMNS = DIMENSIONS["dim_geography"].tracked_columns
 STOCK_COLUMNS = ["broker", "contract_number", "country", "county", "parish", "price"]
 
 
-def clean_listings(raw: DataFrame) -> DataFrame:
-    """Fill, strip tags, cut long text, rename price, snake-case every column."""
+def clean_listings(raw: DataFrame, text_limit: int = TEXT_LIMIT) -> DataFrame:
+    """Fill, strip tags, cut title and description to ``text_limit``, rename price, snake-case every column.
+
+    Change hashes are taken after the cut, so an edit behind ``text_limit``
+    characters is no change.
+    """
     df = raw
     if "PriceCurrencyFormated" in df.columns:
         price = F.col("PriceCurrencyFormated").cast("string")
@@ -41,7 +43,7 @@ def clean_listings(raw: DataFrame) -> DataFrame:
     df = fill_missing(df, NUMERIC_ATTRIBUTES, TEXTUAL_ATTRIBUTES)
     df = df.withColumns({"Description": strip_tags("Description"), "Title": strip_tags("Title")})
     df = df.withColumnRenamed("PriceCurrencyFormated", "Price")
-    df = df.withColumns({"Description": limit_length("Description", TEXT_LIMIT), "Title": limit_length("Title", TEXT_LIMIT)})
+    df = df.withColumns({"Description": limit_length("Description", text_limit), "Title": limit_length("Title", text_limit)})
     return rename_snake(df)
 
 
@@ -88,7 +90,7 @@ def load_dimensions(
 
     Loads of one dimension run in date order; the dimensions are independent,
     so their jobs are submitted from one thread each and run side by side.
-    With ``keep_versions`` superseded active sets are vacuumed after the loads.
+    With ``keep_versions`` the logs are folded after the loads once they are longer.
     Returns the whole table (history + active) of every dimension.
     """
     if not root or not dims or not load_dates:
@@ -103,47 +105,28 @@ def load_dimensions(
             store.vacuum(keep_versions)
         return store.read()
 
-    # The wrapper carries the caller's job group and local properties into the worker threads.
-    target = inheritable_thread_target(run)
-    with ThreadPoolExecutor(max_workers=len(dims)) as pool:
-        return dict(zip(dims, pool.map(target, dims)))
+    return run_writes(spark, {dim: (lambda dim=dim: run(dim)) for dim in dims}, len(dims))
 
 
-def _valid_at(dim: DataFrame, day_col) -> F.Column:
-    return (dim["record_start_date"] <= day_col) & (dim["record_end_date"] >= day_col)
+def _valid_at(alias: str) -> Column:
+    """The dimension version was valid on the stock date."""
+    return (F.col(f"{alias}.record_start_date") <= F.col("f.stock_date")) & (F.col(f"{alias}.record_end_date") >= F.col("f.stock_date"))
 
 
-def fact_stock(
-    stock: DataFrame,
-    dim_broker: DataFrame,
-    dim_asset: DataFrame,
-    dim_geography: DataFrame,
-    small_dim_rows: int | None = 1_000_000,
-) -> DataFrame:
+def fact_stock(stock: DataFrame, dim_broker: DataFrame, dim_asset: DataFrame, dim_geography: DataFrame) -> DataFrame:
     """Stock rows with the surrogate ids of the dimension versions valid on ``stock_date``.
 
-    Broker and geography are small by nature (brokers, places); they are
-    broadcast only after a row-count check.  The asset dimension grows with
-    the listings and is joined by shuffle.
+    Keys meet NULL-safely, as the dimensions are keyed.  Which side is
+    broadcast, if any, is left to the planner's measured sizes.
     """
-    s = stock.alias("f")
-    b = dim_broker.select("broker_id", "broker", "record_start_date", "record_end_date")
-    g = dim_geography.select("geography_id", "country", "county", "parish", "record_start_date", "record_end_date")
-    a = dim_asset.select("asset_id", "contract_number", "record_start_date", "record_end_date")
-    if small_dim_rows:
-        b = broadcast_if_small(b, small_dim_rows)
-        g = broadcast_if_small(g, small_dim_rows)
-    day = F.col("f.stock_date")
-    out = (
-        s.join(a.alias("a"), (F.col("f.contract_number") == F.col("a.contract_number")) & _valid_at(a, day), "left")
-        .join(b.alias("b"), (F.col("f.broker") == F.col("b.broker")) & _valid_at(b, day), "left")
-        .join(
-            g.alias("g"),
-            (F.col("f.country") == F.col("g.country")) & (F.col("f.county") == F.col("g.county"))
-            & (F.col("f.parish") == F.col("g.parish")) & _valid_at(g, day),
-            "left",
-        )
-    )
+    out = stock.alias("f")
+    for alias, dim, spec in (("a", dim_asset, "dim_asset"), ("b", dim_broker, "dim_broker"), ("g", dim_geography, "dim_geography")):
+        keys, own_id = DIMENSIONS[spec].match_columns, DIMENSIONS[spec].id_column
+        side = dim.select(own_id, *keys, "record_start_date", "record_end_date").alias(alias)
+        cond = _valid_at(alias)
+        for k in keys:
+            cond = F.col(f"f.`{k}`").eqNullSafe(F.col(f"{alias}.`{k}`")) & cond
+        out = out.join(side, cond, "left")
     return out.select(
         hash_key(F.col("f.broker"), F.col("f.contract_number"), F.col("f.stock_date")).alias("id"),
         F.col("b.broker_id"), F.col("a.asset_id"), F.col("g.geography_id"),

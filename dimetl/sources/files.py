@@ -121,7 +121,7 @@ def copy_json_auto(spark: SparkSession, path: str | Sequence[str], schema: T.Str
     return scan_json(spark, path, schema)
 
 
-def copy_clean(df: DataFrame, max_lengths: dict[str, int] | None = None, default_max_length: int | None = 256) -> DataFrame:
+def copy_clean(df: DataFrame, max_lengths: dict[str, int] | None = None, default_max_length: int | None = None) -> DataFrame:
     """COPY flags ``TRUNCATECOLUMNS BLANKSASNULL EMPTYASNULL`` on every string column."""
     return clean_strings(df, max_lengths, default_max_length, blanks_as_null=True, empty_as_null=True, truncate=True)
 

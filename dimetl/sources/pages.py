@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimetl.functions import html as H
-from dimetl.functions.text import digit_sum, parse_price, remove_unicode, rename_mapped
+from dimetl.functions.text import absolute_url, digit_sum, parse_price, remove_unicode, rename_mapped
+from dimetl.operators.filters import const_columns
 from dimetl.schemas import LISTING_PAGE_SCHEMA
 
 # Fixed value: API field -> listing field.
@@ -24,7 +25,10 @@ API_FIELD_MAP: dict[str, str] = {
     "FullLocation": "full_location",
     "Bedrooms": "bedrooms",
     "Bathrooms": "bathrooms",
+    "AreaGross": "gross_area",
     "AreaNet": "net_area",
+    "Photo": "avatar_url",
+    "URLSEOv2": "listing_url",
     "Latitude": "latitude",
     "Longitude": "longitude",
 }
@@ -65,11 +69,24 @@ def page_links(pages: DataFrame, key_col: str = "page_id", html_col: str = "html
     return pages.select(F.col(key_col), F.posexplode(H.links(F.col(html_col))).alias("link_pos", "href"))
 
 
-def listing_explode(api_pages: DataFrame, json_col: str = "body", mapping: dict[str, str] | None = None) -> DataFrame:
-    """Nested API pages (``Properties[]``) -> one row per listing, renamed through ``mapping``."""
+def listing_explode(
+    api_pages: DataFrame,
+    json_col: str = "body",
+    mapping: dict[str, str] | None = None,
+    site: str | None = None,
+    constants: dict[str, str] | None = None,
+) -> DataFrame:
+    """Nested API pages (``Properties[]``) -> one row per listing, renamed through ``mapping``.
+
+    ``site`` completes the relative ``listing_url``; ``constants`` (broker,
+    country) are added to every listing.
+    """
     mapping = API_FIELD_MAP if mapping is None else mapping
     parsed = api_pages.select(F.from_json(F.col(json_col), LISTING_PAGE_SCHEMA).alias("p"))
     rows = parsed.select(F.col("p.CurrentPage").alias("current_page"), F.explode("p.Properties").alias("l")).select(
         "current_page", "l.*"
     )
-    return rename_mapped(rows, {"current_page": "current_page", **mapping})
+    out = rename_mapped(rows, {"current_page": "current_page", **mapping})
+    if site:
+        out = out.withColumn("listing_url", absolute_url(site.rstrip("/") + "/", F.ltrim(F.col("listing_url"), F.lit("/"))))
+    return const_columns(out, constants) if constants else out

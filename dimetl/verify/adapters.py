@@ -7,16 +7,18 @@ them (same rules in Spark and in the DuckDB oracle text below):
 ``a_play``     lineitem ⋈ orders ⋈ part ⋈ customer: plays with title, artist,
                duration; session = order, item = line; returned lines are 'Home'
                page views; every tenth part is logged under an unknown title.
+               Titles number the parts in fifties, so they grow with them.
 ``a_song``     part: one song per part; artist = brand.
-``a_listing``  customer ⋈ nation ⋈ region ⋈ supplier, one weekly snapshot per
-               order year (a listing is on the market in snapshot k when its
-               customer ordered in year 1997 + k); price changes when
-               ``c_custkey % 3 = k``.
+``a_listing``  customer ⋈ nation ⋈ region ⋈ supplier: every customer, or one
+               weekly snapshot per order year (a listing is on the market in
+               snapshot k when its customer ordered in year 1997 + k); price
+               changes when ``c_custkey % 3 = k``.  Some 15 customers share a
+               broker (supplier).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimetl.session import apply_runtime_conf
@@ -24,6 +26,8 @@ from dimetl.session import apply_runtime_conf
 SNAPSHOT_BASE_YEAR = 1997
 SNAPSHOT_DATES = ["2024-01-01", "2024-01-08", "2024-01-15"]
 API_PAGE_SIZE = 50
+CUSTOMERS_PER_SUPPLIER = 15
+PARTS_PER_TITLE = 50
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +61,11 @@ def a_events(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _title() -> Column:
+    """Song title of a part: its name and a number that some tens of parts share, so titles grow with the parts."""
+    return F.concat("p_name", F.lit(" "), F.floor(F.col("p_partkey") / PARTS_PER_TITLE).cast("string"))
+
+
 def a_play(spark: SparkSession, d: str) -> DataFrame:
     li = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_shipdate", "l_returnflag", "l_linestatus")
     od = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
@@ -81,7 +90,7 @@ def a_play(spark: SparkSession, d: str) -> DataFrame:
         F.when(F.col("o_custkey") % 2 == 0, F.lit("F")).otherwise(F.lit("M")).alias("gender"),
         F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), F.lit("paid")).otherwise(F.lit("free")).alias("level"),
         F.col("p_brand").alias("artist"),
-        F.when(F.col("l_partkey") % 10 == 0, F.lit("missing")).otherwise(F.col("p_name")).alias("song"),
+        F.when(F.col("l_partkey") % 10 == 0, F.lit("missing")).otherwise(_title()).alias("song"),
         F.col("p_retailprice").alias("length"),
         ts_ms.alias("ts_ms"),
         F.timestamp_millis(ts_ms).alias("start_time"),
@@ -102,26 +111,27 @@ def a_song(spark: SparkSession, d: str) -> DataFrame:
         F.col("p_type").alias("artist_location"),
         F.col("p_brand").alias("artist_name"),
         F.concat(F.lit("SO"), F.col("p_partkey").cast("string")).alias("song_id"),
-        F.col("p_name").alias("title"),
+        _title().alias("title"),
         F.col("p_retailprice").alias("duration"),
         F.col("p_size").alias("year"),
     )
 
 
-def a_listing(spark: SparkSession, d: str, k: int) -> DataFrame:
-    """Raw listing attributes (text, as crawled) of snapshot ``k``; plus ``c_custkey``."""
+def a_listing(spark: SparkSession, d: str, k: int | None = None) -> DataFrame:
+    """Raw listing attributes (text, as crawled) of all customers, or of snapshot ``k``; plus ``c_custkey``."""
     cu = table(spark, d, "customer")
     na = table(spark, d, "nation")
     rg = table(spark, d, "region")
     su = table(spark, d, "supplier").select("s_suppkey", "s_name")
-    od = table(spark, d, "orders").where(F.year("o_orderdate") == SNAPSHOT_BASE_YEAR + k).select("o_custkey")
+    if k is not None:
+        od = table(spark, d, "orders").where(F.year("o_orderdate") == SNAPSHOT_BASE_YEAR + k).select("o_custkey")
+        cu = cu.join(od, cu.c_custkey == od.o_custkey, "left_semi")
     c = (
-        cu.join(od, cu.c_custkey == od.o_custkey, "left_semi")
-        .join(na, cu.c_nationkey == na.n_nationkey)
+        cu.join(na, cu.c_nationkey == na.n_nationkey)
         .join(rg, na.n_regionkey == rg.r_regionkey)
-        .join(su, su.s_suppkey == cu.c_custkey % 10, "left")
+        .join(su, su.s_suppkey == F.floor(cu.c_custkey / CUSTOMERS_PER_SUPPLIER), "left")
     )
-    cents = F.round(F.col("c_acctbal") * 100).cast("bigint") + F.when(F.col("c_custkey") % 3 == k, F.lit(100)).otherwise(F.lit(0))
+    cents = F.round(F.col("c_acctbal") * 100).cast("bigint") + F.when(F.col("c_custkey") % 3 == (k or 0), F.lit(100)).otherwise(F.lit(0))
     a = F.abs(cents)
     price_text = F.concat(
         F.when(cents < 0, F.lit("-")).otherwise(F.lit("")),
@@ -153,6 +163,9 @@ def a_listing(spark: SparkSession, d: str, k: int) -> DataFrame:
             F.col("r_name"), F.lit(", "), F.col("n_name"), F.lit(" (Distrito), "), F.col("c_mktsegment"),
             F.lit(", Parish "), F.col("c_nationkey").cast("string"), F.lit(", City"),
         ).alias("FullLocation"),
+        (F.col("c_custkey") % 300 + 60).cast("string").alias("AreaGross"),
+        F.concat(F.lit("/photos/"), F.col("c_custkey").cast("string"), F.lit(".jpg")).alias("Photo"),
+        F.concat(F.lit("buy/"), F.lower("n_name"), F.lit("/"), F.col("c_custkey").cast("string")).alias("URLSEOv2"),
     )
 
 
@@ -252,7 +265,7 @@ SQL_A_PLAY = """a_play AS (
     CASE WHEN o.o_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender,
     CASE WHEN o.o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'paid' ELSE 'free' END AS level,
     p.p_brand AS artist,
-    CASE WHEN l.l_partkey % 10 = 0 THEN 'missing' ELSE p.p_name END AS song,
+    CASE WHEN l.l_partkey % 10 = 0 THEN 'missing' ELSE p.p_name || ' ' || CAST(p.p_partkey // 50 AS VARCHAR) END AS song,
     p.p_retailprice AS length,
     epoch_ms(l.l_shipdate) + (l.l_orderkey % 86400) * 1000 + l.l_linenumber AS ts_ms,
     make_timestamp((epoch_ms(l.l_shipdate) + (l.l_orderkey % 86400) * 1000 + l.l_linenumber) * 1000) AS start_time,
@@ -267,13 +280,13 @@ SQL_A_PLAY = """a_play AS (
 SQL_A_SONG = """a_song AS (
   SELECT CAST(1 AS BIGINT) AS num_songs, p_brand AS artist_id, CAST(p_size AS DOUBLE) AS artist_latitude,
     CAST(NULL AS DOUBLE) AS artist_longitude, p_type AS artist_location, p_brand AS artist_name,
-    'SO' || CAST(p_partkey AS VARCHAR) AS song_id, p_name AS title, p_retailprice AS duration, p_size AS year
+    'SO' || CAST(p_partkey AS VARCHAR) AS song_id, p_name || ' ' || CAST(p_partkey // 50 AS VARCHAR) AS title, p_retailprice AS duration, p_size AS year
   FROM part)"""
 
 
-def sql_a_listing(k: int) -> str:
-    year = SNAPSHOT_BASE_YEAR + k
-    return f"""a_listing{k} AS (
+def sql_a_listing(k: int | None) -> str:
+    kept = "" if k is None else f" WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE year(o_orderdate) = {SNAPSHOT_BASE_YEAR + k})"
+    return f"""a_listing{'' if k is None else k} AS (
   SELECT c.c_custkey, s.s_name AS Broker, c.c_name AS ContractNumber, r.r_name AS Country, n.n_name AS County,
     CASE WHEN c.c_mktsegment = 'BUILDING' THEN NULL ELSE c.c_mktsegment END AS Parish,
     '<b>' || c.c_mktsegment || '</b> listing “' || c.c_name || '”' AS Title,
@@ -286,12 +299,14 @@ def sql_a_listing(k: int) -> str:
     CAST(c.c_custkey % 200 + 50 AS VARCHAR) AS AreaNet,
     CAST(c.c_nationkey AS VARCHAR) || '.5' AS Latitude,
     '-' || CAST(n.n_regionkey AS VARCHAR) || '.25' AS Longitude,
-    r.r_name || ', ' || n.n_name || ' (Distrito), ' || c.c_mktsegment || ', Parish ' || CAST(c.c_nationkey AS VARCHAR) || ', City' AS FullLocation
-  FROM (SELECT *, CAST(round(c_acctbal * 100) AS BIGINT) + CASE WHEN c_custkey % 3 = {k} THEN 100 ELSE 0 END AS cents
-        FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE year(o_orderdate) = {year})) c
+    r.r_name || ', ' || n.n_name || ' (Distrito), ' || c.c_mktsegment || ', Parish ' || CAST(c.c_nationkey AS VARCHAR) || ', City' AS FullLocation,
+    CAST(c.c_custkey % 300 + 60 AS VARCHAR) AS AreaGross, '/photos/' || CAST(c.c_custkey AS VARCHAR) || '.jpg' AS Photo,
+    'buy/' || lower(n.n_name) || '/' || CAST(c.c_custkey AS VARCHAR) AS URLSEOv2
+  FROM (SELECT *, CAST(round(c_acctbal * 100) AS BIGINT) + CASE WHEN c_custkey % 3 = {k or 0} THEN 100 ELSE 0 END AS cents
+        FROM customer{kept}) c
   JOIN nation n ON c.c_nationkey = n.n_nationkey
   JOIN region r ON n.n_regionkey = r.r_regionkey
-  LEFT JOIN supplier s ON s.s_suppkey = c.c_custkey % 10)"""
+  LEFT JOIN supplier s ON s.s_suppkey = c.c_custkey // {CUSTOMERS_PER_SUPPLIER})"""
 
 
 SQL_LOG_JSON = """a_log_json AS (
@@ -317,6 +332,7 @@ _SQL_VIEWS: dict[str, tuple[str, list[str]]] = {
     "a_song": (SQL_A_SONG, []),
     "a_log_json": (SQL_LOG_JSON, ["a_events"]),
     "a_csv": (SQL_CSV_EVENTS, ["a_play"]),
+    "a_listing": (sql_a_listing(None), []),
     **{f"a_listing{k}": (sql_a_listing(k), []) for k in range(3)},
 }
 

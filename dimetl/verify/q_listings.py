@@ -30,7 +30,7 @@ from dimetl.verify.sqlfn import sql_hash_key, sql_sha256
 # ------------------------------------------------------------------ Spark
 
 
-def raw(spark, d, k):
+def raw(spark, d, k=None):
     return a_listing(spark, d, k).select(*LISTING_ATTRIBUTES)
 
 
@@ -40,7 +40,7 @@ def clean(spark, d, k):
 
 def empty_dim(spark, staging, id_column):
     schema = T.StructType(
-        [T.StructField(id_column, T.LongType())]
+        [T.StructField(id_column, T.StringType())]
         + list(staging.schema.fields)
         + [T.StructField("record_start_date", T.DateType()), T.StructField("record_end_date", T.DateType())]
     )
@@ -173,33 +173,35 @@ RAW_COLS = ", ".join(LISTING_ATTRIBUTES)
 
 @register(
     "listing_explode",
-    with_views("a_listing0")
+    with_views("a_listing")
     + f"SELECT CAST(c_custkey // {API_PAGE_SIZE} AS INTEGER) AS current_page, "
-    + ", ".join(f"{src} AS {dst}" for src, dst in API_FIELD_MAP.items()) + " FROM a_listing0",
+    + ", ".join(
+        f"'https://listings.example/' || {src} AS {dst}" if dst == "listing_url" else f"{src} AS {dst}" for src, dst in API_FIELD_MAP.items()
+    ) + ", 'Example Homes' AS broker, 'Portugal' AS country FROM a_listing",
 )
 def q_listing_explode(spark, d):
-    lst = a_listing(spark, d, 0)
-    props = F.struct(*[F.col(c) for c in LISTING_ATTRIBUTES + ["FullLocation"]])
+    lst = a_listing(spark, d)
+    props = F.struct(*[F.col(c) for c in LISTING_ATTRIBUTES + ["FullLocation", "AreaGross", "Photo", "URLSEOv2"]])
     pages = lst.groupBy((F.col("c_custkey") / API_PAGE_SIZE).cast("bigint").alias("page")).agg(
         F.collect_list(props).alias("Properties")
     )
     api = pages.select(
         F.to_json(F.struct(F.col("page").cast("int").alias("CurrentPage"), F.col("Properties"))).alias("body")
     )
-    return listing_explode(api)
+    return listing_explode(api, site="https://listings.example", constants={"broker": "Example Homes", "country": "Portugal"})
 
 
 @register(
     "fill_missing",
-    with_views("a_listing0")
+    with_views("a_listing")
     + "SELECT " + ", ".join(
         f"{sql_num(c)} AS {c}" if c in L.NUMERIC_ATTRIBUTES else
         (f"COALESCE({c}, 'Unknown') AS {c}" if c in L.TEXTUAL_ATTRIBUTES else c)
         for c in LISTING_ATTRIBUTES
-    ) + " FROM a_listing0",
+    ) + " FROM a_listing",
 )
 def q_fill_missing(spark, d):
-    return fill_missing(raw(spark, d, 0), L.NUMERIC_ATTRIBUTES, L.TEXTUAL_ATTRIBUTES)
+    return fill_missing(raw(spark, d), L.NUMERIC_ATTRIBUTES, L.TEXTUAL_ATTRIBUTES)
 
 
 def _snake(c: str) -> str:
@@ -210,64 +212,64 @@ def _snake(c: str) -> str:
 
 @register(
     "rename_snake",
-    with_views("a_listing0") + "SELECT " + ", ".join(f"{c} AS {_snake(c)}" for c in LISTING_ATTRIBUTES) + " FROM a_listing0",
+    with_views("a_listing") + "SELECT " + ", ".join(f"{c} AS {_snake(c)}" for c in LISTING_ATTRIBUTES) + " FROM a_listing",
 )
 def q_rename_snake(spark, d):
-    return rename_snake(raw(spark, d, 0))
+    return rename_snake(raw(spark, d))
 
 
 @register(
     "rename_mapped",
-    with_views("a_listing0") + "SELECT " + ", ".join(f"{s} AS {t}" for s, t in API_FIELD_MAP.items()) + " FROM a_listing0",
+    with_views("a_listing") + "SELECT " + ", ".join(f"{s} AS {t}" for s, t in API_FIELD_MAP.items()) + " FROM a_listing",
 )
 def q_rename_mapped(spark, d):
-    return rename_mapped(a_listing(spark, d, 0), API_FIELD_MAP)
+    return rename_mapped(a_listing(spark, d), API_FIELD_MAP)
 
 
 @register(
     "const_columns",
-    with_views("a_listing0")
-    + "SELECT ContractNumber, Broker, CAST(1 AS INTEGER) AS quantity, 'Portugal' AS country_name FROM a_listing0",
+    with_views("a_listing")
+    + "SELECT ContractNumber, Broker, CAST(1 AS INTEGER) AS quantity, 'Portugal' AS country_name FROM a_listing",
 )
 def q_const_columns(spark, d):
-    return const_columns(a_listing(spark, d, 0).select("ContractNumber", "Broker"), {"quantity": 1, "country_name": "Portugal"})
+    return const_columns(a_listing(spark, d).select("ContractNumber", "Broker"), {"quantity": 1, "country_name": "Portugal"})
 
 
 @register(
     "split_location",
-    with_views("a_listing0")
+    with_views("a_listing")
     + "SELECT ContractNumber, "
     + ", ".join(
         f"trim(regexp_extract(string_split(FullLocation, ',')[{i}], '^[^(]+', 0)) AS {n}"
         for i, n in ((2, "district"), (3, "county"), (4, "parish"))
     )
-    + " FROM a_listing0",
+    + " FROM a_listing",
 )
 def q_split_location(spark, d):
-    lst = a_listing(spark, d, 0)
+    lst = a_listing(spark, d)
     return lst.select("ContractNumber", split_location("FullLocation").alias("loc")).select("ContractNumber", "loc.*")
 
 
 @register(
     "parse_price",
-    with_views("a_listing0")
+    with_views("a_listing")
     + "SELECT ContractNumber, PriceCurrencyFormated, "
     f"COALESCE(NULLIF(regexp_extract(replace(PriceCurrencyFormated, ' ', ''), '{PRICE_RE}', 1), ''), 'Unknown') AS price_text, "
     f"TRY_CAST(NULLIF(regexp_extract(replace(PriceCurrencyFormated, ' ', ''), '{PRICE_RE}', 1), '') AS DOUBLE) AS price "
-    "FROM a_listing0",
+    "FROM a_listing",
 )
 def q_parse_price(spark, d):
-    lst = a_listing(spark, d, 0)
+    lst = a_listing(spark, d)
     return lst.select("ContractNumber", "PriceCurrencyFormated", parse_price_text("PriceCurrencyFormated").alias("price_text"),
                       parse_price("PriceCurrencyFormated").alias("price"))
 
 
 @register(
     "remove_unicode",
-    with_views("a_listing0") + "SELECT ContractNumber, translate(Title, '“”❤️', '') AS title FROM a_listing0",
+    with_views("a_listing") + "SELECT ContractNumber, translate(Title, '“”❤️', '') AS title FROM a_listing",
 )
 def q_remove_unicode(spark, d):
-    return a_listing(spark, d, 0).select("ContractNumber", remove_unicode("Title").alias("title"))
+    return a_listing(spark, d).select("ContractNumber", remove_unicode("Title").alias("title"))
 
 
 @register(
@@ -372,6 +374,23 @@ def q_dq_scd2_unique(spark, d):
     return Q.dq_scd2_unique({dim: (tables[dim], KEYS[dim]) for dim in dims})
 
 
+@register(
+    "dq_staging_keys",
+    with_views("clean0")
+    + "SELECT 'unique_keys' AS check_name, 'by_contract' AS subject, count(*) AS observed, CAST(0 AS BIGINT) AS expected, count(*) = 0 AS passed "
+    "FROM (SELECT contract_number FROM clean0 GROUP BY 1 HAVING count(*) > 1) UNION ALL "
+    "SELECT 'unique_keys', 'by_broker', count(*), 0, count(*) = 0 FROM (SELECT broker FROM clean0 GROUP BY 1 HAVING count(*) > 1) UNION ALL "
+    "SELECT 'null_keys', 'by_contract', count(*) FILTER (contract_number IS NULL), 0, count(*) FILTER (contract_number IS NULL) = 0 FROM clean0",
+)
+def q_dq_staging_keys(spark, d):
+    """Key gates of the staging rows: contract numbers are unique, brokers (as a key of listings) are not."""
+    rows = clean(spark, d, 0)
+    return Q.dq_suite(
+        Q.dq_unique_keys({"by_contract": (rows, ["contract_number"]), "by_broker": (rows, ["broker"])}),
+        Q.dq_null_keys({"by_contract": (rows, ["contract_number"])}),
+    )
+
+
 # ------------------------------------------------------------------- fact
 
 
@@ -379,7 +398,7 @@ SQL_FACT_STOCK = (
     with_views("stock2", "scd_dim_asset3", "scd_dim_broker3", "scd_dim_geography3")
     + "SELECT " + sql_hash_key("f.broker", "f.contract_number", "f.stock_date") + " AS id, b.broker_id, a.asset_id, g.geography_id, "
     "f.price, f.quantity, CAST(strftime(f.stock_date, '%Y%m%d') AS INTEGER) AS date_id FROM stock2 f "
-    "LEFT JOIN scd_dim_asset3 a ON f.contract_number = a.contract_number AND a.record_start_date <= f.stock_date AND a.record_end_date >= f.stock_date "
+    "LEFT JOIN scd_dim_asset3 a ON f.contract_number IS NOT DISTINCT FROM a.contract_number AND a.record_start_date <= f.stock_date AND a.record_end_date >= f.stock_date "
     "LEFT JOIN scd_dim_broker3 b ON f.broker = b.broker AND b.record_start_date <= f.stock_date AND b.record_end_date >= f.stock_date "
     "LEFT JOIN scd_dim_geography3 g ON f.country = g.country AND f.county = g.county AND f.parish = g.parish "
     "AND g.record_start_date <= f.stock_date AND g.record_end_date >= f.stock_date"
@@ -448,7 +467,7 @@ def q_dim_date(spark, d):
     """Calendar over the span of the fact dates (the spine grows with the calendar span, not the rows)."""
     li = table(spark, d, "lineitem")
     bounds = li.agg(F.min("l_shipdate").alias("lo"), F.max("l_shipdate").alias("hi"))
-    return date_spine_between(bounds, "lo", "hi").select(*calendar_columns("full_date"))
+    return date_spine_between(bounds, "lo", "hi").select(*calendar_columns("full_date")).orderBy("date_id")
 
 
 @register("date_id", "SELECT o_orderkey, CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS date_id FROM orders")
