@@ -2,7 +2,9 @@
 
 Every function is a bounded, lazy regular expression evaluated by the JVM on
 each page in parallel; a malformed page gives NULL (or an empty array), never
-an error.  Patterns use only constructs shared by Java regex and RE2.
+an error.  Attributes may come in any order and either quotes, texts may hold
+nested markup and the usual character references, and each lookup is scoped to
+the block it belongs to, so a like-named element elsewhere is not taken.
 """
 
 from __future__ import annotations
@@ -49,6 +51,10 @@ LABELS: dict[str, str] = {
 
 _ANY = r"[\s\S]"
 _META = "^$.*+?()[]{}|\\"
+#: Character references decoded in texts; the ampersand comes last.
+ENTITIES = {
+    "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&nbsp;": " ", "&euro;": "€", "&pound;": "£", "&amp;": "&",
+}
 
 
 def regex_literal(text: str) -> str:
@@ -64,20 +70,42 @@ def _nullif_empty(c: Column) -> Column:
     return F.when(c == "", F.lit(None).cast("string")).otherwise(c)
 
 
+def inner_text(c: Column) -> Column:
+    """Text of an element's inner HTML: markup removed, references decoded, trimmed; empty gives NULL."""
+    out = F.regexp_replace(c, r"<[^>]*>", "")
+    for ref, char in ENTITIES.items():
+        out = F.replace(out, F.lit(ref), F.lit(char))
+    return _nullif_empty(F.trim(out))
+
+
+def _with_attribute(tag: str, attr: str, value: str) -> str:
+    """Pattern of a start tag that has ``attr`` equal to ``value``, in either quotes."""
+    return f"<{tag}\\b(?=[^>]*\\s{attr}\\s*=\\s*(?:\"{regex_literal(value)}\"|'{regex_literal(value)}'))[^>]*>"
+
+
+def _with_class(tag: str, word: str) -> str:
+    """Pattern of a start tag one of whose class words is ``word``."""
+    return f"<{tag}\\b(?=[^>]*\\sclass\\s*=\\s*[\"'](?:[^\"'>]*\\s)?{regex_literal(word)}[\\s\"'])[^>]*>"
+
+
+def attribute(tag: Column, name: str) -> Column:
+    """Value of an attribute of a start tag, in either quotes; NULL if absent or empty."""
+    found = F.regexp_extract(tag, f"\\s{name}\\s*=\\s*(?:\"([^\"]*)\"|'([^']*)')", 0)
+    return inner_text(F.regexp_replace(found, f"^\\s{name}\\s*=\\s*[\"']|[\"']$", ""))
+
+
 def element_text(html: str | Column, tag: str, attr: str, value: str) -> Column:
-    """Text of the first ``<tag ... attr="value" ...>text</tag>``."""
-    pattern = f"<{tag}[^>]*{attr}=\"{regex_literal(value)}\"[^>]*>([^<]*)</{tag}>"
-    return _nullif_empty(F.regexp_extract(_c(html), pattern, 1))
+    """Text of the first ``<tag>`` whose ``attr`` is ``value``."""
+    return inner_text(F.regexp_extract(_c(html), f"{_with_attribute(tag, attr, value)}({_ANY}*?)</{tag}>", 1))
 
 
 def tag_text(html: str | Column, tag: str) -> Column:
-    """Text of the first ``<tag>`` (tags nested inside are not followed)."""
-    return _nullif_empty(F.regexp_extract(_c(html), f"<{tag}(?:\\s[^>]*)?>([^<]*)</{tag}>", 1))
+    """Text of the first ``<tag>``, markup nested inside removed."""
+    return inner_text(F.regexp_extract(_c(html), f"<{tag}(?:\\s[^>]*)?>({_ANY}*?)</{tag}>", 1))
 
 
 def meta_content(html: str | Column, prop: str) -> Column:
-    pattern = f"<meta[^>]*property=\"{regex_literal(prop)}\"[^>]*content=\"([^\"]*)\""
-    return _nullif_empty(F.regexp_extract(_c(html), pattern, 1))
+    return attribute(F.regexp_extract(_c(html), _with_attribute("meta", "property", prop), 0), "content")
 
 
 def element_map(html: str | Column, mapping: dict[str, tuple[str, str, str]] | None = None) -> list[Column]:
@@ -92,58 +120,102 @@ def meta_map(html: str | Column, mapping: dict[str, str] | None = None) -> list[
 
 def list_items(html: str | Column) -> Column:
     """Inner HTML of every ``<li>`` element, in page order."""
-    return F.regexp_extract_all(_c(html), F.lit(f"<li>({_ANY}*?)</li>"), 1)
+    return F.regexp_extract_all(_c(html), F.lit(f"<li(?:\\s[^>]*)?>({_ANY}*?)(?=</li>|<li[\\s>]|</ul>)"), 1)
+
+
+def details(html: str | Column) -> Column:
+    """``array<struct<label, value>>`` of the details list: text before and in each item's ``<strong>``."""
+    block = F.regexp_extract(_c(html), f"{_with_class('ul', 'caret-list')}({_ANY}*?)</ul>", 1)
+    return F.transform(
+        list_items(block),
+        lambda li: F.struct(
+            inner_text(F.regexp_replace(li, f"<strong{_ANY}*", "")).alias("label"),
+            inner_text(F.regexp_extract(li, f"<strong(?:\\s[^>]*)?>({_ANY}*?)</strong>", 1)).alias("value"),
+        ),
+    )
 
 
-def label_value(html: str | Column, label: str) -> Column:
-    """``<strong>`` value of the first list item whose text contains ``label``."""
-    hit = F.filter(list_items(html), lambda li: F.lower(li).contains(label.lower()))
-    first = F.try_element_at(hit, F.lit(1))
-    return _nullif_empty(F.trim(F.regexp_extract(first, r"<strong>([^<]*)</strong>", 1)))
+def label_value(found: Column, label: str) -> Column:
+    """Value of the first detail whose label starts with ``label``; ``found`` are the ``details``."""
+    hit = F.filter(found, lambda d: F.lower(d["label"]).startswith(label.lower()))
+    return F.try_element_at(hit, F.lit(1))["value"]
 
 
 def label_values(html: str | Column) -> list[Column]:
     """Price (number), listing type, energy certificate and parking spaces."""
+    found = details(html)
     return [
-        parse_price(label_value(html, LABELS["price"])).alias("price"),
-        label_value(html, LABELS["listing_type"]).alias("listing_type"),
-        label_value(html, LABELS["energy_certificate"]).alias("energy_certificate"),
-        digit_sum(label_value(html, LABELS["parking"])).alias("parking_spaces"),
+        parse_price(label_value(found, LABELS["price"])).alias("price"),
+        label_value(found, LABELS["listing_type"]).alias("listing_type"),
+        label_value(found, LABELS["energy_certificate"]).alias("energy_certificate"),
+        digit_sum(label_value(found, LABELS["parking"])).alias("parking_spaces"),
     ]
 
 
-def indicator(html: str | Column, title: str) -> Column:
-    """``<span class="num">`` value following the icon ``<span title="...">``."""
-    pattern = (
-        f"<span[^>]*title=\"{regex_literal(title)}\"[^>]*>[^<]*</span>[^<]*"
-        r"<span[^>]*class=\"num\"[^>]*>([^<]*)</span>"
+def indicator_items(html: str | Column) -> Column:
+    """``array<struct<title, num>>`` of the icon block: title of the first titled span, text of the number span."""
+    block = F.regexp_extract(_c(html), f"{_with_class('[a-z]+', 'bloco-caracteristicas')}({_ANY}*?)</(?:div|section)>", 1)
+    return F.transform(
+        list_items(block),
+        lambda li: F.struct(
+            attribute(F.regexp_extract(li, r"<span\b(?=[^>]*\stitle\s*=)[^>]*>", 0), "title").alias("title"),
+            inner_text(F.regexp_extract(li, f"{_with_class('span', 'num')}({_ANY}*?)</span>", 1)).alias("num"),
+        ),
     )
-    return _nullif_empty(F.trim(F.regexp_extract(_c(html), pattern, 1)))
+
+
+def indicator(found: Column, title: str) -> Column:
+    """Number of the first icon with the title; ``found`` are the ``indicator_items``."""
+    return F.try_element_at(F.filter(found, lambda i: (i["title"] == title) & i["num"].isNotNull()), F.lit(1))["num"]
+
+
+def energy_icon(found: Column) -> Column:
+    """Energy class: the rest of the first icon title that starts with the energy prefix and has no number."""
+    hit = F.filter(found, lambda i: i["title"].startswith(ENERGY_TITLE_PREFIX) & i["num"].isNull())
+    return _nullif_empty(F.trim(F.replace(F.try_element_at(hit, F.lit(1))["title"], F.lit(ENERGY_TITLE_PREFIX), F.lit(""))))
 
 
 def indicators(html: str | Column) -> list[Column]:
-    cols = [indicator(html, title).alias(name) for title, name in INDICATOR_MAP.items()]
-    energy = F.regexp_extract(_c(html), f"<span[^>]*title=\"{regex_literal(ENERGY_TITLE_PREFIX)}([^\"]*)\"", 1)
-    cols.append(_nullif_empty(F.trim(energy)).alias("energy_certificate_icon"))
-    return cols
+    found = indicator_items(html)
+    cols = [indicator(found, title).alias(name) for title, name in INDICATOR_MAP.items()]
+    return [*cols, energy_icon(found).alias("energy_certificate_icon")]
 
 
 COORD_PATTERN = r"query=([+-]?[0-9]*\.?[0-9]+),([+-]?[0-9]*\.?[0-9]+)"
 
 
 def coordinates(html: str | Column) -> list[Column]:
-    """Latitude and longitude of the first map link ``query=lat,lon``."""
-    lat = _nullif_empty(F.regexp_extract(_c(html), COORD_PATTERN, 1)).try_cast("double")
-    lon = _nullif_empty(F.regexp_extract(_c(html), COORD_PATTERN, 2)).try_cast("double")
+    """Latitude and longitude in the ``onclick`` of the map image."""
+    image = F.regexp_extract(_c(html), _with_class("img", "img_mapa"), 0)
+    lat = _nullif_empty(F.regexp_extract(image, COORD_PATTERN, 1)).try_cast("double")
+    lon = _nullif_empty(F.regexp_extract(image, COORD_PATTERN, 2)).try_cast("double")
     return [lat.alias("latitude"), lon.alias("longitude")]
 
 
 def amenities(html: str | Column) -> Column:
-    """Items of the first ``<ul class="tags-list">`` as an array (empty if none)."""
-    block = F.regexp_extract(_c(html), f"<ul class=\"tags-list\">({_ANY}*?)</ul>", 1)
-    return F.regexp_extract_all(block, F.lit(r"<li>([^<]*)</li>"), 1)
+    """Texts of the items of the first tags list as an array (empty if none)."""
+    block = F.regexp_extract(_c(html), f"{_with_class('ul', 'tags-list')}({_ANY}*?)</ul>", 1)
+    return F.transform(list_items(block), inner_text)
 
 
 def links(html: str | Column) -> Column:
     """Every ``href`` target, in page order."""
-    return F.regexp_extract_all(_c(html), F.lit(r"href=\"([^\"]*)\""), 1)
+    found = F.regexp_extract_all(_c(html), F.lit(r"\shref\s*=\s*(\"[^\"]*\"|'[^']*')"), 1)
+    return F.transform(found, lambda h: F.substring(h, F.lit(2), F.length(h) - 2))
+
+
+# The results table and the paging link of an index page.
+RESULTS_TABLE_ID = "ctl00_ContentPlaceHolder1_DataList_imoveis"
+NEXT_PAGE_ID = "ctl00_ContentPlaceHolder1_lnkNext"
+
+
+def listing_links(html: str | Column) -> Column:
+    """Targets of the anchors with an id inside the results table of an index page, in page order."""
+    block = F.regexp_extract(_c(html), f"{_with_attribute('table', 'id', RESULTS_TABLE_ID)}({_ANY}*?)</table>", 1)
+    anchors = F.regexp_extract_all(block, F.lit(r"<a\b(?=[^>]*\sid\s*=)[^>]*>"), 0)
+    return F.filter(F.transform(anchors, lambda a: attribute(a, "href")), lambda h: h.isNotNull())
+
+
+def next_page(html: str | Column, link_id: str = NEXT_PAGE_ID) -> Column:
+    """Target of the paging link; NULL on the last page, where it has none."""
+    return attribute(F.regexp_extract(_c(html), _with_attribute("a", "id", link_id), 0), "href")

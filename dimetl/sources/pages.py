@@ -43,11 +43,12 @@ def page_extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """
     h = F.col(html_col)
     keep = [c for c in pages.columns if c != html_col]
+    # The two lists are read once per page; every label is a lookup in them.
+    found = pages.select(*keep, h, H.details(h).alias("__details"), H.indicator_items(h).alias("__icons"))
     el = {name: H.element_text(h, *spec) for name, spec in H.ELEMENT_MAP.items()}
-    lab = {c: H.label_value(h, H.LABELS[c]) for c in H.LABELS}
-    ind = {name: H.indicator(h, title) for title, name in H.INDICATOR_MAP.items()}
-    energy_icon = H.indicators(h)[-1]
-    return pages.select(
+    lab = {c: H.label_value(F.col("__details"), H.LABELS[c]) for c in H.LABELS}
+    ind = {name: H.indicator(F.col("__icons"), title) for title, name in H.INDICATOR_MAP.items()}
+    return found.select(
         *keep,
         remove_unicode(H.tag_text(h, "title")).alias("title"),
         remove_unicode(H.tag_text(h, "h1")).alias("headline"),
@@ -55,7 +56,7 @@ def page_extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
         *[c.alias(n) for n, c in el.items() if n != "listing_type"],
         F.coalesce(el["listing_type"], lab["listing_type"]).alias("listing_type"),
         parse_price(lab["price"]).alias("price"),
-        F.coalesce(lab["energy_certificate"], energy_icon).alias("energy_certificate"),
+        F.coalesce(lab["energy_certificate"], H.energy_icon(F.col("__icons"))).alias("energy_certificate"),
         ind["bedrooms"].alias("bedrooms"),
         ind["bathrooms"].alias("bathrooms"),
         F.coalesce(ind["parking_spaces"].try_cast("int"), digit_sum(lab["parking"])).alias("parking_spaces"),
@@ -64,6 +65,12 @@ def page_extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
     )
 
 
+def index_links(pages: DataFrame, site: str, key_col: str = "page_id", html_col: str = "html") -> DataFrame:
+    """Absolute listing links of index pages: ``(key, link_pos, listing_url)``."""
+    found = pages.select(F.col(key_col), F.posexplode(H.listing_links(F.col(html_col))).alias("link_pos", "href"))
+    return found.select(key_col, "link_pos", absolute_url(site, "href").alias("listing_url"))
+
+
 def page_links(pages: DataFrame, key_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """Every link of every page: ``(key, link_pos, href)``."""
     return pages.select(F.col(key_col), F.posexplode(H.links(F.col(html_col))).alias("link_pos", "href"))

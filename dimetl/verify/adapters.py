@@ -169,6 +169,52 @@ def a_listing(spark: SparkSession, d: str, k: int | None = None) -> DataFrame:
     )
 
 
+def a_listing_page(spark: SparkSession, d: str) -> DataFrame:
+    """Stored listing pages in two layouts: one per listing of ``a_listing``, with decoys, odd quoting and missing fields."""
+    c = a_listing(spark, d)
+    key = F.col("c_custkey").cast("string")
+    q = F.when(F.col("c_custkey") % 3 == 1, F.lit("'")).otherwise(F.lit('"'))
+
+    def text(*parts) -> Column:
+        return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+
+    def meta(prop: str, value: Column) -> Column:
+        forward = text("<meta property=", q, prop, q, " content=", q, value, q, ">")
+        return F.when(F.col("c_custkey") % 3 == 0, text("<meta content=", q, value, q, " property=", q, prop, q, "/>")).otherwise(forward)
+
+    def span(name: str, value: Column) -> Column:
+        full = f"ctl00_ContentPlaceHolder1_lbl_imovel_show_{name}"
+        return F.coalesce(text("<span class='v' id=", q, full, q, "><b>", value, "</b></span>"), F.lit(""))
+
+    def icon(title: str, value: Column) -> Column:
+        return F.coalesce(text("<li class='i'><span title=", q, title, q, "></span> <span class=", q, "big num", q, ">", value, "</span></li>"), F.lit(""))
+
+    energy = F.substring(F.lit("ABCDE"), (F.col("c_custkey") % 5 + 1).cast("int"), F.lit(1))
+    parking = (F.col("c_custkey") % 4).cast("string")
+    head = text(
+        "<!DOCTYPE html><html><head><title>Home &amp; “", F.col("ContractNumber"), "”</title>",
+        meta("og:url", text("http://listings.example/", key)), meta("og:title", F.col("PropertyType")), meta("og:image", F.col("Photo")),
+        "</head><body><ul><li>Estado: <strong>menu</strong></li></ul><span title=\"Bedrooms\"></span><span class=\"num\">99</span>",
+        "<a href=\"?query=0.0,0.0\">map</a><h1 class=t>Flat <b>", F.col("ContractNumber"), "</b></h1>",
+    )
+    icons = text(
+        span("ref", F.col("ContractNumber")), span("finalidade", F.lit("Venda")), span("tipo_imovel", F.col("PropertyType")),
+        span("preco_venda", F.col("PriceCurrencyFormated")), span("distrito", F.col("County")), span("concelho", F.col("Country")),
+        span("freguesia", F.col("Parish")), span("area_bruta", F.col("AreaGross")),
+        "<div class=", q, "bloco-caracteristicas row", q, "><ul>", icon("Bedrooms", F.col("Bedrooms")), icon("Bathroom", F.col("Bathrooms")),
+        icon("Parking", parking), "<li><span title=", q, "Energ. Cert.: ", energy, q, "></span></li></ul></div>",
+    )
+    details = text(
+        "<div class='property-details-list'><ul class=", q, "caret-list multi-columns", q, "><li class=\"p\">Preço: <strong>", F.col("PriceCurrencyFormated"),
+        "</strong></li><li>Vista: <strong>Bom estado geral</strong><li>Estado: <strong>Arrendamento</strong></li>",
+        "<li>Certificado energético: <strong>", energy, "</strong></li><li>Tipo de estacionamento: <strong>", parking, " Box + 1</strong></li></ul></div>",
+        "<ul class=", q, "tags-list", q, "><li>", F.col("County"), "</li><li class='a'><i>Pool</i> &amp; Sauna</li></ul>",
+    )
+    foot = text("<img src='m.png' class=", q, "img_mapa", q, " onclick=\"open('?query=", F.col("Latitude"), ",", F.col("Longitude"), "')\"></body></html>")
+    body = F.when(F.col("c_custkey") % 2 == 0, icons).otherwise(details)
+    return c.select(F.col("c_custkey").alias("page_id"), text("http://listings.example/", key).alias("url"), text(head, body, foot).alias("html"))
+
+
 def log_json_frame(ev: DataFrame) -> DataFrame:
     """``a_events`` in the player's JSON layout (camelCase, epoch-ms ``ts``, text ``userId``)."""
     return ev.select(

@@ -5,46 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from dimetl.functions import html as H
-from dimetl.functions.text import absolute_url, digit_sum, limit_length, strip_tags
+from dimetl.functions.text import absolute_url, digit_sum, limit_length, remove_unicode, strip_tags
 from dimetl.sources.pages import page_extract, page_links
-from dimetl.verify.adapters import table
+from dimetl.verify.adapters import a_listing_page, table, with_views
 from dimetl.verify.q_listings import sql_strip_tags
 from dimetl.verify.registry import register
 
-_esc = H.regex_literal
-
-
-def _q(s: str) -> str:
-    return s.replace("'", "''")
-
-
-def sql_nullif(e: str) -> str:
-    return f"NULLIF({e}, '')"
-
-
-def sql_tag_text(tag: str) -> str:
-    return sql_nullif(f"regexp_extract(html, '<{tag}(?:\\s[^>]*)?>([^<]*)</{tag}>', 1)")
-
-
-def sql_element(tag: str, attr: str, value: str) -> str:
-    return sql_nullif(f"regexp_extract(html, '<{tag}[^>]*{attr}=\"{_esc(value)}\"[^>]*>([^<]*)</{tag}>', 1)")
-
-
-def sql_meta(prop: str) -> str:
-    return sql_nullif(f"regexp_extract(html, '<meta[^>]*property=\"{_esc(prop)}\"[^>]*content=\"([^\"]*)\"', 1)")
-
-
-def sql_label(label: str) -> str:
-    items = "regexp_extract_all(html, '<li>([\\s\\S]*?)</li>', 1)"
-    first = f"list_filter({items}, lambda x: contains(lower(x), '{_q(label.lower())}'))[1]"
-    return sql_nullif(f"trim(regexp_extract({first}, '<strong>([^<]*)</strong>', 1))")
-
-
-def sql_price(e: str) -> str:
-    text = f"CASE WHEN regexp_extract(replace({e}, ' ', ''), '^([^,€$£]+)', 1) = '' THEN 'Unknown' ELSE regexp_extract(replace({e}, ' ', ''), '^([^,€$£]+)', 1) END"
-    return f"TRY_CAST({text} AS DOUBLE)"
-
-
 def sql_digit_sum(e: str) -> str:
     return (
         f"CASE WHEN {e} IS NULL THEN NULL ELSE CAST(COALESCE(list_sum(list_transform("
@@ -52,101 +18,88 @@ def sql_digit_sum(e: str) -> str:
     )
 
 
-def sql_indicator(title: str) -> str:
-    return sql_nullif(
-        f"trim(regexp_extract(html, '<span[^>]*title=\"{_esc(title)}\"[^>]*>[^<]*</span>[^<]*"
-        f"<span[^>]*class=\"num\"[^>]*>([^<]*)</span>', 1))"
-    )
-
-
-COORD = H.COORD_PATTERN
-
-
-def sql_coord(i: int) -> str:
-    return f"TRY_CAST({sql_nullif(f'regexp_extract(html, {chr(39)}{COORD}{chr(39)}, {i})')} AS DOUBLE)"
-
-
-def sql_amenities_text() -> str:
-    block = "regexp_extract(html, '<ul class=\"tags-list\">([\\s\\S]*?)</ul>', 1)"
-    return f"array_to_string(regexp_extract_all({block}, '<li>([^<]*)</li>', 1), '|')"
-
-
-def _sql_title(tag: str) -> str:
-    from dimetl.functions.text import REMOVED_CODE_POINTS
-
-    return f"translate({sql_tag_text(tag)}, '{REMOVED_CODE_POINTS}', '')"
-
-
-META_SQL = ", ".join(f"{sql_meta(p)} AS {n}" for n, p in H.META_MAP.items())
-ELEMENT_SQL = ", ".join(f"{sql_element(*spec)} AS {n}" for n, spec in H.ELEMENT_MAP.items())
-LABEL_SQL = ", ".join(
-    [
-        f"{sql_price(sql_label(H.LABELS['price']))} AS price",
-        f"{sql_label(H.LABELS['listing_type'])} AS listing_type",
-        f"{sql_label(H.LABELS['energy_certificate'])} AS energy_certificate",
-        f"{sql_digit_sum(sql_label(H.LABELS['parking']))} AS parking_spaces",
-    ]
-)
-INDICATOR_SQL = ", ".join(
-    [f"{sql_indicator(t)} AS {n}" for t, n in H.INDICATOR_MAP.items()]
-    + [
-        sql_nullif(f"trim(regexp_extract(html, '<span[^>]*title=\"{_esc(H.ENERGY_TITLE_PREFIX)}([^\"]*)\"', 1))")
-        + " AS energy_certificate_icon"
-    ]
-)
-COORD_SQL = f"{sql_coord(1)} AS latitude, {sql_coord(2)} AS longitude"
-
-
 def _pages(spark, d):
     return table(spark, d, "pages")
 
 
-PAGE_SQL = (
-    f"SELECT page_id, url, {_sql_title('title')} AS title, {_sql_title('h1')} AS headline, {META_SQL}, "
-    + ", ".join(f"{sql_element(*spec)} AS {n}" for n, spec in H.ELEMENT_MAP.items() if n != "listing_type")
-    + f", COALESCE({sql_element(*H.ELEMENT_MAP['listing_type'])}, {sql_label(H.LABELS['listing_type'])}) AS listing_type"
-    + f", {sql_price(sql_label(H.LABELS['price']))} AS price"
-    + f", COALESCE({sql_label(H.LABELS['energy_certificate'])}, "
-    + sql_nullif(f"trim(regexp_extract(html, '<span[^>]*title=\"{_esc(H.ENERGY_TITLE_PREFIX)}([^\"]*)\"', 1))")
-    + ") AS energy_certificate"
-    + f", {sql_indicator('Bedrooms')} AS bedrooms, {sql_indicator('Bathroom')} AS bathrooms"
-    + f", COALESCE(TRY_CAST({sql_indicator('Parking')} AS INTEGER), {sql_digit_sum(sql_label(H.LABELS['parking']))}) AS parking_spaces"
-    + f", {COORD_SQL}, {sql_amenities_text()} AS amenities FROM pages"
-)
+# The oracle of the extraction reads the columns that the listing pages were built from, not the pages.
+ICONS = "c_custkey % 2 = 0"
+ENERGY = "substr('ABCDE', CAST(c_custkey % 5 + 1 AS INTEGER), 1)"
+SQL_PRICE = "TRY_CAST(regexp_extract(replace(PriceCurrencyFormated, ' ', ''), '^([^,€$£]+)', 1) AS DOUBLE)"
+META_SQL = "'http://listings.example/' || CAST(c_custkey AS VARCHAR) AS listing_url, PropertyType AS summary, Photo AS avatar_url"
+ELEMENTS = {
+    "id": "ContractNumber", "listing_type": "'Venda'", "property_type": "PropertyType", "asking_price": "PriceCurrencyFormated",
+    "district": "County", "county": "Country", "parish": "Parish", "city": "County", "gross_area": "AreaGross",
+}
+ELEMENT_SQL = {n: f"CASE WHEN {ICONS} THEN {e} END" for n, e in ELEMENTS.items()}
+COORD_SQL = "CAST(Latitude AS DOUBLE) AS latitude, CAST(Longitude AS DOUBLE) AS longitude"
+AMENITIES = f"CASE WHEN {ICONS} THEN '' ELSE County || '|Pool & Sauna' END"
+FROM_LISTING = " FROM a_listing"
 
 
-@register("page_extract", PAGE_SQL)
+@register(
+    "page_extract",
+    with_views("a_listing")
+    + "SELECT c_custkey AS page_id, 'http://listings.example/' || CAST(c_custkey AS VARCHAR) AS url, 'Home & ' || ContractNumber AS title, "
+    f"'Flat ' || ContractNumber AS headline, {META_SQL}, "
+    + ", ".join(f"{e} AS {n}" for n, e in ELEMENT_SQL.items() if n != "listing_type")
+    + f", CASE WHEN {ICONS} THEN 'Venda' ELSE 'Arrendamento' END AS listing_type, CASE WHEN {ICONS} THEN NULL ELSE {SQL_PRICE} END AS price, "
+    f"{ENERGY} AS energy_certificate, CASE WHEN {ICONS} THEN Bedrooms END AS bedrooms, CASE WHEN {ICONS} THEN Bathrooms END AS bathrooms, "
+    f"CAST(c_custkey % 4 + CASE WHEN {ICONS} THEN 0 ELSE 1 END AS INTEGER) AS parking_spaces, {COORD_SQL}, {AMENITIES} AS amenities" + FROM_LISTING,
+)
 def q_page_extract(spark, d):
-    out = page_extract(_pages(spark, d))
-    return out.withColumn("amenities", F.array_join("amenities", "|"))
+    return page_extract(a_listing_page(spark, d)).withColumn("amenities", F.array_join("amenities", "|"))
 
 
-@register("html_element_map", f"SELECT page_id, {ELEMENT_SQL} FROM pages")
+@register(
+    "html_element_map",
+    with_views("a_listing") + "SELECT c_custkey AS page_id, " + ", ".join(f"{e} AS {n}" for n, e in ELEMENT_SQL.items()) + FROM_LISTING,
+)
 def q_html_element_map(spark, d):
-    return _pages(spark, d).select("page_id", *H.element_map(F.col("html")))
+    return a_listing_page(spark, d).select("page_id", *H.element_map(F.col("html")))
 
 
-@register("html_meta", f"SELECT page_id, {_sql_title('title')} AS title, {META_SQL} FROM pages")
+@register("html_meta", with_views("a_listing") + f"SELECT c_custkey AS page_id, 'Home & ' || ContractNumber AS title, {META_SQL}" + FROM_LISTING)
 def q_html_meta(spark, d):
-    from dimetl.functions.text import remove_unicode
-
     h = F.col("html")
-    return _pages(spark, d).select("page_id", remove_unicode(H.tag_text(h, "title")).alias("title"), *H.meta_map(h))
+    return a_listing_page(spark, d).select("page_id", remove_unicode(H.tag_text(h, "title")).alias("title"), *H.meta_map(h))
 
 
-@register("html_label_value", f"SELECT page_id, {LABEL_SQL} FROM pages")
+@register(
+    "html_label_value",
+    with_views("a_listing")
+    + f"SELECT c_custkey AS page_id, CASE WHEN {ICONS} THEN NULL ELSE {SQL_PRICE} END AS price, "
+    f"CASE WHEN {ICONS} THEN NULL ELSE 'Arrendamento' END AS listing_type, CASE WHEN {ICONS} THEN NULL ELSE {ENERGY} END AS energy_certificate, "
+    f"CASE WHEN {ICONS} THEN NULL ELSE CAST(c_custkey % 4 + 1 AS INTEGER) END AS parking_spaces" + FROM_LISTING,
+)
 def q_html_label_value(spark, d):
-    return _pages(spark, d).select("page_id", *H.label_values(F.col("html")))
+    return a_listing_page(spark, d).select("page_id", *H.label_values(F.col("html")))
 
 
-@register("html_indicators", f"SELECT page_id, {INDICATOR_SQL} FROM pages")
+@register(
+    "html_indicators",
+    with_views("a_listing")
+    + f"SELECT c_custkey AS page_id, CASE WHEN {ICONS} THEN Bedrooms END AS bedrooms, CASE WHEN {ICONS} THEN Bathrooms END AS bathrooms, "
+    f"CASE WHEN {ICONS} THEN CAST(c_custkey % 4 AS VARCHAR) END AS parking_spaces, CASE WHEN {ICONS} THEN {ENERGY} END AS energy_certificate_icon"
+    + FROM_LISTING,
+)
 def q_html_indicators(spark, d):
-    return _pages(spark, d).select("page_id", *H.indicators(F.col("html")))
+    return a_listing_page(spark, d).select("page_id", *H.indicators(F.col("html")))
 
 
-@register("extract_coords", f"SELECT page_id, {COORD_SQL} FROM pages")
+@register("extract_coords", with_views("a_listing") + f"SELECT c_custkey AS page_id, {COORD_SQL}" + FROM_LISTING)
 def q_extract_coords(spark, d):
-    return _pages(spark, d).select("page_id", *H.coordinates(F.col("html")))
+    return a_listing_page(spark, d).select("page_id", *H.coordinates(F.col("html")))
+
+
+@register(
+    "amenity_array",
+    with_views("a_listing")
+    + f"SELECT c_custkey AS page_id, CAST(CASE WHEN {ICONS} THEN 0 ELSE 2 END AS INTEGER) AS n_items, {AMENITIES} AS items_text" + FROM_LISTING,
+)
+def q_amenity_array(spark, d):
+    items = H.amenities(F.col("html"))
+    return a_listing_page(spark, d).select("page_id", F.size(items).alias("n_items"), F.array_join(items, "|").alias("items_text"))
 
 
 SQL_LINKS = (
@@ -175,19 +128,6 @@ def q_absolute_url(spark, d):
     )
 
 
-@register(
-    "amenity_array",
-    "SELECT page_id, CAST(len(l) AS INTEGER) AS n_items, array_to_string(list_transform(l, lambda x: "
-    + sql_strip_tags("x") + "), '|') AS items_text FROM (SELECT page_id, regexp_extract_all(html, '<li>([\\s\\S]*?)</li>', 1) AS l FROM pages)",
-)
-def q_amenity_array(spark, d):
-    items = H.list_items(F.col("html"))
-    return _pages(spark, d).select(
-        "page_id", F.size(items).alias("n_items"),
-        F.array_join(F.transform(items, lambda x: strip_tags(x)), "|").alias("items_text"),
-    )
-
-
 @register("strip_tags", "SELECT page_id, " + sql_strip_tags("html") + " AS text FROM pages")
 def q_strip_tags(spark, d):
     return _pages(spark, d).select("page_id", strip_tags("html").alias("text"))

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from dimetl.sources.pages import page_extract, page_links
 
 # Listing page as described in FIXTURES.md section 5 (invented sample).
@@ -46,3 +48,32 @@ def test_malformed_page_gives_nulls(spark):
     rows = page_extract(df).collect()
     for r in rows:
         assert r["price"] is None and r["latitude"] is None and r["title"] is None
+
+
+def test_odd_markup(spark):
+    from dimetl.functions import html as H
+
+    page = (
+        "<title>A &amp; B</title><h1>A <b>B</b></h1><meta content='c' property='og:title'>"
+        "<ul class='x caret-list'><li>Vista: <strong>Bom estado geral</strong><li class=\"y\">Estado: <strong>Venda</strong></li></ul>"
+    )
+    h = F.lit(page)
+    r = spark.range(1).select(
+        H.tag_text(h, "title").alias("t"), H.tag_text(h, "h1").alias("h"), H.meta_content(h, "og:title").alias("m"),
+        H.label_value(H.details(h), "Estado").alias("e"),
+    ).first()
+    assert (r["t"], r["h"], r["m"], r["e"]) == ("A & B", "A B", "c", "Venda")
+
+
+def test_index_page_links(spark):
+    from dimetl.functions import html as H
+    from dimetl.sources.pages import index_links
+
+    page = (
+        "<a id='logo' href='/home'>x</a><table id='ctl00_ContentPlaceHolder1_DataList_imoveis'><a id='l1' href='/a'>1</a>"
+        "<a href='/no-id'>2</a><a href=\"/b\" id=\"l2\">3</a></table><a id='ctl00_ContentPlaceHolder1_lnkNext' href='/p2'>next</a>"
+    )
+    df = spark.createDataFrame([(1, page), (2, "<p>none</p>"), (3, None)], "page_id long, html string")
+    got = [(r["page_id"], r["listing_url"]) for r in index_links(df, "http://s").orderBy("link_pos").collect()]
+    assert got == [(1, "http://s/a"), (1, "http://s/b")]
+    assert [r["n"] for r in df.orderBy("page_id").select(H.next_page("html").alias("n")).collect()] == ["/p2", None, None]
