@@ -52,10 +52,9 @@ def run_song_star(
     song_root: str,
     log_root: str,
     out_root: str,
-    variant: str = "lookup",
-    weekday_convention: str = "sunday0",
+    variant: str | SP.StarRules = "lookup",
 ) -> dict[str, str]:
-    """Build and write the song-play star schema; returns table -> path."""
+    """Build and write the song-play star schema of one model (``songplays.RULES``); returns table -> path."""
     if not song_root or not log_root or not out_root:
         raise ValueError("run_song_star needs song_root, log_root and out_root")
     out = out_root.rstrip("/")
@@ -65,9 +64,6 @@ def run_song_star(
     songs_raw, log = spark.read.parquet(songs_path), spark.read.parquet(log_path)
 
     tables = SP.star_schema(log, songs_raw, variant)
-    tables["time"] = SP.time_table(
-        tables["songplays"] if variant == "left" else filter_plays(log), weekday_convention
-    )
     paths = {name: f"{out}/{name}" for name in tables}
     # Five independent sinks: submitted as concurrent jobs.
     W.run_writes(

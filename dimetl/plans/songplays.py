@@ -14,10 +14,15 @@ Three fact variants (the models disagree, so the difference is a parameter):
             without a match kept with NULL ids;
 ``inner``   inner join on (title, artist name), fan-out kept, plays de-duplicated;
 ``left``    left join on (title, artist name, duration), fan-out kept.
+
+The dimension rules that go with them are ``StarRules``; ``RULES`` has the four
+models: ``relational``, ``warehouse``, ``lake`` and ``orchestrated``.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,22 +39,51 @@ FACT_COLUMNS = [
 PLAY_ORDER = ["start_time", "session_id", "item_in_session"]
 
 
+@dataclass(frozen=True)
+class StarRules:
+    """How one model builds its fact and dimensions."""
+
+    variant: str
+    latest_level: bool = False  # one row per user with the last level, or the distinct tuples
+    users_from_plays: bool = True  # or from every event
+    first_wins: bool = False  # songs and artists: first row per id, or the distinct rows
+    artist_year: bool = False
+    time_from: str = "plays"  # "plays", "events", or "fact" (one row per fact row)
+    weekday: str = "sunday0"
+
+
+RULES: dict[str, StarRules] = {
+    "relational": StarRules("lookup", latest_level=True, first_wins=True, weekday="name"),
+    "warehouse": StarRules("inner", users_from_plays=False, time_from="events"),
+    "lake": StarRules("inner", artist_year=True, weekday="sunday1"),
+    "orchestrated": StarRules("left", time_from="fact"),
+}
+#: Rules that a bare fact variant stands for.
+_BY_VARIANT = {
+    "lookup": StarRules("lookup", latest_level=True, first_wins=True),
+    "inner": StarRules("inner"),
+    "left": StarRules("left"),
+}
+
+
 def songs_table(songs: DataFrame, first_wins: bool = True) -> DataFrame:
     out = songs.select("song_id", "title", "artist_id", "year", "duration")
     out = filter_not_null(out, "song_id")
     return first_per_key(out, ["song_id"], ["title", "artist_id", "year", "duration"]) if first_wins else out.distinct()
 
 
-def artists_table(songs: DataFrame, first_wins: bool = True) -> DataFrame:
+def artists_table(songs: DataFrame, first_wins: bool = True, with_year: bool = False) -> DataFrame:
+    year = ["year"] if with_year else []
     out = songs.select(
         "artist_id",
         F.col("artist_name").alias("name"),
         F.col("artist_location").alias("location"),
         F.col("artist_latitude").alias("latitude"),
         F.col("artist_longitude").alias("longitude"),
+        *year,
     )
     out = filter_not_null(out, "artist_id")
-    return first_per_key(out, ["artist_id"], ["name", "location", "latitude", "longitude"]) if first_wins else out.distinct()
+    return first_per_key(out, ["artist_id"], ["name", "location", "latitude", "longitude", *year]) if first_wins else out.distinct()
 
 
 def users_table(log: DataFrame, latest_level: bool = True, plays_only: bool = True, existing: DataFrame | None = None) -> DataFrame:
@@ -64,8 +98,9 @@ def users_table(log: DataFrame, latest_level: bool = True, plays_only: bool = Tr
     return dim_distinct(src, ["user_id", "first_name", "last_name", "gender", "level"])
 
 
-def time_table(frame: DataFrame, weekday_convention: str = "sunday0", ts_col: str = "start_time") -> DataFrame:
-    return filter_not_null(frame.select(ts_col), ts_col).distinct().select(*time_parts(ts_col, weekday_convention))
+def time_table(frame: DataFrame, weekday_convention: str = "sunday0", ts_col: str = "start_time", distinct: bool = True) -> DataFrame:
+    rows = filter_not_null(frame.select(ts_col), ts_col)
+    return (rows.distinct() if distinct else rows).select(*time_parts(ts_col, weekday_convention))
 
 
 def song_lookup(songs: DataFrame, artists: DataFrame | None = None) -> DataFrame:
@@ -122,16 +157,20 @@ def songplays(plays_log: DataFrame, songs: DataFrame, variant: str = "lookup") -
     )
 
 
-def star_schema(plays_log: DataFrame, songs_raw: DataFrame, variant: str = "lookup") -> dict[str, DataFrame]:
-    """All five tables of one variant (lazy frames)."""
-    songs = songs_table(songs_raw, first_wins=variant == "lookup")
-    artists = artists_table(songs_raw, first_wins=variant == "lookup")
-    lookup = song_lookup(songs, artists) if variant == "lookup" else song_rows(songs_raw)
-    fact = songplays(plays_log, lookup, variant)
+def star_schema(plays_log: DataFrame, songs_raw: DataFrame, variant: str | StarRules = "lookup") -> dict[str, DataFrame]:
+    """All five tables (lazy frames) of one model: a name of ``RULES``, a fact variant, or rules of one's own."""
+    rules = variant if isinstance(variant, StarRules) else {**_BY_VARIANT, **RULES}.get(variant)
+    if rules is None:
+        raise ValueError(f"unknown star variant {variant!r}")
+    songs = songs_table(songs_raw, rules.first_wins)
+    artists = artists_table(songs_raw, rules.first_wins, rules.artist_year)
+    lookup = song_lookup(songs, artists) if rules.variant == "lookup" else song_rows(songs_raw)
+    fact = songplays(plays_log, lookup, rules.variant)
+    times = {"plays": filter_plays(plays_log), "events": plays_log, "fact": fact}[rules.time_from]
     return {
         "songplays": fact,
-        "users": users_table(plays_log, latest_level=variant == "lookup"),
+        "users": users_table(plays_log, rules.latest_level, rules.users_from_plays),
         "songs": songs,
         "artists": artists,
-        "time": time_table(fact if variant == "left" else filter_plays(plays_log)),
+        "time": time_table(times, rules.weekday, distinct=rules.time_from != "fact"),
     }

@@ -421,3 +421,50 @@ def q_temp_view_query(spark, d):
         a_play(spark, d), "plays_log",
         "SELECT user_id, count(*) AS n_plays, count(DISTINCT session_id) AS n_sessions FROM plays_log WHERE page = 'NextSong' GROUP BY user_id",
     )
+
+
+# ------------------------------------------- dimension rules of the models
+
+PLAY_TIME = "CAST(hour(start_time) AS INTEGER) AS hour, CAST(day(start_time) AS INTEGER) AS day, CAST(week(start_time) AS INTEGER) AS week, CAST(month(start_time) AS INTEGER) AS month, CAST(year(start_time) AS INTEGER) AS year"
+
+
+def _star(spark, d, model):
+    return SP.star_schema(a_play(spark, d), a_song(spark, d), model)
+
+
+@register(
+    "star_users_warehouse",
+    with_views("a_play") + "SELECT DISTINCT user_id, first_name, last_name, gender, level FROM a_play WHERE user_id IS NOT NULL",
+)
+def q_star_users_warehouse(spark, d):
+    """Distinct user tuples of every page view."""
+    return _star(spark, d, "warehouse")["users"]
+
+
+@register(
+    "star_time_warehouse",
+    with_views("a_play") + f"SELECT start_time, {PLAY_TIME}, CAST(dayofweek(start_time) AS INTEGER) AS weekday FROM (SELECT DISTINCT start_time FROM a_play)",
+)
+def q_star_time_warehouse(spark, d):
+    """Time rows of every event."""
+    return _star(spark, d, "warehouse")["time"]
+
+
+@register(
+    "star_artists_lake",
+    with_views("a_song")
+    + "SELECT DISTINCT artist_id, artist_name AS name, artist_location AS location, artist_latitude AS latitude, artist_longitude AS longitude, year "
+    "FROM a_song WHERE artist_id IS NOT NULL",
+)
+def q_star_artists_lake(spark, d):
+    """Distinct artist rows with the year of their songs."""
+    return _star(spark, d, "lake")["artists"]
+
+
+@register(
+    "star_time_orchestrated",
+    f"SELECT start_time, {PLAY_TIME}, CAST(dayofweek(start_time) AS INTEGER) AS weekday FROM ({_star_left_sql()})",
+)
+def q_star_time_orchestrated(spark, d):
+    """One time row per fact row."""
+    return _star(spark, d, "orchestrated")["time"]
