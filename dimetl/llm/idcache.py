@@ -10,12 +10,13 @@ import numpy as np
 class IdCache:
     """Ids of word lists through the ids of each distinct word.
 
-    ``learn`` maps a list of new words to their id lists.  When the cache would
+    ``learn`` maps a list of new words to their ids, one array in a row, and the
+    number of ids of each word.  When the cache would
     hold over ``max_words`` words it starts anew, so memory stays bounded and
     results never depend on what it holds.
     """
 
-    def __init__(self, learn: Callable[[list], list], max_words: int = 500_000):
+    def __init__(self, learn: Callable[[list], tuple[np.ndarray, np.ndarray]], max_words: int = 500_000):
         self.learn, self.max_words = learn, max_words
         self._clear()
 
@@ -26,9 +27,7 @@ class IdCache:
         self.words, self.used = 0, 0
 
     def _add(self, words: list) -> None:
-        found = self.learn(words)
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.concatenate([np.asarray(f, np.uint32) for f in found]) if len(found) else np.zeros(0, np.uint32)
+        flat, sizes = self.learn(words)
         while self.used + len(flat) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         while self.words + len(words) + 1 > len(self.start):

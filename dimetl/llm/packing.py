@@ -17,6 +17,7 @@ import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -37,6 +38,14 @@ MAX_MOVES = 2000
 
 # --------------------------------------------------------------- tokens
 
+#: Class of each byte for splitting words as the tokenizer does: letters, single digits, runs of other signs.
+_LETTER, _DIGIT, _SIGN = 1, 2, 3
+_CLASS = np.full(256, _SIGN, np.uint8)
+_CLASS[[*range(ord("a"), ord("z") + 1), *range(ord("A"), ord("Z") + 1), *range(128, 256)]] = _LETTER
+_CLASS[list(range(ord("0"), ord("9") + 1))] = _DIGIT
+_CLASS[ord(" ")] = 0
+
+
 class WordEncoder:
     """Token ids of texts through a bounded cache of the ids of words.
 
@@ -48,17 +57,52 @@ class WordEncoder:
     one of its special tokens, whose spelling is case-sensitive.
     """
 
-    def __init__(self, path: str, max_words: int = 500_000):
+    def __init__(self, path: str, max_words: int = 800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.is_last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.is_last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.cache = IdCache(self._learn, max_words)
 
-    def _learn(self, words: list[bytes]) -> list[list[int]]:
-        texts = [w.decode("utf-8", "replace") for w in words]
+    def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _learn(self, words: list[bytes], at_once: int = 64) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of new words and their counts.
+
+        Plain words (ASCII signs and Latin-1 letters, no apostrophe or ``<``)
+        are encoded many to a string; the number of parts the tokenizer splits
+        each into tells where its ids end, as a part's last id alone ends a
+        word.  Other words are encoded one by one.
+        """
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        starts = np.cumsum(sizes + 1) - sizes - 1
+        data = np.frombuffer(b" ".join(words), np.uint8)
+        before = np.concatenate([[np.uint8(32)], data[:-1]])
+        kind = _CLASS[data]
+        begins = (kind != 0) & ((kind != _CLASS[before]) | (kind == _DIGIT))
+        latin = (data == 0xC3) | ((before == 0xC3) & (data >= 0x80) & (data < 0xC0) & (data != 0x97) & (data != 0xB7))
+        strange = ((data >= 0x7F) & ~latin) | (data < 0x20) | (data == ord("'")) | (data == ord("<"))
+        plain = np.add.reduceat(strange.astype(np.int64), starts) == 0
+        parts = np.add.reduceat(begins.astype(np.int64), starts)[plain]
+        text = [w.decode("utf-8") for w, p in zip(words, plain.tolist(), strict=True) if p]
+        joined = self._ids([" ".join(text[i : i + at_once]) for i in range(0, len(text), at_once)])
+        flat = np.fromiter(chain.from_iterable(joined), np.uint32)
+        ends = np.flatnonzero(self.is_last[flat]) + 1
+        if len(ends) != parts.sum():
+            raise ValueError("the tokenizer splits words in another way than this cache expects")
+        odd = self._ids([w.decode("utf-8", "replace") for w, p in zip(words, plain.tolist(), strict=True) if not p])
+        counts = np.zeros(len(words), np.int64)
+        counts[plain] = np.diff(ends[np.cumsum(parts) - 1], prepend=0)
+        counts[~plain] = list(map(len, odd))
+        out = np.zeros(counts.sum(), np.uint32)
+        own = np.repeat(plain, counts)
+        out[own], out[~own] = flat, np.fromiter(chain.from_iterable(odd), np.uint32)
+        return out, counts
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, without special tokens added."""
         split = []

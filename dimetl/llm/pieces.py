@@ -145,7 +145,11 @@ class PieceEncoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         return self.cache.encode([self._words(t) for t in texts])
 
-    def _learn(self, words: list[str]) -> list[list[int]]:
+    def _learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = self._learn_lists(words)
+        return np.array([i for ids in found for i in ids], np.uint32), np.array([len(ids) for ids in found], np.int64)
+
+    def _learn_lists(self, words: list[str]) -> list[list[int]]:
         out, part, chars = [], [], 0
         for w in words:
             part.append(SPACE + w.replace(" ", SPACE))
