@@ -21,8 +21,8 @@ from __future__ import annotations
 
 import json
 import zlib
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Callable, Iterator
+from functools import lru_cache, partial
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -55,10 +55,33 @@ _HEADER_WORDS = frozenset(("header", "masthead"))
 _CONTAINERS = frozenset("#root html body div section main article td table tbody tr center".split())
 
 
-def is_noise(tag: str, words, in_article: bool) -> bool:
-    if tag in _NOISE_TAGS or not _NOISE_WORDS.isdisjoint(words):
+#: Never noise by their words: a page's body or article may carry words of what else it holds.
+_WHOLE = frozenset(("html", "body", "article", "main"))
+_MAIN = frozenset(("article", "main"))
+
+
+def is_noise(tag: str, words, in_article: bool, holds_main: Callable[[], bool]) -> bool:
+    """Whether an element is a zone that is never the article.
+
+    Zones told by words, forms and page headers are not noise if they hold an
+    article or main element (``holds_main``): they are wrapped around the page.
+    """
+    if tag in _WHOLE:
+        return False
+    if tag in _NOISE_TAGS and tag != "form":
         return True
-    return not in_article and (tag == "header" or not _HEADER_WORDS.isdisjoint(words))
+    found = tag == "form" or not _NOISE_WORDS.isdisjoint(words)
+    if not in_article and not found:
+        found = tag == "header" or not _HEADER_WORDS.isdisjoint(words)
+    return found and not holds_main()
+
+
+def _holds_main(node: Node) -> bool:
+    return any(not isinstance(c, str) and (c.tag in _MAIN or _holds_main(c)) for c in node.children)
+
+
+def _shape_holds_main(t: list) -> bool:
+    return any(k[LABEL].split(".")[0] in _MAIN or _shape_holds_main(k) for k in t[KIDS])
 
 
 # --------------------------------------------------------------- shapes and templates
@@ -162,7 +185,7 @@ def wrapper_of(template: list, min_support: int = MIN_SUPPORT, majority: float =
 
     def noise(t: list, in_article: bool) -> bool:
         tag, *words = t[LABEL].split(".")
-        return is_noise(tag, words, in_article)
+        return is_noise(tag, words, in_article, lambda: _shape_holds_main(t))
 
     def constant(t: list) -> bool:
         return t[TEXT] is not None and t[TEXT] != -1 and t[PAGES] >= max(min_support, pages / 2)
@@ -216,7 +239,7 @@ def _collect(node: Node, roles: list, blocks: list[list[str]], in_article: bool,
         own = roles[1][kid] if kid < len(roles[1]) else [0, []]
         if child.tag in ("br", "td", "th"):
             blocks[-1].append(" ")
-        if child.hidden or is_noise(child.tag, child.words, in_article):
+        if child.hidden or is_noise(child.tag, child.words, in_article, partial(_holds_main, child)):
             continue
         block = child.tag in BLOCK
         if block:
@@ -235,7 +258,7 @@ def _contents(node: Node, roles: list, depth: int = 0) -> list[tuple[Node, list,
         if isinstance(child, str) or depth >= MAX_DEPTH:
             continue
         kid = place.setdefault(child.label, len(place))
-        if not child.hidden and not is_noise(child.tag, child.words, False) and kid < len(roles[1]):
+        if not child.hidden and not is_noise(child.tag, child.words, False, partial(_holds_main, child)) and kid < len(roles[1]):
             out += _contents(child, roles[1][kid], depth + 1)
     return out
 

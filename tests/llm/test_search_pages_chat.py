@@ -112,6 +112,8 @@ def test_tree_matching_keeps_order_and_counts():
 @pytest.mark.parametrize(("html", "text"), [
     (None, ""), ("", ""), ("plain &lt; text", "plain < text"), ("<p>a<p>b<br>c", "a\nb c"), ("<table><tr><td>a<td>b<tr><td>c</table>", "a b\nc"),
     ("<div>" * 3000 + "deep", "deep"), ("<script>x", ""), ("<!-- a --><p>b</p><!-- c", "b"), ('<p title="a>b">q</p>', "q"), ("<p>x\xa0 \t y</p>", "x y"),
+    ('<body class="has-sidebar"><div class="content with-sidebar"><article class="comments-open"><p>yes</article></div><div class="sidebar">no', "yes"),
+    ("<form id=f><main>yes</main></form><form>no</form>", "yes"),
     ('<div style="display:none">no</div><p>yes', "yes"), ("<ul><li>a<li>b</ul>", "a\nb"), ("<article><header><h1>T</h1></header>x</article>", "T\nx"),
 ])
 def test_broken_and_odd_markup(html, text):
