@@ -31,7 +31,14 @@ from dimetl.llm.idcache import IdCache
 
 SPACE = "▁"
 #: Characters of new words that are indexed at once.
-INDEX_CHARS = 1 << 21
+INDEX_CHARS = 1 << 18
+#: Leads a word that follows the one before it without a space.
+JOINED = "\x02"
+#: Letters and signs between which texts are cut where the vocabulary never joins them.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_SIGNS = "\n.,!?;:*%&$#|()\"'-_/=+"
+#: Slots of the table of pairs of pieces known to fit or not.
+PAIR_SLOTS = 1 << 21
 
 
 class Vocabulary:
@@ -59,6 +66,13 @@ class Vocabulary:
         #: No merge crosses from a word to the next if a space only leads pieces.
         self.words_apart = not any(SPACE in p.lstrip(SPACE) for p in self.id_of)
         self.depth = max(map(len, self.id_of))
+        joined = {p[i : i + 2] for p in self.id_of for i in range(len(p) - 1)}
+        letter = re.compile(f"[{_LETTERS}]")
+        apart = [c for c in _SIGNS if not any(j[1] == c and letter.match(j[0]) for j in joined)]
+        cuts = [f"(?<=[{_LETTERS}])(?=[{re.escape(''.join(apart))}])"] if apart else []
+        cuts += [] if any("\n" in p for p in self.id_of) else [r"(?<=\n)(?=[^ ])"]
+        #: Places inside a text that no merge crosses, besides the spaces.
+        self.cuts = re.compile("|".join(cuts) or "(?!)")
 
     def merged(self, text: str) -> list[str]:
         """Encoding by merges: the best-ranked adjacent pair first, the leftmost of equals."""
@@ -116,7 +130,9 @@ class PieceEncoder:
     def __init__(self, path: str, max_words: int = 400_000):
         self.vocabulary = v = Vocabulary(path)
         self.cache = IdCache(self._learn, max_words)
-        self.fits: dict[int, bool] = {}
+        # Direct-mapped table of checked pairs: a slot holds the last pair that fell into it.
+        self.pair_key = np.full(PAIR_SLOTS, -1, np.int64)
+        self.pair_fits = np.zeros(PAIR_SLOTS, bool)
         ids = sorted(v.id_of.values())
         self.sizes = np.array([len(v.pieces[i]) for i in ids])
         self.ids = np.array(ids)
@@ -126,13 +142,14 @@ class PieceEncoder:
         # Decoding table: text of each id; bytes are put together separately.
         self.texts = np.array(["" if i in v.silent else p.replace(SPACE, " ") for i, p in enumerate(v.pieces)], object)
         self.texts[v.unknown] = " ⁇ "
+        self.byte_ids = np.array([v.byte_id[b] for b in range(256)])
         self.is_byte = np.zeros(v.size, bool)
         self.is_byte[list(v.byte_of)] = True
 
     # ----------------------------------------------------------- encoding
 
     def _words(self, text: str) -> list[str]:
-        """Words whose joined text, with a space before each, is the text; merges never leave a word."""
+        """Words whose joined text, with a space before each but the joined ones, is the text; no merge leaves a word."""
         if not text:
             return []
         text = text.replace(SPACE, " ")
@@ -140,53 +157,85 @@ class PieceEncoder:
             return [text]
         if "  " in text or text[0] == " " or text[-1] == " ":
             return [w[1:] for w in re.findall(" +[^ ]+| +", " " + text)]
-        return text.split(" ")
+        return self.vocabulary.cuts.sub(" " + JOINED, text).split(" ")
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return self.cache.encode([self._words(t) for t in texts])
+        out = self.cache.encode([self._words(t) if JOINED not in t else [] for t in texts])
+        for n, t in enumerate(texts):
+            if JOINED in t:  # the mark itself is in the text: one word, past the cache
+                out[n] = self._encode_words([SPACE + t.replace(" ", SPACE)])[0]
+        return out
 
     def _learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = self._learn_lists(words)
-        return np.array([i for ids in found for i in ids], np.uint32), np.array([len(ids) for ids in found], np.int64)
-
-    def _learn_lists(self, words: list[str]) -> list[list[int]]:
-        out, part, chars = [], [], 0
-        for w in words:
-            part.append(SPACE + w.replace(" ", SPACE))
+        ids, sizes, part, chars = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)], [], 0
+        for n, w in enumerate(words):
+            part.append(w[1:] if w[:1] == JOINED else SPACE + w.replace(" ", SPACE))
             chars += len(part[-1]) + 1
-            if chars >= INDEX_CHARS:
-                out += self._encode_words(part)
+            if chars >= INDEX_CHARS or n == len(words) - 1:
+                found, counts = self._encode_words(part)
+                ids.append(found)
+                sizes.append(counts)
                 part, chars = [], 0
-        return out + self._encode_words(part) if part else out
+        return np.concatenate(ids), np.concatenate(sizes)
 
-    def _encode_words(self, words: list[str]) -> list[list[int]]:
+    def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         joined = "\0".join(words) + "\0"
-        codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).copy()
+        codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         stops = np.cumsum(sizes + 1) - 1
         starts = stops - sizes
-        # A NUL inside a word must not look like the separator: both are outside the vocabulary, so any such code does.
+        # All edges: the ranges of suffixes that start with each piece.
         suffixes = suffix_array(codes, self.vocabulary.depth)
         low, high = occurrence_ranges(codes, suffixes, self.patterns, self.sizes)
-        counts = high - low
-        hit = np.flatnonzero(counts)
-        counts = counts[hit]
+        hit = np.flatnonzero(high > low)
+        counts = (high - low)[hit]
         within = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-        begin = suffixes[np.repeat(low[hit], counts) + within]
-        piece = np.repeat(self.ids[hit], counts)
-        size = np.repeat(self.sizes[hit], counts)
+        begin = suffixes[np.repeat(low[hit], counts) + within].astype(np.int32)
+        piece = np.repeat(self.ids[hit], counts).astype(np.int32)
+        size = np.repeat(self.sizes[hit], counts).astype(np.int32)
+        # Characters that are no piece get an edge of their own.
         covered = np.zeros(len(codes), bool)
         covered[begin[size == 1]] = True
         covered[stops] = True
-        lone = np.flatnonzero(~covered)
-        unknown = self.vocabulary.size
+        lone = np.flatnonzero(~covered).astype(np.int32)
         begin = np.concatenate([begin, lone])
-        piece = np.concatenate([piece, np.full(len(lone), unknown)])
-        size = np.concatenate([size, np.ones(len(lone), np.int64)])
-        end = begin + size
-        # By end position, longest edge first.
-        order = np.argsort(end * 64 - size, kind="stable")
-        return self._relax(begin[order].tolist(), end[order].tolist(), piece[order].tolist(), starts.tolist(), stops.tolist(), codes)
+        end = np.concatenate([begin[: len(size)] + size, lone + 1])
+        piece = np.concatenate([piece, np.full(len(lone), self.vocabulary.size, np.int32)])
+        last, previous = self._relax(begin, end, piece, starts, sizes, len(codes))
+        return self._read_back(last, previous, starts, stops, codes)
+
+    def _relax(self, begin: np.ndarray, end: np.ndarray, piece: np.ndarray, starts: np.ndarray, sizes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Last piece before each position and where it begins; all words advance together, by end position."""
+        origin = np.repeat(starts, sizes + 1)
+        place = end - origin[begin]  # position in the word
+        order = np.argsort(place.astype(np.uint16) if sizes.max(initial=0) < 1 << 16 else place, kind="stable")
+        begin, end, piece = begin[order], end[order], piece[order]
+        bounds = np.flatnonzero(np.diff(place[order], prepend=-1))
+        last, previous = np.full(n + 1, -1, np.int64), np.zeros(n + 1, np.int64)
+        last[starts] = self.vocabulary.size + 1
+        for a, b in zip(bounds, [*bounds[1:], len(order)], strict=True):
+            fit = a + np.flatnonzero(self._fits(last[begin[a:b]], piece[a:b]))
+            last[end[fit]] = piece[fit]
+            previous[end[fit]] = begin[fit]
+        return last, previous
+
+    def _fits(self, last: np.ndarray, piece: np.ndarray) -> np.ndarray:
+        """Whether each piece can follow the last one; unknown pairs are checked once and kept."""
+        base = self.vocabulary.size + 2
+        keys = last * base + piece
+        slots = (keys * 0x9E3779B1 >> 7) & (PAIR_SLOTS - 1)
+        fits, known = self.pair_fits[slots], self.pair_key[slots] == keys
+        if not known.all():
+            miss = np.flatnonzero(~known)
+            new, where = np.unique(keys[miss], return_inverse=True)
+            found = np.array([self._fit(k // base, k % base) for k in new.tolist()], bool)
+            fits[miss] = found[where]
+            new_slots = (new * 0x9E3779B1 >> 7) & (PAIR_SLOTS - 1)
+            self.pair_key[new_slots] = new
+            # Of new pairs that share a slot the last one written holds it; its answer goes with it.
+            held = self.pair_key[new_slots] == new
+            self.pair_fits[new_slots[held]] = found[held]
+        return fits
 
     def _fit(self, last: int, piece: int) -> bool:
         """Whether ``piece`` can follow ``last``: merges over the joined text leave both as they are."""
@@ -199,36 +248,29 @@ class PieceEncoder:
             return v.merged(v.pieces[piece]) == [v.pieces[piece]]
         return v.merged(v.pieces[last] + v.pieces[piece]) == [v.pieces[last], v.pieces[piece]]
 
-    def _relax(self, begin: list, end: list, piece: list, starts: list, stops: list, codes: np.ndarray) -> list[list[int]]:
-        v, fits = self.vocabulary, self.fits
-        base = v.size + 2
-        last = [-1] * (len(codes) + 1)
-        for s in starts:
-            last[s] = v.size + 1
-        previous = [0] * (len(codes) + 1)
-        for s, e, p in zip(begin, end, piece, strict=True):
-            if last[e] >= 0:
-                continue
-            key = last[s] * base + p
-            fit = fits.get(key)
-            if fit is None:
-                fit = fits[key] = self._fit(last[s], p)
-            if fit:
-                last[e], previous[e] = p, s
-        out = []
-        for s, e in zip(starts, stops, strict=True):
-            ids: list[int] = []
-            while e > s:
-                if last[e] == v.size:
-                    raw = chr(codes[e - 1]).encode("utf-8", "replace")
-                    ids.extend(v.byte_id[b] for b in reversed(raw))
-                else:
-                    ids.append(last[e])
-                e = previous[e]
-            out.append(ids[::-1])
-        if len(fits) > 4_000_000:
-            fits.clear()
-        return out
+    def _read_back(self, last: np.ndarray, previous: np.ndarray, starts: np.ndarray, stops: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words in a row and their counts; characters outside the vocabulary as byte pieces."""
+        at = []
+        here = stops.copy()
+        live = np.flatnonzero(here > starts)
+        while len(live):
+            at.append(here[live])
+            here[live] = previous[here[live]]
+            live = live[here[live] > starts[live]]
+        ends = np.sort(np.concatenate(at)) if at else np.zeros(0, np.int64)
+        ids = last[ends]
+        outside = ids == self.vocabulary.size
+        code = np.where(outside, codes[ends - 1], 0).astype(np.int64)
+        width = 1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000)
+        flat = np.repeat(ids, width)
+        first = np.cumsum(width) - width
+        for k in range(4):
+            some = np.flatnonzero(outside & (width > k))
+            lead = np.array([0, 0, 0xC0, 0xE0, 0xF0])[width[some]] if k == 0 else 0x80
+            bits = code[some] >> (6 * (width[some] - 1 - k)) & np.where(k == 0, 0xFF, 0x3F)
+            flat[first[some] + k] = self.byte_ids[lead | bits]
+        word = np.searchsorted(stops, ends)
+        return flat.astype(np.uint32), np.bincount(word, weights=width, minlength=len(stops)).astype(np.int64)
 
     # ----------------------------------------------------------- decoding
 
@@ -269,8 +311,8 @@ def _encode_batches(path: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = _encoder(path)
         for batch in batches:
-            for i in range(0, len(batch), 2048):
-                part = batch.iloc[i : i + 2048]
+            for i in range(0, len(batch), 512):
+                part = batch.iloc[i : i + 512]
                 yield pd.DataFrame({
                     "doc_id": part["doc_id"].astype("Int64").to_numpy(dtype=object, na_value=None),
                     "ids": [x.astype(np.int32) for x in encoder.encode(part["text"].tolist())],

@@ -206,7 +206,7 @@ def test_neighbours_are_exact():
 
 # --------------------------------------------------------------- pieces
 
-ODD = ["", " ", "a ", " a", "a  b", "\n", "x\n\ny", "▁a▁▁b", "日本語 テスト", "ﬁ Ａ é", "\x00a", "aaaaaaaaaaaaaaa", "    def f(x):\n        return x**2", "😀😀 <s> </s> <0x0A>", "the" * 90, " " * 70]
+ODD = ["", " ", "a ", " a", "a  b", "\n", "x\n\ny", "▁a▁▁b", "日本語 テスト", "ﬁ Ａ é", "\x00a", "aaaaaaaaaaaaaaa", "    def f(x):\n        return x**2", "😀😀 <s> </s> <0x0A>", "a\x02b, c", "\x02x", "ab,cd.\nEf\n\ng e.g. don't it's U.S. x=y(z)", "the" * 90, " " * 70]
 
 
 @pytest.fixture(scope="module")
