@@ -30,3 +30,15 @@ def text_or_empty(column: str = "text") -> Column:
 
 def id_col(column: str) -> Column:
     return F.col(f"`{column}`").cast("long")
+
+
+def hash_sample(df: DataFrame, key: Column, limit: int, spread: int = 40) -> DataFrame:
+    """The rows of ``df`` among which some ``spread * limit`` have the smallest hashes ``key`` (all rows of a small frame).
+
+    A following ``orderBy(key).limit(limit)`` then moves a bounded number of
+    rows however many tasks there are, instead of ``limit`` rows of each task.
+    """
+    rows = df.count()
+    if rows <= spread * limit:
+        return df
+    return df.filter(key < F.lit(-(2**63) + int(2**64 * (spread * limit / rows))))
