@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dimetl.llm.common import OWN, id_col, text_or_empty
+from dimetl.llm.common import OWN, hash_sample, id_col, text_or_empty
 
 #: Bound of the labelled sample: at most so many rows of each label (smallest id hashes).
 SAMPLE_PER_LABEL = 1500
@@ -168,7 +168,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id
         .groupBy("id")
         .agg((F.avg("label") >= 0.5).cast("int").alias("label"))
     )
-    ids = [r for v in (0, 1) for r in marked.filter(F.col("label") == v).orderBy(F.xxhash64("id"), "id").limit(per_label).collect()]
+    key = F.xxhash64("id")
+    ids = []
+    for value in (0, 1):
+        rows = hash_sample(marked.filter(F.col("label") == value), key, per_label, 4)
+        ids += rows.orderBy(key, "id").limit(per_label).collect()
     chosen = spark.createDataFrame([(r["id"], r["label"]) for r in ids], "id long, label int")
     # At most 2 * per_label ids: small enough to send to every task.
     rows = docs.select(id_col(id_column).alias("id"), text_or_empty(text_column).alias("text")).join(F.broadcast(chosen), "id")
