@@ -5,7 +5,7 @@ longer than a sequence are cut.  Pieces are dealt by hash to groups of bounded
 size; in a group, full pieces are sequences already, the others are placed by
 best fit, longest first, and then a local search moves pieces between
 underfull bins, one for none, one for one or two for one, always so that the sum
-of squared fills grows, until the emptiest bin is empty or no move is left.
+of squared fills grows, until bins are empty or no move is left.
 The bins that stay underfull in any group are dealt to fewer groups and packed
 once more, so the loss does not grow with the number of groups.
 """
@@ -32,8 +32,9 @@ END_ID = 1
 GROUP_PIECES = 8192
 #: Bins with more free tokens than this after the first round are packed again.
 SLACK = 16
-#: Bound of the moves of one local search; each move strictly increases the squared fill.
-MAX_MOVES = 2000
+#: Bounds of one local search: passes, and emptiest bins whose items a pass offers to the others.
+PASSES = 4
+SOURCES = 32
 
 
 # --------------------------------------------------------------- tokens
@@ -196,36 +197,37 @@ def _gain(source: list[tuple[int, int]], target: list[tuple[int, int]], source_f
     return best
 
 
-def local_search(bins: list[list[int]], lengths: list[int], capacity: int, max_moves: int = MAX_MOVES) -> list[list[int]]:
-    """Empty the emptiest bins into the others by moves that increase the squared fill."""
+def local_search(bins: list[list[int]], lengths: list[int], capacity: int, passes: int = PASSES, sources: int = SOURCES) -> list[list[int]]:
+    """Empty the emptiest bins into the others by exchanges between underfull bins that increase the squared fill.
+
+    Every pass offers the items of the emptiest bins (``sources`` of them) to
+    all others, fullest first.  It ends when the bins are as few as their total
+    allows, when a pass finds no exchange, or after ``passes``.
+    """
     done = [b for b in bins if sum(lengths[i] for i in b) == capacity]
     rest = [sorted((lengths[i], i) for i in b) for b in bins]
     rest = [b for b in rest if sum(x[0] for x in b) < capacity]
     fills = [sum(x[0] for x in b) for b in rest]
-    moves = 0
-    while len(rest) > 1:
-        s = min(range(len(rest)), key=fills.__getitem__)
-        # Without room for it in the others the bin count is the least possible here.
-        if sum(capacity - f for n, f in enumerate(fills) if n != s) < fills[s]:
+    for _ in range(passes):
+        if -(-sum(fills) // capacity) == sum(f > 0 for f in fills):
             break
         moved = False
-        for t in sorted((n for n in range(len(rest)) if n != s and fills[n] < capacity), key=lambda n: -fills[n]):
-            while rest[s] and moves < max_moves and (found := _gain(rest[s], rest[t], fills[s], fills[t], capacity)):
-                d, out, back = found
-                for x in out:
-                    rest[s].remove(x)
-                    insort(rest[t], x)
-                for x in back:
-                    rest[t].remove(x)
-                    insort(rest[s], x)
-                fills[s], fills[t], moves, moved = fills[s] - d, fills[t] + d, moves + 1, True
-            if not rest[s]:
-                break
-        if not rest[s]:
-            del rest[s], fills[s]
-        elif not moved:
+        for s in sorted((n for n, f in enumerate(fills) if f), key=fills.__getitem__)[:sources]:
+            for t in sorted((n for n, f in enumerate(fills) if n != s and 0 < f < capacity), key=lambda n: -fills[n]):
+                while rest[s] and (found := _gain(rest[s], rest[t], fills[s], fills[t], capacity)):
+                    d, out, back = found
+                    for x in out:
+                        rest[s].remove(x)
+                        insort(rest[t], x)
+                    for x in back:
+                        rest[t].remove(x)
+                        insort(rest[s], x)
+                    fills[s], fills[t], moved = fills[s] - d, fills[t] + d, True
+                if not rest[s]:
+                    break
+        if not moved:
             break
-    return done + [[i for _, i in b] for b in rest]
+    return done + [[i for _, i in b] for b in rest if b]
 
 
 def pack_group(lengths: list[int], capacity: int = LENGTH) -> list[list[int]]:

@@ -272,13 +272,14 @@ def test_token_ids_equal_the_tokenizer(spark):
 
 def test_packed_pieces_cover_the_documents(spark):
     rows = [*EDGE_ROWS, *((n, f"word{n} " * n) for n in range(10, 200))]
-    got = packing.pack_documents(docs(spark, rows), tokenizer_path("word_bpe_49k.json"), length=256, group_pieces=64).toPandas()
+    got = packing.pack_documents(docs(spark, rows), tokenizer_path("word_bpe_49k.json"), length=256, group_pieces=256, slack=0).toPandas()
     bins = got.sort_values(["sequence_id", "offset"]).groupby("sequence_id")
     assert all((b.offset.to_numpy() == np.r_[0, np.cumsum(b.length)[:-1]]).all() and b.length.sum() <= 256 for _, b in bins)
     whole = got.groupby("doc_id", dropna=False).agg(n=("piece", "size"), last=("piece", "max"))
     assert len(got[got.doc_id.isna()]) == 1 and (whole.loc[3].n == whole.loc[3]["last"] + 1)
     assert got[got.doc_id == 2][["piece", "start", "length", "ids_crc32"]].values.tolist() == [[0, 0, 1, zlib.crc32(np.array([1], "<u4").tobytes())]]
     assert len(got[got.doc_id == 4]) == 2
+    # Packed in groups of 256 pieces; all in one group could save two sequences at most.
     assert bins.ngroups <= len(packing.best_fit(sorted(got.length, reverse=True), 256)) + 2
     assert packing.pack_documents(docs(spark, []), tokenizer_path("word_bpe_49k.json")).count() == 0
 
@@ -293,8 +294,9 @@ def test_packing_is_valid_and_no_worse_than_best_fit(lengths):
 
 
 def test_exchanges_empty_a_bin_that_best_fit_leaves():
-    lengths = [44, 44, 28, 28, 28, 28, 24, 24, 20, 20, 6, 6]
-    placed = [[0, 1, 10], [2, 3, 4], [5, 6, 7, 8], [9, 11]]
-    assert len(packing.local_search(placed, lengths, 100)) == 3
-
-
+    lengths = [6, 3, 5, 4, 2]
+    placed = [[0, 1], [2, 3], [4]]
+    assert len(packing.local_search(placed, lengths, 10)) == 2
+    two_for_one = [5, 4, 9, 2, 10, 4]  # 5 + 4 take the place of 9's fill
+    bins = packing.local_search([[0], [1, 3], [2], [4], [5]], two_for_one, 10)
+    assert sorted(i for b in bins for i in b) == list(range(6)) and len(bins) == 4
