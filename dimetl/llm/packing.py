@@ -29,7 +29,7 @@ from dimetl.llm.idcache import IdCache
 
 LENGTH = 4096
 END_ID = 1
-GROUP_PIECES = 8192
+GROUP_PIECES = 4096
 #: Bins with more free tokens than this after the first round are packed again.
 SLACK = 16
 #: Bounds of one local search: passes, and emptiest bins whose items a pass offers to the others.
