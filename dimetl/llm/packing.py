@@ -32,9 +32,6 @@ END_ID = 1
 GROUP_PIECES = 4096
 #: Bins with more free tokens than this after the first round are packed again.
 SLACK = 16
-#: Bounds of one local search: passes, and emptiest bins whose items a pass offers to the others.
-PASSES = 4
-SOURCES = 32
 
 
 # --------------------------------------------------------------- tokens
@@ -176,44 +173,56 @@ def _gain(source: list[tuple[int, int]], target: list[tuple[int, int]], source_f
     capacity, and the sum of squared fills must increase.
     """
     free = capacity - target_fill
-    best = None
-
-    def offer(out: tuple, back: tuple) -> None:
-        nonlocal best
-        d = sum(x[0] for x in out) - sum(x[0] for x in back)
-        if 0 < d <= free and target_fill - source_fill + d > 0 and (best is None or d > best[0]):
-            best = (d, out, back)
-
+    least = max(0, source_fill - target_fill)  # an exchange moves more than this
+    if free <= least:
+        return None
+    best, found = least, None
+    largest = target[-1][0] if target else 0
     for i, x in enumerate(source):
-        offer((x,), ())
+        size = x[0]
+        if best < size <= free:
+            best, found = size, ((x,), ())
         # The smallest target item that makes room for x gives the largest exchange.
-        j = bisect_left(target, (x[0] - free, -1))
-        if j < len(target):
-            offer((x,), (target[j],))
-        for y in source[i + 1 :]:
-            j = bisect_left(target, (x[0] + y[0] - free, -1))
-            if j < len(target):
-                offer((x, y), (target[j],))
-    return best
-
-
-def local_search(bins: list[list[int]], lengths: list[int], capacity: int, passes: int = PASSES, sources: int = SOURCES) -> list[list[int]]:
-    """Empty the emptiest bins into the others by exchanges between underfull bins that increase the squared fill.
-
-    Every pass offers the items of the emptiest bins (``sources`` of them) to
-    all others, fullest first.  It ends when the bins are as few as their total
-    allows, when a pass finds no exchange, or after ``passes``.
+        if size - free <= largest:
+            y = target[bisect_left(target, (size - free, -1))]
+            if best < size - y[0]:
+                best, found = size - y[0], ((x,), (y,))
+        for z in source[i + 1 :]:
+            both = size + z[0]
+            if both - free > largest:
+                break
+            y = target[bisect_left(target, (both - free, -1))]
+            if best < both - y[0]:
+                best, found = both - y[0], ((x, z), (y,))
+        if best == free:
+            break
+    return found and (best, *found)
+
+
+def local_search(bins: list[list[int]], lengths: list[int], capacity: int) -> list[list[int]]:
+    """Empty bins into the others by exchanges between underfull bins that increase the squared fill.
+
+    Every pass offers the items of every underfull bin, emptiest first, to all
+    others, fullest first; pairs of bins that are as they were when they were
+    last tried are left out.  It ends when the bins are as few as their total
+    allows, or when no pair of bins has an exchange left.
     """
     done = [b for b in bins if sum(lengths[i] for i in b) == capacity]
     rest = [sorted((lengths[i], i) for i in b) for b in bins]
     rest = [b for b in rest if sum(x[0] for x in b) < capacity]
     fills = [sum(x[0] for x in b) for b in rest]
-    for _ in range(passes):
-        if -(-sum(fills) // capacity) == sum(f > 0 for f in fills):
-            break
+    # Number of the exchange that changed a bin last, and of the last one before the bin was offered to all others.
+    moves, changed, offered = 0, [0] * len(rest), [-1] * len(rest)
+    spare = len(rest) - -(-sum(fills) // capacity)
+    moved = True
+    while moved and spare:
         moved = False
-        for s in sorted((n for n, f in enumerate(fills) if f), key=fills.__getitem__)[:sources]:
-            for t in sorted((n for n, f in enumerate(fills) if n != s and 0 < f < capacity), key=lambda n: -fills[n]):
+        for s in sorted((n for n, f in enumerate(fills) if 0 < f < capacity), key=fills.__getitem__):
+            if not 0 < fills[s] < capacity:
+                continue
+            since, offered[s] = offered[s], moves
+            fresh = changed[s] > since
+            for t in sorted((n for n, f in enumerate(fills) if n != s and 0 < f < capacity and (fresh or changed[n] > since)), key=lambda n: -fills[n]):
                 while rest[s] and (found := _gain(rest[s], rest[t], fills[s], fills[t], capacity)):
                     d, out, back = found
                     for x in out:
@@ -222,11 +231,13 @@ def local_search(bins: list[list[int]], lengths: list[int], capacity: int, passe
                     for x in back:
                         rest[t].remove(x)
                         insort(rest[s], x)
-                    fills[s], fills[t], moved = fills[s] - d, fills[t] + d, True
+                    moves += 1
+                    fills[s], fills[t], changed[s], changed[t], moved = fills[s] - d, fills[t] + d, moves, moves, True
                 if not rest[s]:
+                    spare -= 1
                     break
-        if not moved:
-            break
+            if not spare:
+                break
     return done + [[i for _, i in b] for b in rest if b]
 
 

@@ -300,3 +300,15 @@ def test_exchanges_empty_a_bin_that_best_fit_leaves():
     two_for_one = [5, 4, 9, 2, 10, 4]  # 5 + 4 take the place of 9's fill
     bins = packing.local_search([[0], [1, 3], [2], [4], [5]], two_for_one, 10)
     assert sorted(i for b in bins for i in b) == list(range(6)) and len(bins) == 4
+
+
+def test_local_search_ends_without_an_exchange_left():
+    lengths = np.random.default_rng(7).integers(700, 1801, 1024).tolist()
+    bins = packing.pack_group(lengths, 4096)
+    assert sorted(i for b in bins for i in b) == list(range(1024))
+    items = [sorted((lengths[i], i) for i in b) for b in bins]
+    fills = [sum(x[0] for x in b) for b in items]
+    assert max(fills) <= 4096
+    under = [n for n, f in enumerate(fills) if f < 4096]
+    fewest = len(fills) == -(-sum(fills) // 4096)
+    assert fewest or not any(packing._gain(items[s], items[t], fills[s], fills[t], 4096) for s in under for t in under if s != t)
