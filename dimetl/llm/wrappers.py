@@ -11,8 +11,9 @@ templates, not the pages, are shuffled and merged, a hot host in salted parts
 first.
 
 From the template a wrapper is read: constant texts belong to the template,
-the container that holds the varying text is the content.  A page is aligned
-with its host's wrapper again, and the blocks of the content are its text.
+and the lowest container of all varying texts is the content, so that outside
+it there is only template and noise.  A page is aligned with its host's wrapper
+again, and its blocks without the template's and the noise are its text.
 Zones that are never the article (menus, forms, adverts, comments, ...) are
 told by element and by class words, since their text may vary as well.
 """
@@ -33,8 +34,6 @@ from dimetl.llm.dom import BLOCK, RAW, Node, parse
 
 #: Pages that must agree on a text before it counts as template; fewer may be copies of one article.
 MIN_SUPPORT = 20
-#: Share of the varying text a container must hold to be the content.
-MAJORITY = 0.7
 #: Nodes kept of a template; beyond, the least supported go (their texts are then judged by structure alone).
 MAX_NODES = 2000
 #: Nesting that shapes look at; deeper elements are slots.
@@ -52,8 +51,6 @@ _NOISE_WORDS = frozenset(
 )
 #: These are noise only outside an article, whose own header holds its title.
 _HEADER_WORDS = frozenset(("header", "masthead"))
-_CONTAINERS = frozenset("#root html body div section main article td table tbody tr center".split())
-
 
 #: Never noise by their words: a page's body or article may carry words of what else it holds.
 _WHOLE = frozenset(("html", "body", "article", "main"))
@@ -80,10 +77,6 @@ def _holds_main(node: Node) -> bool:
     return any(not isinstance(c, str) and (c.tag in _MAIN or _holds_main(c)) for c in node.children)
 
 
-def _shape_holds_main(t: list) -> bool:
-    return any(k[LABEL].split(".")[0] in _MAIN or _shape_holds_main(k) for k in t[KIDS])
-
-
 # --------------------------------------------------------------- shapes and templates
 
 #: A shape or template node: [label, pages, text signature (None: no text, -1: varying), characters, children].
@@ -175,38 +168,21 @@ def _supported(t: list, least: int) -> list:
 
 # --------------------------------------------------------------- wrappers
 
-#: A wrapper node: [label, role, children]; roles: 0 slot, 1 constant text of the template, 2 content.
+#: A wrapper node: [label, role, children]; roles: 0 slot, 1 constant text of the template.
 ROLE, PARTS = 1, 2
 
 
-def wrapper_of(template: list, min_support: int = MIN_SUPPORT, majority: float = MAJORITY) -> list:
-    """Roles of a template's nodes."""
-    pages = template[PAGES]
-
-    def noise(t: list, in_article: bool) -> bool:
-        tag, *words = t[LABEL].split(".")
-        return is_noise(tag, words, in_article, lambda: _shape_holds_main(t))
-
-    def constant(t: list) -> bool:
-        return t[TEXT] is not None and t[TEXT] != -1 and t[PAGES] >= max(min_support, pages / 2)
+def wrapper_of(template: list, min_support: int = MIN_SUPPORT) -> list:
+    """Roles of a template's nodes.
 
-    def varying(t: list, in_article: bool) -> float:
-        if noise(t, in_article):
-            return 0.0
-        in_article = in_article or t[LABEL].split(".")[0] == "article"
-        own = 0 if t[TEXT] is None or constant(t) else t[CHARS]
-        return own + sum(varying(k, in_article) for k in t[KIDS])
-
-    # Down from the root into the container that holds most of the varying text, to an article at the latest.
-    content, total = template, varying(template, False)
-    while content[LABEL].split(".")[0] not in ("article", "main") and total:
-        inner = [k for k in content[KIDS] if k[LABEL].split(".")[0] in _CONTAINERS and varying(k, False) >= majority * total]
-        if not inner:
-            break
-        content = inner[0]
+    The content is the lowest container of all varying texts.  It needs no
+    role of its own: whatever a page has outside it is constant or noise.
+    """
+    pages = template[PAGES]
 
     def roles(t: list) -> list:
-        return [t[LABEL], 2 if t is content else 1 if constant(t) else 0, [roles(k) for k in t[KIDS]]]
+        constant = t[TEXT] is not None and t[TEXT] != -1 and t[PAGES] >= max(min_support, pages / 2)
+        return [t[LABEL], int(constant), [roles(k) for k in t[KIDS]]]
 
     return roles(template)
 
@@ -249,33 +225,12 @@ def _collect(node: Node, roles: list, blocks: list[list[str]], in_article: bool,
             blocks.append([])
 
 
-def _contents(node: Node, roles: list, depth: int = 0) -> list[tuple[Node, list, int]]:
-    """Nodes of the content role that no noise zone encloses, with their roles."""
-    if roles[0] == 2:
-        return [(node, roles, depth)]
-    out, place = [], {}
-    for child in node.children:
-        if isinstance(child, str) or depth >= MAX_DEPTH:
-            continue
-        kid = place.setdefault(child.label, len(place))
-        if not child.hidden and not is_noise(child.tag, child.words, False, partial(_holds_main, child)) and kid < len(roles[1]):
-            out += _contents(child, roles[1][kid], depth + 1)
-    return out
-
-
 def main_text(html: str, wrapper: str | None) -> str:
-    """Blocks of a page's content joined by newlines; without a wrapper, or where it does not fit, of the whole page."""
+    """Blocks of a page that are neither template nor noise, joined by newlines; without a wrapper no text is template."""
     root = parse(html)
-    shape = shape_of(root)
-    roles = _roles(wrapper, signature(shape)) if wrapper else [0, []]
-    found = _contents(root, roles) if wrapper else []
+    roles = _roles(wrapper, signature(shape_of(root))) if wrapper else [0, []]
     blocks: list[list[str]] = [[]]
-    if found:
-        for node, own, depth in found:
-            blocks.append([])
-            _collect(node, own, blocks, False, depth)
-    else:
-        _collect(root, roles, blocks, False, 0)
+    _collect(root, roles, blocks, False, 0)
     lines = (" ".join("".join(b).split()) for b in blocks)
     return "\n".join(x for x in lines if x)
 

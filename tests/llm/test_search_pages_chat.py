@@ -100,6 +100,23 @@ def test_copies_on_a_small_host_keep_their_text():
     assert wrappers.main_text("<body><p>same words</p></body>", json.dumps(wrappers.wrapper_of(template))) == "same words"
 
 
+def wrapper_over(htmls):
+    template = None
+    for h in htmls:
+        shape = wrappers.shape_of(dom.parse(h))
+        template = shape if template is None else wrappers.merge(template, shape)
+    return json.dumps(wrappers.wrapper_of(template))
+
+
+@pytest.mark.parametrize("form", [
+    "<div class=intro><p>Lead {0}</p></div><div class=story><p>{1}</p></div>", "<div class=page><h1>Lead {0}</h1><div class=body><p>{1}</p></div></div>",
+    "<h1>Lead {0}</h1><article><p>{1}</p></article>",
+])
+def test_text_beside_the_story_container_is_kept(form):
+    pages = [f"<body><nav>Menu</nav>{form.format(n, f'story {n} ' * 30)}<footer>Foot {n}</footer></body>" for n in range(30)]
+    assert wrappers.main_text(pages[3], wrapper_over(pages)) == "Lead 3\n" + ("story 3 " * 30).strip()
+
+
 def test_tree_matching_keeps_order_and_counts():
     a = ["r", 1, None, 0, [["p", 1, 5, 3, []], ["q", 1, None, 0, []], ["s", 1, 7, 2, []]]]
     b = ["r", 1, None, 0, [["q", 1, None, 0, []], ["p", 1, 5, 3, []], ["s", 1, 8, 2, []]]]
