@@ -38,22 +38,24 @@ MAX_NEST = 256
 
 
 class Node:
-    """Element: ``label`` is the tag with its class, id and role words; children are nodes and strings."""
+    """Element: ``label`` is the tag with its class, id and role words, ``names`` are these attributes' whole tokens; children are nodes and strings."""
 
-    __slots__ = ("tag", "words", "label", "children", "hidden")
+    __slots__ = ("tag", "names", "label", "children", "hidden")
 
-    def __init__(self, tag: str, words: tuple[str, ...] = (), hidden: bool = False):
-        self.tag, self.words, self.hidden = tag, words, hidden
+    def __init__(self, tag: str, words: tuple[str, ...] = (), hidden: bool = False, names: tuple[str, ...] = ()):
+        self.tag, self.names, self.hidden = tag, names, hidden
         self.label = tag if not words else f"{tag}.{'.'.join(words)}"
         self.children: list = []
 
 
-def _words(attributes: str) -> tuple[str, ...]:
-    """Lower-case words of class, id and role; digits, which number things, are left out."""
-    found = set()
+def _words(attributes: str) -> tuple[tuple[str, ...], tuple[str, ...]]:
+    """Lower-case words of class, id and role, without the digits that number things, and the attributes' whole tokens."""
+    found, names = set(), []
     for m in _CLASS.finditer(attributes):
-        found.update(re.findall(r"[a-z]+", (m[2] or m[3] or m[4] or "").lower()))
-    return tuple(sorted(found))
+        value = (m[2] or m[3] or m[4] or "").lower()
+        found.update(re.findall(r"[a-z]+", value))
+        names += value.split()
+    return tuple(sorted(found)), tuple(names)
 
 
 def parse(text: str) -> Node:
@@ -81,7 +83,8 @@ def parse(text: str) -> Node:
             _close_open(stack, *_CLOSES[tag])
         attributes = m[3]
         plain = len(attributes) < 4
-        node = Node(tag, () if plain else _words(attributes), not plain and _HIDDEN.search(attributes) is not None)
+        words, names = ((), ()) if plain else _words(attributes)
+        node = Node(tag, words, not plain and _HIDDEN.search(attributes) is not None, names)
         stack[-1].children.append(node)
         if tag in RAW:
             stop = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(text, at)

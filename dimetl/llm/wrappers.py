@@ -15,7 +15,8 @@ and the lowest container of all varying texts is the content, so that outside
 it there is only template and noise.  A page is aligned with its host's wrapper
 again, and its blocks without the template's and the noise are its text.
 Zones that are never the article (menus, forms, adverts, comments, ...) are
-told by element and by class words, since their text may vary as well.
+told by element and by name, since their text may vary as well; a name counts
+only for a block that the host's template has on a share of its pages.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ from dimetl.llm.dom import BLOCK, RAW, Node, parse
 
 #: Pages that must agree on a text before it counts as template; fewer may be copies of one article.
 MIN_SUPPORT = 20
+#: Share of a host's pages that must have a zone for its name to count; two pages at least, unless the host has but one.
+ZONE_SHARE = 0.1
 #: Nodes kept of a template; beyond, the least supported go (their texts are then judged by structure alone).
 MAX_NODES = 2000
 #: Nesting that shapes look at; deeper elements are slots.
@@ -43,7 +46,7 @@ BROADCAST_CHARS = 16_000_000
 SALTS = 16
 
 _NOISE_TAGS = frozenset("nav footer aside form noscript template button select option head dialog menu svg canvas object audio video label".split()) | RAW
-#: Class, id and role words of zones that are not the article. Fixed word list.
+#: Names (whole class, id or role tokens) of zones that are not the article. Fixed word list.
 _NOISE_WORDS = frozenset(
     "ad ads advert advertisement advertising adverts banner breadcrumb breadcrumbs comment comments commentlist consent contentinfo cookie cookies"
     " disqus footer gdpr login menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promotion related reply"
@@ -52,24 +55,30 @@ _NOISE_WORDS = frozenset(
 #: These are noise only outside an article, whose own header holds its title.
 _HEADER_WORDS = frozenset(("header", "masthead"))
 
-#: Never noise by their words: a page's body or article may carry words of what else it holds.
+#: Never noise by their names: a page's body or article may carry names of what else it holds.
 _WHOLE = frozenset(("html", "body", "article", "main"))
+#: Blocks that names tell nothing about: headings and the like are named after what they say.
+_UNNAMED = frozenset("h1 h2 h3 h4 h5 h6 p pre blockquote figcaption caption li dt dd summary hr".split())
 _MAIN = frozenset(("article", "main"))
 
 
-def is_noise(tag: str, words, in_article: bool, holds_main: Callable[[], bool]) -> bool:
+def is_noise(tag: str, names, in_article: bool, holds_main: Callable[[], bool], supported: bool = True) -> bool:
     """Whether an element is a zone that is never the article.
 
-    Zones told by words, forms and page headers are not noise if they hold an
-    article or main element (``holds_main``): they are wrapped around the page.
+    Names tell zones among blocks only, not among inline elements, headings
+    and paragraphs, and only if the host's template has the zone
+    (``supported``).  Zones told by names, forms and page headers are not noise
+    if they hold an article or main element (``holds_main``): they are wrapped
+    around the page.
     """
     if tag in _WHOLE:
         return False
     if tag in _NOISE_TAGS and tag != "form":
         return True
-    found = tag == "form" or not _NOISE_WORDS.isdisjoint(words)
+    named = supported and tag in BLOCK and tag not in _UNNAMED
+    found = tag == "form" or named and not _NOISE_WORDS.isdisjoint(names)
     if not in_article and not found:
-        found = tag == "header" or not _HEADER_WORDS.isdisjoint(words)
+        found = tag == "header" or named and not _HEADER_WORDS.isdisjoint(names)
     return found and not holds_main()
 
 
@@ -168,8 +177,10 @@ def _supported(t: list, least: int) -> list:
 
 # --------------------------------------------------------------- wrappers
 
-#: A wrapper node: [label, role, children]; roles: 0 slot, 1 constant text of the template.
+#: A wrapper node: [label, role, children]; roles: 0 slot, 1 constant text of the template, with ``SUPPORTED`` added
+#: where the template has the node on a share of the host's pages.
 ROLE, PARTS = 1, 2
+SUPPORTED = 2
 
 
 def wrapper_of(template: list, min_support: int = MIN_SUPPORT) -> list:
@@ -179,10 +190,11 @@ def wrapper_of(template: list, min_support: int = MIN_SUPPORT) -> list:
     role of its own: whatever a page has outside it is constant or noise.
     """
     pages = template[PAGES]
+    least = max(min(2, pages), ZONE_SHARE * pages)
 
     def roles(t: list) -> list:
         constant = t[TEXT] is not None and t[TEXT] != -1 and t[PAGES] >= max(min_support, pages / 2)
-        return [t[LABEL], int(constant), [roles(k) for k in t[KIDS]]]
+        return [t[LABEL], int(constant) + SUPPORTED * (t[PAGES] >= least), [roles(k) for k in t[KIDS]]]
 
     return roles(template)
 
@@ -202,25 +214,27 @@ def _aligned(wrapper: list, shape: list) -> list:
 
 # --------------------------------------------------------------- text
 
-def _collect(node: Node, roles: list, blocks: list[list[str]], in_article: bool, depth: int) -> None:
+def _collect(node: Node, roles: list, blocks: list[list[str]], in_article: bool, wrapped: bool) -> None:
     """Texts of a node's blocks, without noise and template texts."""
     in_article = in_article or node.tag == "article"
     place: dict[str, int] = {}
+    # Without a wrapper there is no template to ask, and names count by themselves.
+    blank = [0, []] if wrapped else [SUPPORTED, []]
     for child in node.children:
         if isinstance(child, str):
-            if roles[0] != 1:
+            if roles[0] & 1 == 0:
                 blocks[-1].append(child)
             continue
         kid = place.setdefault(child.label, len(place))
-        own = roles[1][kid] if kid < len(roles[1]) else [0, []]
+        own = roles[1][kid] if kid < len(roles[1]) else blank
         if child.tag in ("br", "td", "th"):
             blocks[-1].append(" ")
-        if child.hidden or is_noise(child.tag, child.words, in_article, partial(_holds_main, child)):
+        if child.hidden or is_noise(child.tag, child.names, in_article, partial(_holds_main, child), own[0] & SUPPORTED != 0):
             continue
         block = child.tag in BLOCK
         if block:
             blocks.append([])
-        _collect(child, own, blocks, in_article, depth + 1)
+        _collect(child, own, blocks, in_article, wrapped)
         if block:
             blocks.append([])
 
@@ -230,7 +244,7 @@ def main_text(html: str, wrapper: str | None) -> str:
     root = parse(html)
     roles = _roles(wrapper, signature(shape_of(root))) if wrapper else [0, []]
     blocks: list[list[str]] = [[]]
-    _collect(root, roles, blocks, False, 0)
+    _collect(root, roles, blocks, False, bool(wrapper))
     lines = (" ".join("".join(b).split()) for b in blocks)
     return "\n".join(x for x in lines if x)
 

@@ -117,6 +117,24 @@ def test_text_beside_the_story_container_is_kept(form):
     assert wrappers.main_text(pages[3], wrapper_over(pages)) == "Lead 3\n" + ("story 3 " * 30).strip()
 
 
+ARTICLE_PARTS = [
+    '<h2 id="related-work">Related {0}</h2>', '<h2 id="how-to-search">How {0}</h2>', '<h2 class="search">Find {0}</h2>', '<section id="social-impact">Impact {0}</section>',
+    '<div id="ad-hoc-networks">Ad hoc {0}</div>', '<pre>x = {0} <span class="hljs-comment"># note {0}</span></pre>', '<p>a {0} <span class="comment">b {0}</span></p>',
+]
+
+
+@pytest.mark.parametrize("part", ARTICLE_PARTS)
+def test_names_inside_the_article_lose_no_text(part):
+    pages = [f"<body><article><p>Text {n}</p>{part.format(n)}<div class='ad'>Buy {n}</div></article></body>" for n in range(30)]
+    plain = wrappers.main_text(f"<body>{part.format(3)}</body>".replace("comment", "x").replace("search", "x"), None)
+    assert wrappers.main_text(pages[3], wrapper_over(pages)) == f"Text 3\n{plain}"
+
+
+def test_a_name_counts_with_support_of_the_host():
+    pages = [f"<body><article><p>Text {n}</p>{'<section class=social>Society</section>' if n == 3 else ''}</article><div class='box share'>Share {n}</div></body>" for n in range(30)]
+    assert wrappers.main_text(pages[3], wrapper_over(pages)) == "Text 3\nSociety"
+
+
 def test_tree_matching_keeps_order_and_counts():
     a = ["r", 1, None, 0, [["p", 1, 5, 3, []], ["q", 1, None, 0, []], ["s", 1, 7, 2, []]]]
     b = ["r", 1, None, 0, [["q", 1, None, 0, []], ["p", 1, 5, 3, []], ["s", 1, 8, 2, []]]]
