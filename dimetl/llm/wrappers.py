@@ -1,11 +1,12 @@
 """Main text of web pages by wrapper induction.
 
 Pages of one host are built from one template.  Every page's tree is reduced
-to its shape: element labels, equal siblings as one node, and for each text a
-signature.  Shapes of a host are aligned by simple tree matching (the
-order-preserving matching of children with the most matched nodes) and merged
-to the host's template, whose nodes count their pages and know whether their
-text was the same on all of them (constant) or not (a varying slot).  All
+to its shape: element labels, equal siblings as one node, and for each block
+the signatures of its runs of text.  Shapes of a host are aligned by simple
+tree matching (the order-preserving matching of children with the most matched
+nodes) and merged to the host's template, whose nodes count their pages and the
+pages of each text, so that a text is known to be the same on most of them
+(constant) or not (varying), also beside varying texts of equal siblings.  All
 pages take part: every task merges the pages it reads, and the tasks'
 templates, not the pages, are shuffled and merged, a hot host in salted parts
 first.
@@ -33,8 +34,12 @@ from pyspark.sql import functions as F
 from dimetl.llm.common import OWN, materialise
 from dimetl.llm.dom import BLOCK, RAW, Node, parse
 
-#: Pages that must agree on a text before it counts as template; fewer may be copies of one article.
-MIN_SUPPORT = 20
+#: Share of a host's pages that must have a text in the same place for it to be template.
+TEXT_SHARE = 0.5
+#: Pages with different contents among them; copies of one article are one content however many there are.
+DIFFERENT = 3
+#: Counts of a node's texts may miss this share of its pages (lossy counting; texts that are rarer go).
+MISSED = 1 / 16
 #: Share of a host's pages that must have a zone for its name to count; two pages at least, unless the host has but one.
 ZONE_SHARE = 0.1
 #: Nodes kept of a template; beyond, the least supported go (their texts are then judged by structure alone).
@@ -88,27 +93,69 @@ def _holds_main(node: Node) -> bool:
 
 # --------------------------------------------------------------- shapes and templates
 
-#: A shape or template node: [label, pages, text signature (None: no text, -1: varying), characters, children].
-LABEL, PAGES, TEXT, CHARS, KIDS = range(5)
+#: A shape or template node: [label, pages, text signature (None: no text, -1: varying), characters, children, texts].
+#: Texts: by signature, pages that were counted, pages that may have been missed, and contents of up to DIFFERENT pages.
+LABEL, PAGES, TEXT, CHARS, KIDS, TEXTS = range(6)
 
 
-def shape_of(node: Node, depth: int = 0) -> list:
-    """Shape of a page's tree; equal siblings are merged to one node, at the place of the first."""
-    text, chars, kids, place = None, 0, [], {}
-    for child in node.children:
-        if isinstance(child, str):
-            joined = " ".join(child.split())
-            if joined:
-                own = zlib.crc32(joined.encode("utf-8", "surrogatepass"))
-                text, chars = own if text is None else zlib.crc32(joined.encode("utf-8", "surrogatepass"), text), chars + len(joined)
-        elif depth < MAX_DEPTH:
-            kid = shape_of(child, depth + 1)
-            at = place.setdefault(child.label, len(kids))
-            if at < len(kids):
-                kids[at] = merge(kids[at], kid, same_page=True)
-            else:
-                kids.append(kid)
-    return [node.label, 1, text, chars, kids]
+def _plain(parts: list[str]) -> str:
+    return " ".join("".join(parts).split())
+
+
+def _text_signature(text: str) -> int:
+    return zlib.crc32(text.encode("utf-8", "surrogatepass"))
+
+
+def _never_text(node: Node) -> bool:
+    return node.hidden or node.tag in _NOISE_TAGS and node.tag != "form"
+
+
+def shape_of(root: Node) -> list:
+    """Shape of a page's tree; equal siblings are merged to one node, at the place of the first.
+
+    A block's texts are its runs of inline content between other blocks.
+    """
+    contents: list[int] = []  # signatures of the texts outside zones told by element
+    page: list[int] = []  # the signature of all of them, known at the end
+
+    def run_ends(parts: list[str], texts: dict, noise: bool) -> int:
+        joined = _plain(parts)
+        parts.clear()
+        if joined:
+            own = _text_signature(joined)
+            texts[str(own)] = [1, 0, page]
+            if not noise:
+                contents.append(own)
+        return len(joined)
+
+    def shape(node: Node, depth: int, outer: tuple | None, noise: bool) -> list:
+        parts, texts = outer or ([], {})
+        chars, kids, place = 0, [], {}
+        for child in node.children:
+            if isinstance(child, str):
+                parts.append(child)
+                continue
+            block, never = child.tag in BLOCK, _never_text(child)
+            if block:
+                chars += run_ends(parts, texts, noise)
+            elif child.tag in ("br", "td", "th"):
+                parts.append(" ")
+            kid = shape(child, depth + 1, None if block or never else (parts, texts), noise or never)
+            if depth < MAX_DEPTH:
+                at = place.setdefault(child.label, len(kids))
+                if at < len(kids):
+                    kids[at] = merge(kids[at], kid, same_page=True)
+                else:
+                    kids.append(kid)
+        if outer:
+            return [node.label, 1, None, 0, kids, {}]
+        chars += run_ends(parts, texts, noise)
+        text = None if not texts else int(next(iter(texts))) if len(texts) == 1 else -1
+        return [node.label, 1, text, chars, kids, texts]
+
+    out = shape(root, 0, None, False)
+    page.append(zlib.crc32(repr(contents).encode()))
+    return out
 
 
 def signature(shape: list) -> str:
@@ -155,7 +202,26 @@ def merge(a: list, b: list, same_page: bool = False) -> list:
     else:
         text = a[TEXT] if a[TEXT] == b[TEXT] else -1
     pages = max(a[PAGES], b[PAGES]) if same_page else a[PAGES] + b[PAGES]
-    return [a[LABEL], pages, text, a[CHARS] + b[CHARS], kids]
+    return [a[LABEL], pages, text, a[CHARS] + b[CHARS], kids, _merged_texts(a, b, same_page)]
+
+
+def _merged_texts(a: list, b: list, same_page: bool) -> dict:
+    """Texts of two aligned nodes, by lossy counting: no text on more than ``MISSED`` of the pages goes."""
+    x, y = (t[TEXTS] if len(t) > TEXTS else {} for t in (a, b))
+    if same_page:
+        return {**x, **y}
+    missed_x, missed_y = int(a[PAGES] * MISSED), int(b[PAGES] * MISSED)
+    out = {k: [n, m + missed_y, c] for k, (n, m, c) in x.items()} if missed_y else dict(x)
+    for k, (n, m, c) in y.items():
+        if k in x:
+            n0, m0, c0 = x[k]
+            out[k] = [n0 + n, m0 + m, c0 if len(c0) >= DIFFERENT else sorted({*c0, *c})[:DIFFERENT]]
+        else:
+            out[k] = [n, m + missed_x, c]
+    least = int((a[PAGES] + b[PAGES]) * MISSED)
+    if least > max(missed_x, missed_y):
+        out = {k: v for k, v in out.items() if v[0] + v[1] > least}
+    return out
 
 
 def _nodes(t: list) -> int:
@@ -172,18 +238,18 @@ def bounded(t: list, most: int = MAX_NODES) -> list:
 
 
 def _supported(t: list, least: int) -> list:
-    return [*t[:KIDS], [_supported(k, least) for k in t[KIDS] if k[PAGES] >= least]]
+    return [*t[:KIDS], [_supported(k, least) for k in t[KIDS] if k[PAGES] >= least], *t[TEXTS:]]
 
 
 # --------------------------------------------------------------- wrappers
 
-#: A wrapper node: [label, role, children]; roles: 0 slot, 1 constant text of the template, with ``SUPPORTED`` added
-#: where the template has the node on a share of the host's pages.
+#: A wrapper node: [label, role, children]; a role is the signatures of the template's constant texts and whether the
+#: template has the node on a share of the host's pages.
 ROLE, PARTS = 1, 2
-SUPPORTED = 2
+_BLANK = (frozenset(), False)
 
 
-def wrapper_of(template: list, min_support: int = MIN_SUPPORT) -> list:
+def wrapper_of(template: list) -> list:
     """Roles of a template's nodes.
 
     The content is the lowest container of all varying texts.  It needs no
@@ -193,60 +259,57 @@ def wrapper_of(template: list, min_support: int = MIN_SUPPORT) -> list:
     least = max(min(2, pages), ZONE_SHARE * pages)
 
     def roles(t: list) -> list:
-        constant = t[TEXT] is not None and t[TEXT] != -1 and t[PAGES] >= max(min_support, pages / 2)
-        return [t[LABEL], int(constant) + SUPPORTED * (t[PAGES] >= least), [roles(k) for k in t[KIDS]]]
+        constant = [int(k) for k, (n, _, contents) in t[TEXTS].items() if n >= TEXT_SHARE * pages and len(contents) >= DIFFERENT]
+        return [t[LABEL], [sorted(constant), t[PAGES] >= least], [roles(k) for k in t[KIDS]]]
 
     return roles(template)
 
 
 def _as_template(w: list) -> list:
     """A wrapper seen as a template, for matching."""
-    return [w[0], w[ROLE], None, 0, [_as_template(k) for k in w[PARTS]]]
+    return [w[0], (frozenset(w[ROLE][0]), w[ROLE][1]), None, 0, [_as_template(k) for k in w[PARTS]]]
 
 
 def _aligned(wrapper: list, shape: list) -> list:
     """Roles of a shape's nodes: [role, children], from the wrapper node that each is matched to."""
     _, pairs = matching(wrapper, shape)
     partner = {q: wrapper[KIDS][p] for p, q in pairs}
-    blank = ["", 0, None, 0, []]
-    return [wrapper[PAGES], [_aligned(partner[i], k) if i in partner else _aligned([k[LABEL], *blank[1:]], k) for i, k in enumerate(shape[KIDS])]]
+    return [wrapper[PAGES], [_aligned(partner[i], k) if i in partner else _aligned([k[LABEL], _BLANK, None, 0, []], k) for i, k in enumerate(shape[KIDS])]]
 
 
 # --------------------------------------------------------------- text
 
-def _collect(node: Node, roles: list, blocks: list[list[str]], in_article: bool, wrapped: bool) -> None:
-    """Texts of a node's blocks, without noise and template texts."""
+def _collect(node: Node, roles: list, runs: list[tuple[list[str], frozenset]], constant: frozenset, in_article: bool, wrapped: bool) -> None:
+    """Runs of text of a node's blocks without noise, each with the constant texts of its block."""
     in_article = in_article or node.tag == "article"
     place: dict[str, int] = {}
     # Without a wrapper there is no template to ask, and names count by themselves.
-    blank = [0, []] if wrapped else [SUPPORTED, []]
+    blank = [_BLANK if wrapped else (frozenset(), True), []]
     for child in node.children:
         if isinstance(child, str):
-            if roles[0] & 1 == 0:
-                blocks[-1].append(child)
+            runs[-1][0].append(child)
             continue
         kid = place.setdefault(child.label, len(place))
         own = roles[1][kid] if kid < len(roles[1]) else blank
-        if child.tag in ("br", "td", "th"):
-            blocks[-1].append(" ")
-        if child.hidden or is_noise(child.tag, child.names, in_article, partial(_holds_main, child), own[0] & SUPPORTED != 0):
-            continue
         block = child.tag in BLOCK
         if block:
-            blocks.append([])
-        _collect(child, own, blocks, in_article, wrapped)
+            runs.append(([], own[0][0]))
+        elif child.tag in ("br", "td", "th"):
+            runs[-1][0].append(" ")
+        if not child.hidden and not is_noise(child.tag, child.names, in_article, partial(_holds_main, child), own[0][1]):
+            _collect(child, own, runs, own[0][0] if block else constant, in_article, wrapped)
         if block:
-            blocks.append([])
+            runs.append(([], constant))
 
 
 def main_text(html: str, wrapper: str | None) -> str:
     """Blocks of a page that are neither template nor noise, joined by newlines; without a wrapper no text is template."""
     root = parse(html)
-    roles = _roles(wrapper, signature(shape_of(root))) if wrapper else [0, []]
-    blocks: list[list[str]] = [[]]
-    _collect(root, roles, blocks, False, bool(wrapper))
-    lines = (" ".join("".join(b).split()) for b in blocks)
-    return "\n".join(x for x in lines if x)
+    roles = _roles(wrapper, signature(shape_of(root))) if wrapper else [(frozenset(), True), []]
+    runs: list[tuple[list[str], frozenset]] = [([], roles[0][0])]
+    _collect(root, roles, runs, roles[0][0], False, bool(wrapper))
+    lines = ((_plain(parts), constant) for parts, constant in runs)
+    return "\n".join(x for x, constant in lines if x and not (constant and _text_signature(x) in constant))
 
 
 @lru_cache(maxsize=4096)

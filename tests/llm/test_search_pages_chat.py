@@ -135,6 +135,36 @@ def test_a_name_counts_with_support_of_the_host():
     assert wrappers.main_text(pages[3], wrapper_over(pages)) == "Text 3\nSociety"
 
 
+def test_one_differing_page_leaves_the_others_text_constant():
+    pages = [f"<body><div class=a><p>Text {n}</p></div><div class=b>(c) {2025 if n == 7 else 2024}</div></body>" for n in range(40)]
+    wrapper = wrapper_over(pages)
+    assert [wrappers.main_text(pages[n], wrapper) for n in (3, 7)] == ["Text 3", "Text 7\n(c) 2025"]
+
+
+def test_constant_siblings_of_varying_text_are_template():
+    pages = [f"<body><div>Home About</div><div><p>Share this</p><p>Text {n}</p><p>More {n} of <b>it</b></p></div><div>Imprint</div></body>" for n in range(30)]
+    assert wrappers.main_text(pages[3], wrapper_over(pages)) == "Text 3\nMore 3 of it"
+
+
+def test_template_is_told_from_copies_by_contents_not_by_a_page_count():
+    form = "<body><div>Home</div><article><p>{0}</p></article><div>Imprint</div></body>"
+    small = [form.format(f"Text {n}") for n in range(3)]
+    assert wrappers.main_text(small[1], wrapper_over(small)) == "Text 1"
+    copies = [form.format("same words")] * 60 + [form.format(f"Text {n}") for n in range(5)]
+    assert wrappers.main_text(copies[0], wrapper_over(copies)) == "same words"
+
+
+def test_text_counts_stay_bounded_and_keep_the_constants():
+    template = None
+    for n in range(1500):
+        late = "<p>Late line</p>" if n >= 500 else ""
+        shape = wrappers.shape_of(dom.parse(f"<body><div>{late}{''.join(f'<p>Text {n} {k}</p>' for k in range(5))}</div></body>"))
+        template = shape if template is None else wrappers.merge(template, shape)
+    node = template[wrappers.KIDS][0][wrappers.KIDS][0][wrappers.KIDS][0]
+    assert node[wrappers.LABEL] == "p" and len(node[wrappers.TEXTS]) < 200
+    assert wrappers.main_text("<body><div><p>Late line</p><p>New</p></div></body>", json.dumps(wrappers.wrapper_of(template))) == "New"
+
+
 def test_tree_matching_keeps_order_and_counts():
     a = ["r", 1, None, 0, [["p", 1, 5, 3, []], ["q", 1, None, 0, []], ["s", 1, 7, 2, []]]]
     b = ["r", 1, None, 0, [["q", 1, None, 0, []], ["p", 1, 5, 3, []], ["s", 1, 8, 2, []]]]
