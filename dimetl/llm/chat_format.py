@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TURNS_TYPE = "array<struct<role:string,text:string>>"
+#: Reads texts beyond the parser's default of 20,000,000 characters.
+ANY_LENGTH = {"maxStringLen": str(2**31 - 1)}
 
 
 # --------------------------------------------------------------- layouts
@@ -37,7 +39,7 @@ class MessageList:
 
     def turns(self, record: Column) -> Column:
         shape = f"{self.field} array<struct<{self.role}:string,{self.text}:string>>"
-        items = F.from_json(record, shape)[self.field]
+        items = F.from_json(record, shape, ANY_LENGTH)[self.field]
         return F.transform(items, lambda m: F.struct(_renamed(m[self.role], self.roles).alias("role"), F.coalesce(m[self.text], F.lit("")).alias("text")))
 
 
@@ -55,8 +57,9 @@ class Fields:
 
     def turns(self, record: Column) -> Column:
         out = []
+        read = F.from_json(record, ", ".join(f"{n} string" for _, names in self.parts for n in names), ANY_LENGTH)
         for role, names in self.parts:
-            got = [F.nullif(F.get_json_object(record, f"$.{n}"), F.lit("")) for n in names]
+            got = [F.nullif(read[n], F.lit("")) for n in names]
             # A turn made of optional fields only is left out when all of them are absent or empty.
             text = F.concat_ws("\n\n", *got)
             turn = F.array(F.struct(F.lit(role).alias("role"), text.alias("text")))
@@ -97,9 +100,33 @@ LAYOUTS = {
 _SCALAR = r"(?:STRING|BIGINT|BOOLEAN|DOUBLE|FLOAT|VOID|DECIMAL\(\d+, ?\d+\)|TINYINT|SMALLINT|INT|BINARY|DATE|TIMESTAMP_NTZ|TIMESTAMP|VARIANT)"
 
 
-def structure_of(record: Column) -> Column:
-    """Nested field paths of a JSON record as text, without scalar types; null for text that is no JSON."""
-    schema = F.schema_of_variant(F.try_parse_json(record))
+#: Inside of a valid JSON string.
+_INSIDE = r'[^"\\\x00-\x1f]*+(?:\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4})[^"\\\x00-\x1f]*+)*+'
+#: A field name with its text if it has one, or a text in a list; the groups are what is left without the text.
+_TEXTS = rf'("{_INSIDE}"\s*+:\s*+)(?:("){_INSIDE}("))?+|("){_INSIDE}(")'
+#: Equal objects in a row.
+_REPEATED = r'(\{(?:"[^"\\]*+"|[^{}"])*+\})(?:\s*+,\s*+\1)++'
+#: Records that are longer without their texts are read with repeated objects as one, and must not fail unnoticed.
+LONG_RECORD = 2**20
+
+
+def without_texts(record: Column, long_record: int = LONG_RECORD) -> Column:
+    """A JSON record with empty texts, of the same field paths; text that is no JSON stays so."""
+    bare = F.regexp_replace(record, _TEXTS, "$1$2$3$4$5")
+    return F.when(F.length(bare) > long_record, F.regexp_replace(bare, _REPEATED, "$1")).otherwise(bare)
+
+
+def structure_of(record: Column, long_record: int = LONG_RECORD) -> Column:
+    """Nested field paths of a JSON record as text, without scalar types; null for text that is no JSON.
+
+    The paths are read without the texts, since variants end at 128 MiB and
+    their strings at 20,000,000 characters.  A record that is too large even so
+    raises an error.
+    """
+    bare = without_texts(record, long_record)
+    variant = F.try_parse_json(bare)
+    too_large = variant.isNull() & (F.length(bare) > long_record) & F.json_object_keys(bare).isNotNull()
+    schema = F.when(too_large, F.raise_error(F.lit("a JSON record is too large to read its field paths")).cast("string")).otherwise(F.schema_of_variant(variant))
     return F.regexp_replace(schema, rf": {_SCALAR}(?=[,>])", "")
 
 

@@ -241,6 +241,38 @@ LAYOUTS = [
 ]
 
 
+@pytest.mark.parametrize("layout", ["messages", "prompt_completion"])
+def test_texts_beyond_the_parsers_limits_are_read(spark, layout):
+    # Past 20,000,000 characters in one string.
+    size = 20_500_000
+    long = F.repeat(F.lit("x"), F.lit(size))
+    if layout == "messages":
+        record = F.to_json(F.struct(F.array(F.struct(F.lit("assistant").alias("role"), long.alias("content"))).alias("messages")))
+    else:
+        record = F.to_json(F.struct(F.lit("q").alias("prompt"), long.alias("completion")))
+    out = chat_format.format_records(spark.range(1).select("id", record.alias("record")), "record", ["id"])
+    [r] = out.select("layout", F.length("formatted").alias("n"), F.col("loss_spans")[0]["len"].alias("loss")).collect()
+    assert r.layout == layout and r.loss == size and r.n > size
+
+
+BARE = [
+    ('{"a": "x\\"y", "b": ["p", "q:", {"c": "\\u00e9{"}], "d": 1}', '{"a": "", "b": ["", "", {"c": ""}], "d": 1}'), ('{"k\\"": {"m": "v"}}', '{"k\\"": {"m": ""}}'),
+    ('["a" , "b"]', '["" , ""]'), ('no json', 'no json'), ('"a": "b"', '"a": ""'),
+]
+
+
+def test_field_paths_are_read_without_the_texts(spark):
+    df = spark.createDataFrame([(r,) for r, _ in BARE], "r string")
+    assert [r[0] for r in df.select(chat_format.without_texts(F.col("r"))).collect()] == [b for _, b in BARE]
+    bad = spark.createDataFrame([('{"a": "x\ny"}',), ('{"a": "\\q"}',), ('{"a": "x}',)], "r string")
+    assert all(r[0] is None for r in bad.select(chat_format.structure_of(F.col("r"))).collect())
+    many = json.dumps({"messages": [{"role": "user", "content": f"{{{n}}}"} for n in range(50)] + [{"role": "x", "content": "y", "name": "z"}]})
+    [r] = spark.createDataFrame([(many,)], "r string").select(
+        chat_format.structure_of(F.col("r")), chat_format.structure_of(F.col("r"), 10), F.length(chat_format.without_texts(F.col("r"), 10))
+    ).collect()
+    assert r[0] == r[1] and r[2] < 150
+
+
 def test_layouts_are_told_by_their_field_paths(spark):
     rows = [(n, json.dumps(r)) for n, (r, _, _) in enumerate(LAYOUTS)] + [(90, None), (91, "no json"), (92, "[]")]
     out = chat_format.format_records(spark.createDataFrame(rows, "id int, record string"), "record", ["id"])
