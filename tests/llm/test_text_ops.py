@@ -150,6 +150,16 @@ def test_windows_cover_every_digit_and_reconcile():
     assert pii.reconcile("call 555 123 4567 now", [(4, 0, 8)], [(5, 3, 17, 9.0)]) == []
 
 
+def test_rare_base_spans_reach_the_training_sample(spark):
+    rows = [(n, f"plain text {'ab' * (n % 7)}") for n in range(2000)] + [(n, f"{n} apples") for n in range(2000, 2300)]
+    rare = [f"7 apples {'and so on ' * 60} me{n}@example.com" for n in range(6)] + [f"host 10.0.0.{n} is up" for n in range(2)]
+    frame = docs(spark, rows + [(5000 + n, t) for n, t in enumerate(rare)])
+    got = pii.training_snippets(frame, limit=8)
+    assert sum("@example.com" in t for t in got) == 6 and sum("host 10.0.0." in t for t in got) == 2 and len(got) == 10
+    few = pii.training_snippets(frame, limit=4)
+    assert sum("@example.com" in t for t in few) == 2 and sum("host 10.0.0." in t for t in few) == 2 and len(few) == 5
+
+
 def test_masks_merge_overlaps():
     assert pii.masked("a 123 b 45", [(2, 2, 5), (4, 3, 5), (8, 1, 10)]) == "a [CARD] b [IP]"
 
