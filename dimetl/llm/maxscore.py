@@ -16,6 +16,8 @@ bounded number of rows whatever the table's size.
 
 from __future__ import annotations
 
+from heapq import nsmallest
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -27,32 +29,35 @@ K = 10
 SHARD_ROWS = 8192
 QUERY_ROWS = 4096
 TILE = 1024
-#: Components beyond this (as integers) do not fit the 64-bit scores.
-MAX_COMPONENT = 2**26
 #: Float products are exact while every partial sum stays under 2**53.
 _EXACT = 2.0**53
 
 
 def integer_vectors(df: DataFrame, id_column: str, vector_column: str, scale: int = 1024) -> DataFrame:
-    """``id, v``: components ``floor(scale * x)`` as array<int>; unusable vectors left out.
+    """``id, v``: components ``floor(scale * x)`` as array<long>; unusable vectors left out.
 
-    A vector takes part if it is not null, no component is null, NaN or
-    infinite, and no scaled component exceeds ``MAX_COMPONENT`` (2**26), beyond which a
-    64-bit score could overflow.  An empty vector takes part with score 0;
-    vectors of different lengths meet as if padded with zeros.  Rows without
-    an id are left out.  Repeated rows stay and rank as rows.
+    A vector takes part if it is not null and no component is null, NaN or
+    infinite; a scaled component that does not fit a long raises an error.  An
+    empty vector takes part with score 0; vectors of different lengths meet as
+    if padded with zeros.  Rows without an id are left out.  Repeated rows stay
+    and rank as rows.
     """
     vec = F.col(f"`{vector_column}`")
 
     def usable(x: Column) -> Column:
         y = x.cast("double")
-        return y.isNotNull() & ~F.isnan(y) & (F.abs(y * scale) < MAX_COMPONENT)
+        return y.isNotNull() & ~F.isnan(y) & (F.abs(y) < float("inf"))
+
+    def scaled(x: Column) -> Column:
+        y = x.cast("double") * scale
+        wide = F.raise_error(F.lit("a scaled component does not fit a long")).cast("long")
+        return F.when(F.abs(y) < 2.0**63, F.floor(y)).otherwise(wide)
 
     return (
         df.select(F.col(f"`{id_column}`").cast("long").alias("id"), vec.alias("raw"))
         .filter(F.col("id").isNotNull() & F.col("raw").isNotNull())
         .filter(F.forall("raw", usable))
-        .select("id", F.transform("raw", lambda x: F.floor(x.cast("double") * scale).cast("int")).alias("v"))
+        .select("id", F.transform("raw", scaled).alias("v"))
     )
 
 
@@ -106,23 +111,39 @@ def search_block(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, v: np.ndarra
     return out
 
 
+def search_wide(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, v: np.ndarray, k: int) -> list[tuple[int, int, int]]:
+    """As ``search_block``, for components whose products floats do not hold: integers of any size, all pairs."""
+    out = []
+    if not len(q_ids) or not len(ids):
+        return out
+    q, v = (x.astype(np.int64).astype(object) for x in (q, v))
+    for q_id, x in zip(q_ids.tolist(), q, strict=True):
+        used = np.flatnonzero(x)
+        scores = (v[:, used] @ x[used]).tolist() if len(used) else [0] * len(ids)
+        found = nsmallest(k, ((-s, i) for s, i in zip(scores, ids.tolist(), strict=True) if i != q_id))
+        if any(not -(2**63) <= -s < 2**63 for s, _ in found):
+            raise OverflowError(f"a score of query {q_id} does not fit a long")
+        out += [(q_id, i, -s) for s, i in found]
+    return out
+
+
 def _cell(k: int):
     def run(queries: pd.DataFrame, shard: pd.DataFrame) -> pd.DataFrame:
         columns = ["query_id", "vec_id", "score"]
         if not len(queries) or not len(shard):
             return pd.DataFrame({c: pd.Series(dtype="int64") for c in columns})
         width = max(queries["v"].map(len).max(), shard["v"].map(len).max())
+        # Every component is the floor of a double, so that doubles hold it exactly, however large.
         q, v = matrix(queries["v"], width), matrix(shard["v"], width)
-        if np.abs(q).max(initial=0) * np.abs(v).max(initial=0) * max(width, 1) >= _EXACT:
-            q, v = q.astype(np.int64).astype(object), v.astype(np.int64).astype(object)
-            scores = (q @ v.T).astype(np.int64)
-            rows = []
-            for q_id, row in zip(queries["id"].tolist(), scores, strict=True):
-                other = np.flatnonzero(shard["id"].to_numpy() != q_id)
-                top = other[np.lexsort((shard["id"].to_numpy()[other], -row[other]))[:k]]
-                rows += [(q_id, int(shard["id"].iloc[i]), int(row[i])) for i in top]
-            return pd.DataFrame(rows, columns=columns)
-        return pd.DataFrame(search_block(queries["id"].to_numpy(), q, shard["id"].to_numpy(), v, k), columns=columns)
+        q_ids, ids = queries["id"].to_numpy(), shard["id"].to_numpy()
+        most = (_EXACT / max(width, 1)) ** 0.5
+        q_small, v_small = np.abs(q).max(1, initial=0) < most, np.abs(v).max(1, initial=0) < most
+        rows = []
+        if q_small.any() and v_small.any():
+            rows += search_block(q_ids[q_small], q[q_small], ids[v_small], v[v_small], k)
+        rows += search_wide(q_ids[q_small], q[q_small], ids[~v_small], v[~v_small], k)
+        rows += search_wide(q_ids[~q_small], q[~q_small], ids, v, k)
+        return pd.DataFrame(rows, columns=columns).astype("int64")
 
     return run
 

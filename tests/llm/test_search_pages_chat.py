@@ -41,6 +41,19 @@ def test_top_k_equals_brute_force(spark, shard, queries):
     assert maxscore.top_k(vectors, vectors.limit(0)).count() == 0
 
 
+def test_large_components_take_part(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.standard_normal(6).tolist()) for i in range(60)]
+    rows += [(60, [7e4, 0.0, -1.5]), (61, [-3e5, 1e5 + 0.25, 2.0]), (62, [0.0] * 5 + [2.0**31]), (70, [1e6, 1e6])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    vectors = maxscore.integer_vectors(df, "vec_id", "embedding")
+    got = maxscore.top_k(vectors.filter(F.col("id") % 10 == 0), vectors, shard_rows=25, query_rows=3)
+    assert sorted(tuple(r) for r in got.collect()) == brute_top(rows, 10, lambda i: i % 10 == 0)
+    two = maxscore.integer_vectors(spark.createDataFrame([(0, [2.0**40]), (1, [2.0**40])], "vec_id long, embedding array<double>"), "vec_id", "embedding")
+    with pytest.raises(Exception, match="does not fit a long"):
+        maxscore.top_k(two, two).collect()
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.integers(1, 40), st.integers(1, 6), st.integers(0, 10**6))
 def test_blocks_with_small_tiles_are_exact(n, width, seed):
