@@ -1,5 +1,5 @@
 """Operators for large-scale training-data pipelines.
 
-Ten operators, one module each, plus the queries that run them over whole
+Thirteen operators, one module each, plus the queries that run them over whole
 tables (``queries.py``).  Nothing outside this subpackage imports it.
 """

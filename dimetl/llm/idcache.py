@@ -37,6 +37,19 @@ class IdCache:
         self.code.update(zip(words, range(self.words, self.words + len(words)), strict=True))
         self.words, self.used = self.words + len(words), self.used + len(flat)
 
+    def ids_of(self, words: list, use: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of ``words[use[0]], words[use[1]], ...`` in a row, and the number of each one's; ``words`` are distinct."""
+        if self.words + len(words) > self.max_words and self.words + sum(w not in self.code for w in words) > self.max_words:
+            self._clear()
+        new = [w for w in words if w not in self.code]
+        if new:
+            self._add(new)
+        codes = np.fromiter(map(self.code.__getitem__, words), np.int64, len(words))[use]
+        begin = self.start[codes]
+        size = self.start[codes + 1] - begin
+        place = np.repeat(begin - np.cumsum(size) + size, size)
+        return self.ids[place + np.arange(len(place))], size
+
     def encode(self, texts: list[list]) -> list[np.ndarray]:
         """Ids of each text, given as its list of words."""
         new = set().union(*texts) - self.code.keys() if texts else set()

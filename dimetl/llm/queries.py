@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimetl.llm import chat_format, exact_dedup, maxscore, packing, pieces, pii, quality, secrets, simhash, wrappers
+from dimetl.llm import align, audit, chat_format, exact_dedup, maxscore, packing, pieces, pii, quality, records, secrets, simhash, wrappers
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -78,6 +78,19 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align_documents(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
+def op13_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text written as framed binary records, and read back."""
+    return records.round_trip(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, QueryFn] = {
     "op1_simhash_dedup": op1_simhash_dedup,
     "op2_chat_format": op2_chat_format,
@@ -89,10 +102,14 @@ QUERIES: dict[str, QueryFn] = {
     "op8_exact_top_k": op8_exact_top_k,
     "op9_secret_scan": op9_secret_scan,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_token_records": op13_token_records,
 }
 
 ORACLES: dict[str, str] = {
     "op2_chat_format": chat_format.SQL.strip(),
     "op4_exact_dedup": exact_dedup.SQL.strip(),
     "op8_exact_top_k": maxscore.SQL.strip(),
+    "op11_filter_audit": audit.SQL.strip(),
 }

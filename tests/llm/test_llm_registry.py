@@ -15,14 +15,14 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(queries.QUERIES) | {"pipeline"} <= set(E.queries()) and set(queries.ORACLES) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("key", sorted(queries.ORACLES))
 def test_query_equals_sql(spark, key):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "conversations"):
+    for t in ("documents", "embeddings", "conversations", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     got = queries.QUERIES[key](spark, SF)
     want = con.execute(queries.ORACLES[key]).fetchall()
