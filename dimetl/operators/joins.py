@@ -2,8 +2,8 @@
 
 The physical strategy is left to Catalyst + AQE (sort-merge by default,
 converted to broadcast at run time when a side's measured shuffle output is
-small; skewed partitions split by the AQE skew-join rule).  An explicit
-broadcast hint is only placed behind a row-count check (``broadcast_if_small``).
+small; skewed partitions split by the AQE skew-join rule).  No broadcast hint
+is placed.
 """
 
 from __future__ import annotations

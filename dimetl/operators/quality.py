@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimetl.operators.joins import fk_orphans
-from dimetl.operators.scd2 import duplicate_active_keys
+from dimetl.operators.scd2 import duplicate_active_keys, overlapping_versions
 
 
 class DataQualityError(RuntimeError):
@@ -66,6 +66,15 @@ def dq_scd2_unique(dims: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataF
     return _union(frames)
 
 
+def dq_scd2_overlap(dims: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
+    """SCD2 gate: number of versions whose validity meets that of the next version of their key (must be 0)."""
+    frames = []
+    for name, (dim, keys) in dims.items():
+        n = F.count(F.lit(1))
+        frames.append(overlapping_versions(dim, keys).agg(*_row("scd2_overlap", name, n, F.lit(0), n == F.lit(0))))
+    return _union(frames)
+
+
 def dq_unique_keys(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
     """Key gate: number of keys that more than one row has (must be 0)."""
     frames = []

@@ -18,9 +18,9 @@ with the staging rows on the business keys (NULL-safe), classified per key:
 A business key that occurs twice in the staging rows stops the load with an
 error (``unique_rows``): which of two rows is the version is not ours to pick.
 
-``Scd2Table`` stores a log: each load writes the versions it opens and the end
-dates of those it closes, never the unchanged rows, to a folder of its own
-that a commit marker makes visible.
+``Scd2Table`` stores each load's opened and closed rows, never the unchanged
+ones, as one ``load_date`` partition of an ordinary Parquet table; the current
+state of a version is its row of the last load that has one.
 """
 
 from __future__ import annotations
@@ -35,11 +35,12 @@ from pyspark.sql import types as T
 
 from dimetl.functions.keys import hash_key
 from dimetl.schemas import OPEN_END_DATE
-from dimetl.sinks.commits import ATTEMPTS, CommitLog
+from dimetl.sinks.paths import delete, partition_values
 
 START = "record_start_date"
 END = "record_end_date"
 HASH = "hash"
+LOAD = "load_date"
 KEPT, OPENED, CLOSED, REPLACED = "kept", "opened", "closed", "replaced"
 
 
@@ -194,19 +195,29 @@ def duplicate_active_keys(dim: DataFrame, keys: Sequence[str]) -> DataFrame:
     return active_rows(dim).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_active")).where(F.col("n_active") > 1)
 
 
-class Scd2Table:
-    """SCD2 storage as a log of loads on a shared file system.
+def overlapping_versions(dim: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Versions valid on a day on which a later version of their key is valid too (must be empty).
 
-    Layout under ``root``::
+    Looks at the whole history, not only at active rows: within a key, in
+    order of start, a version must end before the next one starts.  NULL keys
+    are one key.  Versions that end before they start count as well.
+    """
+    order = Window.partitionBy(*keys).orderBy(F.col(START), F.col(END))
+    marked = dim.withColumn("__next", F.lead(START).over(order))
+    return marked.where((F.col("__next") <= F.col(END)) | (F.col(END) < F.col(START))).drop("__next")
 
-        attempts/load=<id>/change=opened/   versions opened by a load
-        attempts/load=<id>/change=closed/   versions it closed, with their end date (NULL: replaced the same day)
-        _commits/<version>.json             marker of a load: folder, load date, schema
 
-    One load joins the active rows with the staging rows and writes only what
-    changed.  A reader takes the newest marker every time it reads: the opened
-    rows of all loads, each ended by the later closing of its id.  ``vacuum``
-    folds the log into one folder.  One writer per table at a time.
+class Scd2Table:
+    """A type-2 dimension kept as one Parquet partition per load date.
+
+    ``root/load_date=<day>/`` holds the versions the load of that day opened
+    and, with their end date, those it closed.  A version is named by its id
+    (business keys and start date), so the table is, for each id, the row of the
+    last load: one aggregate.  A load replaces its own partition by dynamic
+    overwrite; loads come in date order, and a second load of one day is merged
+    into that day.  ``fold`` bounds the number of partitions.  One writer per
+    table at a time; a frame read before a load of the same day or a fold must be
+    read again.
     """
 
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], id_column: str):
@@ -216,87 +227,77 @@ class Scd2Table:
         self.root = root.rstrip("/")
         self.keys = list(keys)
         self.id_column = id_column
-        self.log = CommitLog(spark, root)
-
-    def committed_version(self) -> int:
-        return max(self.log.versions(), default=0)
-
-    def _log_rows(self) -> DataFrame:
-        """Rows of all committed loads with their ``change`` and load ``version``."""
-        versions = self.log.versions()
-        if not versions:
-            raise ValueError(f"no committed load under {self.root}")
-        markers: dict[int, dict] = {}
-        for v in reversed(versions):  # back to the newest fold
-            markers[v] = self.log.read(v)
-            if markers[v]["fold"]:
-                break
-        # The schema comes from the marker: a load may have written no data file at all.
-        schema = T.StructType.fromJson(markers[versions[-1]]["schema"])
-        schema = schema.add("load", T.StringType()).add("change", T.StringType())
-        folders = [self.log.path(m["folder"]) for m in markers.values()]
-        rows = self.spark.read.schema(schema).option("basePath", f"{self.root}/{ATTEMPTS}").parquet(*folders)
-        number = F.create_map(*[F.lit(x) for v, m in markers.items() for x in (m["folder"].removeprefix("load="), v)])
-        return rows.withColumn("__version", number[F.col("load")]).drop("load")
+        self._schema: T.StructType | None = None
+
+    def load_dates(self) -> list[str]:
+        """Dates of the loads that changed something, in order."""
+        return partition_values(self.spark, self.root, LOAD)
+
+    def _rows(self) -> DataFrame:
+        return self.spark.read.parquet(self.root).withColumn(LOAD, F.col(LOAD).cast("date"))
 
     def read(self) -> DataFrame:
-        rows = self._log_rows()
-        ends = rows.where(F.col("change") == CLOSED).select(
-            F.col(self.id_column).alias("__id"), F.col(END).alias("__end"), F.col("__version").alias("__at")
-        )
-        opened = rows.where(F.col("change") == OPENED)
-        later = (F.col(self.id_column) == F.col("__id")) & (F.col("__at") > F.col("__version"))
-        known = opened.join(ends, later, "left").where(F.col("__at").isNull() | F.col("__end").isNotNull())
-        return known.withColumn(END, F.coalesce("__end", END)).drop("change", "__id", "__end", "__at", "__version")
+        """Every version, history and active."""
+        if not self.load_dates():
+            if self._schema is None:
+                raise ValueError(f"no load under {self.root}")
+            return self.spark.createDataFrame([], self._schema)
+        rows = self._rows()
+        rest = [c for c in rows.columns if c not in (self.id_column, LOAD)]
+        last = F.max_by(F.struct(*[F.col(f"`{c}`") for c in rest]), F.col(LOAD)).alias("__r")
+        return rows.groupBy(self.id_column).agg(last).select(self.id_column, *[F.col(f"__r.`{c}`").alias(c) for c in rest])
 
     def read_active(self) -> DataFrame:
         return active_rows(self.read())
 
-    def load(self, staging: DataFrame, load_date) -> int:
-        """Apply one staging load; returns the committed version number.
+    def load(self, staging: DataFrame, load_date) -> None:
+        """Apply one staging load.
 
-        Loads come in date order: an earlier date than the last one is an
-        error (rebuild with ``scd2_bulk`` instead); the same date replaces the
-        versions opened that day.
+        An earlier date than the last one is an error (rebuild with
+        ``scd2_bulk`` instead).  On the date of the last load, versions opened
+        that day are replaced where they changed, and kept where staging does
+        not name them.  A load that changes nothing writes nothing.
         """
         day = str(load_date)
-        current = self.committed_version()
-        out_cols = [self.id_column, *staging.columns, START, END]
-        if current == 0:
-            schema = T.StructType(
-                [T.StructField(self.id_column, T.StringType())]
-                + list(staging.schema.fields)
-                + [T.StructField(START, T.DateType()), T.StructField(END, T.DateType())]
-            )
-            target = self.spark.createDataFrame([], schema)
-        else:
-            last = self.log.read(current)["load_date"]
-            if day < last:
-                raise ValueError(f"load date {day} is before the last committed load {last} of {self.root}")
-            target = self.read_active().select(*out_cols)
-        changes = scd2_merge_rows(target, staging, self.keys, load_date, self.id_column).where(F.col("change") != KEPT)
-        return self._write(changes.replace(REPLACED, CLOSED, subset=["change"]), current + 1, day)
-
-    def _write(self, rows: DataFrame, version: int, day: str, fold: bool = False) -> int:
-        attempt = self.log.attempt()
-        rows.write.partitionBy("change").parquet(self.log.path(attempt))
-        marker = {"folder": attempt, "load_date": day, "fold": fold, "schema": rows.drop("change").schema.jsonValue()}
-        self.log.commit(version, marker)
-        return version
-
-    def vacuum(self, keep: int = 1) -> list[int]:
-        """Fold the log into one folder if it holds more than ``keep`` loads; returns the versions folded away.
-
-        The table's content stays as it is.  Readers that have begun on the old
-        folders must read again.
+        self._schema = T.StructType(
+            [T.StructField(self.id_column, T.StringType())]
+            + list(staging.schema.fields)
+            + [T.StructField(START, T.DateType()), T.StructField(END, T.DateType())]
+        )
+        out_cols = self._schema.names
+        dates = self.load_dates()
+        if dates and day < dates[-1]:
+            raise ValueError(f"load date {day} is before the last load {dates[-1]} of {self.root}")
+        changes = scd2_merge_rows(self.read_active().select(*out_cols), staging, self.keys, load_date, self.id_column)
+        written = changes.where(F.col("change").isin(OPENED, CLOSED))
+        if dates and day == dates[-1]:
+            # The day's partition is written anew: versions opened earlier that day and still there, closings of that day.
+            still = changes.where((F.col("change") == KEPT) & (F.col(START) == _date(day)))
+            closed = self._rows().where((F.col(LOAD) == _date(day)) & (F.col(START) < _date(day)))
+            written = written.unionByName(still).drop("change").unionByName(closed.select(*out_cols))
+        self._write(written.select(*out_cols), day)
+
+    def _write(self, rows: DataFrame, day: str) -> None:
+        (
+            rows.withColumn(LOAD, F.lit(day))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(LOAD)
+            .parquet(self.root)
+        )
+
+    def fold(self, keep: int = 1) -> list[str]:
+        """Fold the table into the partition of its last load if it has more than ``keep``; returns the dates folded away.
+
+        The last partition then names every version, and older partitions say
+        nothing any more, so it does no harm if their removal is cut short.
         """
         if keep < 1:
             raise ValueError("keep at least one load")
-        versions = self.log.versions()
-        if len(versions) <= keep:
+        dates = self.load_dates()
+        if len(dates) <= keep:
             return []
-        last = self.log.read(versions[-1])["load_date"]
-        self._write(self.read().withColumn("change", F.lit(OPENED)), versions[-1] + 1, last, fold=True)
-        for v in versions:
-            self.log.forget(v)
-        return versions
+        self._write(self.read(), dates[-1])
+        for day in dates[:-1]:
+            delete(self.spark, f"{self.root}/{LOAD}={day}")
+        return dates[:-1]

@@ -22,7 +22,7 @@ from dimetl.plans import listings as L
 from dimetl.plans import songplays as SP
 from dimetl.schemas import DIMENSIONS
 from dimetl.sinks import writers as W
-from dimetl.sinks.commits import exists
+from dimetl.sinks.paths import exists
 from dimetl.operators.filters import filter_plays
 from dimetl.sources import files as S
 
@@ -105,10 +105,10 @@ def run_listing_week(
     multi_line: bool = False,
     keep_versions: int | None = None,
 ) -> dict[str, str]:
-    """One weekly load: staging, SCD2 dimensions (versioned stores), the week's stock fact rows, gates.
+    """One weekly load: staging, SCD2 dimensions, the week's stock fact rows, gates.
 
     An empty crawl, a duplicate business key or a NULL one stops the week before
-    anything is loaded.  ``keep_versions`` folds longer logs of the dimension stores.
+    anything is loaded.  ``keep_versions`` folds dimension stores of more load partitions.
     """
     if not raw_path or not out_root or not load_date:
         raise ValueError("run_listing_week needs raw_path, out_root and load_date")
@@ -142,6 +142,7 @@ def run_listing_week(
         Q.dq_suite(
             Q.dq_counts({"fact_stock": written, **{d: t for d, t in stores.items()}}),
             Q.dq_scd2_unique({d: (t, DIMENSIONS[d].match_columns) for d, t in stores.items()}),
+            Q.dq_scd2_overlap({d: (t, DIMENSIONS[d].match_columns) for d, t in stores.items()}),
             Q.dq_unique_keys({"fact_stock": (written, ["id"])}),
             Q.dq_null_keys({"fact_stock": (written, list(ids))}),
             Q.dq_fk_orphans(written, {**ids, "date_id": (spark.read.parquet(date_path), "date_id")}, "fact_stock"),

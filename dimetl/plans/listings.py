@@ -90,7 +90,7 @@ def load_dimensions(
 
     Loads of one dimension run in date order; the dimensions are independent,
     so their jobs are submitted from one thread each and run side by side.
-    With ``keep_versions`` the logs are folded after the loads once they are longer.
+    With ``keep_versions`` a store of more load partitions is folded after the loads.
     Returns the whole table (history + active) of every dimension.
     """
     if not root or not dims or not load_dates:
@@ -102,7 +102,7 @@ def load_dimensions(
         for k, day in enumerate(load_dates):
             store.load(staging_for(dim, k), day)
         if keep_versions:
-            store.vacuum(keep_versions)
+            store.fold(keep_versions)
         return store.read()
 
     return run_writes(spark, {dim: (lambda dim=dim: run(dim)) for dim in dims}, len(dims))

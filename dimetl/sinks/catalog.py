@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from dimetl.schemas import TABLES
-from dimetl.sinks.commits import delete
+from dimetl.sinks.paths import delete
 
 
 def create_schema(spark: SparkSession, name: str, root: str) -> None:

@@ -81,7 +81,7 @@ def dim_after(spark, d, dim, loads):
 
 
 def dim_stored(spark, d, dim, loads):
-    """Replay through the versioned Parquet store (lineage cut at every load)."""
+    """Replay through the Parquet store (lineage cut at every load)."""
     spec = DIMENSIONS[dim]
     store = Scd2Table(spark, scratch_path(spark, dim), spec.match_columns, spec.id_column)
     for k in range(loads):
@@ -346,6 +346,29 @@ def q_scd2_three_loads(spark, d):
     return dim_stored(spark, d, "dim_asset", 3).select(*ASSET_OUT.split(", "))
 
 
+def sql_same_day() -> str:
+    """Two loads on the first date (the later one wins where it names a key), the third snapshot on the second."""
+    one = f"SELECT * FROM stg_dim_asset1 UNION ALL SELECT * FROM stg_dim_asset0 a WHERE NOT EXISTS (SELECT 1 FROM stg_dim_asset1 b WHERE a.contract_number IS NOT DISTINCT FROM b.contract_number)"
+    snaps = f"SELECT *, DATE '{SNAPSHOT_DATES[0]}' AS d FROM ({one}) UNION ALL SELECT *, DATE '{SNAPSHOT_DATES[1]}' FROM stg_dim_asset2"
+    cols = ", ".join(TRACKED["dim_asset"])
+    return f"""SELECT {sql_hash_key('contract_number', 'd')} AS asset_id, {cols}, hash, d AS record_start_date,
+  COALESCE(CAST(lead(d) OVER (PARTITION BY contract_number ORDER BY d) - INTERVAL 1 DAY AS DATE), DATE '{OPEN_END_DATE}') AS record_end_date
+FROM (SELECT *, lag(hash) OVER (PARTITION BY contract_number ORDER BY d) AS prev FROM ({snaps})) WHERE prev IS NULL OR prev <> hash"""
+
+
+@register(
+    "scd2_same_day",
+    with_views("stg_dim_asset0", "stg_dim_asset1", "stg_dim_asset2") + sql_same_day(),
+    dates=("record_start_date", "record_end_date"),
+)
+def q_scd2_same_day(spark, d):
+    """A version opened and replaced on one day, then closed by a later load: the replaced one is no history."""
+    store = Scd2Table(spark, scratch_path(spark, "dim_same_day"), KEYS["dim_asset"], IDS["dim_asset"])
+    for k, day in ((0, 0), (1, 0), (2, 1)):
+        store.load(staged(spark, d, "dim_asset", k), SNAPSHOT_DATES[day])
+    return store.read().select(*ASSET_OUT.split(", "))
+
+
 @register("scd2_bulk", _sel("scd_dim_asset3", ASSET_OUT), dates=("record_start_date", "record_end_date"))
 def q_scd2_bulk(spark, d):
     snaps = None
@@ -374,6 +397,24 @@ def q_dq_scd2_unique(spark, d):
     return Q.dq_scd2_unique({dim: (tables[dim], KEYS[dim]) for dim in dims})
 
 
+@register(
+    "dq_scd2_overlap",
+    with_views("scd_dim_asset3")
+    + f""", planted AS (
+  SELECT contract_number, record_start_date, CASE WHEN contract_number LIKE '%7' THEN DATE '{OPEN_END_DATE}' ELSE record_end_date END AS record_end_date
+  FROM scd_dim_asset3),
+v AS (SELECT *, lead(record_start_date) OVER (PARTITION BY contract_number ORDER BY record_start_date) AS nxt FROM planted),
+c AS (SELECT 'planted' AS subject, count(*) FILTER (nxt <= record_end_date) AS n FROM v UNION ALL SELECT 'stored', 0)
+SELECT 'scd2_overlap' AS check_name, subject, n AS observed, CAST(0 AS BIGINT) AS expected, n = 0 AS passed FROM c""",
+)
+def q_dq_scd2_overlap(spark, d):
+    """The stored dimension has no overlap; with the ends of some closed versions put off, all of those are found."""
+    dim = dim_stored(spark, d, "dim_asset", 3)
+    late = F.when(F.col("contract_number").like("%7"), F.lit(OPEN_END_DATE).cast("date")).otherwise(F.col("record_end_date"))
+    keys = KEYS["dim_asset"]
+    return Q.dq_scd2_overlap({"stored": (dim, keys), "planted": (dim.withColumn("record_end_date", late), keys)})
+
+
 @register(
     "dq_staging_keys",
     with_views("clean0")

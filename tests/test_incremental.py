@@ -65,17 +65,16 @@ def test_stream_upsert_restart(spark, tmp_dir):
     with open(src + "/b.json", "w") as fh:
         fh.write(_log(1, 7, "free", 1000) + "\n")
     args = (LOG_SCHEMA, root, ckpt, _prepare, ["user_id"], ["first_name"], ["level"], ["start_time", "item_in_session"])
-    t = stream_upsert_available_now(spark, src, *args, max_files_per_trigger=1, keep_versions=2)
-    assert t.log.versions() == [1, 2]
+    t = stream_upsert_available_now(spark, src, *args, max_files_per_trigger=1)
+    assert t.batches() == [0, 1]
     with pytest.raises(ValueError):
-        stream_upsert_available_now(spark, src, *args, keep_versions=1)
+        stream_upsert_available_now(spark, src, *args, keep_batches=1)
     with pytest.raises(ValueError):  # a new checkpoint would start from nothing
         stream_upsert_available_now(spark, src, LOG_SCHEMA, root, ckpt + "2", *args[3:])
     r = t.read().collect()[0]
     assert (r["first_name"], r["level"]) == ("f1", "paid")
-    v = t.version()
-    stream_upsert_available_now(spark, src, *args, max_files_per_trigger=1)  # no new file: no new version
-    assert t.version() == v
+    stream_upsert_available_now(spark, src, *args, max_files_per_trigger=1)  # no new file: no new batch
+    assert t.batches() == [0, 1]
     with open(src + "/c.json", "w") as fh:
         fh.write(_log(3, 7, "free", 3000) + "\n")
     stream_upsert_available_now(spark, src, *args, max_files_per_trigger=1)
@@ -83,6 +82,46 @@ def test_stream_upsert_restart(spark, tmp_dir):
     assert (r["first_name"], r["level"]) == ("f1", "free")
 
 
+def test_stream_writes_changed_keys_only_and_folds(spark, tmp_dir):
+    from dimetl.streaming.incremental import ROCKSDB, STATE_STORE, StreamedTable
+
+    src, root, ckpt = tmp_dir + "/src", tmp_dir + "/dim", tmp_dir + "/ckpt"
+    os.makedirs(src)
+    provider = spark.conf.get(STATE_STORE)
+    args = (LOG_SCHEMA, root, ckpt, _prepare, ["user_id"], ["first_name"], ["level"], ["start_time", "item_in_session"])
+    days = [[(1, u, "free", 1000 + u) for u in range(20)] + [(1, None, "free", 5)], [(2, 3, "paid", 9000)], [(3, 4, "paid", 9000), (9, 99, "free", 1)]]
+    want = {}
+    for n, rows in enumerate(days):
+        with open(f"{src}/{n}.json", "w") as fh:
+            fh.write("\n".join(_log(i, u if u is not None else "", lv, ts) for i, u, lv, ts in rows) + "\n")
+        t = stream_upsert_available_now(spark, src, *args)
+        want |= {u: lv for _, u, lv, _ in rows}
+        assert {r["user_id"]: r["level"] for r in t.read().collect()} == want
+        assert spark.read.parquet(f"{root}/batch_id={n}").count() == len(rows)
+    assert spark.conf.get(STATE_STORE) == provider != ROCKSDB
+    assert os.path.isdir(f"{ckpt}/state")
+    with pytest.raises(ValueError):
+        t.fold(1)
+    assert t.fold(2) == [0] and t.batches() == [1, 2]
+    fresh = StreamedTable(spark, root, ["user_id"])
+    assert {r["user_id"]: r["level"] for r in fresh.read().collect()} == want
+    with pytest.raises(ValueError):
+        StreamedTable(spark, tmp_dir + "/none", ["user_id"]).read()
+
+
+def test_backfill_empties_named_slices_of_any_value(spark, tmp_dir):
+    from dimetl.sinks.writers import write_partitioned
+    from dimetl.streaming.incremental import backfill_slice
+
+    rows = [(1, "a:b"), (2, None), (3, "x y/z"), (4, "k")]
+    path = tmp_dir + "/slices"
+    table = spark.createDataFrame(rows, "v int, s string")
+    write_partitioned(table, path, ["s"])
+    fixed = spark.createDataFrame([(40, "k")], "v int, s string")
+    backfill_slice(spark.read.parquet(path), fixed, path, ["s"], [{"s": "a:b"}, {"s": None}, {"s": "k"}, {"s": "never there"}])
+    assert sorted((r["v"], r["s"]) for r in spark.read.parquet(path).collect()) == [(3, "x y/z"), (40, "k")]
+
+
 def test_second_source_and_lost_checkpoint(spark, tmp_dir):
     from dimetl.streaming.incremental import ingest_available_now
 

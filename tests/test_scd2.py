@@ -1,11 +1,10 @@
 import datetime as dt
-import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from dimetl.functions.keys import row_hash
-from dimetl.operators.scd2 import Scd2Table, duplicate_active_keys, scd2_apply, scd2_bulk, scd2_merge
+from dimetl.operators.scd2 import Scd2Table, duplicate_active_keys, overlapping_versions, scd2_apply, scd2_bulk, scd2_merge
 from dimetl.schemas import OPEN_END_DATE
 
 OPEN = dt.date.fromisoformat(OPEN_END_DATE)
@@ -86,7 +85,7 @@ def test_duplicate_staging_rows_stop_the_load(spark, tmp_dir):
     store = Scd2Table(spark, tmp_dir + "/dim", ["k"], "dim_id")
     with pytest.raises(Exception, match="duplicate business key"):
         store.load(twice, D[0])
-    assert store.committed_version() == 0
+    assert store.load_dates() == []
 
 
 def test_duplicate_active_keys_are_found(spark):
@@ -119,8 +118,8 @@ def test_store_matches_in_plan_replay(spark, tmp_dir):
     store = Scd2Table(spark, tmp_dir + "/dim", ["k"], "dim_id")
     for d, rows in loads:
         store.load(staging(spark, rows), d)
-    assert store.committed_version() == 3
-    fresh = Scd2Table(spark, tmp_dir + "/dim", ["k"], "dim_id")  # a new reader finds the commit
+    assert store.load_dates() == D
+    fresh = Scd2Table(spark, tmp_dir + "/dim", ["k"], "dim_id")  # a new reader finds the loads
     stored = fresh.read()
     rep = replay(spark, loads)
     assert sorted(map(tuple, stored.select(*rep.columns).collect())) == sorted(map(tuple, rep.collect()))
@@ -135,7 +134,7 @@ def test_merge_outputs(spark):
     assert [str(r["record_end_date"]) for r in closed.collect()] == ["2024-01-07"]
 
 
-def test_vacuum_keeps_content(spark, tmp_dir):
+def test_fold_keeps_content(spark, tmp_dir):
     loads = [
         (D[0], [("a", "1"), ("b", "1")]),
         (D[1], [("a", "2"), ("c", "1")]),
@@ -145,38 +144,69 @@ def test_vacuum_keeps_content(spark, tmp_dir):
     for d, rows in loads:
         store.load(staging(spark, rows), d)
     before = sorted(map(tuple, store.read().collect()))
-    assert store.vacuum(keep=1) == [1, 2, 3]
-    assert len(os.listdir(tmp_dir + "/dim/attempts")) == 1
+    assert store.fold(keep=3) == [] and store.fold(keep=1) == D[:2]
+    assert store.load_dates() == [D[2]]
     fresh = Scd2Table(spark, tmp_dir + "/dim", ["k"], "dim_id")
     assert sorted(map(tuple, fresh.read().collect())) == before
-    store.load(staging(spark, [("a", "9")]), "2024-01-29")  # loads go on after a vacuum
+    store.load(staging(spark, [("a", "9")]), "2024-01-29")  # loads go on after a fold
     assert store.read().where("k = 'a' AND record_end_date = DATE'9999-12-31'").first()["v"] == "9"
 
 
-def test_crashed_load_shows_no_rows_after_the_retry(spark, tmp_dir, monkeypatch):
+def test_fold_cut_short_changes_nothing(spark, tmp_dir, monkeypatch):
     store = Scd2Table(spark, tmp_dir + "/dim", ["k"], "dim_id")
-    store.load(staging(spark, [("a", "1")]), D[0])
-    monkeypatch.setattr(store.log, "commit", lambda *a, **k: (_ for _ in ()).throw(OSError("lost")))
+    for d, v in zip(D, "123"):
+        store.load(staging(spark, [("a", v)]), d)
+    before = sorted(map(tuple, store.read().collect()))
+    monkeypatch.setattr("dimetl.operators.scd2.delete", lambda *a: (_ for _ in ()).throw(OSError("lost")))
     with pytest.raises(OSError):
-        store.load(staging(spark, [("a", "2")]), D[1])
+        store.fold()
+    assert store.load_dates() == D and sorted(map(tuple, store.read().collect())) == before
+
+
+def test_crashed_load_shows_no_rows(spark, tmp_dir):
+    store = Scd2Table(spark, tmp_dir + "/dim", ["k"], "dim_id")
+    store.load(staging(spark, [("a", "1")]), D[0])
+    broken = staging(spark, [("a", "2"), ("c", "1")]).withColumn("v", F.when(F.col("k") == "c", F.raise_error(F.lit("lost"))).otherwise(F.col("v")))
+    with pytest.raises(Exception, match="lost"):
+        store.load(broken, D[1])
     fresh = Scd2Table(spark, tmp_dir + "/dim", ["k"], "dim_id")
     fresh.load(staging(spark, [("a", "1"), ("b", "1")]), D[1])
-    assert sorted(r["k"] for r in fresh.read().collect()) == ["a", "b"]
+    assert sorted((r["k"], r["v"]) for r in fresh.read().collect()) == [("a", "1"), ("b", "1")]
 
 
-def test_unreadable_marker_is_an_error(spark, tmp_dir):
+def test_replaced_version_does_not_come_back(spark, tmp_dir):
+    loads = [(D[0], [("a", "1"), ("b", "1")]), (D[0], [("a", "2")]), (D[1], [("a", "3")]), (D[1], [("a", "2"), ("c", "1")])]
+    store = Scd2Table(spark, tmp_dir + "/dim", ["k"], "dim_id")
+    for n, (d, rows) in enumerate(loads):
+        store.load(staging(spark, rows), d)
+        rep = replay(spark, loads[: n + 1])
+        assert sorted(map(tuple, store.read().select(*rep.columns).collect())) == sorted(map(tuple, rep.collect()))
+    got = sorted((r["k"], r["v"], str(r["record_start_date"]), str(r["record_end_date"])) for r in store.read().collect())
+    assert got == [
+        ("a", "2", D[0], "2024-01-07"), ("a", "2", D[1], OPEN_END_DATE), ("b", "1", D[0], OPEN_END_DATE), ("c", "1", D[1], OPEN_END_DATE),
+    ]
+    assert overlapping_versions(store.read(), ["k"]).count() == 0
+
+
+def test_overlaps_in_the_history_are_found(spark):
+    rows = [
+        ("a", "2024-01-01", "2024-01-07"), ("a", "2024-01-07", "2024-01-20"), ("a", "2024-01-21", "9999-12-31"),
+        ("b", "2024-01-01", "2024-01-07"), ("b", "2024-01-08", "9999-12-31"),
+        (None, "2024-01-01", "2024-02-01"), (None, "2024-01-01", "2024-01-31"), ("c", "2024-02-01", "2024-01-01"),
+    ]
+    dim = spark.createDataFrame(rows, "k string, s string, e string").selectExpr("k", "DATE(s) AS record_start_date", "DATE(e) AS record_end_date")
+    assert sorted((r["k"] or "", str(r["record_end_date"])) for r in overlapping_versions(dim, ["k"]).collect()) == [
+        ("", "2024-01-31"), ("a", "2024-01-07"), ("c", "2024-01-01"),
+    ]
+    assert duplicate_active_keys(dim, ["k"]).count() == 0  # the gate of active keys does not see them
+
+
+def test_empty_store(spark, tmp_dir):
     store = Scd2Table(spark, tmp_dir + "/dim", ["k"], "dim_id")
-    store.load(staging(spark, [("a", "1")]), D[0])
-    marker = tmp_dir + "/dim/_commits/000000000001.json"
-    with open(marker, "w") as fh:
-        fh.write("{")
-    for hidden in os.listdir(tmp_dir + "/dim/_commits"):
-        if hidden.endswith(".crc"):
-            os.remove(tmp_dir + "/dim/_commits/" + hidden)
     with pytest.raises(ValueError):
         store.read()
-    with pytest.raises(ValueError):
-        store.load(staging(spark, [("a", "2")]), D[1])
+    store.load(staging(spark, [("a", "1")]).limit(0), D[0])
+    assert store.read().count() == 0 and store.load_dates() == []
 
 
 def test_loads_come_in_date_order(spark, tmp_dir):
@@ -193,7 +223,7 @@ def test_reader_and_second_writer_see_the_newest_version(spark, tmp_dir):
     one.load(staging(spark, [("a", "1")]), D[0])
     assert two.read().count() == 1
     two.load(staging(spark, [("a", "2")]), D[1])
-    assert one.committed_version() == 2 and one.read().count() == 2
+    assert one.load_dates() == D[:2] and one.read().count() == 2
     one.load(staging(spark, [("a", "3")]), D[2])
     assert two.read_active().first()["v"] == "3" and two.read().count() == 3
 
@@ -202,5 +232,4 @@ def test_unchanged_rows_are_not_written_again(spark, tmp_dir):
     store = Scd2Table(spark, tmp_dir + "/dim", ["k"], "dim_id")
     store.load(staging(spark, [(f"k{n}", "1") for n in range(50)]), D[0])
     store.load(staging(spark, [(f"k{n}", "1" if n else "2") for n in range(50)]), D[1])
-    last = store.log.path(store.log.read(2)["folder"])
-    assert spark.read.parquet(last).count() == 2
+    assert spark.read.parquet(f"{tmp_dir}/dim/load_date={D[1]}").count() == 2
