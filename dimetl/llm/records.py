@@ -4,10 +4,12 @@ A file is a run of frames, all numbers little-endian:
 
     8 bytes  length n of the payload
     4 bytes  masked checksum of those 8 bytes
-    n bytes  payload: document id (8 bytes, signed), 1 or 0 for a null id (4 bytes), token ids (4 bytes each)
+    n bytes  payload: document id (8 bytes, signed), marks (4 bytes), token ids
     4 bytes  masked checksum of the payload
 
-The checksum is CRC-32C; masked: rotated right by 15 bits, plus 0xa282ead8.
+Marks: 1 the id is null; 2 token ids take 2 bytes each, as they do for a
+vocabulary of up to 65,536 ids, instead of 4; 4 the last 2 bytes fill the
+payload up to a multiple of 4.  The checksum is CRC-32C; masked: rotated right by 15 bits, plus 0xa282ead8.
 
 Documents are sorted by id over range partitions; every task writes the files
 of its own range, of bounded size each, under names no other attempt uses.  The
@@ -109,51 +111,55 @@ def masked(crc: np.ndarray) -> np.ndarray:
 
 # --------------------------------------------------------------- frames
 
-#: Words of a frame beside its token ids: length (2), its checksum, id (2), null mark, checksum of the payload.
+#: Words of a frame beside its token ids: length (2), its checksum, id (2), marks, checksum of the payload.
 _EXTRA = 7
+_NULL, _NARROW, _FILLED = 1, 2, 4
 
 
-def frames(ids: np.ndarray, counts: np.ndarray, doc_ids: np.ndarray, has_id: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _body(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Places of all payload words of frames."""
+    inner = size - 4
+    return np.arange(int(inner.sum())) + np.repeat(begin + 3 - (np.cumsum(inner) - inner), inner)
+
+
+def frames(ids: np.ndarray, counts: np.ndarray, doc_ids: np.ndarray, has_id: np.ndarray, narrow: bool) -> tuple[np.ndarray, np.ndarray]:
     """All frames in a row as 32-bit words, and where each begins (in words); ``ids`` holds ``counts[i]`` for each."""
     counts = np.asarray(counts, np.int64)
-    size = counts + _EXTRA
+    per_word = 2 if narrow else 1
+    size = -(-counts // per_word) + _EXTRA
     begin = np.cumsum(size) - size
     out = np.zeros(int(size.sum()), "<u4")
-    payload = 12 + 4 * counts
+    payload = 4 * (size - 4)
     out[begin], out[begin + 1] = payload & 0xFFFFFFFF, payload >> 32
     doc = np.asarray(doc_ids, np.int64).view(np.uint64)
     out[begin + 3], out[begin + 4] = (doc & np.uint64(0xFFFFFFFF)).astype(np.uint32), (doc >> np.uint64(32)).astype(np.uint32)
-    out[begin + 5] = ~np.asarray(has_id, bool)
-    inner = np.arange(len(ids)) + np.repeat(begin + 6 - (np.cumsum(counts) - counts), counts)
-    out[inner] = ids
+    out[begin + 5] = ~np.asarray(has_id, bool) * _NULL + narrow * (_NARROW + counts % 2 * _FILLED)
+    units = out.view("<u2") if narrow else out
+    units[np.arange(len(ids)) + np.repeat((begin + 6) * per_word - (np.cumsum(counts) - counts), counts)] = ids
     lengths = np.stack([out[begin], out[begin + 1]], axis=1).ravel()
     out[begin + 2] = masked(crc32c(lengths, np.full(len(counts), 2)))
-    body = np.arange(int((size - 4).sum())) + np.repeat(begin + 3 - (np.cumsum(size - 4) - size + 4), size - 4)
-    out[begin + size - 1] = masked(crc32c(out[body], size - 4))
+    out[begin + size - 1] = masked(crc32c(out[_body(begin, size)], size - 4))
     return out, begin
 
 
 def parse(data: bytes, where: str = "") -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """``(words, begin, doc ids, null marks)`` of the frames in ``data``; an error names the first damaged one."""
+    """``(words, begin, doc ids, marks)`` of the frames in ``data``; an error names the first damaged one."""
     begin, at = [], 0
     while at < len(data):
-        if at + 12 > len(data):
-            raise ValueError(f"{where}: cut short at byte {at}")
-        n = struct.unpack_from("<Q", data, at)[0]
+        n = struct.unpack_from("<Q", data, at)[0] if at + 16 <= len(data) else 0
         if n < 12 or n % 4 or at + 16 + n > len(data):
-            raise ValueError(f"{where}: no record at byte {at}")
+            raise ValueError(f"{where}: no whole record at byte {at}")
         begin.append(at // 4)
         at += 16 + n
     words, begin = np.frombuffer(data, "<u4"), np.array(begin, np.int64)
     size = np.diff(np.append(begin, len(words)))
     lengths = np.stack([words[begin], words[begin + 1]], axis=1).ravel()
     good = masked(crc32c(lengths, np.full(len(begin), 2))) == words[begin + 2]
-    body = np.arange(int((size - 4).sum())) + np.repeat(begin + 3 - (np.cumsum(size - 4) - size + 4), size - 4)
-    good &= masked(crc32c(words[body], size - 4)) == words[begin + size - 1]
+    good &= masked(crc32c(words[_body(begin, size)], size - 4)) == words[begin + size - 1]
     if not good.all():
         raise ValueError(f"{where}: checksum differs at byte {4 * begin[np.argmin(good)]}")
     doc = (words[begin + 3].astype(np.uint64) | words[begin + 4].astype(np.uint64) << np.uint64(32)).view(np.int64)
-    return words, begin, doc, words[begin + 5] == 1
+    return words, begin, doc, words[begin + 5]
 
 
 def _open(folder: str):
@@ -194,10 +200,11 @@ def _write_batches(path: str, folder: str, end_id: int, file_bytes: int):
         at, files, seq = 0, 0, 0
         for batch in batches:
             for rows in groups_of(batch):
-                ids, counts = _encoder(path).encode(rows["text"].tolist())
+                encoder = _encoder(path)
+                ids, counts = encoder.encode(rows["text"].tolist())
                 with_end = np.insert(ids, np.cumsum(counts), np.uint32(end_id))
                 doc = rows["doc_id"].astype("Int64")
-                words, begin = frames(with_end, counts + 1, doc.fillna(0).to_numpy(np.int64), doc.notna().to_numpy())
+                words, begin = frames(with_end, counts + 1, doc.fillna(0).to_numpy(np.int64), doc.notna().to_numpy(), max(len(encoder.sizes), end_id + 1) <= 1 << 16)
                 size = np.diff(np.append(begin, len(words))) * 4
                 # Frames go to the file at hand until it is full; a frame is never cut.
                 done = 0
@@ -261,11 +268,16 @@ def read_index(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _rows(name: str, data: bytes, first: int = 0) -> pd.DataFrame:
-    words, begin, doc, null = parse(data, name)
+    words, begin, doc, marks = parse(data, name)
     ends = np.append(begin[1:], len(words)) - 1
-    ids = [words[a:b].tobytes() for a, b in zip((begin + 6).tolist(), ends.tolist(), strict=True)]
+    narrow, filled = marks & _NARROW > 0, marks & _FILLED > 0
+    count = (ends - begin - 6) * (1 + narrow) - filled
+    ids = [
+        (words[a:b].view("<u2")[:n].astype("<u4") if short else words[a:b]).tobytes()
+        for a, b, n, short in zip((begin + 6).tolist(), ends.tolist(), count.tolist(), narrow.tolist(), strict=True)
+    ]
     return pd.DataFrame({
-        "doc_id": pd.arrays.IntegerArray(doc, null.copy()), "n_tokens": ends - begin - 6, "ids": ids, "file": name, "offset": first + 4 * begin,
+        "doc_id": pd.arrays.IntegerArray(doc, marks & _NULL > 0), "n_tokens": count, "ids": ids, "file": name, "offset": first + 4 * begin,
     })
 
 
