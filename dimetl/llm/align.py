@@ -23,6 +23,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +35,8 @@ from dimetl.llm.common import id_col, materialise, text_or_empty
 from dimetl.llm.idcache import IdCache
 from dimetl.session import scratch_path
 
-#: Documents are aligned together up to about this many characters.
-CHUNK_CHARS = 2 << 20
+#: A chunk's documents have about this many characters, and are aligned in blocks of about so many.
+CHUNK_CHARS, ALIGN_CHARS = 2 << 20, 1 << 18
 #: Products of one block of rows.
 BLOCK_PRODUCTS = 1 << 22
 
@@ -54,7 +55,7 @@ class Csr:
     @staticmethod
     def of_entries(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, n_rows: int, n_cols: int) -> Csr:
         """From entries in any order; equal places add up."""
-        order = np.lexsort((cols, rows))
+        order = np.argsort(rows * n_cols + cols, kind="stable")
         rows, cols, values = rows[order], cols[order], values[order]
         first = np.flatnonzero(np.r_[True, (rows[1:] != rows[:-1]) | (cols[1:] != cols[:-1])]) if len(rows) else np.zeros(0, np.int64)
         added = np.add.reduceat(values, first) if len(first) else values
@@ -130,7 +131,7 @@ class PieceEncoder:
     pieces do not spell it again gets no ids, which its text's bytes tell.
     """
 
-    def __init__(self, path: str, max_words: int = 600_000):
+    def __init__(self, path: str, max_words: int):
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -149,10 +150,15 @@ class PieceEncoder:
 
     def _learn(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         ids = self.model.encode([w[1:].decode("utf-8") for w in words], num_threads=1)
-        spelt = self.spelt.__getitem__
-        ids = [x if b"".join(map(spelt, x)) == w else [] for x, w in zip(ids, words, strict=True)]
         counts = np.fromiter(map(len, ids), np.int64, len(ids))
-        return np.concatenate([np.array(x, np.uint32) for x in ids]), counts
+        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(counts.sum()))
+        spelt = self.spelt.__getitem__
+        ends = np.append(0, np.cumsum(self.sizes[flat]))[np.cumsum(counts)]
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        if np.array_equal(ends, np.cumsum(sizes)) and b"".join(map(spelt, flat.tolist())) == b"".join(words):
+            return flat, counts
+        good = np.fromiter((b"".join(map(spelt, x)) == w for x, w in zip(ids, words, strict=True)), bool, len(words))
+        return flat[np.repeat(good, counts)], counts * good
 
     @staticmethod
     def _cuts(blob: bytes, starts: np.ndarray) -> np.ndarray:
@@ -170,7 +176,7 @@ class PieceEncoder:
 def _encoders(path_a: str, path_b: str) -> tuple[ByteEncoder, PieceEncoder]:
     """One pair per Python worker."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    return ByteEncoder(path_a, special_as_text=True, max_words=600_000), PieceEncoder(path_b)
+    return ByteEncoder(path_a, special_as_text=True, max_words=400_000), PieceEncoder(path_b, max_words=400_000)
 
 
 @dataclass
@@ -186,8 +192,8 @@ class Aligned:
     links: tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
-def align(texts: list[str], a_encoder: ByteEncoder, b_encoder: PieceEncoder) -> Aligned:
-    """Alignment of each text; empty texts and those that either side does not spell again have no tokens."""
+def tokens(texts: list[str], a_encoder: ByteEncoder, b_encoder: PieceEncoder) -> tuple[np.ndarray, ...]:
+    """``(a, n_a, b, n_b)``: ids of both sides and their numbers; empty texts and those that a side does not spell again have none."""
     spaced = [" " + t if t else "" for t in texts]
     raw = [t.encode("utf-8", "replace") for t in spaced]
     size = np.fromiter(map(len, raw), np.int64, len(raw))
@@ -198,12 +204,29 @@ def align(texts: list[str], a_encoder: ByteEncoder, b_encoder: PieceEncoder) ->
         return np.diff(np.append(0, np.cumsum(sizes))[np.append(0, np.cumsum(n))])
 
     good = (bytes_of(a_encoder.sizes[a], n_a) == size) & (bytes_of(b_encoder.sizes[b], n_b) == size)
-    a, b = a[np.repeat(good, n_a)], b[np.repeat(good, n_b)]
-    n_a, n_b = n_a * good, n_b * good
-    # Two documents meet at a byte where both sides end, so their groups part by themselves.
-    links = overlap_links(a_encoder.sizes[a], b_encoder.sizes[b])
-    a_group, b_group = groups(links[0], links[1])
-    return Aligned(n_a, n_b, a, b, a_group, b_group, links)
+    return a[np.repeat(good, n_a)], n_a * good, b[np.repeat(good, n_b)], n_b * good
+
+
+def align(texts: list[str], a_encoder: ByteEncoder, b_encoder: PieceEncoder) -> Iterator[tuple[slice, Aligned]]:
+    """Alignment of all texts, in blocks of neighbours of about ``ALIGN_CHARS`` characters."""
+    a, n_a, b, n_b = tokens(texts, a_encoder, b_encoder)
+    a_end, b_end = np.append(0, np.cumsum(n_a)), np.append(0, np.cumsum(n_b))
+    for block in _runs(texts, ALIGN_CHARS):
+        own_a = a[a_end[block.start] : a_end[block.stop]]
+        own_b = b[b_end[block.start] : b_end[block.stop]]
+        # Two texts meet at a byte where both sides end, so their groups part by themselves.
+        links = overlap_links(a_encoder.sizes[own_a], b_encoder.sizes[own_b])
+        yield block, Aligned(n_a[block], n_b[block], own_a, own_b, *groups(links[0], links[1]), links)
+
+
+def _runs(texts: list[str], chars: int) -> Iterator[slice]:
+    """Neighbouring texts of about so many characters together."""
+    begin = size = 0
+    for n, t in enumerate(texts):
+        size += len(t)
+        if size >= chars or n + 1 == len(texts):
+            yield slice(begin, n + 1)
+            begin, size = n + 1, 0
 
 
 # --------------------------------------------------------------- digests and pairs
@@ -269,16 +292,6 @@ def _add_up(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 # --------------------------------------------------------------- Spark
 
 
-def _chunks(batch: pa.RecordBatch, chars: int = CHUNK_CHARS) -> Iterator[tuple[list, list[str]]]:
-    ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-    begin = size = 0
-    for n, t in enumerate(texts):
-        size += len(t)
-        if size >= chars or n + 1 == len(texts):
-            yield ids[begin : n + 1], texts[begin : n + 1]
-            begin, size = n + 1, 0
-
-
 _CHUNK = "docs binary, pairs array<long>, held array<int>"
 _DOC = pa.schema([
     ("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()), ("n_links", pa.int64()),
@@ -304,19 +317,29 @@ def _unpack(data: bytes) -> tuple[pa.RecordBatch, np.ndarray, np.ndarray]:
     return docs, np.frombuffer(data, "<u4", n, 24 + size), np.frombuffer(data, f"<u{width}", n, 24 + size + 4 * n).astype(np.int64)
 
 
+def _aligned_rows(texts: list[str], path_a: str, path_b: str) -> tuple[list, np.ndarray, np.ndarray]:
+    """Columns of ``_DOC`` after the id, and the distinct pairs of each text with their times, text by text."""
+    columns, pairs, times = [], [], []
+    for block, x in align(texts, *_encoders(path_a, path_b)):
+        part = texts[block]
+        doc, pair, n = linked_pairs(x)
+        first = np.r_[True, x.a_group[1:] != x.a_group[:-1]][: len(x.a)]
+        of_doc = np.bincount(np.repeat(np.arange(len(part)), x.n_a)[first], minlength=len(part))
+        ends = np.append(0, np.cumsum(n))[np.searchsorted(doc, np.arange(len(part) + 1))]
+        columns.append((x.n_a, x.n_b, of_doc, np.diff(ends), np.array(group_digests(x), object), np.bincount(doc, minlength=len(part))))
+        pairs.append(pair)
+        times.append(n)
+    return [np.concatenate(c) for c in zip(*columns, strict=True)], np.concatenate(pairs), np.concatenate(times)
+
+
 def _chunk_batches(path_a: str, path_b: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, texts in _chunks(batch):
-                x = align(texts, *_encoders(path_a, path_b))
-                doc, pair, times = linked_pairs(x)
+            every, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
+            for chunk in _runs(texts, CHUNK_CHARS):
+                columns, pair, times = _aligned_rows(texts[chunk], path_a, path_b)
                 keys, at = np.unique(pair, return_inverse=True)
-                first = np.r_[True, x.a_group[1:] != x.a_group[:-1]][: len(x.a)]
-                groups_of_doc = np.bincount(np.repeat(np.arange(len(ids)), x.n_a)[first], minlength=len(ids))
-                ends = np.append(0, np.cumsum(times))[np.searchsorted(doc, np.arange(len(ids) + 1))]
-                docs = pa.record_batch(
-                    [ids, x.n_a, x.n_b, groups_of_doc, np.diff(ends), group_digests(x), np.bincount(doc, minlength=len(ids))], schema=_DOC
-                )
+                docs = pa.record_batch([every[chunk], *columns], schema=_DOC)
                 yield pa.record_batch({
                     "docs": pa.array([_pack(docs, at, times)], pa.binary()),
                     "pairs": pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), pa.array(keys, pa.int64())),
@@ -391,8 +414,9 @@ _LINK = "doc_id long, a_pos long, a_id long, b_pos long, b_id long, group long,
 def _link_batches(path_a: str, path_b: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, texts in _chunks(batch):
-                x = align(texts, *_encoders(path_a, path_b))
+            every, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
+            runs = ((chunk, texts[chunk]) for chunk in _runs(texts, CHUNK_CHARS))
+            for ids, x in ((every[chunk][block], x) for chunk, part in runs for block, x in align(part, *_encoders(path_a, path_b))):
                 if not len(x.a):
                     continue
                 n_groups = int(x.a_group[-1]) + 1

@@ -73,8 +73,10 @@ class ByteEncoder:
             self.sizes[i] = len(added[i].encode()) if i in added else len(entry)
         self.cache = IdCache(self._learn, max_words)
 
-    def _ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _ids(self, texts: list[str], at_once: int = 64) -> list[list[int]]:
+        # A few strings at a time: the library's results are far larger than their ids.
+        parts = (texts[i : i + at_once] for i in range(0, len(texts), at_once))
+        return [e.ids for part in parts for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
 
     def _learn(self, words: list[bytes], at_once: int = 256) -> tuple[np.ndarray, np.ndarray]:
         """Ids of new words and their counts.
