@@ -150,6 +150,8 @@ class PieceEncoder:
 
     def _learn(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         ids = self.model.encode([w[1:].decode("utf-8") for w in words], num_threads=1)
+        # The model adds no space to an empty text: a single space at a text's end is a piece of its own.
+        ids = [[self.model.piece_to_id("▁")] if w == b" " else x for x, w in zip(ids, words, strict=True)]
         counts = np.fromiter(map(len, ids), np.int64, len(ids))
         flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(counts.sum()))
         spelt = self.spelt.__getitem__
