@@ -1,14 +1,25 @@
 """HTML extraction as column expressions over a stored ``html`` column.
 
-Every function is a bounded, lazy regular expression evaluated by the JVM on
-each page in parallel; a malformed page gives NULL (or an empty array), never
-an error.  Attributes may come in any order and either quotes, texts may hold
-nested markup and the usual character references, and each lookup is scoped to
-the block it belongs to, so a like-named element elsewhere is not taken.
+A page is split once into tag and text tokens (``tokens``); an element is the
+run of tokens from its start tag to the end tag of its own depth, so like tags
+nested inside do not end it.  Everything is a lazy column expression evaluated by
+the JVM on each page in parallel; a malformed page gives NULL (or an empty
+array), never an error.  Attributes may come in any order and either quotes,
+texts may hold markup and character references, named or numeric, and each
+lookup is scoped to the block it belongs to, so a like-named element elsewhere
+is not taken.
+
+Every function takes the html column, or the page's ``Tokens`` where several
+lookups share one split.
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -49,12 +60,7 @@ LABELS: dict[str, str] = {
 }
 # --------------------------------------------------------------------------
 
-_ANY = r"[\s\S]"
 _META = "^$.*+?()[]{}|\\"
-#: Character references decoded in texts; the ampersand comes last.
-ENTITIES = {
-    "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&nbsp;": " ", "&euro;": "€", "&pound;": "£", "&amp;": "&",
-}
 
 
 def regex_literal(text: str) -> str:
@@ -70,12 +76,146 @@ def _nullif_empty(c: Column) -> Column:
     return F.when(c == "", F.lit(None).cast("string")).otherwise(c)
 
 
+#: Named references: the standard names of HTML 4 and the apostrophe.
+_NAMED = {**{name: chr(code) for name, code in name2codepoint.items()}, "apos": "'", "nbsp": " "}
+
+
+def _code_point(number: Column) -> Column:
+    """The character of a code point (1-10FFFF but surrogates), else NULL; the no-break space reads as a space."""
+    good = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+    wide = F.unhex(F.lpad(F.hex(number), 8, "0"))
+    return F.when(number == 160, F.lit(" ")).when(good, F.decode(wide, "UTF-32"))
+
+
+def decode_references(c: Column) -> Column:
+    """Named and numeric character references as their characters; unknown ones stay as they are."""
+    names = F.from_json(F.lit(json.dumps(_NAMED)), "map<string,string>")
+
+    def decoded(piece: Column) -> Column:
+        body = F.substring(piece, F.lit(2), F.length(piece) - 2)
+        code = F.when(
+            body.rlike("^#[xX]"), F.conv(F.substring(body, F.lit(3), F.length(body)), 16, 10)
+        ).otherwise(F.substring(body, F.lit(2), F.length(body))).try_cast("bigint")
+        char = F.when(body.startswith("#"), _code_point(code)).otherwise(F.try_element_at(names, body))
+        return F.when(piece.rlike("^&.+;$"), F.coalesce(char, piece)).otherwise(piece)
+
+    pieces = F.regexp_extract_all(c, F.lit("&(?:#[0-9]{1,9}|#[xX][0-9a-fA-F]{1,7}|[a-zA-Z][a-zA-Z0-9]{1,31});|[^&]+|&"), 0)
+    return F.when(F.contains(c, F.lit("&")), F.array_join(F.transform(pieces, decoded), "")).otherwise(c)
+
+
 def inner_text(c: Column) -> Column:
-    """Text of an element's inner HTML: markup removed, references decoded, trimmed; empty gives NULL."""
-    out = F.regexp_replace(c, r"<[^>]*>", "")
-    for ref, char in ENTITIES.items():
-        out = F.replace(out, F.lit(ref), F.lit(char))
-    return _nullif_empty(F.trim(out))
+    """Text of a piece of HTML: markup removed, references decoded, trimmed; empty gives NULL."""
+    return _nullif_empty(F.trim(decode_references(F.regexp_replace(c, r"<[^>]*>", ""))))
+
+
+# ------------------------------------------------------------------ tokens
+
+#: Comments, whole scripts and styles, tags (a quoted value may hold ``>``; an unpaired quote ends at it), stray signs, texts.
+_TOKEN = (
+    r"<!--[\s\S]*?-->|(?i:<(script|style)\b[^>]*>[\s\S]*?</\1\s*>)"
+    r"|</?[A-Za-z](?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|</?[A-Za-z][^>]*>|<|[^<]+"
+)
+
+
+@dataclass(frozen=True)
+class Tokens:
+    """A page's tokens: ``array<struct<raw, name, closing, text>>``; texts and comments have no name, only texts a text."""
+
+    column: Column
+
+
+def tokens(html: str | Column) -> Column:
+    raw = F.regexp_extract_all(_c(html), F.lit(_TOKEN), 0)
+    name = "^</?([A-Za-z][A-Za-z0-9]*)"
+    return F.transform(
+        raw,
+        lambda r: F.struct(
+            r.alias("raw"),
+            F.lower(F.regexp_extract(r, name, 1)).alias("name"),
+            r.startswith("</").alias("closing"),
+            F.when(r.rlike("^<(?:!--|/?[A-Za-z])"), F.lit("")).otherwise(decode_references(r)).alias("text"),
+        ),
+    )
+
+
+def _tokens_of(page: str | Column | Tokens) -> Column:
+    return page.column if isinstance(page, Tokens) else tokens(page)
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _end_of(toks: Column, start: Column, name: Column) -> Column:
+    """Place of the end tag of the element that starts at ``start``; 0 if it has none."""
+
+    def step(s: Column, t: Column) -> Column:
+        same = (s["end"] == 0) & (t["name"] == name)
+        ends = same & t["closing"] & (s["depth"] == 1)
+        depth = s["depth"] + F.when(same, F.when(t["closing"], -1).otherwise(1)).otherwise(0)
+        return F.struct(depth.alias("depth"), (s["at"] + 1).alias("at"), F.when(ends, s["at"] + 1).otherwise(s["end"]).alias("end"))
+
+    begin = F.struct(F.lit(1).alias("depth"), start.cast("int").alias("at"), F.lit(0).alias("end"))
+    return F.aggregate(F.slice(toks, start + 1, F.size(toks)), begin, step)["end"]
+
+
+def element_tokens(toks: Column, wanted: Callable[[Column], Column]) -> Column:
+    """Tokens inside the first element whose start tag is ``wanted``; NULL if there is none or it never ends."""
+    first = F.array_position(F.transform(toks, lambda t: ~t["closing"] & wanted(t)), True)
+    return _let(
+        first,
+        lambda i: F.when(
+            i > 0,
+            _let(
+                F.struct(i.alias("i"), _end_of(toks, i, F.element_at(toks, i.cast("int"))["name"]).alias("end")),
+                lambda p: F.when(p["end"] > 0, F.slice(toks, p["i"] + 1, p["end"] - p["i"] - 1)),
+            ),
+        ),
+    )
+
+
+def start_tag(toks: Column, wanted: Callable[[Column], Column]) -> Column:
+    """The first start tag that is ``wanted``, as written; NULL if there is none."""
+    return F.try_element_at(F.filter(toks, lambda t: ~t["closing"] & wanted(t)), F.lit(1))["raw"]
+
+
+def text_of(toks: Column) -> Column:
+    """Text of tokens, trimmed; empty gives NULL."""
+    return _nullif_empty(F.trim(F.array_join(F.transform(toks, lambda t: t["text"]), "")))
+
+
+def item_tokens(block: Column) -> Column:
+    """Tokens of every item of the outermost lists of a block, in order; lists nested inside belong to their item.
+
+    An item ends at its end tag, at the next item or at the end of its list.
+    """
+    names = F.transform(F.filter(block, lambda t: ~t["closing"] & t["name"].isin("ul", "ol", "li")), lambda t: t["name"])
+    # Inside a list the items stand at depth 0, in a block around lists at depth 1.
+    level = F.when(F.try_element_at(names, F.lit(1)) == "li", 0).otherwise(1)
+
+    def step(s: Column, t: Column) -> Column:
+        at, is_list = s["at"] + 1, t["name"].isin("ul", "ol")
+        own = (t["name"] == "li") & (s["depth"] == s["level"])
+        over = own | (is_list & t["closing"] & (s["depth"] == s["level"]))
+        ended = F.when(over & (s["begin"] > 0), F.array(F.struct(s["begin"].alias("a"), at.alias("b"))))
+        return F.struct(
+            at.alias("at"),
+            s["level"].alias("level"),
+            (s["depth"] + F.when(is_list, F.when(t["closing"], -1).otherwise(1)).otherwise(0)).alias("depth"),
+            F.when(over, F.when(t["closing"], 0).otherwise(at)).otherwise(s["begin"]).alias("begin"),
+            F.when(ended.isNull(), s["items"]).otherwise(F.concat(s["items"], ended)).alias("items"),
+        )
+
+    nothing = F.array().cast("array<struct<a:int,b:int>>")
+    begin = F.struct(F.lit(0).alias("at"), level.alias("level"), F.lit(0).alias("depth"), F.lit(0).alias("begin"), nothing.alias("items"))
+
+    def finish(s: Column) -> Column:
+        last = F.array(F.struct(s["begin"].alias("a"), (s["at"] + 1).alias("b")))
+        return F.when(s["begin"] > 0, F.concat(s["items"], last)).otherwise(s["items"])
+
+    places = F.aggregate(block, begin, step, finish)
+    return F.transform(places, lambda p: F.slice(block, p["a"] + 1, p["b"] - p["a"] - 1))
 
 
 def _with_attribute(tag: str, attr: str, value: str) -> str:
@@ -94,56 +234,97 @@ def attribute(tag: Column, name: str) -> Column:
     return inner_text(F.regexp_replace(found, f"^\\s{name}\\s*=\\s*[\"']|[\"']$", ""))
 
 
-def element_text(html: str | Column, tag: str, attr: str, value: str) -> Column:
+def _is(tag: str, attr: str, value: str) -> Callable[[Column], Column]:
+    pattern = _with_attribute(tag, attr, value)
+    return lambda t: (t["name"] == tag) & t["raw"].rlike(pattern)
+
+
+def _classed(tag: str, word: str) -> Callable[[Column], Column]:
+    pattern = _with_class(tag, word)
+    return lambda t: (t["name"] == tag) & t["raw"].rlike(pattern)
+
+
+def _lookups(specs: Sequence[tuple[str, str]]) -> Column:
+    """Wanted start tags as data, ``array<struct<name, pattern>>``: the plan holds one lookup however many there are."""
+    return F.array(*[F.struct(F.lit(name).alias("name"), F.lit(pattern).alias("pattern")) for name, pattern in specs])
+
+
+def _wanted(w: Column) -> Callable[[Column], Column]:
+    return lambda t: ((t["name"] == w["name"]) | (w["name"] == "")) & F.rlike(t["raw"], w["pattern"])
+
+
+def element_texts(page: str | Column | Tokens, specs: Sequence[tuple[str, str | None, str | None]]) -> Column:
+    """Texts of the first ``<tag>`` whose ``attr`` is ``value`` (any ``<tag>`` without ``attr``), as an array in the order of ``specs``."""
+    toks = _tokens_of(page)
+    wanted = _lookups([(tag, _with_attribute(tag, attr, value) if attr else f"<{tag}") for tag, attr, value in specs])
+    return F.transform(wanted, lambda w: text_of(element_tokens(toks, _wanted(w))))
+
+
+#: The three lists of a page: tag (any if empty) and class of the block around them.
+DETAILS, ICONS, TAGS = ("ul", "caret-list"), ("", "bloco-caracteristicas"), ("ul", "tags-list")
+
+
+def block_items(page: str | Column | Tokens, blocks: Sequence[tuple[str, str]] = (DETAILS, ICONS, TAGS)) -> Column:
+    """Tokens of the items of the first block of each kind, as an array in the order of ``blocks``; NULL for a block that is not there."""
+    toks = _tokens_of(page)
+    wanted = _lookups([(tag, _with_class(tag or "[A-Za-z0-9]+", word)) for tag, word in blocks])
+    return F.transform(wanted, lambda w: _let(element_tokens(toks, _wanted(w)), item_tokens))
+
+
+def element_text(page: str | Column | Tokens, tag: str, attr: str, value: str) -> Column:
     """Text of the first ``<tag>`` whose ``attr`` is ``value``."""
-    return inner_text(F.regexp_extract(_c(html), f"{_with_attribute(tag, attr, value)}({_ANY}*?)</{tag}>", 1))
+    return element_texts(page, [(tag, attr, value)])[0]
 
 
-def tag_text(html: str | Column, tag: str) -> Column:
+def tag_text(page: str | Column | Tokens, tag: str) -> Column:
     """Text of the first ``<tag>``, markup nested inside removed."""
-    return inner_text(F.regexp_extract(_c(html), f"<{tag}(?:\\s[^>]*)?>({_ANY}*?)</{tag}>", 1))
+    return element_texts(page, [(tag, None, None)])[0]
 
 
-def meta_content(html: str | Column, prop: str) -> Column:
-    return attribute(F.regexp_extract(_c(html), _with_attribute("meta", "property", prop), 0), "content")
+def element_map(page: str | Column | Tokens, mapping: dict[str, tuple[str, str, str]] | None = None) -> Column:
+    """Struct of the texts of all mapped elements."""
+    mapping = ELEMENT_MAP if mapping is None else mapping
+    return _let(element_texts(page, list(mapping.values())), lambda found: F.struct(*[found[n].alias(name) for n, name in enumerate(mapping)]))
 
 
-def element_map(html: str | Column, mapping: dict[str, tuple[str, str, str]] | None = None) -> list[Column]:
-    mapping = ELEMENT_MAP if mapping is None else mapping
-    return [element_text(html, *spec).alias(name) for name, spec in mapping.items()]
+def meta_content(page: str | Column | Tokens, prop: str) -> Column:
+    return attribute(start_tag(_tokens_of(page), _is("meta", "property", prop)), "content")
 
 
-def meta_map(html: str | Column, mapping: dict[str, str] | None = None) -> list[Column]:
+def meta_map(page: str | Column | Tokens, mapping: dict[str, str] | None = None) -> list[Column]:
     mapping = META_MAP if mapping is None else mapping
-    return [meta_content(html, prop).alias(name) for name, prop in mapping.items()]
+    return [meta_content(page, prop).alias(name) for name, prop in mapping.items()]
 
 
-def list_items(html: str | Column) -> Column:
-    """Inner HTML of every ``<li>`` element, in page order."""
-    return F.regexp_extract_all(_c(html), F.lit(f"<li(?:\\s[^>]*)?>({_ANY}*?)(?=</li>|<li[\\s>]|</ul>)"), 1)
+def _before_strong(item: Column) -> Column:
+    at = F.array_position(F.transform(item, lambda t: t["name"] == "strong"), True)
+    return _let(at, lambda i: F.when(i > 0, F.slice(item, F.lit(1), i - 1)).otherwise(item))
 
 
-def details(html: str | Column) -> Column:
-    """``array<struct<label, value>>`` of the details list: text before and in each item's ``<strong>``."""
-    block = F.regexp_extract(_c(html), f"{_with_class('ul', 'caret-list')}({_ANY}*?)</ul>", 1)
+def details_of(items: Column) -> Column:
+    """``array<struct<label, value>>`` of list items: text before and in each item's ``<strong>``."""
     return F.transform(
-        list_items(block),
+        items,
         lambda li: F.struct(
-            inner_text(F.regexp_replace(li, f"<strong{_ANY}*", "")).alias("label"),
-            inner_text(F.regexp_extract(li, f"<strong(?:\\s[^>]*)?>({_ANY}*?)</strong>", 1)).alias("value"),
+            text_of(_before_strong(li)).alias("label"), text_of(element_tokens(li, lambda t: t["name"] == "strong")).alias("value")
         ),
     )
 
 
+def details(page: str | Column | Tokens) -> Column:
+    """``details_of`` the details list."""
+    return details_of(block_items(page, [DETAILS])[0])
+
+
 def label_value(found: Column, label: str) -> Column:
     """Value of the first detail whose label starts with ``label``; ``found`` are the ``details``."""
     hit = F.filter(found, lambda d: F.lower(d["label"]).startswith(label.lower()))
     return F.try_element_at(hit, F.lit(1))["value"]
 
 
-def label_values(html: str | Column) -> list[Column]:
+def label_values(page: str | Column | Tokens) -> list[Column]:
     """Price (number), listing type, energy certificate and parking spaces."""
-    found = details(html)
+    found = details(page)
     return [
         parse_price(label_value(found, LABELS["price"])).alias("price"),
         label_value(found, LABELS["listing_type"]).alias("listing_type"),
@@ -152,18 +333,22 @@ def label_values(html: str | Column) -> list[Column]:
     ]
 
 
-def indicator_items(html: str | Column) -> Column:
-    """``array<struct<title, num>>`` of the icon block: title of the first titled span, text of the number span."""
-    block = F.regexp_extract(_c(html), f"{_with_class('[a-z]+', 'bloco-caracteristicas')}({_ANY}*?)</(?:div|section)>", 1)
+def icons_of(items: Column) -> Column:
+    """``array<struct<title, num>>`` of list items: title of the first titled span, text of the number span."""
     return F.transform(
-        list_items(block),
+        items,
         lambda li: F.struct(
-            attribute(F.regexp_extract(li, r"<span\b(?=[^>]*\stitle\s*=)[^>]*>", 0), "title").alias("title"),
-            inner_text(F.regexp_extract(li, f"{_with_class('span', 'num')}({_ANY}*?)</span>", 1)).alias("num"),
+            attribute(start_tag(li, lambda t: (t["name"] == "span") & t["raw"].rlike(r"\stitle\s*=")), "title").alias("title"),
+            text_of(element_tokens(li, _classed("span", "num"))).alias("num"),
         ),
     )
 
 
+def indicator_items(page: str | Column | Tokens) -> Column:
+    """``icons_of`` the icon block."""
+    return icons_of(block_items(page, [ICONS])[0])
+
+
 def indicator(found: Column, title: str) -> Column:
     """Number of the first icon with the title; ``found`` are the ``indicator_items``."""
     return F.try_element_at(F.filter(found, lambda i: (i["title"] == title) & i["num"].isNotNull()), F.lit(1))["num"]
@@ -175,8 +360,8 @@ def energy_icon(found: Column) -> Column:
     return _nullif_empty(F.trim(F.replace(F.try_element_at(hit, F.lit(1))["title"], F.lit(ENERGY_TITLE_PREFIX), F.lit(""))))
 
 
-def indicators(html: str | Column) -> list[Column]:
-    found = indicator_items(html)
+def indicators(page: str | Column | Tokens) -> list[Column]:
+    found = indicator_items(page)
     cols = [indicator(found, title).alias(name) for title, name in INDICATOR_MAP.items()]
     return [*cols, energy_icon(found).alias("energy_certificate_icon")]
 
@@ -184,18 +369,22 @@ def indicators(html: str | Column) -> list[Column]:
 COORD_PATTERN = r"query=([+-]?[0-9]*\.?[0-9]+),([+-]?[0-9]*\.?[0-9]+)"
 
 
-def coordinates(html: str | Column) -> list[Column]:
+def coordinates(page: str | Column | Tokens) -> list[Column]:
     """Latitude and longitude in the ``onclick`` of the map image."""
-    image = F.regexp_extract(_c(html), _with_class("img", "img_mapa"), 0)
+    image = start_tag(_tokens_of(page), _classed("img", "img_mapa"))
     lat = _nullif_empty(F.regexp_extract(image, COORD_PATTERN, 1)).try_cast("double")
     lon = _nullif_empty(F.regexp_extract(image, COORD_PATTERN, 2)).try_cast("double")
     return [lat.alias("latitude"), lon.alias("longitude")]
 
 
-def amenities(html: str | Column) -> Column:
-    """Texts of the items of the first tags list as an array (empty if none)."""
-    block = F.regexp_extract(_c(html), f"{_with_class('ul', 'tags-list')}({_ANY}*?)</ul>", 1)
-    return F.transform(list_items(block), inner_text)
+def amenities_of(items: Column) -> Column:
+    """Texts of list items (empty array if there is no list)."""
+    return F.coalesce(F.transform(items, text_of), F.array().cast("array<string>"))
+
+
+def amenities(page: str | Column | Tokens) -> Column:
+    """``amenities_of`` the first tags list."""
+    return amenities_of(block_items(page, [TAGS])[0])
 
 
 def links(html: str | Column) -> Column:
@@ -209,13 +398,13 @@ RESULTS_TABLE_ID = "ctl00_ContentPlaceHolder1_DataList_imoveis"
 NEXT_PAGE_ID = "ctl00_ContentPlaceHolder1_lnkNext"
 
 
-def listing_links(html: str | Column) -> Column:
+def listing_links(page: str | Column | Tokens) -> Column:
     """Targets of the anchors with an id inside the results table of an index page, in page order."""
-    block = F.regexp_extract(_c(html), f"{_with_attribute('table', 'id', RESULTS_TABLE_ID)}({_ANY}*?)</table>", 1)
-    anchors = F.regexp_extract_all(block, F.lit(r"<a\b(?=[^>]*\sid\s*=)[^>]*>"), 0)
-    return F.filter(F.transform(anchors, lambda a: attribute(a, "href")), lambda h: h.isNotNull())
+    block = element_tokens(_tokens_of(page), _is("table", "id", RESULTS_TABLE_ID))
+    anchors = F.filter(block, lambda t: (t["name"] == "a") & ~t["closing"] & t["raw"].rlike(r"\sid\s*="))
+    return F.filter(F.transform(anchors, lambda t: attribute(t["raw"], "href")), lambda h: h.isNotNull())
 
 
-def next_page(html: str | Column, link_id: str = NEXT_PAGE_ID) -> Column:
+def next_page(page: str | Column | Tokens, link_id: str = NEXT_PAGE_ID) -> Column:
     """Target of the paging link; NULL on the last page, where it has none."""
-    return attribute(F.regexp_extract(_c(html), _with_attribute("a", "id", link_id), 0), "href")
+    return attribute(start_tag(_tokens_of(page), _is("a", "id", link_id)), "href")

@@ -41,19 +41,25 @@ def page_extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
     ids, labelled list items, icon indicators); each such attribute is the
     first value found, in that order.
     """
-    h = F.col(html_col)
     keep = [c for c in pages.columns if c != html_col]
-    # The two lists are read once per page; every label is a lookup in them.
-    found = pages.select(*keep, h, H.details(h).alias("__details"), H.indicator_items(h).alias("__icons"))
-    el = {name: H.element_text(h, *spec) for name, spec in H.ELEMENT_MAP.items()}
+    # A page is split once, and its elements and lists are read once; every field is a lookup in them.
+    h = H.Tokens(F.col("__tokens"))
+    split = pages.select(*keep, H.tokens(F.col(html_col)).alias("__tokens"))
+    elements = [*H.ELEMENT_MAP.values(), ("title", None, None), ("h1", None, None)]
+    split = split.select(*keep, "__tokens", H.element_texts(h, elements).alias("__elements"), H.block_items(h).alias("__blocks"))
+    items = F.col("__blocks")
+    found = split.select(
+        *keep, "__tokens", "__elements", H.details_of(items[0]).alias("__details"), H.icons_of(items[1]).alias("__icons"), items[2].alias("__tags")
+    )
+    el = {name: F.col("__elements")[n] for n, name in enumerate([*H.ELEMENT_MAP, "title", "headline"])}
     lab = {c: H.label_value(F.col("__details"), H.LABELS[c]) for c in H.LABELS}
     ind = {name: H.indicator(F.col("__icons"), title) for title, name in H.INDICATOR_MAP.items()}
     return found.select(
         *keep,
-        remove_unicode(H.tag_text(h, "title")).alias("title"),
-        remove_unicode(H.tag_text(h, "h1")).alias("headline"),
+        remove_unicode(el["title"]).alias("title"),
+        remove_unicode(el["headline"]).alias("headline"),
         *H.meta_map(h),
-        *[c.alias(n) for n, c in el.items() if n != "listing_type"],
+        *[el[n].alias(n) for n in H.ELEMENT_MAP if n != "listing_type"],
         F.coalesce(el["listing_type"], lab["listing_type"]).alias("listing_type"),
         parse_price(lab["price"]).alias("price"),
         F.coalesce(lab["energy_certificate"], H.energy_icon(F.col("__icons"))).alias("energy_certificate"),
@@ -61,10 +67,15 @@ def page_extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
         ind["bathrooms"].alias("bathrooms"),
         F.coalesce(ind["parking_spaces"].try_cast("int"), digit_sum(lab["parking"])).alias("parking_spaces"),
         *H.coordinates(h),
-        H.amenities(h).alias("amenities"),
+        H.amenities_of(F.col("__tags")).alias("amenities"),
     )
 
 
+def next_pages(pages: DataFrame, site: str, key_col: str = "page_id", html_col: str = "html") -> DataFrame:
+    """Absolute address of the page after each index page: ``(key, next_url)``; NULL on a last page."""
+    return pages.select(key_col, absolute_url(site, H.next_page(F.col(html_col))).alias("next_url"))
+
+
 def index_links(pages: DataFrame, site: str, key_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """Absolute listing links of index pages: ``(key, link_pos, listing_url)``."""
     found = pages.select(F.col(key_col), F.posexplode(H.listing_links(F.col(html_col))).alias("link_pos", "href"))

@@ -184,11 +184,15 @@ def a_listing_page(spark: SparkSession, d: str) -> DataFrame:
 
     def span(name: str, value: Column) -> Column:
         full = f"ctl00_ContentPlaceHolder1_lbl_imovel_show_{name}"
-        return F.coalesce(text("<span class='v' id=", q, full, q, "><b>", value, "</b></span>"), F.lit(""))
+        # A like tag nested in front of the value, and one after it.
+        return F.coalesce(text("<span class='v' id=", q, full, q, "><span class='i'></span><b>", value, "</b><span> </span></span>"), F.lit(""))
 
     def icon(title: str, value: Column) -> Column:
         return F.coalesce(text("<li class='i'><span title=", q, title, q, "></span> <span class=", q, "big num", q, ">", value, "</span></li>"), F.lit(""))
 
+    # The currency sign as a numeric reference, decimal or hexadecimal.
+    sign = F.when(F.col("c_custkey") % 4 < 2, F.lit("&#8364;")).otherwise(F.lit("&#x20aC;"))
+    price = F.regexp_replace("PriceCurrencyFormated", "€", sign)
     energy = F.substring(F.lit("ABCDE"), (F.col("c_custkey") % 5 + 1).cast("int"), F.lit(1))
     parking = (F.col("c_custkey") % 4).cast("string")
     head = text(
@@ -199,22 +203,45 @@ def a_listing_page(spark: SparkSession, d: str) -> DataFrame:
     )
     icons = text(
         span("ref", F.col("ContractNumber")), span("finalidade", F.lit("Venda")), span("tipo_imovel", F.col("PropertyType")),
-        span("preco_venda", F.col("PriceCurrencyFormated")), span("distrito", F.col("County")), span("concelho", F.col("Country")),
+        span("preco_venda", price), span("distrito", F.col("County")), span("concelho", F.col("Country")),
         span("freguesia", F.col("Parish")), span("area_bruta", F.col("AreaGross")),
         "<div class=", q, "bloco-caracteristicas row", q, "><ul>", icon("Bedrooms", F.col("Bedrooms")), icon("Bathroom", F.col("Bathrooms")),
         icon("Parking", parking), "<li><span title=", q, "Energ. Cert.: ", energy, q, "></span></li></ul></div>",
     )
     details = text(
-        "<div class='property-details-list'><ul class=", q, "caret-list multi-columns", q, "><li class=\"p\">Preço: <strong>", F.col("PriceCurrencyFormated"),
-        "</strong></li><li>Vista: <strong>Bom estado geral</strong><li>Estado: <strong>Arrendamento</strong></li>",
+        "<div class='property-details-list'><ul class=", q, "caret-list multi-columns", q, "><li class=\"p\">Preço: <strong>", price,
+        "</strong></li><li>Vista: <strong>Bom estado geral</strong><ul class='caret-list'><li>Estado: <strong>mar</strong></li></ul><li>Estado: <strong>Arrendamento</strong></li>",
         "<li>Certificado energético: <strong>", energy, "</strong></li><li>Tipo de estacionamento: <strong>", parking, " Box + 1</strong></li></ul></div>",
-        "<ul class=", q, "tags-list", q, "><li>", F.col("County"), "</li><li class='a'><i>Pool</i> &amp; Sauna</li></ul>",
+        "<ul class=", q, "tags-list", q, "><li>", F.col("County"), "<!-- <li>not one</li> --></li><li class='a'><i>Pool</i> &amp; <ul><li>Sauna</li></ul></li></ul>",
     )
     foot = text("<img src='m.png' class=", q, "img_mapa", q, " onclick=\"open('?query=", F.col("Latitude"), ",", F.col("Longitude"), "')\"></body></html>")
     body = F.when(F.col("c_custkey") % 2 == 0, icons).otherwise(details)
     return c.select(F.col("c_custkey").alias("page_id"), text("http://listings.example/", key).alias("url"), text(head, body, foot).alias("html"))
 
 
+INDEX_PAGE_SIZE = 20
+
+
+def a_index_page(spark: SparkSession, d: str) -> DataFrame:
+    """Index pages of ``INDEX_PAGE_SIZE`` customers each: a results table with nested tables, other links, a paging link."""
+    c = table(spark, d, "customer").select("c_custkey")
+    row = F.concat(
+        F.lit("<tr><td><table><tr><td><a href='/map/"), F.col("c_custkey"), F.lit("'>map</a></td></tr></table><a title='a > b' id='l"), F.col("c_custkey"),
+        F.lit("' href=\"/buy/"), F.col("c_custkey"), F.lit("?a=1&amp;b=2\">x</a></td></tr>"),
+    )
+    page = F.floor(F.col("c_custkey") / INDEX_PAGE_SIZE).cast("bigint")
+    rows = c.groupBy(page.alias("page_id")).agg(F.sort_array(F.collect_list(F.struct("c_custkey", row.alias("r")))).alias("rows"), F.max("c_custkey").alias("last"))
+    last = c.agg(F.max(page).alias("last_page"))
+    body = F.concat(
+        F.lit("<html><body><a id='logo' href='/home'>home</a><table id='ctl00_ContentPlaceHolder1_DataList_imoveis'>"),
+        F.array_join(F.transform("rows", lambda x: x["r"]), ""),
+        F.lit("</table><table><tr><td><a id='other' href='/other'>o</a></td></tr></table><a id=\"ctl00_ContentPlaceHolder1_lnkNext\""),
+        F.when(F.col("page_id") < F.col("last_page"), F.concat(F.lit(" href='/index/"), F.col("page_id") + 1, F.lit("'"))).otherwise(F.lit("")),
+        F.lit(">next</a></body></html>"),
+    )
+    return rows.join(last).select("page_id", body.alias("html"))
+
+
 def log_json_frame(ev: DataFrame) -> DataFrame:
     """``a_events`` in the player's JSON layout (camelCase, epoch-ms ``ts``, text ``userId``)."""
     return ev.select(

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from dimetl.functions import html as H
 from dimetl.functions.text import absolute_url, digit_sum, limit_length, remove_unicode, strip_tags
-from dimetl.sources.pages import page_extract, page_links
-from dimetl.verify.adapters import a_listing_page, table, with_views
+from dimetl.sources.pages import index_links, next_pages, page_extract, page_links
+from dimetl.verify.adapters import INDEX_PAGE_SIZE, a_index_page, a_listing_page, table, with_views
 from dimetl.verify.q_listings import sql_strip_tags
 from dimetl.verify.registry import register
 
@@ -56,7 +56,7 @@ def q_page_extract(spark, d):
     with_views("a_listing") + "SELECT c_custkey AS page_id, " + ", ".join(f"{e} AS {n}" for n, e in ELEMENT_SQL.items()) + FROM_LISTING,
 )
 def q_html_element_map(spark, d):
-    return a_listing_page(spark, d).select("page_id", *H.element_map(F.col("html")))
+    return a_listing_page(spark, d).select("page_id", H.element_map(F.col("html")).alias("e")).select("page_id", "e.*")
 
 
 @register("html_meta", with_views("a_listing") + f"SELECT c_custkey AS page_id, 'Home & ' || ContractNumber AS title, {META_SQL}" + FROM_LISTING)
@@ -113,6 +113,27 @@ def q_page_links(spark, d):
     return page_links(_pages(spark, d))
 
 
+@register(
+    "index_links",
+    f"SELECT CAST(c_custkey // {INDEX_PAGE_SIZE} AS BIGINT) AS page_id, "
+    f"CAST(row_number() OVER (PARTITION BY c_custkey // {INDEX_PAGE_SIZE} ORDER BY c_custkey) - 1 AS INTEGER) AS link_pos, "
+    "'http://listings.example/buy/' || CAST(c_custkey AS VARCHAR) || '?a=1&b=2' AS listing_url FROM customer",
+)
+def q_index_links(spark, d):
+    """The listing links of every index page: anchors with an id in the results table, tables nested inside or not."""
+    return index_links(a_index_page(spark, d), "http://listings.example")
+
+
+@register(
+    "next_page",
+    f"SELECT DISTINCT CAST(c_custkey // {INDEX_PAGE_SIZE} AS BIGINT) AS page_id, "
+    f"CASE WHEN c_custkey // {INDEX_PAGE_SIZE} < (SELECT max(c_custkey // {INDEX_PAGE_SIZE}) FROM customer) "
+    f"THEN 'http://listings.example/index/' || CAST(c_custkey // {INDEX_PAGE_SIZE} + 1 AS VARCHAR) END AS next_url FROM customer",
+)
+def q_next_page(spark, d):
+    return next_pages(a_index_page(spark, d), "http://listings.example")
+
+
 @register(
     "absolute_url",
     "SELECT page_id, link_pos, CASE WHEN starts_with(href, '/') THEN regexp_extract(url, '^(https?://[^/]+)', 1) || href "

@@ -77,3 +77,41 @@ def test_index_page_links(spark):
     got = [(r["page_id"], r["listing_url"]) for r in index_links(df, "http://s").orderBy("link_pos").collect()]
     assert got == [(1, "http://s/a"), (1, "http://s/b")]
     assert [r["n"] for r in df.orderBy("page_id").select(H.next_page("html").alias("n")).collect()] == ["/p2", None, None]
+
+
+def test_nested_like_tags_and_references(spark):
+    from dimetl.functions import html as H
+
+    page = (
+        "<!-- <span id='x'>no</span> --><script>var a = \"<span id='x'>no</span>\";</script>"
+        "<span id='x' title='1 > 0'>a <span>b <span>c</span></span> d &#8364;&#x20AC;&eacute;&nbsp;&unknown;&#0;&#xD800;& e</span> f"
+        "<ul class='tags-list'><li>one<ul><li>two</li></ul> three</li><li>four<li>five &lt;b&gt;</ul><ul class='tags-list'><li>six</li></ul>"
+        "<table id='t'><tr><td><table><tr><td>in</td></tr></table>out</td></tr></table>"
+    )
+    h = F.col("html")
+    df = spark.createDataFrame([(page,), ("<span id='x'>never ends <b>",), ("",), (None,), ("< <a title=\"broken>x</a> <span id=x>",)], "html string")
+    rows = df.select(
+        H.element_text(h, "span", "id", "x").alias("x"), H.amenities(h).alias("a"), H.element_text(h, "table", "id", "t").alias("t"), H.tag_text(h, "a").alias("l")
+    ).collect()
+    assert rows[0]["x"] == "a b c d €€é &unknown;&#0;&#xD800;& e"
+    assert list(rows[0]["a"]) == ["onetwo three", "four", "five <b>"] and rows[0]["t"] == "inout"
+    assert [r["x"] for r in rows[1:]] == [None] * 4 and [list(r["a"] or []) for r in rows[1:]] == [[]] * 4
+    assert rows[4]["l"] == "x"
+
+
+def test_long_pages(spark):
+    from dimetl.functions import html as H
+
+    deep = "<div>" * 3000 + "<div id='d'>" + "<div>x" * 500 + "</div>" * 500 + "</div>" + "</div>" * 3000
+    wide = "<ul class='tags-list'>" + "".join(f"<li>i{n}</li>" for n in range(3000)) + "</ul>" + "<p>" * 20000
+    big = "<p " + "a='1' " * 5000 + "id='d'>" + "word " * 200000 + "</p>"
+    df = spark.createDataFrame([(deep,), (wide,), (big,)], "html string")
+    h = F.col("html")
+    rows = df.select(H.element_text(h, "div", "id", "d").alias("d"), F.size(H.amenities(h)).alias("n"), F.length(H.element_text(h, "p", "id", "d")).alias("p")).collect()
+    assert (rows[0]["d"], rows[1]["n"], rows[2]["p"]) == ("x" * 500, 3000, 999999)
+
+
+def test_a_page_is_split_once(spark):
+    df = spark.createDataFrame([(1, "u", PAGE)], "page_id long, url string, html string")
+    plan = page_extract(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(html") == 1
