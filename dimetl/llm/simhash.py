@@ -83,6 +83,14 @@ def _fingerprint_batches(shingle: int):
     return run
 
 
+def _fingerprint_column(shingle: int):
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series(np.array([fingerprint(t, shingle) for t in batch], np.uint64).view(np.int64))
+
+    return run
+
+
 # --------------------------------------------------------------- Golay code
 
 #: Generator polynomial of the binary Golay code, x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1.
@@ -293,16 +301,22 @@ def near_dedup(
     """
     src = docs.select(id_col(id_column).alias("doc_id"), text_or_empty(text_column).alias("text"))
     prints = materialise(src.mapInPandas(_fingerprint_batches(shingle), "doc_id long, fp long"), "simhash-prints")
-    classes = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-classes")
+    named = _components(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), max_bits, block)
+    # Written before they meet the fingerprints, so that AQE can split a component of very many.
+    smallest = materialise(named.groupBy("comp").agg(F.min("rep").alias("component_id")).withColumnRenamed("comp", "of"), "simhash-smallest")
+    by_class = named.join(smallest, F.col("comp") == F.col("of")).select(F.col("fp").alias("class_fp"), "component_id")
+    by_class = materialise(by_class, "simhash-by-class")
+    return prints.join(by_class, prints["fp"] == by_class["class_fp"]).select("doc_id", "fp", "component_id")
+
+
+def _components(classes: DataFrame, max_bits: int, block: int) -> DataFrame:
+    """``classes`` (distinct ``fp`` and ``rep``) with ``comp``, the smallest fingerprint linked to each; written."""
+    classes = materialise(classes, "simhash-classes")
     links = materialise(links_of(classes, max_bits, block), "simhash-links")
     linked = components(links)
     # Components are few links' worth of fingerprints; every other class is its own component.
-    named = classes.join(linked, classes["fp"] == linked["node"], "left").select(
-        "fp", "rep", F.coalesce("component", "fp").alias("comp")
-    )
-    smallest = named.groupBy("comp").agg(F.min("rep").alias("component_id"))
-    by_class = materialise(named.join(smallest, "comp").select(F.col("fp").alias("class_fp"), "component_id"), "simhash-components")
-    return prints.join(by_class, prints["fp"] == by_class["class_fp"]).select("doc_id", "fp", "component_id")
+    named = classes.join(linked, classes["fp"] == linked["node"], "left")
+    return materialise(named.select("fp", "rep", F.coalesce("component", "fp").alias("comp")), "simhash-components")
 
 
 def hex_digits(signed: str = "fp"):
@@ -310,9 +324,26 @@ def hex_digits(signed: str = "fp"):
     return F.lower(F.lpad(F.hex(F.col(signed)), 16, "0"))
 
 
-def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that name their component, with all their columns (rows without an id all stay)."""
-    found = near_dedup(docs, id_column, text_column, **options)
-    gone = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(f"{OWN}gone")).distinct()
-    own = docs.withColumn(f"{OWN}key", id_col(id_column))
-    return own.join(gone, F.col(f"{OWN}key") == F.col(f"{OWN}gone"), "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+def one_of_each(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    shingle: int = SHINGLE,
+    max_bits: int = MAX_BITS,
+    block: int = BLOCK,
+) -> DataFrame:
+    """One row of ``docs`` for each component, with all its columns: that of the smallest id.
+
+    Rows are told apart by a number of their own, not by their id: an id that
+    occurs with several texts stays once for each component it stands for, and
+    of equal rows, or rows without any id, one stays.  A row without an id stays
+    only where its component has no id at all.
+    """
+    own = f"{OWN}uid", f"{OWN}fp"
+    number = F.pandas_udf(_fingerprint_column(shingle), "long")(text_or_empty(text_column))
+    rows = materialise(docs.withColumns({own[1]: number, own[0]: F.monotonically_increasing_id()}), "simhash-rows")
+    first = F.min(F.struct(id_col(id_column).isNull().alias("no_id"), id_col(id_column).alias("id"), F.col(own[0]).alias("uid")))
+    # The first row of each fingerprint, then of each component.
+    named = _components(rows.groupBy(F.col(own[1]).alias("fp")).agg(first.alias("rep")), max_bits, block)
+    stay = materialise(named.groupBy("comp").agg(F.min("rep").alias("rep")).select(F.col("rep.uid").alias("stay")), "simhash-stay")
+    return rows.join(stay, F.col(own[0]) == F.col("stay"), "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

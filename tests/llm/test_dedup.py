@@ -157,6 +157,15 @@ def test_components_equal_brute_force(spark, block):
     assert {r.doc_id for r in kept.collect()} == {100 + r for r in roots}
 
 
+def test_one_row_of_each_component_stays_whatever_its_id(spark):
+    a, b, c = ("wide open water runs past the mill", "nothing like it grows in this dry land", "one more text that stands alone here")
+    rows = [(3, a), (5, a), (5, b), (None, b), (7, c), (7, c), (None, "only without an id, twice"), (None, "only without an id, twice"), (8, None), (9, "")]
+    kept = simhash.one_of_each(docs(spark, rows))
+    assert kept.columns == [f.split()[0] for f in DOCS.split(", ")]
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    assert got == sorted([(3, a), (5, b), (7, c), (None, "only without an id, twice"), (8, None)], key=repr)
+
+
 def test_null_ids_keep_their_rows(spark):
     got = simhash.near_dedup(docs(spark, [(None, "a b"), (None, "a b"), (5, "a b"), (None, "q r s t u v")])).collect()
     assert sorted((r.component_id is None, r.component_id or 0) for r in got) == [(False, 5), (False, 5), (False, 5), (True, 0)]
