@@ -199,13 +199,32 @@ def _gain(source: list[tuple[int, int]], target: list[tuple[int, int]], source_f
     return found and (best, *found)
 
 
+def fewest_bins(lengths: list[int], capacity: int) -> int:
+    """A number of bins that no packing goes below.
+
+    The largest of: all lengths over the capacity; and, for each m, one bin for
+    every m items of which no bin holds more than m (longer than a part m + 1 of it).
+    """
+    size = np.sort(np.array(lengths, np.int64))[::-1]
+    if not len(size):
+        return 0
+    best = -(-int(size.sum()) // capacity)
+    for m in range(1, capacity // max(int(size[-1]), 1) + 1):
+        count = int(np.searchsorted(-size, -(capacity // (m + 1)), side="left"))
+        best = max(best, -(-count // m))
+        if count == len(size):
+            break
+    return best
+
+
 def local_search(bins: list[list[int]], lengths: list[int], capacity: int) -> list[list[int]]:
     """Empty bins into the others by exchanges between underfull bins that increase the squared fill.
 
     Every pass offers the items of every underfull bin, emptiest first, to all
     others, fullest first; pairs of bins that are as they were when they were
-    last tried are left out.  It ends when the bins are as few as their total
-    allows, or when no pair of bins has an exchange left.
+    last tried are left out, and a bin of one item is offered only what fits
+    beside it, since no swap with it can gain.  It ends when the bins are as few
+    as ``fewest_bins``, or when no pair of bins has an exchange left.
     """
     done = [b for b in bins if sum(lengths[i] for i in b) == capacity]
     rest = [sorted((lengths[i], i) for i in b) for b in bins]
@@ -213,7 +232,7 @@ def local_search(bins: list[list[int]], lengths: list[int], capacity: int) -> li
     fills = [sum(x[0] for x in b) for b in rest]
     # Number of the exchange that changed a bin last, and of the last one before the bin was offered to all others.
     moves, changed, offered = 0, [0] * len(rest), [-1] * len(rest)
-    spare = len(rest) - -(-sum(fills) // capacity)
+    spare = len(rest) - fewest_bins([x[0] for b in rest for x in b], capacity)
     moved = True
     while moved and spare:
         moved = False
@@ -222,7 +241,12 @@ def local_search(bins: list[list[int]], lengths: list[int], capacity: int) -> li
                 continue
             since, offered[s] = offered[s], moves
             fresh = changed[s] > since
-            for t in sorted((n for n, f in enumerate(fills) if n != s and 0 < f < capacity and (fresh or changed[n] > since)), key=lambda n: -fills[n]):
+            smallest = rest[s][0][0]
+            targets = [
+                n for n, f in enumerate(fills)
+                if 0 < f < capacity and n != s and (fresh or changed[n] > since) and (len(rest[n]) > 1 or smallest <= capacity - f)
+            ]
+            for t in sorted(targets, key=lambda n: -fills[n]):
                 while rest[s] and (found := _gain(rest[s], rest[t], fills[s], fills[t], capacity)):
                     d, out, back = found
                     for x in out:
