@@ -33,12 +33,13 @@ def id_col(column: str) -> Column:
 
 
 def hash_sample(df: DataFrame, key: Column, limit: int, spread: int = 40) -> DataFrame:
-    """The rows of ``df`` among which some ``spread * limit`` have the smallest hashes ``key`` (all rows of a small frame).
+    """The rows of ``df`` that have some ``spread * limit`` of its smallest distinct hashes ``key`` (all rows of a small frame).
 
-    A following ``orderBy(key).limit(limit)`` then moves a bounded number of
-    rows however many tasks there are, instead of ``limit`` rows of each task.
+    Rows that share a hash pass together and count once, so repeated rows push
+    nothing out.  After dropping repeats, ``orderBy(key).limit(limit)`` then
+    moves a bounded number of rows however many tasks there are.
     """
-    rows = df.count()
-    if rows <= spread * limit:
+    kinds = df.agg(F.approx_count_distinct(key, 0.02)).first()[0]
+    if kinds <= spread * limit:
         return df
-    return df.filter(key < F.lit(-(2**63) + int(2**64 * (spread * limit / rows))))
+    return df.filter(key < F.lit(-(2**63) + int(2**64 * (spread * limit / kinds))))

@@ -158,7 +158,8 @@ def held_out(id_column: str = "doc_id") -> Column:
 def labelled_sample(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", per_label: int = SAMPLE_PER_LABEL) -> tuple[np.ndarray, np.ndarray]:
     """Features and labels of at most ``per_label`` training rows of each label, those with the smallest id hashes.
 
-    A document labelled more than once counts once, by its mean label; labels
+    A document labelled more than once counts once, by its mean label, and an
+    id with several texts by the first of them in text order; labels
     other than 0 and 1, null ids and ids without a document are left out.
     """
     spark = docs.sparkSession
@@ -181,8 +182,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id
         for batch in batches:
             yield pd.DataFrame({"id": batch["id"], "label": batch["label"], "x": [features(t).tobytes() for t in batch["text"]]})
 
-    # One row per id, whatever the number of documents that repeat it.
-    got = sorted(rows.dropDuplicates(["id"]).mapInPandas(describe, "id long, label int, x binary").collect())
+    # One row per id, whatever the number of documents that repeat it: the first of its texts in order.
+    one = rows.groupBy("id", "label").agg(F.min("text").alias("text"))
+    got = sorted(one.mapInPandas(describe, "id long, label int, x binary").collect())
     x = np.array([np.frombuffer(r["x"], np.float32) for r in got], np.float32).reshape(len(got), BUCKETS + STATS)
     return x, np.array([r["label"] for r in got], np.int64)
 

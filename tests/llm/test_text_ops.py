@@ -141,6 +141,46 @@ def test_tagger_finds_held_out_spans(tagger):
     assert hits >= 0.9 * sum(map(len, want)) and hits >= 0.9 * sum(map(len, found))
 
 
+def test_tagger_finds_rewritten_spans_outside_its_sample(tagger):
+    rng = np.random.default_rng(11)
+    hits = wanted = reported = 0
+    for text in snippets(300, 5):
+        spans = pii.base_spans(text)
+        changed, want = pii.rewritten(text, spans, rng)
+        base = pii.base_spans(changed)
+        (got,) = pii.added_spans([changed], [base], tagger)
+        want = [w for w in want if not any(s < w[2] and w[0] < e for s, _, e in base)]
+        hits += len(set(want) & set(got))
+        wanted, reported = wanted + len(want), reported + len(got)
+    assert wanted > 150 and hits >= 0.9 * wanted and hits >= 0.9 * reported
+
+
+@pytest.mark.parametrize(
+    "kind, text, good",
+    [
+        (0, "jane [at] mail (dot) example dot com", True), (0, "jane @ example.com", True), (0, "look at this", False), (0, "look at example", False),
+        (0, "meet at noon.then", False), (1, "10 . 0 . 0 . 7", True), (1, "10[.]0[.]0[.]7", True), (1, "10 dot 0 dot 0 dot 999", False),
+        (2, "4539.1488.0343.6467", True), (2, "4539.1488.0343.6468", False), (2, "4539 and 1488.0343.6467", False),
+        (3, "(555) 123-4567", True), (3, "555.123.4567", True), (3, "2024-05-01 123456", False), (3, "0049 30 123456", False), (3, "00 49 30 123456", True),
+    ],
+)
+def test_plausible_spans(kind, text, good):
+    assert pii._plausible(kind, text) is good
+
+
+def test_pieces_of_long_spans_are_joined():
+    whole = pii.joined([(10, 0, 96, 5.0, False, True), (48, 0, 144, 4.0, True, True), (96, 0, 150, 3.0, True, False), (200, 3, 212, 2.0, False, False)])
+    assert whole == [(10, 0, 150, 12.0), (200, 3, 212, 2.0)]
+    # Cut at the left without a piece before it, cut at the right without one after it, and another kind.
+    assert pii.joined([(48, 0, 60, 1.0, True, False), (60, 1, 96, 1.0, False, True), (96, 2, 120, 1.0, True, False)]) == []
+
+
+def test_repeated_rows_push_nothing_out_of_the_training_sample(spark):
+    rows = [(None, "call +1 555 123 4567 now")] * 30000 + [(n, f"mail {chr(97 + n % 26)}{n}@example.com today") for n in range(200)]
+    got = pii.training_snippets(docs(spark, rows), limit=1000)
+    assert len(got) == 201 and "call +1 555 123 4567 now" in got
+
+
 def test_windows_cover_every_digit_and_reconcile():
     text = "x" * 500 + "7" + "y" * 500
     assert all(any(s <= 500 < s + pii.WINDOW for s in pii._starts(text)) for _ in (0,))
@@ -178,6 +218,14 @@ def test_personal_data_edge_rows(spark, tagger):
 # --------------------------------------------------------------- quality
 
 
+def test_text_of_a_repeated_id_does_not_depend_on_the_layout(spark):
+    rows = [(1, "aaa"), (1, "bbb"), (2, "ccc"), (2, "CCC 77")] * 3
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    want = quality.labelled_sample(docs(spark, rows), labels)[0]
+    got = quality.labelled_sample(docs(spark, rows[::-1]).repartition(5), labels)[0]
+    assert np.array_equal(want, got)
+
+
 def test_quality_on_held_out_rows(spark):
     rng = np.random.default_rng(5)
     words = ["".join(rng.choice(list("aeiourstln"), rng.integers(2, 9))) for _ in range(400)]
