@@ -5,7 +5,9 @@ partitioned write replaces the whole table (full builds) or only the
 partitions it produces (``replace="slices"``, for backfills and weekly loads).
 Rows are rebalanced by the partition columns first: a partition value gets few
 files, a hot one is split over several tasks.  Partition columns should be
-low-cardinality (year, month).
+low-cardinality (year, month).  ``observe`` names numbers that the write itself
+counts (aggregate columns), so a gate on them needs no second scan; they are
+taken in the writing stage, after any shuffle.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -24,9 +26,19 @@ def _check(df: DataFrame | None, path: str | None) -> None:
         raise ValueError("no destination path")
 
 
-def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def _observed(df: DataFrame, observe: Mapping[str, Column] | None) -> tuple[DataFrame, Callable[[], dict[str, object]]]:
+    if not observe:
+        return df, dict
+    seen = Observation()
+    return df.observe(seen, *[c.alias(n) for n, c in observe.items()]), lambda: dict(seen.get)
+
+
+def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", observe: Mapping[str, Column] | None = None) -> dict[str, object]:
+    """Parquet write; returns the ``observe`` numbers."""
     _check(df, path)
+    df, counted = _observed(df, observe)
     df.write.mode(mode).parquet(path)
+    return counted()
 
 
 def write_partitioned(
@@ -34,20 +46,25 @@ def write_partitioned(
     path: str,
     partition_by: Sequence[str],
     replace: str = "all",
-) -> None:
-    """Partitioned Parquet write; ``replace`` is ``"all"`` (the table) or ``"slices"`` (the partitions present)."""
+    observe: Mapping[str, Column] | None = None,
+) -> dict[str, object]:
+    """Partitioned Parquet write; ``replace`` is ``"all"`` (the table) or ``"slices"`` (the partitions present).
+
+    Returns the ``observe`` numbers.
+    """
     _check(df, path)
     if not partition_by:
         raise ValueError("no partition columns")
     if replace not in ("all", "slices"):
         raise ValueError(f"replace is 'all' or 'slices', not {replace!r}")
+    df, counted = _observed(df.hint("rebalance", *[F.col(f"`{c}`") for c in partition_by]), observe)
     (
-        df.hint("rebalance", *[F.col(f"`{c}`") for c in partition_by])
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("partitionOverwriteMode", "static" if replace == "all" else "dynamic")
         .partitionBy(*partition_by)
         .parquet(path)
     )
+    return counted()
 
 
 def append(df: DataFrame, path: str) -> None:

@@ -21,6 +21,7 @@ from dimetl.session import scratch_path
 from dimetl.sinks import catalog as C
 from dimetl.sinks import writers as W
 from dimetl.sources import files as S
+from dimetl.sources import rejects as RJ
 from dimetl.sources import staging as ST
 from dimetl.streaming.incremental import backfill_slice, ingest_available_now, stream_upsert_available_now
 from dimetl.verify.adapters import (
@@ -531,14 +532,120 @@ SUITE_SQL = (
 
 @register("dq_suite", SUITE_SQL)
 def q_dq_suite(spark, d):
+    """Gates of a load: counts taken with the write, all foreign keys in one pass over the stored fact."""
     songs_raw = a_song(spark, d)
-    path = scratch_path(spark, "dq_fact")  # written once, checked three times
-    W.write_parquet(SP.songplays(a_play(spark, d), _songs_lookup(spark, d), "lookup"), path)
-    fact = spark.read.parquet(path)
-    one = F.count(F.lit(1)).alias("v")
+    path = scratch_path(spark, "dq_fact")
+    counted = W.write_parquet(
+        SP.songplays(a_play(spark, d), _songs_lookup(spark, d), "lookup"), path,
+        observe={"rows": F.count(F.lit(1)), "no_song": F.count_if(F.col("song_id").isNull())},
+    )
     return Q.dq_suite(
-        Q.dq_counts({"songplays": fact}),
-        Q.dq_fk_orphans(fact, {"song_id": (SP.songs_table(songs_raw), "song_id"),
-                               "artist_id": (SP.artists_table(songs_raw), "artist_id")}, "songplays"),
-        Q.dq_expectations([("plays_without_song", fact.where(F.col("song_id").isNull()).agg(one), 0)]),
+        Q.dq_observed(spark, [("row_count", "songplays", counted["rows"], 1), ("expectation", "plays_without_song", counted["no_song"], 0)]),
+        Q.dq_fk_orphans(spark.read.parquet(path), {"song_id": (SP.songs_table(songs_raw), "song_id"),
+                                                   "artist_id": (SP.artists_table(songs_raw), "artist_id")}, "songplays"),
+    )
+
+
+# ------------------------------------------- rejected records, differing files
+
+REJECT_SCHEMA = T.StructType().add("event_id", T.LongType()).add("user_id", T.LongType()).add("value", T.DoubleType()).add("page", T.StringType())
+
+
+def _write_lines_with_faults(spark, d, fmt: str) -> str:
+    """Event records as text: every 10th cut short (JSON) or a field short (CSV), every 7th with text in a number."""
+    path = scratch_path(spark, f"faulty_{fmt}")
+    ev = a_events(spark, d).select(F.col("item_in_session").cast("bigint").alias("event_id"), "user_id", "value", "page")
+    wrong = F.col("event_id") % 7 == 3
+    if fmt == "json":
+        good = F.to_json(F.struct("event_id", "user_id", "value", "page"))
+        line = F.when(wrong, F.to_json(F.struct("event_id", F.lit("none").alias("user_id"), "value", "page"))).otherwise(good)
+        line = F.when(F.col("event_id") % 10 == 0, F.substring(good, F.lit(1), F.length(good) - 3)).otherwise(line)
+    else:
+        number = F.when(wrong, F.lit("none")).otherwise(F.col("user_id").cast("string"))
+        line = F.concat_ws(",", F.col("event_id").cast("string"), number, F.col("value").cast("string"), F.concat(F.lit('"'), "page", F.lit('"')))
+        line = F.when(F.col("event_id") % 10 == 0, F.concat_ws(",", F.col("event_id").cast("string"), F.col("user_id").cast("string"))).otherwise(line)
+    ev.select(line.alias("line")).write.text(path)
+    return path
+
+
+def _sql_rejects(short: str) -> str:
+    return (
+        with_views("a_events")
+        + f"SELECT CAST(item_in_session AS BIGINT) AS event_id, CASE WHEN item_in_session % 10 = 0 THEN '{short}' "
+        f"WHEN item_in_session % 7 = 3 THEN 'a value of another type' END AS reason, "
+        "CASE WHEN item_in_session % 10 <> 0 AND item_in_session % 7 <> 3 THEN user_id END AS user_id FROM a_events"
     )
+
+
+def _loaded_and_rejected(spark, d, fmt: str):
+    target, rejects = scratch_path(spark, f"copied_{fmt}"), scratch_path(spark, f"rejects_{fmt}")
+    path = _write_lines_with_faults(spark, d, fmt)
+    options = {"header": "false"} if fmt == "csv" else {}
+    counts = RJ.copy_with_rejects(spark, path, REJECT_SCHEMA, target, rejects, max_rejects=1 << 40, fmt=fmt, **options)
+    good, bad = spark.read.parquet(target), spark.read.parquet(rejects)
+    if (good.count(), bad.count()) != (counts.good, counts.rejected):
+        raise AssertionError("the load's counts differ from its tables")
+    own = F.regexp_extract(RJ.RECORD, r'^(?:\{"event_id":)?([0-9]+)', 1).cast("bigint")
+    rejected = bad.select(own.alias("event_id"), "reason", F.lit(None).cast("bigint").alias("user_id"))
+    return good.select("event_id", F.lit(None).cast("string").alias("reason"), "user_id").unionByName(rejected)
+
+
+@register("copy_rejects_json", _sql_rejects("not a JSON object"))
+def q_copy_rejects_json(spark, d):
+    """A load of JSON lines with planted bad records: good rows, and every reject with its reason."""
+    return _loaded_and_rejected(spark, d, "json")
+
+
+@register("copy_rejects_csv", _sql_rejects("another number of fields"))
+def q_copy_rejects_csv(spark, d):
+    return _loaded_and_rejected(spark, d, "csv")
+
+
+def _write_differing_files(spark, d) -> str:
+    """Three file sets of one table: attributes come and go, one changes from whole numbers to decimals, one to text."""
+    root = scratch_path(spark, "differing")
+    c = table(spark, d, "customer")
+    k = F.col("c_custkey")
+    c.where(k % 3 == 0).select(k.alias("id"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("code")).write.json(f"{root}/a")
+    c.where(k % 3 == 1).select(k.alias("id"), (k + 0.5).cast("double").alias("score"), F.concat(F.lit("N"), "c_nationkey").alias("code")).write.json(f"{root}/b")
+    c.where(k % 3 == 2).select(k.alias("id"), F.col("c_name").alias("name"), k.alias("score"), (k % 2 == 0).alias("even")).write.json(f"{root}/c")
+    return root
+
+
+@register(
+    "scan_merged",
+    "SELECT c_custkey AS id, CASE WHEN c_custkey % 3 <> 1 THEN c_name END AS name, "
+    "CASE c_custkey % 3 WHEN 1 THEN c_custkey + 0.5::DOUBLE WHEN 2 THEN c_custkey::DOUBLE END AS score, "
+    "CASE c_custkey % 3 WHEN 0 THEN CAST(c_nationkey AS VARCHAR) WHEN 1 THEN 'N' || CAST(c_nationkey AS VARCHAR) END AS code, "
+    "CASE WHEN c_custkey % 3 = 2 THEN c_custkey % 2 = 0 END AS even FROM customer",
+)
+def q_scan_merged(spark, d):
+    return RJ.scan_merged(spark, _write_differing_files(spark, d), recursiveFileLookup="true")
+
+
+@register(
+    "schema_report",
+    "SELECT * FROM (VALUES ('a', 'code', 'BIGINT'), ('a', 'id', 'BIGINT'), ('a', 'name', 'STRING'), ('b', 'code', 'STRING'), ('b', 'id', 'BIGINT'), "
+    "('b', 'score', 'DECIMAL'), ('c', 'even', 'BOOLEAN'), ('c', 'id', 'BIGINT'), ('c', 'name', 'STRING'), ('c', 'score', 'BIGINT')) v(folder, attribute, type) "
+    "JOIN (SELECT ['a', 'b', 'c'][CAST(c_custkey % 3 + 1 AS INTEGER)] AS folder, count(*) AS n_records FROM customer GROUP BY 1) USING (folder)",
+)
+def q_schema_report(spark, d):
+    report = RJ.schema_report(spark, _write_differing_files(spark, d), recursiveFileLookup="true")
+    folder = F.regexp_extract("file", "/([abc])/[^/]*$", 1)
+    return report.groupBy(folder.alias("folder"), "attribute", "type").agg(F.sum("n_records").alias("n_records"))
+
+
+@register(
+    "table_ordered_read",
+    with_views("a_events").rstrip() + ",\n" + SQL_USERS_ALL
+    + "SELECT 'first_name,last_name,gender,level' AS columns, f.user_id, concat_ws('|', f.first_name, f.last_name, f.gender, l.level) AS row_text "
+    "FROM f JOIN l ON f.user_id = l.user_id",
+)
+def q_table_ordered_read(spark, d):
+    """Columns of a stored table in table order, the id left out, whatever order the load's frame had."""
+    C.recreate_tables(spark, ["users"], scratch_path(spark, "warehouse"))
+    src = _users_src(spark, d)
+    W.insert_subset(src.select(*reversed(src.columns)), USERS_TABLE)
+    columns = C.insertion_columns(spark, USERS_TABLE, exclude=["user_id"])
+    stored = spark.table(USERS_TABLE)
+    return stored.select(F.lit(",".join(columns)).alias("columns"), "user_id", F.concat_ws("|", *columns).alias("row_text"))

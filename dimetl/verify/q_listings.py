@@ -511,6 +511,27 @@ def q_dim_date(spark, d):
     return date_spine_between(bounds, "lo", "hi").select(*calendar_columns("full_date")).orderBy("date_id")
 
 
+@register(
+    "dim_date_spine",
+    "SELECT CAST(row_number() OVER (ORDER BY d) AS BIGINT) AS position, CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_id, "
+    "CAST(week(d) AS INTEGER) AS week_iso_number, coalesce(n, 0) AS n_orders FROM "
+    f"(SELECT CAST(lo + to_days(CAST(i AS INTEGER)) AS DATE) AS d FROM (SELECT CAST(min(o_orderdate) AS DATE) AS lo FROM orders), range({L.CALENDAR_DAYS + 1}) t(i)) "
+    "LEFT JOIN (SELECT CAST(o_orderdate AS DATE) AS d, count(*) AS n FROM orders GROUP BY 1) USING (d)",
+)
+def q_dim_date_spine(spark, d):
+    """The calendar of 10,951 days from the first order on, in its stored order, with the orders of each day."""
+    orders = table(spark, d, "orders")
+    first = orders.agg(F.min(F.col("o_orderdate").cast("date")).cast("string")).first()[0]
+    path = scratch_path(spark, "calendar")
+    # One file keeps the order in which the calendar hands its rows over.
+    L.dim_date(spark, first, L.CALENDAR_DAYS).coalesce(1).write.parquet(path)
+    stored = spark.read.parquet(path).select((F.col("_metadata.row_index") + 1).alias("position"), "date_id", "week_iso_number")
+    counts = orders.groupBy(F.date_format(F.col("o_orderdate").cast("date"), "yyyyMMdd").cast("int").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    return stored.join(counts, F.col("date_id") == F.col("day"), "left").select(
+        "position", "date_id", "week_iso_number", F.coalesce("n", F.lit(0)).alias("n_orders")
+    )
+
+
 @register("date_id", "SELECT o_orderkey, CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS date_id FROM orders")
 def q_date_id(spark, d):
     from dimetl.functions.time import date_id
