@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimetl.functions.keys import hash_key, row_hash
 from dimetl.functions.text import fill_missing, limit_length, parse_price_text, rename_snake, strip_tags
 from dimetl.functions.time import calendar_columns, date_id, date_spine
+from dimetl.operators.joins import as_of_join
 from dimetl.operators.scd2 import Scd2Table
 from dimetl.schemas import DIMENSIONS
 from dimetl.sinks.writers import run_writes
@@ -108,30 +109,22 @@ def load_dimensions(
     return run_writes(spark, {dim: (lambda dim=dim: run(dim)) for dim in dims}, len(dims))
 
 
-def _valid_at(alias: str) -> Column:
-    """The dimension version was valid on the stock date."""
-    return (F.col(f"{alias}.record_start_date") <= F.col("f.stock_date")) & (F.col(f"{alias}.record_end_date") >= F.col("f.stock_date"))
-
-
 def fact_stock(stock: DataFrame, dim_broker: DataFrame, dim_asset: DataFrame, dim_geography: DataFrame) -> DataFrame:
     """Stock rows with the surrogate ids of the dimension versions valid on ``stock_date``.
 
-    Keys meet NULL-safely, as the dimensions are keyed.  Which side is
-    broadcast, if any, is left to the planner's measured sizes.
+    As-of joins: keys meet NULL-safely, as the dimensions are keyed, and a stock
+    row stays one row whatever versions its keys have.
     """
-    out = stock.alias("f")
-    for alias, dim, spec in (("a", dim_asset, "dim_asset"), ("b", dim_broker, "dim_broker"), ("g", dim_geography, "dim_geography")):
-        keys, own_id = DIMENSIONS[spec].match_columns, DIMENSIONS[spec].id_column
-        side = dim.select(own_id, *keys, "record_start_date", "record_end_date").alias(alias)
-        cond = _valid_at(alias)
-        for k in keys:
-            cond = F.col(f"f.`{k}`").eqNullSafe(F.col(f"{alias}.`{k}`")) & cond
-        out = out.join(side, cond, "left")
+    out = stock.select("broker", "contract_number", "country", "county", "parish", "price", "quantity", "stock_date")
+    for dim, spec in ((dim_asset, "dim_asset"), (dim_broker, "dim_broker"), (dim_geography, "dim_geography")):
+        out = as_of_join(
+            out, dim, DIMENSIONS[spec].match_columns, "stock_date", "record_start_date", [DIMENSIONS[spec].id_column], end="record_end_date"
+        )
     return out.select(
-        hash_key(F.col("f.broker"), F.col("f.contract_number"), F.col("f.stock_date")).alias("id"),
-        F.col("b.broker_id"), F.col("a.asset_id"), F.col("g.geography_id"),
-        F.col("f.price").cast("double").alias("price"), F.col("f.quantity").cast("int").alias("quantity"),
-        date_id(F.col("f.stock_date")).alias("date_id"),
+        hash_key(F.col("broker"), F.col("contract_number"), F.col("stock_date")).alias("id"),
+        "broker_id", "asset_id", "geography_id",
+        F.col("price").cast("double").alias("price"), F.col("quantity").cast("int").alias("quantity"),
+        date_id(F.col("stock_date")).alias("date_id"),
     )
 
 

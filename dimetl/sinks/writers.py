@@ -18,6 +18,8 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from dimetl.session import apply_runtime_conf
+
 
 def _check(df: DataFrame | None, path: str | None) -> None:
     if df is None:
@@ -67,6 +69,63 @@ def write_partitioned(
     return counted()
 
 
+#: Types that have quantiles, so that they can be laid out by range.
+RANGE_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp", "timestamp_ntz", "decimal")
+
+
+def range_cell(df: DataFrame, columns: Sequence[str], bits: int = 6) -> Column:
+    """The cell of a row in a grid of ``2 ** bits`` quantile ranges per column, as interleaved bits of the ranges.
+
+    Cells that follow each other are near in every column.  The bounds of the
+    ranges, ``2 ** bits - 1`` values a column, come from one aggregate over the
+    whole frame.  NULLs count as below every bound.
+    """
+    types = dict(df.dtypes)
+    wrong = [c for c in columns if types[c].split("(")[0] not in RANGE_TYPES]
+    if wrong or not columns:
+        raise ValueError(f"range layout needs number, date or timestamp columns: {wrong}")
+    if not 1 <= bits * len(columns) <= 62:
+        raise ValueError("range layout: the cell must fit a long")
+    parts = 2**bits
+    shares = [i / parts for i in range(1, parts)]
+    ordinal = {c: F.unix_micros(F.col(f"`{c}`").cast("timestamp")) if types[c].startswith(("date", "timestamp")) else F.col(f"`{c}`") for c in columns}
+    bounds = df.agg(*[F.percentile_approx(ordinal[c], shares, 100 * parts).alias(f"b{i}") for i, c in enumerate(columns)]).first()
+    cell = F.lit(0).cast("long")
+    for i, c in enumerate(columns):
+        found = sorted(set(bounds[i] or []))
+        above = F.lit(0)
+        for b in found:
+            above = above + F.coalesce(ordinal[c] > F.lit(b), F.lit(False)).cast("int")
+        for bit in range(bits):
+            one = F.shiftright(above, bit).bitwiseAND(F.lit(1)).cast("long")
+            cell = cell.bitwiseOR(F.shiftleft(one, bit * len(columns) + i))
+    return cell
+
+
+def write_range_layout(df: DataFrame, path: str, columns: Sequence[str], files: int, bits: int = 6, point_columns: Sequence[str] = ()) -> None:
+    """Parquet files that each hold a box of ``columns``, so that a filter on any of them skips most files by their statistics.
+
+    Rows are divided by range over ``range_cell``, then the columns, then a hash
+    of the whole row, which splits a hot cell; rows are sorted alike in a file.
+    ``point_columns`` get Bloom filters for lookups of single values.
+    """
+    _check(df, path)
+    if files < 1:
+        raise ValueError("range layout needs at least one file")
+    apply_runtime_conf(df.sparkSession)  # timestamps with statistics
+    order = ["__cell", *[f"`{c}`" for c in columns], "__row"]
+    laid = (
+        df.withColumns({"__cell": range_cell(df, columns, bits), "__row": F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])})
+        .repartitionByRange(files, *order)
+        .sortWithinPartitions(*order)
+        .drop("__cell", "__row")
+    )
+    writer = laid.write.mode("overwrite")
+    for c in point_columns:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
+    writer.parquet(path)
+
+
 def append(df: DataFrame, path: str) -> None:
     """Append-only load (fact tables)."""
     _check(df, path)

@@ -473,6 +473,23 @@ def q_clustered_layout(spark, d):
     return ET.event_table_layout(_event_table(spark, d, "music_users"), "music_users")
 
 
+@register(
+    "range_layout",
+    "SELECT l_orderkey, l_linenumber, l_partkey, CAST(l_shipdate AS TIMESTAMP) AS l_shipdate, l_quantity FROM lineitem "
+    "WHERE l_partkey <= (SELECT max(l_partkey) // 4 FROM lineitem) "
+    "AND l_shipdate >= (SELECT max(l_shipdate) - INTERVAL 365 DAY FROM lineitem)",
+)
+def q_range_layout(spark, d):
+    """The line items laid out by part and ship date, then a box of both read back through the file statistics."""
+    rows = table(spark, d, "lineitem")
+    path = scratch_path(spark, "range_layout")
+    W.write_range_layout(rows, path, ["l_partkey", "l_shipdate"], files=16, point_columns=["l_orderkey"])
+    stored = spark.read.schema(rows.schema).parquet(path)
+    top = stored.agg(F.floor(F.max("l_partkey") / 4).alias("part"), F.max("l_shipdate").alias("day")).first()
+    box = stored.where((F.col("l_partkey") <= top["part"]) & (F.col("l_shipdate") >= F.lit(top["day"] - _dt.timedelta(days=365))))
+    return box.select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", "l_quantity")
+
+
 # The three lookups ask the stored tables; their keys are taken from the data.
 
 

@@ -15,13 +15,13 @@ from dimetl.operators.filters import (
     preview,
     project,
 )
-from dimetl.operators.joins import fk_orphans, lookup_one, natural_join
+from dimetl.operators.joins import as_of_join, fk_orphans, lookup_one, natural_join
 from dimetl.operators.surrogate import dense_ids
 from dimetl.operators.upsert import insert_if_absent, first_per_key, pk_replace
 from dimetl.functions.text import rename_positional
 from dimetl.plans import songplays as SP
 from dimetl.sinks.catalog import temp_view_query
-from dimetl.verify.adapters import a_events, a_play, a_song, with_views
+from dimetl.verify.adapters import a_events, a_play, a_song, table, with_views
 from dimetl.verify.registry import register
 from dimetl.verify.sqlfn import sql_first, sql_md5, sql_ts_text
 
@@ -468,3 +468,30 @@ def q_star_artists_lake(spark, d):
 def q_star_time_orchestrated(spark, d):
     """One time row per fact row."""
     return _star(spark, d, "orchestrated")["time"]
+
+
+# ------------------------------------------------------------------- as of
+
+
+@register(
+    "asof_join",
+    "WITH versions AS (SELECT o_custkey, o_orderdate AS day, count(*) AS n_orders, max(o_totalprice) AS best FROM orders GROUP BY ALL), "
+    "shipped AS (SELECT l_orderkey, l_linenumber, o_custkey, l_shipdate FROM lineitem JOIN orders ON l_orderkey = o_orderkey) "
+    "SELECT s.l_orderkey, s.l_linenumber, s.l_shipdate, CASE WHEN v.day + INTERVAL 90 DAY >= s.l_shipdate THEN v.day END AS last_order_day, "
+    "CASE WHEN v.day + INTERVAL 90 DAY >= s.l_shipdate THEN v.n_orders END AS n_orders, "
+    "CASE WHEN v.day + INTERVAL 90 DAY >= s.l_shipdate THEN v.best END AS best "
+    "FROM shipped s ASOF LEFT JOIN versions v ON s.o_custkey = v.o_custkey AND s.l_shipdate >= v.day",
+)
+def q_asof_join(spark, d):
+    """Every shipment with its customer's last ordering day up to then, which counts for 90 days."""
+    orders = table(spark, d, "orders")
+    versions = (
+        orders.groupBy("o_custkey", F.col("o_orderdate").alias("last_order_day"))
+        .agg(F.count("*").alias("n_orders"), F.max("o_totalprice").alias("best"))
+        .withColumn("until", F.col("last_order_day") + F.expr("INTERVAL 90 DAYS"))
+    )
+    shipped = table(spark, d, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    shipped = shipped.select("l_orderkey", "l_linenumber", "o_custkey", "l_shipdate")
+    return as_of_join(
+        shipped, versions.withColumn("day", F.col("last_order_day")), ["o_custkey"], "l_shipdate", "day", ["last_order_day", "n_orders", "best"], end="until", slice_by="year"
+    ).drop("o_custkey")
