@@ -4,8 +4,10 @@ A record is one JSON object.  Its nested field paths, read from the schema of
 its variant value without the scalar types, are hashed to a fingerprint, and
 the fingerprint selects a declarative mapping that turns the record's layout
 (messages, conversations, instruction or prompt fields) into canonical turns
-``array<struct<role, text>>``.  A template then renders the turns; control
-strings inside texts are escaped, so the output can be read back exactly.
+``array<struct<role, text>>``.  A record of another fingerprint is matched by the
+hash of those of its field paths that a layout needs, so further fields change
+nothing.  A template then renders the turns; control strings inside texts are
+escaped, so the output can be read back exactly.
 """
 
 from __future__ import annotations
@@ -37,10 +39,27 @@ class MessageList:
         keys = (self.role, self.text)
         return [_object({self.field: f"ARRAY<{_object(dict.fromkeys((*keys, *extra)))}>"}) for extra in _subsets(self.optional)]
 
+    def needs(self) -> list[list[str]]:
+        """Sets of field paths, each enough for this layout; texts may be lists of parts, or the list of messages empty."""
+        role, text = f"{self.field}[].{self.role}", f"{self.field}[].{self.text}"
+        return [[role, text], [role, f"{text}[]"], [role, text, f"{text}[]"], [f"{self.field}[]"]]
+
+    def _items(self, record: Column) -> Column:
+        return F.from_json(record, f"{self.field} array<struct<{self.role}:string,{self.text}:string>>", ANY_LENGTH)[self.field]
+
+    def _turn(self, m: Column, text: Column) -> Column:
+        return F.struct(_renamed(m[self.role], self.roles).alias("role"), F.coalesce(text, F.lit("")).alias("text"))
+
     def turns(self, record: Column) -> Column:
-        shape = f"{self.field} array<struct<{self.role}:string,{self.text}:string>>"
-        items = F.from_json(record, shape, ANY_LENGTH)[self.field]
-        return F.transform(items, lambda m: F.struct(_renamed(m[self.role], self.roles).alias("role"), F.coalesce(m[self.text], F.lit("")).alias("text")))
+        return F.transform(self._items(record), lambda m: self._turn(m, m[self.text]))
+
+    def turns_of_parts(self, record: Column, bare: Column) -> Column:
+        """As ``turns``, with a list of parts read as its texts; ``bare`` is the record without texts, where only a list starts with a bracket."""
+        both = F.arrays_zip(self._items(record).alias("m"), self._items(bare).alias("b"))
+        return F.transform(
+            both,
+            lambda x: self._turn(x["m"], F.when(F.startswith(x["b"][self.text], F.lit("[")), _joined_parts(x["m"][self.text], x["b"][self.text])).otherwise(x["m"][self.text])),
+        )
 
 
 @dataclass(frozen=True)
@@ -55,6 +74,12 @@ class Fields:
         fixed = [n for n in names if n not in self.optional]
         return [_object(dict.fromkeys((*fixed, *extra))) for extra in _subsets(self.optional)]
 
+    def needs(self) -> list[list[str]]:
+        return [[n for _, fields in self.parts for n in fields if n not in self.optional]]
+
+    def turns_of_parts(self, record: Column, bare: Column) -> Column:
+        return self.turns(record)
+
     def turns(self, record: Column) -> Column:
         out = []
         read = F.from_json(record, ", ".join(f"{n} string" for _, names in self.parts for n in names), ANY_LENGTH)
@@ -69,6 +94,15 @@ class Fields:
         return F.concat(*out)
 
 
+def _joined_parts(parts: Column, bare: Column) -> Column:
+    """Texts of a JSON list of ``{"text": ...}`` objects or strings, a blank line between; parts without a text add nothing."""
+    both = F.arrays_zip(F.from_json(parts, "array<string>", ANY_LENGTH).alias("p"), F.from_json(bare, "array<string>", ANY_LENGTH).alias("b"))
+    return F.concat_ws(
+        "\n\n",
+        F.transform(both, lambda x: F.when(F.startswith(x["b"], F.lit("{")), F.from_json(x["p"], "text string", ANY_LENGTH)["text"]).when(x["b"] == "", x["p"])),
+    )
+
+
 def _subsets(names: tuple[str, ...]):
     return [c for k in range(len(names) + 1) for c in itertools.combinations(names, k)]
 
@@ -96,8 +130,8 @@ LAYOUTS = {
     "question_answer": Fields((("user", ("context", "question")), ("assistant", ("answer",))), ("context",)),
 }
 
-#: Scalar types in the text of a variant's schema; arrays and objects are structure, not scalars.
-_SCALAR = r"(?:STRING|BIGINT|BOOLEAN|DOUBLE|FLOAT|VOID|DECIMAL\(\d+, ?\d+\)|TINYINT|SMALLINT|INT|BINARY|DATE|TIMESTAMP_NTZ|TIMESTAMP|VARIANT)"
+#: Scalar types in the text of a variant's schema; arrays and objects are structure, and so may be what differs in type (VARIANT).
+_SCALAR = r"(?:STRING|BIGINT|BOOLEAN|DOUBLE|FLOAT|VOID|DECIMAL\(\d+, ?\d+\)|TINYINT|SMALLINT|INT|BINARY|DATE|TIMESTAMP_NTZ|TIMESTAMP)"
 
 
 #: Inside of a valid JSON string.
@@ -135,7 +169,7 @@ def fingerprint_of(structure: Column) -> Column:
 
 
 def canonical_turns(record: Column, fingerprint: Column, layouts: dict = LAYOUTS) -> tuple[Column, Column]:
-    """``(layout name, turns)`` of a record; both null when no layout has the fingerprint."""
+    """``(layout name, turns)`` of a record by its fingerprint; both null when no layout has it."""
     name, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS_TYPE)
     for key, layout in layouts.items():
         own = fingerprint.isin([_hash_literal(s) for s in layout.structures()])
@@ -144,10 +178,57 @@ def canonical_turns(record: Column, fingerprint: Column, layouts: dict = LAYOUTS
     return name, turns
 
 
+def field_paths(bare: Column, lists: list[str]) -> Column:
+    """Field paths of a record without texts: top-level names, and ``name[].field`` for the objects of the lists named.
+
+    A field that holds a list is written ``field[]``, an object ``field{}``; an
+    empty list is ``name[]`` alone.
+    """
+
+    def marked(entry: Column, prefix: str) -> Column:
+        value = entry["value"]
+        mark = F.when(F.startswith(value, F.lit("[")), "[]").when(F.startswith(value, F.lit("{")), "{}").otherwise("")
+        return F.concat(F.lit(prefix), entry["key"], mark)
+
+    def paths(top: Column) -> Column:
+        out = [F.filter(F.transform(F.map_entries(top), lambda e: marked(e, "")), lambda p: ~p.isin([f"{n}[]" for n in lists]))]
+        for n in lists:
+            items = F.filter(F.from_json(top[n], "array<map<string,string>>", ANY_LENGTH), lambda m: m.isNotNull())
+            inner = F.flatten(F.transform(items, lambda m: F.transform(F.map_entries(m), lambda e: marked(e, f"{n}[]."))))
+            nothing = F.array().cast("array<string>")
+            found = F.when(F.regexp_like(top[n], F.lit(r"^\[\s*\]$")), F.array(F.lit(f"{n}[]"))).when(F.startswith(top[n], F.lit("[")), inner).otherwise(nothing)
+            out.append(F.coalesce(found, nothing))
+        return F.array_distinct(F.concat(*out))
+
+    return _let(F.from_json(bare, "map<string,string>", ANY_LENGTH), paths)
+
+
+def turns_by_need(record: Column, bare: Column, paths: Column, layouts: dict = LAYOUTS) -> tuple[Column, Column]:
+    """``(layout name, turns)`` of the first layout whose needed field paths are all among ``paths``, told by their hash."""
+    name, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS_TYPE)
+    for key, layout in reversed(layouts.items()):
+        known = sorted({p for need in layout.needs() for p in need})
+        held = F.xxhash64(F.array_intersect(F.array(*[F.lit(p) for p in known]), paths))
+        own = held.isin([F.xxhash64(F.array(*[F.lit(p) for p in known if p in need])) for need in layout.needs()])
+        name = F.when(own, F.lit(key)).otherwise(name)
+        turns = F.when(own, layout.turns_of_parts(record, bare)).otherwise(turns)
+    return name, turns
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, also where it is used inside of functions on arrays."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _hash_literal(structure: str) -> Column:
     return F.xxhash64(F.lit(structure))
 
 
+def layout_counts(formatted: DataFrame) -> DataFrame:
+    """``fingerprint, layout, n`` of formatted records; records of a null layout have no output."""
+    return formatted.groupBy("fingerprint", "layout").agg(F.count("*").alias("n"))
+
+
 # --------------------------------------------------------------- template
 
 @dataclass(frozen=True)
@@ -212,8 +293,11 @@ def format_records(
 
     ``loss_spans`` are ``struct<start, len>`` (code points, start from 1) of the
     escaped texts under the loss mask.  A null record, text that is no JSON
-    object, and an unknown layout give null layout, output and spans; an
-    empty list of messages gives the empty output.
+    object, and a record that holds no layout's needed fields give null layout,
+    output and spans (``layout_counts`` tells how many); an empty list of
+    messages gives the empty output.  Fields that a layout does not know are
+    ignored; of several layouts that fit a record the first one is taken.  A
+    message's text may be a list of parts, whose texts are joined by a blank line.
     """
     rec = df.select(
         *[F.col(f"`{c}`") for c in keep],
@@ -223,21 +307,47 @@ def format_records(
     )
     name, turns = canonical_turns(F.col("__rec"), F.col("fingerprint"), layouts)
     made = rec.withColumns({"layout": F.when(F.col("__ok"), name), "__turns": F.when(F.col("__ok"), turns)})
+    # The fields of records whose fingerprint is no layout's own.
+    lists = sorted({x.field for x in layouts.values() if isinstance(x, MessageList)})
+    other = F.col("__ok") & F.col("layout").isNull()
+    made = made.withColumn("__bare", F.when(other, F.regexp_replace("__rec", _TEXTS, "$1$2$3$4$5")))
+    made = made.withColumn("__paths", F.when(other, field_paths(F.col("__bare"), lists)))
+    name, turns = turns_by_need(F.col("__rec"), F.col("__bare"), F.col("__paths"), layouts)
+    known = F.col("__paths").isNull()
+    made = made.withColumns({"layout": F.when(known, F.col("layout")).otherwise(name), "__turns": F.when(known, F.col("__turns")).otherwise(turns)})
     made = made.withColumn("__parts", F.transform("__turns", lambda t: _rendered(t, template)))
     made = made.withColumn("formatted", F.array_join(F.transform("__parts", lambda p: F.concat(p["open"], p["body"], p["close"])), ""))
-    # Running offset over the parts: each step appends a span and moves on by the length of the part.
-    start = F.struct(F.lit(1).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,len:bigint>>").alias("spans"))
+    made = made.withColumn("loss_spans", _loss_spans(F.col("__parts")))
+    return made.select(*[F.col(f"`{c}`") for c in keep], "fingerprint", "layout", "formatted", "loss_spans")
+
+
+#: Turns whose spans are gathered in one array before they join the others.
+SPAN_BLOCK = 256
+_SPANS = "array<struct<start:bigint,len:bigint>>"
+
+
+def _loss_spans(parts: Column) -> Column:
+    """Spans under the loss mask: running offsets within blocks of turns, then of the blocks, so that long lists are not copied per turn."""
+    zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(_SPANS).alias("spans"))
 
     def step(acc: Column, p: Column) -> Column:
-        body = F.length(p["body"]).cast("long")
-        span = F.struct((acc["at"] + F.length(p["open"])).alias("start"), body.alias("len"))
+        before, body = acc["at"] + F.length(p["open"]), F.length(p["body"]).cast("long")
+        span = F.struct((before + 1).alias("start"), body.alias("len"))
         return F.struct(
-            (acc["at"] + F.length(p["open"]) + body + F.length(p["close"])).alias("at"),
+            (before + body + F.length(p["close"])).alias("at"),
             F.when(p["loss"], F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"),
         )
 
-    made = made.withColumn("loss_spans", F.aggregate("__parts", start, step, lambda acc: acc["spans"]))
-    return made.select(*[F.col(f"`{c}`") for c in keep], "fingerprint", "layout", "formatted", "loss_spans")
+    first = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(f"array<{_SPANS}>").alias("spans"))
+
+    def join(acc: Column, block: Column) -> Column:
+        moved = F.transform(block["spans"], lambda s: F.struct((s["start"] + acc["at"]).alias("start"), s["len"].alias("len")))
+        return F.struct((acc["at"] + block["at"]).alias("at"), F.concat(acc["spans"], F.array(moved)).alias("spans"))
+
+    numbers = F.sequence(F.lit(0), F.floor((F.size(parts) - 1) / SPAN_BLOCK).cast("int"))
+    blocks = F.transform(numbers, lambda i: F.aggregate(F.slice(parts, i * SPAN_BLOCK + 1, SPAN_BLOCK), zero, step))
+    spans = F.flatten(F.aggregate(blocks, first, join, lambda acc: acc["spans"]))
+    return F.when(F.size(parts) > 0, spans).when(parts.isNotNull(), F.array().cast(_SPANS))
 
 
 def read_turns(formatted: Column, template: Template = TEMPLATE) -> Column:
@@ -257,9 +367,21 @@ def read_turns(formatted: Column, template: Template = TEMPLATE) -> Column:
     return F.transform(F.regexp_extract_all(formatted, F.lit(_TURN), F.lit(0)), one)
 
 
+#: Characters of a piece in which spans are looked up; a string's characters can only be counted from its start.
+PIECE = 4096
+
+
 def loss_text(formatted: Column, spans: Column) -> Column:
     """All text under the loss mask, unescaped, nothing between."""
-    return F.array_join(F.transform(spans, lambda s: unescape(F.substring(formatted, s["start"].cast("int"), s["len"].cast("int")))), "")
+
+    def one(pieces: Column, s: Column) -> Column:
+        first = F.floor((s["start"] - 1) / PIECE).cast("int")
+        last = F.greatest(first, F.floor((s["start"] + s["len"] - 2) / PIECE).cast("int"))
+        near = F.array_join(F.slice(pieces, first + 1, last - first + 1), "")
+        return unescape(F.substring(near, (s["start"] - first * F.lit(PIECE)).cast("int"), s["len"].cast("int")))
+
+    pieces = F.regexp_extract_all(formatted, F.lit(rf"(?s).{{1,{PIECE}}}"), F.lit(0))
+    return _let(pieces, lambda p: F.array_join(F.transform(spans, lambda s: one(p, s)), ""))
 
 
 # --------------------------------------------------------------- conversations table

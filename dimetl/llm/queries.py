@@ -33,7 +33,10 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation, and conversation -1 whose texts hold the template's own control strings."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
-    extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    extra = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"),
+    )
     return chat_format.conversation_digests(rows.unionByName(extra))
 
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import time
 import math
 
 import numpy as np
@@ -295,3 +296,51 @@ def test_layouts_are_told_by_their_field_paths(spark):
         assert (got[n].turns and [(t.role, t.text) for t in got[n].turns]) == turns
     assert all(got[n].layout is None and got[n].formatted is None for n in (90, 91, 92))
     assert len({got[n].fingerprint for n in range(9)}) == 9
+    counts = {r.layout: r.n for r in chat_format.layout_counts(out).collect() if r.layout is None}
+    assert counts  # records without output can be told
+
+
+PART = {"type": "text", "text": "t"}
+OTHER_RECORDS = [
+    ({"messages": []}, "messages", []),
+    ({"id": 7, "messages": [], "tags": ["x"]}, "messages", []),
+    ({"dialog": [ ]}, "dialog", []),
+    ({"messages": [{"role": "user", "content": "q", "weight": 0.5}, {"role": "assistant", "content": "[a]"}]}, "messages", [("user", "q"), ("assistant", "[a]")]),
+    ({"id": "x", "meta": {"messages": 1}, "messages": [{"role": "user", "content": "q"}]}, "messages", [("user", "q")]),
+    ({"messages": [{"role": "user", "content": [PART, {"type": "image", "url": "u"}, "{s}", {"text": "[u]"}]}]}, "messages", [("user", "t\n\n{s}\n\n[u]")]),
+    ({"messages": [{"role": "user", "content": [PART]}, {"role": "assistant", "content": "[1, 2]"}]}, "messages", [("user", "t"), ("assistant", "[1, 2]")]),
+    ({"messages": [{"role": "user", "text": "q", "n": None}]}, "message_texts", [("user", "q")]),
+    ({"conversations": [{"from": "human", "value": "q", "x": {"y": []}}]}, "conversations", [("user", "q")]),
+    ({"instruction": "do", "output": "done", "category": "c", "input": "[x"}, "instruction", [("user", "do\n\n[x"), ("assistant", "done")]),
+    ({"prompt": "p", "completion": "c", "id": 3}, "prompt_completion", [("user", "p"), ("assistant", "c")]),
+    ({"prompt": {"a": 1}, "completion": "c"}, None, None),
+    ({"messages": ["q"]}, None, None),
+    ({"messages": {"role": "user", "content": "q"}}, None, None),
+    ({}, None, None),
+]
+
+
+def test_records_with_other_fields_lists_of_parts_and_no_messages(spark):
+    rows = [(n, json.dumps(r)) for n, (r, _, _) in enumerate(OTHER_RECORDS)]
+    out = chat_format.format_records(spark.createDataFrame(rows, "id int, record string"), "record", ["id"])
+    read = out.withColumns({"turns": chat_format.read_turns(F.col("formatted")), "loss": chat_format.loss_text(F.col("formatted"), F.col("loss_spans"))})
+    got = {r.id: r for r in read.collect()}
+    for n, (record, layout, turns) in enumerate(OTHER_RECORDS):
+        assert got[n].layout == layout, record
+        assert (got[n].turns if turns is None else [(t.role, t.text) for t in got[n].turns]) == turns, record
+        assert got[n].loss == (None if turns is None else "".join(t for r, t in turns if r == "assistant")), record
+
+
+def test_a_conversation_of_many_turns_is_linear(spark):
+    """100,000 turns in one conversation; texts of one piece, of none and over several pieces keep their places."""
+    n = 100_000
+    said = F.when(F.col("id") % 1001 == 1, F.repeat(F.lit("\\é😀"), F.lit(3000))).when(F.col("id") % 7 == 0, "").otherwise(F.concat(F.lit("</s>turn "), F.col("id").cast("string")))
+    rows = spark.range(n).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), said.alias("text"))
+    began = time.time()
+    [got] = chat_format.conversation_digests(rows).collect()
+    assert time.time() - began < 60
+    texts = [(r.role, r.text) for r in rows.orderBy("turn").collect()]
+    loss = "".join(t for role, t in texts if role == "assistant")
+    assert got.n_turns == n and got.loss_chars == len(loss)
+    assert got.loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
+    assert got.turns_sha256 == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in texts).encode()).hexdigest()
