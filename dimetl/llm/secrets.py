@@ -5,14 +5,14 @@ position automaton (NFA), the subset construction makes it deterministic, and
 partition refinement minimises it.  The result is one transition array per
 state over the 256 byte values, so a text's UTF-8 bytes are read once whatever
 the number of rules.  A state's accept set tells which rules have a match
-ending there; only the rules that accept in a text are then located exactly
-(leftmost, non-overlapping, with the rule's own length limit) by their
-patterns, over the whole text.
+ending there.  A text in which some rule accepts is read once more, backwards,
+by the automaton of the reversed expressions, whose accepts are the places where
+matches start; from these, left to right, the rule's own automata take the
+longest match, over the whole text.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -26,34 +26,40 @@ from pyspark.sql import functions as F
 class Rule:
     """A kind of secret.
 
-    ``scan`` is the regular expression of the automaton (a subset of the
-    syntax: literals, classes, groups, ``| ? * + {n}``); every passing match
-    of ``find`` must contain a match of ``scan``.  ``find`` locates matches;
-    ``min_len`` is the least length of group ``group`` (0: the whole match).
+    Patterns are in a subset of the syntax: literals, classes, groups,
+    ``| ? * + {n}``.  A match is made of ``parts``, each the longest match of its
+    pattern behind the part before; a part may have a least length.  ``scan`` is
+    the expression of the combined automaton: every match that is long enough
+    begins with one of ``scan``.  The search goes on behind a match, also one that
+    is too short for its ``parts`` or ``min_len``; with ``retry``, too short a part
+    is no match, and the next start is tried.  No byte of the class ``not_after``
+    stands before a match.
     """
 
     kind: str
     scan: str
-    find: str
-    group: int = 0
+    parts: tuple[tuple[str, int], ...]
     min_len: int = 0
     base: bool = False
+    retry: bool = False
+    not_after: str = ""
 
 
-_ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+_KEY = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
+_JWT = r"[A-Za-z0-9_-]"
 #: The scans keep lengths out of the automaton where a literal is rare enough: counters of several rules
-#: multiply its states (some 200 this way, 18,900 with them), and the patterns check the lengths anyway.
+#: multiply its states (some 200 this way, 18,900 with them), and the parts check the lengths anyway.
 #: Base rules, in the order that breaks ties of start, and rules that add spans.
 RULES = (
-    Rule("assign", r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]""", _ASSIGN, 2, 12, True),
-    Rule("access", r"AKIA[A-Z0-9]", r"AKIA[A-Z0-9]+", 0, 18, True),
-    Rule("hex", r"[0-9a-f]{16}", r"[0-9a-f]+", 0, 16, True),
-    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
-    Rule("forge", r"gh[opsu]_[A-Za-z0-9]", r"gh[opsu]_[A-Za-z0-9]{36,}", 0, 40),
-    Rule("chat", r"xox[abprs]-[0-9A-Za-z]", r"xox[abprs]-[0-9A-Za-z-]{10,}", 0, 15),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", 0, 40),
+    Rule("assign", _KEY + r"[A-Za-z0-9+/_.=-]", ((_KEY, 0), (r"[A-Za-z0-9+/_.=-]+", 12)), base=True),
+    Rule("access", r"AKIA[A-Z0-9]", ((r"AKIA[A-Z0-9]+", 18),), base=True),
+    Rule("hex", r"[0-9a-f]{16}", ((r"[0-9a-f]+", 16),), base=True),
+    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", ((r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0),)),
+    Rule("forge", r"gh[opsu]_[A-Za-z0-9]", ((r"gh[opsu]_", 0), (r"[A-Za-z0-9]+", 36)), retry=True),
+    Rule("chat", r"xox[abprs]-[0-9A-Za-z-]", ((r"xox[abprs]-", 0), (r"[0-9A-Za-z-]+", 10)), retry=True),
+    Rule("jwt", r"eyJ" + _JWT, ((r"eyJ", 0), (_JWT + "+", 10), (r"\.eyJ", 0), (_JWT + "+", 10), (r"\.", 0), (_JWT + "+", 10)), 40, retry=True, not_after=_JWT),
 )
-#: Rules whose letters match in either case up to the value: only the scan of ``assign``.
+#: Rules whose letters match in either case.
 _EITHER_CASE = {"assign"}
 
 
@@ -201,6 +207,8 @@ class Automaton:
     def __init__(self, rows: list[list[int]], accepts: list[int]):
         self.rows, self.accepts = rows, accepts
         self.plain = next((i for i, a in enumerate(accepts) if a), len(accepts))
+        #: The state that nothing leads out of, if there is one.
+        self.dead = next((i for i, row in enumerate(rows) if not accepts[i] and set(row) == {i}), -1)
         self.sink: list = []
         self.sink += [self.sink] * 256
         quiet: list[list] = [[] for _ in range(self.plain)]
@@ -215,14 +223,30 @@ class Automaton:
             row = row[byte]
         if row is not self.sink:
             return {}
-        rows, accepts, plain, found = self.rows, self.accepts, self.plain, {}
-        state = 0
-        for at, byte in enumerate(data):
+        found: dict[int, int] = {}
+        for at, mask in self.accepted(data):
+            for rule in _bits(mask):
+                found.setdefault(rule, at)
+        return found
+
+    def accepted(self, data: Iterable[int]) -> Iterator[tuple[int, int]]:
+        """``(number of bytes read, accept bits)`` wherever a rule accepts."""
+        rows, accepts, plain, state = self.rows, self.accepts, self.plain, 0
+        for at, byte in enumerate(data, 1):
             state = rows[state][byte]
             if state >= plain:
-                for rule in _bits(accepts[state]):
-                    found.setdefault(rule, at + 1)
-        return found
+                yield at, accepts[state]
+
+    def longest(self, data: bytes, at: int) -> int:
+        """End of the longest match that starts at ``at``, -1 for none; for an automaton that starts there only."""
+        rows, plain, dead, state, end = self.rows, self.plain, self.dead, 0, -1
+        for i in range(at, len(data)):
+            state = rows[state][data[i]]
+            if state >= plain:
+                end = i + 1
+            elif state == dead:
+                break
+        return end
 
 
 def _bits(mask: int) -> Iterator[int]:
@@ -234,25 +258,42 @@ def _bits(mask: int) -> Iterator[int]:
         n += 1
 
 
-def compile_rules(rules: Iterable[Rule] = RULES) -> Automaton:
-    """One minimal automaton that finds every rule's ``scan`` anywhere in a text."""
+def compile_rules(rules: Iterable[Rule] = RULES, backward: bool = False) -> Automaton:
+    """One minimal automaton that finds every rule's ``scan`` anywhere in a text, or in a text read backwards."""
+    nodes = [_Parser(r.scan, r.kind in _EITHER_CASE).parse() for r in rules]
+    return _compiled([_reversed(n) for n in nodes] if backward else nodes)
+
+
+def _reversed(node):
+    kind, *args = node
+    if kind == "set":
+        return node
+    args = [_reversed(a) for a in args]
+    return (kind, *(args[::-1] if kind == "cat" else args))
+
+
+def _compiled(nodes: list, anywhere: bool = True) -> Automaton:
+    """Minimal automaton of the expressions; their numbers are the accept bits."""
     nfa = _Nfa()
     root = nfa.state()
     accept: dict[int, int] = {}
-    for n, rule in enumerate(rules):
+    for n, node in enumerate(nodes):
         head = nfa.state()
         nfa.free[root].append(head)
-        accept[nfa.add(_Parser(rule.scan, rule.kind in _EITHER_CASE).parse(), head)] = n
+        accept[nfa.add(node, head)] = n
     classes, members = _byte_classes(nfa)
 
-    # Subset construction; the root is in every subset, so a match may start at any byte.
+    # Subset construction; a match may start at any byte if the root is in every subset.
+    again = {root} if anywhere else set()
     start = nfa.closure([root])
+    if start & accept.keys():
+        raise ValueError("a pattern matches the empty text")
     number, todo, table = {start: 0}, [start], []
     while todo:
         subset = todo.pop()
         row = []
         for byte in members:
-            target = nfa.closure({t for s in subset for chars, t in nfa.moves[s] if byte in chars} | {root})
+            target = nfa.closure({t for s in subset for chars, t in nfa.moves[s] if byte in chars} | again)
             if target not in number:
                 number[target] = len(number)
                 todo.append(target)
@@ -291,29 +332,58 @@ def _minimised(rows: list[list[int]], masks: list[int]) -> tuple[list[list[int]]
 
 # --------------------------------------------------------------- scan
 
-def _either_case(pattern: str) -> re.Pattern:
-    """Letters of the whole pattern in either case (ASCII only; its value class has both already)."""
-    return re.compile(pattern, re.IGNORECASE | re.ASCII)
-
-
 class Scanner:
     """Finds the spans of all rules in a text."""
 
     def __init__(self, rules: Iterable[Rule] = RULES):
         self.rules = tuple(rules)
         self.automaton = compile_rules(self.rules)
-        self.find = [_either_case(r.find) if r.kind in _EITHER_CASE else re.compile(r.find) for r in self.rules]
+        self.backward = compile_rules(self.rules, backward=True)
+        self.parts = [
+            [(_compiled([_Parser(p, r.kind in _EITHER_CASE).parse()], anywhere=False), least) for p, least in r.parts] for r in self.rules
+        ]
+        self.barred = [_Parser(r.not_after, False).parse()[1][1] if r.not_after else frozenset() for r in self.rules]
 
     def spans(self, text: str) -> list[tuple[str, int, int]]:
         """``(kind, start, end)`` in code points, by start, then in the order of the rules."""
-        hits = self.automaton.first_ends(text.encode("utf-8", "surrogatepass"))
-        out = []
-        for n in hits:
-            rule = self.rules[n]
-            for m in self.find[n].finditer(text):
-                if m.end(rule.group) - m.start(rule.group) >= rule.min_len:
-                    out.append((m.start(), n, m.end()))
-        return [(self.rules[n].kind, s, e) for s, n, e in sorted(out)]
+        data = text.encode("utf-8", "surrogatepass")
+        hits = self.automaton.first_ends(data)
+        if not hits:
+            return []
+        starts: dict[int, list[int]] = {n: [] for n in hits}
+        for read, mask in self.backward.accepted(reversed(data)):
+            for n in _bits(mask):
+                starts[n].append(len(data) - read)
+        out = sorted((s, n, e) for n, found in starts.items() for s, e in self._matches(n, data, reversed(found)))
+        place = _code_points(data, sorted({x for s, _, e in out for x in (s, e)}))
+        return [(self.rules[n].kind, place[s], place[e]) for s, n, e in out]
+
+    def _matches(self, n: int, data: bytes, starts: Iterable[int]) -> Iterator[tuple[int, int]]:
+        """Leftmost non-overlapping matches of a rule that are long enough, in bytes; ``starts`` ascend."""
+        rule, done = self.rules[n], 0
+        for start in starts:
+            if start < done or (start and data[start - 1] in self.barred[n]):
+                continue
+            end, long_enough = start, True
+            for part, least in self.parts[n]:
+                begin, end = end, part.longest(data, end)
+                # Parts with a least length are of ASCII characters, one byte each.
+                long_enough = long_enough and end - begin >= least
+                if end < 0 or (rule.retry and not long_enough):
+                    break
+            else:
+                done = end
+                if long_enough and end - start >= rule.min_len:
+                    yield start, end
+
+
+def _code_points(data: bytes, offsets: list[int]) -> dict[int, int]:
+    """Code points before each byte offset; ``offsets`` ascend."""
+    out, last, count = {}, 0, 0
+    for at in offsets:
+        count += len(data[last:at].decode("utf-8", "surrogatepass"))
+        out[at], last = count, at
+    return out
 
 
 _SCHEMA = "doc_id long, n_assign long, n_access long, n_hex long, base_text string, spans string"

@@ -57,6 +57,33 @@ def test_added_secret_rules():
     assert {k for k, _, _ in secrets.Scanner().spans(text)} == {"pem", "forge", "chat", "jwt"}
 
 
+ADDED = {
+    "pem": ("-----BEGIN [A-Z ]*PRIVATE KEY-----", 0),
+    "forge": ("gh[opsu]_[A-Za-z0-9]{36,}", 40),
+    "chat": ("xox[abprs]-[0-9A-Za-z-]{10,}", 15),
+    "jwt": (r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", 40),
+}
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from([
+    "-----BEGIN ", "RSA ", "PRIVATE KEY-----", "ghp_", "gho_", "A" * 36, "a1", "xoxb-", "xoxp--", "0123456789", "eyJ", "abcdefghij", ".", ".eyJ", "_", " ", "é", "\udc80", "😀",
+]), max_size=14))
+def test_added_spans_equal_brute_force(parts):
+    text = "".join(parts)
+    want = sorted((m.start(), m.end(), k) for k, (p, least) in ADDED.items() for m in re.finditer(p, text) if m.end() - m.start() >= least)
+    got = sorted((s, e, k) for k, s, e in secrets._scanner().spans(text) if k in ADDED)
+    assert got == want
+
+
+def test_backward_automaton_marks_the_starts():
+    auto, data = secrets.compile_rules(backward=True), b"x AKIAB 0123456789abcdef0 token: y"
+    got = {(len(data) - read, n) for read, mask in auto.accepted(reversed(data)) for n in secrets._bits(mask)}
+    assert got == {(2, 1), (8, 2), (9, 2), (26, 0)} and len(auto.rows) < 1000
+    with pytest.raises(ValueError):
+        secrets.compile_rules([secrets.Rule("x", "a*", (("a", 0),))])
+
+
 def test_automaton_is_minimal_and_finds_every_rule_in_one_pass():
     auto = secrets.compile_rules()
     rows = {(a, *r) for a, r in zip(auto.accepts, auto.rows, strict=True)}
