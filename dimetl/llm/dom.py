@@ -38,24 +38,26 @@ MAX_NEST = 256
 
 
 class Node:
-    """Element: ``label`` is the tag with its class, id and role words, ``names`` are these attributes' whole tokens; children are nodes and strings."""
+    """Element: ``label`` is the tag with its class, id and role words, ``names`` are these attributes' whole tokens, ``classes`` those of the class; children are nodes and strings."""
 
-    __slots__ = ("tag", "names", "label", "children", "hidden")
+    __slots__ = ("tag", "names", "classes", "label", "children", "hidden")
 
-    def __init__(self, tag: str, words: tuple[str, ...] = (), hidden: bool = False, names: tuple[str, ...] = ()):
-        self.tag, self.names, self.hidden = tag, names, hidden
+    def __init__(self, tag: str, words: tuple[str, ...] = (), hidden: bool = False, names: tuple[str, ...] = (), classes: tuple[str, ...] = ()):
+        self.tag, self.names, self.classes, self.hidden = tag, names, classes, hidden
         self.label = tag if not words else f"{tag}.{'.'.join(words)}"
         self.children: list = []
 
 
-def _words(attributes: str) -> tuple[tuple[str, ...], tuple[str, ...]]:
-    """Lower-case words of class, id and role, without the digits that number things, and the attributes' whole tokens."""
-    found, names = set(), []
+def _words(attributes: str) -> tuple[tuple[str, ...], tuple[str, ...], tuple[str, ...]]:
+    """Lower-case words of class, id and role, without the digits that number things, the attributes' whole tokens, and those of the class."""
+    found, names, classes = set(), [], []
     for m in _CLASS.finditer(attributes):
         value = (m[2] or m[3] or m[4] or "").lower()
         found.update(re.findall(r"[a-z]+", value))
         names += value.split()
-    return tuple(sorted(found)), tuple(names)
+        if m[1].lower() == "class":
+            classes += value.split()
+    return tuple(sorted(found)), tuple(names), tuple(classes)
 
 
 def parse(text: str) -> Node:
@@ -83,8 +85,8 @@ def parse(text: str) -> Node:
             _close_open(stack, *_CLOSES[tag])
         attributes = m[3]
         plain = len(attributes) < 4
-        words, names = ((), ()) if plain else _words(attributes)
-        node = Node(tag, words, not plain and _HIDDEN.search(attributes) is not None, names)
+        words, names, classes = ((), (), ()) if plain else _words(attributes)
+        node = Node(tag, words, not plain and _HIDDEN.search(attributes) is not None, names, classes)
         stack[-1].children.append(node)
         if tag in RAW:
             stop = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(text, at)

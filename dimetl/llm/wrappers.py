@@ -17,12 +17,14 @@ it there is only template and noise.  A page is aligned with its host's wrapper
 again, and its blocks without the template's and the noise are its text.
 Zones that are never the article (menus, forms, adverts, comments, ...) are
 told by element and by name, since their text may vary as well; a name counts
-only for a block that the host's template has on a share of its pages.
+only for a block that the host's template has on a share of its pages, and a
+compound class only if the block holds the lesser part of the host's text.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache, partial
@@ -65,16 +67,35 @@ _WHOLE = frozenset(("html", "body", "article", "main"))
 #: Blocks that names tell nothing about: headings and the like are named after what they say.
 _UNNAMED = frozenset("h1 h2 h3 h4 h5 h6 p pre blockquote figcaption caption li dt dd summary hr".split())
 _MAIN = frozenset(("article", "main"))
+#: Words that a compound class of reader comments begins or ends with, also inside an article.
+_COMMENT_WORDS = frozenset(("comment", "comments"))
+#: Words before a zone's name that say what a block has, not what it is, as in ``with-sidebar``.
+_HAVING_WORDS = frozenset("has have with without no non not".split())
 
 
-def is_noise(tag: str, names, in_article: bool, holds_main: Callable[[], bool], supported: bool = True) -> bool:
+def _compound_zone(classes, in_article: bool) -> bool:
+    """Whether a compound class (``sidebar-left``, ``cookie_banner``) names a zone by its first or last word."""
+    for name in classes:
+        words = re.split(r"[-_]+", name.strip("-_"))
+        if len(words) < 2 or words[0] in _HAVING_WORDS or words[:2] == ["ad", "hoc"]:
+            continue
+        ends = {words[0], words[-1]}
+        if not ends.isdisjoint(_COMMENT_WORDS if in_article else _NOISE_WORDS):
+            return True
+    return False
+
+
+def is_noise(tag: str, names, in_article: bool, holds_main: Callable[[], bool], supported: bool = True, classes=(), minor: bool = False) -> bool:
     """Whether an element is a zone that is never the article.
 
     Names tell zones among blocks only, not among inline elements, headings
     and paragraphs, and only if the host's template has the zone
     (``supported``).  Zones told by names, forms and page headers are not noise
     if they hold an article or main element (``holds_main``): they are wrapped
-    around the page.
+    around the page.  A compound class name tells a zone only of a block that
+    holds the lesser part of the host's text (``minor``), so no wrapper of the
+    content; inside an article only one of reader comments does.  Compound ids
+    tell nothing: they are anchors, named after what a section says.
     """
     if tag in _WHOLE:
         return False
@@ -82,6 +103,7 @@ def is_noise(tag: str, names, in_article: bool, holds_main: Callable[[], bool],
         return True
     named = supported and tag in BLOCK and tag not in _UNNAMED
     found = tag == "form" or named and not _NOISE_WORDS.isdisjoint(names)
+    found = found or named and minor and _compound_zone(classes, in_article)
     if not in_article and not found:
         found = tag == "header" or named and not _HEADER_WORDS.isdisjoint(names)
     return found and not holds_main()
@@ -243,10 +265,10 @@ def _supported(t: list, least: int) -> list:
 
 # --------------------------------------------------------------- wrappers
 
-#: A wrapper node: [label, role, children]; a role is the signatures of the template's constant texts and whether the
-#: template has the node on a share of the host's pages.
+#: A wrapper node: [label, role, children]; a role is the signatures of the template's constant texts, whether the
+#: template has the node on a share of the host's pages, and whether the node holds the lesser part of the host's text.
 ROLE, PARTS = 1, 2
-_BLANK = (frozenset(), False)
+_BLANK = (frozenset(), False, False)
 
 
 def wrapper_of(template: list) -> list:
@@ -258,16 +280,26 @@ def wrapper_of(template: list) -> list:
     pages = template[PAGES]
     least = max(min(2, pages), ZONE_SHARE * pages)
 
+    weights: dict[int, int] = {}
+
+    def weigh(t: list) -> int:
+        # Elements whose text is never the article say nothing about where it is.
+        own = 0 if t[LABEL].split(".")[0] in _NOISE_TAGS else t[CHARS] + sum(map(weigh, t[KIDS]))
+        weights[id(t)] = own
+        return own
+
+    all_text = weigh(template)
+
     def roles(t: list) -> list:
         constant = [int(k) for k, (n, _, contents) in t[TEXTS].items() if n >= TEXT_SHARE * pages and len(contents) >= DIFFERENT]
-        return [t[LABEL], [sorted(constant), t[PAGES] >= least], [roles(k) for k in t[KIDS]]]
+        return [t[LABEL], [sorted(constant), t[PAGES] >= least, 2 * weights.get(id(t), 0) < all_text], [roles(k) for k in t[KIDS]]]
 
     return roles(template)
 
 
 def _as_template(w: list) -> list:
     """A wrapper seen as a template, for matching."""
-    return [w[0], (frozenset(w[ROLE][0]), w[ROLE][1]), None, 0, [_as_template(k) for k in w[PARTS]]]
+    return [w[0], (frozenset(w[ROLE][0]), *w[ROLE][1:]), None, 0, [_as_template(k) for k in w[PARTS]]]
 
 
 def _aligned(wrapper: list, shape: list) -> list:
@@ -284,7 +316,7 @@ def _collect(node: Node, roles: list, runs: list[tuple[list[str], frozenset]], c
     in_article = in_article or node.tag == "article"
     place: dict[str, int] = {}
     # Without a wrapper there is no template to ask, and names count by themselves.
-    blank = [_BLANK if wrapped else (frozenset(), True), []]
+    blank = [_BLANK if wrapped else (frozenset(), True, False), []]
     for child in node.children:
         if isinstance(child, str):
             runs[-1][0].append(child)
@@ -296,7 +328,7 @@ def _collect(node: Node, roles: list, runs: list[tuple[list[str], frozenset]], c
             runs.append(([], own[0][0]))
         elif child.tag in ("br", "td", "th"):
             runs[-1][0].append(" ")
-        if not child.hidden and not is_noise(child.tag, child.names, in_article, partial(_holds_main, child), own[0][1]):
+        if not child.hidden and not is_noise(child.tag, child.names, in_article, partial(_holds_main, child), own[0][1], child.classes, own[0][2]):
             _collect(child, own, runs, own[0][0] if block else constant, in_article, wrapped)
         if block:
             runs.append(([], constant))
@@ -305,7 +337,7 @@ def _collect(node: Node, roles: list, runs: list[tuple[list[str], frozenset]], c
 def main_text(html: str, wrapper: str | None) -> str:
     """Blocks of a page that are neither template nor noise, joined by newlines; without a wrapper no text is template."""
     root = parse(html)
-    roles = _roles(wrapper, signature(shape_of(root))) if wrapper else [(frozenset(), True), []]
+    roles = _roles(wrapper, signature(shape_of(root))) if wrapper else [(frozenset(), True, False), []]
     runs: list[tuple[list[str], frozenset]] = [([], roles[0][0])]
     _collect(root, roles, runs, roles[0][0], False, bool(wrapper))
     lines = ((_plain(parts), constant) for parts, constant in runs)

@@ -144,6 +144,26 @@ def test_names_inside_the_article_lose_no_text(part):
     assert wrappers.main_text(pages[3], wrapper_over(pages)) == f"Text 3\n{plain}"
 
 
+COMPOUNDS = ["comment-list", "comments-area", "reader_comments", "sidebar-left", "cookie-banner", "site-notice", "related-posts", "post_sidebar col"]
+
+
+@pytest.mark.parametrize("name", COMPOUNDS)
+@pytest.mark.parametrize("form", ["<article><p>{text}</p></article>{zone}", "<div class='post-body'><h1>{n}</h1><p>{text}</p></div>{zone}"])
+def test_compound_names_tell_zones_beside_the_article(name, form):
+    pages = [f"<body><div class='with-sidebar'>{form.format(n=n, text=f'Text {n} ' * 20, zone=f'<div class={name!r}><p>Varying {n}</p></div>')}</div></body>" for n in range(30)]
+    text = ("Text 3 " * 20).strip()
+    assert wrappers.main_text(pages[3], wrapper_over(pages)) == (text if "article" in form else f"3\n{text}")
+
+
+def test_compound_names_without_support_or_around_the_content_lose_no_text():
+    once = [f"<body><div class=a><p>Text {n}</p></div>{'<div class=related-posts><p>Kept</p></div>' if n == 3 else ''}</body>" for n in range(30)]
+    assert wrappers.main_text(once[3], wrapper_over(once)) == "Text 3\nKept"
+    around = [f"<body><div class='content-sidebar'><p>Text {n} and more of it</p></div><div class=x><p>Less {n}</p></div></body>" for n in range(30)]
+    assert wrappers.main_text(around[3], wrapper_over(around)) == "Text 3 and more of it\nLess 3"
+    inside = [f"<body><article><p>Text {n}</p><div class='related-work'>Work {n}</div><div class='ad-hoc'>Net {n}</div><div class='comment-list'>Me {n}</div></article></body>" for n in range(30)]
+    assert wrappers.main_text(inside[3], wrapper_over(inside)) == "Text 3\nWork 3\nNet 3"
+
+
 def test_a_name_counts_with_support_of_the_host():
     pages = [f"<body><article><p>Text {n}</p>{'<section class=social>Society</section>' if n == 3 else ''}</article><div class='box share'>Share {n}</div></body>" for n in range(30)]
     assert wrappers.main_text(pages[3], wrapper_over(pages)) == "Text 3\nSociety"
