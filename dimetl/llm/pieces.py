@@ -12,6 +12,13 @@ the last piece stay as they are when their joined text is encoded by merges;
 then, and only then, no merge crosses the boundary in the whole text.  So one
 edge survives per position and the result equals the merge algorithm's.
 Characters outside the vocabulary become byte pieces.
+
+Words longer than a window (texts without spaces) are encoded as overlapping
+windows, all at once.  Two windows that share a piece at the same place are
+joined there: every neighbour in the joined chain fits, so it is the one
+encoding of the joined text.  Where windows share no piece, the later ones are
+moved once to begin where a piece of the first ends; those that still share
+none are encoded again as one, so the result is the same for any text.
 """
 
 from __future__ import annotations
@@ -32,6 +39,10 @@ from dimetl.llm.idcache import IdCache
 SPACE = "▁"
 #: Characters of new words that are indexed at once.
 INDEX_CHARS = 1 << 18
+#: Words of more characters are encoded in windows of so many, of which two neighbours share OVERLAP. Their
+#: distance, 1,680, is a multiple of most piece lengths, so that windows in a run of one sign fall into step.
+WINDOW = 1808
+OVERLAP = 128
 #: Leads a word that follows the one before it without a space.
 JOINED = "\x02"
 #: Letters and signs between which texts are cut where the vocabulary never joins them.
@@ -160,16 +171,72 @@ class PieceEncoder:
         return self.vocabulary.cuts.sub(" " + JOINED, text).split(" ")
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        out = self.cache.encode([self._words(t) if JOINED not in t else [] for t in texts])
+        split = [self._words(t) if JOINED not in t else [] for t in texts]
+        long = [n for n, words in enumerate(split) if max(map(len, words), default=0) > WINDOW]
+        held = {n: split[n] for n in long}
+        for n in long:
+            split[n] = []
+        out = self.cache.encode(split)
+        for n, words in held.items():
+            out[n] = self._encode_mixed(words)
         for n, t in enumerate(texts):
             if JOINED in t:  # the mark itself is in the text: one word, past the cache
-                out[n] = self._encode_words([SPACE + t.replace(" ", SPACE)])[0]
+                out[n] = self._encode_long(SPACE + t.replace(" ", SPACE))
         return out
 
+    def _encode_mixed(self, words: list[str]) -> np.ndarray:
+        """Ids of a text with long words, which go past the cache."""
+        out, short = [], []
+        for w in words:
+            if len(w) > WINDOW:
+                out += [*self.cache.encode([short]), self._encode_long(_spelled(w))]
+                short = []
+            else:
+                short.append(w)
+        return np.concatenate([*out, *self.cache.encode([short])])
+
+    def _encode_long(self, text: str) -> np.ndarray:
+        """Ids of one word of any length, from overlapping windows joined at pieces that they share."""
+        step = WINDOW - OVERLAP
+        spans = [(a, min(a + WINDOW, len(text))) for a in range(0, max(len(text) - OVERLAP, 1), step)]
+        chains: dict[tuple[int, int], tuple[np.ndarray, ...]] = {}
+        moved = False
+        while True:
+            self._add_chains(text, [s for s in spans if s not in chains], chains)
+            joints = [_shared(chains[a], chains[b]) for a, b in zip(spans, spans[1:], strict=False)]
+            apart = [n for n, joint in enumerate(joints) if joint is None]
+            if not apart:
+                break
+            spans = _united(spans, apart) if moved else _moved(spans, apart, chains)
+            moved = True
+        ids, codes, first = [], [], 0
+        for span, joint in zip(spans, [*joints, None], strict=True):
+            _, _, piece, code = chains[span]
+            stop, after = joint or (len(piece), 0)
+            ids.append(piece[first:stop])
+            codes.append(code[first:stop])
+            first = after
+        return self._with_bytes(np.concatenate(ids), np.concatenate(codes))[0].astype(np.uint32)
+
+    def _add_chains(self, text: str, spans: list[tuple[int, int]], chains: dict) -> None:
+        """Pieces of each span of the text: where they begin and end, the pieces, their last characters."""
+        while spans:
+            take, chars = 0, 0
+            while take < len(spans) and (not take or chars + spans[take][1] - spans[take][0] <= INDEX_CHARS):
+                chars += spans[take][1] - spans[take][0]
+                take += 1
+            now, spans = spans[:take], spans[take:]
+            begins, ends, piece, codes, stops = self._chain([text[a:b] for a, b in now])
+            bounds = np.searchsorted(ends, stops, side="right").tolist()
+            starts = [0, *(stops[:-1] + 1).tolist()]
+            for (a, b), low, high, start in zip(now, [0, *bounds], bounds, starts, strict=False):
+                shift = a - start
+                chains[a, b] = begins[low:high] + shift, ends[low:high] + shift, piece[low:high], codes[low:high]
+
     def _learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids, sizes, part, chars = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)], [], 0
         for n, w in enumerate(words):
-            part.append(w[1:] if w[:1] == JOINED else SPACE + w.replace(" ", SPACE))
+            part.append(_spelled(w))
             chars += len(part[-1]) + 1
             if chars >= INDEX_CHARS or n == len(words) - 1:
                 found, counts = self._encode_words(part)
@@ -179,6 +246,14 @@ class PieceEncoder:
         return np.concatenate(ids), np.concatenate(sizes)
 
     def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words in a row and their counts."""
+        _, ends, piece, codes, stops = self._chain(words)
+        flat, width = self._with_bytes(piece, codes)
+        word = np.searchsorted(stops, ends)
+        return flat.astype(np.uint32), np.bincount(word, weights=width, minlength=len(stops)).astype(np.int64)
+
+    def _chain(self, words: list[str]) -> tuple[np.ndarray, ...]:
+        """Pieces of the words in a row: where they begin and end, the pieces, their last characters; and where words stop."""
         joined = "\0".join(words) + "\0"
         codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
         sizes = np.fromiter(map(len, words), np.int64, len(words))
@@ -202,7 +277,8 @@ class PieceEncoder:
         end = np.concatenate([begin[: len(size)] + size, lone + 1])
         piece = np.concatenate([piece, np.full(len(lone), self.vocabulary.size, np.int32)])
         last, previous = self._relax(begin, end, piece, starts, sizes, len(codes))
-        return self._read_back(last, previous, starts, stops, codes)
+        ends = _read_back(previous, starts, stops)
+        return previous[ends], ends, last[ends], codes[ends - 1], stops
 
     def _relax(self, begin: np.ndarray, end: np.ndarray, piece: np.ndarray, starts: np.ndarray, sizes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Last piece before each position and where it begins; all words advance together, by end position."""
@@ -248,19 +324,10 @@ class PieceEncoder:
             return v.merged(v.pieces[piece]) == [v.pieces[piece]]
         return v.merged(v.pieces[last] + v.pieces[piece]) == [v.pieces[last], v.pieces[piece]]
 
-    def _read_back(self, last: np.ndarray, previous: np.ndarray, starts: np.ndarray, stops: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the words in a row and their counts; characters outside the vocabulary as byte pieces."""
-        at = []
-        here = stops.copy()
-        live = np.flatnonzero(here > starts)
-        while len(live):
-            at.append(here[live])
-            here[live] = previous[here[live]]
-            live = live[here[live] > starts[live]]
-        ends = np.sort(np.concatenate(at)) if at else np.zeros(0, np.int64)
-        ids = last[ends]
+    def _with_bytes(self, ids: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids with characters outside the vocabulary as byte pieces, and the ids made of each."""
         outside = ids == self.vocabulary.size
-        code = np.where(outside, codes[ends - 1], 0).astype(np.int64)
+        code = np.where(outside, codes, 0).astype(np.int64)
         width = 1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000)
         flat = np.repeat(ids, width)
         first = np.cumsum(width) - width
@@ -269,8 +336,7 @@ class PieceEncoder:
             lead = np.array([0, 0, 0xC0, 0xE0, 0xF0])[width[some]] if k == 0 else 0x80
             bits = code[some] >> (6 * (width[some] - 1 - k)) & np.where(k == 0, 0xFF, 0x3F)
             flat[first[some] + k] = self.byte_ids[lead | bits]
-        word = np.searchsorted(stops, ends)
-        return flat.astype(np.uint32), np.bincount(word, weights=width, minlength=len(stops)).astype(np.int64)
+        return flat, width
 
     # ----------------------------------------------------------- decoding
 
@@ -292,6 +358,59 @@ class PieceEncoder:
         return text[1:] if text.startswith(" ") else text
 
 
+def _spelled(word: str) -> str:
+    """A word of ``_words`` with its leading space, if it has one, as the vocabulary spells it."""
+    return word[1:] if word[:1] == JOINED else SPACE + word.replace(" ", SPACE)
+
+
+def _read_back(previous: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """Ends of the words' pieces, in order."""
+    at = []
+    here = stops.copy()
+    live = np.flatnonzero(here > starts)
+    while len(live):
+        at.append(here[live])
+        here[live] = previous[here[live]]
+        live = live[here[live] > starts[live]]
+    return np.sort(np.concatenate(at)) if at else np.zeros(0, np.int64)
+
+
+def _shared(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...]) -> tuple[int, int] | None:
+    """``(pieces of a, pieces of b)`` up to the end of the first piece that both chains have at one place; None without one."""
+    low = int(np.searchsorted(a[0], b[0][0]))
+    high = int(np.searchsorted(b[1], a[1][-1], side="right"))
+    in_b = {(begin, end): n for n, (begin, end) in enumerate(zip(b[0][:high].tolist(), b[1][:high].tolist(), strict=True))}
+    for n, place in enumerate(zip(a[0][low:].tolist(), a[1][low:].tolist(), strict=True), low):
+        if place in in_b:
+            return n + 1, in_b[place] + 1
+    return None
+
+
+def _moved(spans: list[tuple[int, int]], apart: list[int], chains: dict) -> list[tuple[int, int]]:
+    """Spans after a joint that failed begin later, by what the first of them lacks to the next piece of the chain before it."""
+    failed, out, by = set(apart), [spans[0]], 0
+    for n, (begin, end) in enumerate(spans[1:]):
+        if n in failed:
+            begins = chains[spans[n]][0]
+            at = int(np.searchsorted(begins, begin))
+            by = int(begins[at]) - begin if at < len(begins) else 0
+        out.append((begin + by, end))
+    return out
+
+
+def _united(spans: list[tuple[int, int]], apart: list[int]) -> list[tuple[int, int]]:
+    """A span with a failed joint takes in those after it, at least as much again as it is long, so that few rounds follow."""
+    failed, out, n = set(apart), [], 0
+    while n < len(spans):
+        begin, end = spans[n]
+        last = n
+        while last in failed or n in failed and last + 1 < len(spans) and spans[last][1] - begin < 2 * (end - begin):
+            last += 1
+        out.append((begin, spans[last][1]))
+        n = last + 1
+    return out
+
+
 def _utf8(data: bytes) -> str:
     """UTF-8 text; a byte that starts no valid character becomes one replacement character."""
     try:

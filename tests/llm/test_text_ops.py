@@ -322,6 +322,27 @@ def test_pieces_of_any_text(piece_encoder, reference_model, text):
     assert piece_encoder.decode(ids) == text.replace("▁", " ")
 
 
+def test_long_texts_without_spaces(piece_encoder, reference_model, monkeypatch):
+    rng = np.random.default_rng(11)
+    letters = "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 5000))
+    signs = "".join(chr(c) for c in rng.integers(0x4E00, 0x9FFF, 3000))
+    texts = [letters, signs, "=" * 2500, "ab" * 1300, "a b " + letters[:2000] + " c, d." + signs[:1500] + " e", "x\x02" + letters[:3000], "😀é" * 900, "the" * 700 + "=" * 900 + letters]
+    assert [x.tolist() for x in piece_encoder.encode(texts)] == [reference_model.encode(t) for t in texts]
+    # Small windows: many joints, also ones that share no piece and are encoded again as one.
+    monkeypatch.setattr(pieces, "WINDOW", 20)
+    monkeypatch.setattr(pieces, "OVERLAP", 6)
+    assert [x.tolist() for x in piece_encoder.encode(texts)] == [reference_model.encode(t) for t in texts]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text("abcdeth=-.,é日😀", min_size=21, max_size=300))
+def test_joined_windows_of_any_text(piece_encoder, reference_model, text):
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(pieces, "WINDOW", 20)
+        patch.setattr(pieces, "OVERLAP", 6)
+        assert piece_encoder.encode([text])[0].tolist() == reference_model.encode(text)
+
+
 def test_suffix_ranges_equal_counting():
     text = "banana bandana"
     codes = np.array([ord(c) for c in text], np.uint32)
