@@ -11,7 +11,9 @@ others are probed only for vectors that are still competitive.  Every block
 (shard) keeps its own top k of each query; the shards' lists are merged last.
 
 The work is a grid: candidate shards x query blocks.  Each cell holds a
-bounded number of rows whatever the table's size.
+bounded number of rows whatever the table's size.  One shard is searched
+first: a query's k-th best score there is a bar that its k best of all rows
+reach, and every other cell starts from it.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from dimetl.llm.common import materialise
 
 K = 10
 SHARD_ROWS = 8192
-QUERY_ROWS = 4096
+QUERY_ROWS = 16384
 TILE = 1024
 #: Float products are exact while every partial sum stays under 2**53.
 _EXACT = 2.0**53
@@ -80,18 +82,24 @@ def split_terms(spare: np.ndarray, slack: float) -> tuple[np.ndarray, np.ndarray
     return order[weak:], order[:weak]
 
 
-def search_block(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, v: np.ndarray, k: int, tile: int = TILE) -> list[tuple[int, int, int]]:
-    """``(query id, id, score)``: the k best other rows of a shard for each query, ties to smaller ids."""
+def search_block(
+    q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, v: np.ndarray, k: int, tile: int = TILE, bars: np.ndarray | None = None
+) -> list[tuple[int, int, int]]:
+    """``(query id, id, score)``: the k best other rows of a shard for each query, ties to smaller ids.
+
+    Rows with a score under the query's bar may be left out; without bars none are.
+    """
+    bars = np.full(len(q), -np.inf) if bars is None else bars
     by_id = np.argsort(ids, kind="stable")
     ids, v = ids[by_id], v[by_id]
     out = []
     tiles = [(ids[i : i + tile], v[i : i + tile], v[i : i + tile].min(0), v[i : i + tile].max(0)) for i in range(0, len(ids), tile)]
-    for q_id, x in zip(q_ids.tolist(), q, strict=True):
+    for q_id, x, least in zip(q_ids.tolist(), q, bars.tolist(), strict=True):
         best_ids, best = np.empty(0, np.int64), np.empty(0)
         for t_ids, t, lo, hi in tiles:
             low, high = np.minimum(x * lo, x * hi), np.maximum(x * lo, x * hi)
             floor_sum, spare = low.sum(), high - low
-            bar = best[-1] if len(best) == k else -np.inf
+            bar = max(best[-1], least) if len(best) == k else least
             if floor_sum + spare.sum() < bar:
                 continue
             essential, weak = split_terms(spare, bar - floor_sum)
@@ -140,7 +148,10 @@ def _cell(k: int):
         q_small, v_small = np.abs(q).max(1, initial=0) < most, np.abs(v).max(1, initial=0) < most
         rows = []
         if q_small.any() and v_small.any():
-            rows += search_block(q_ids[q_small], q[q_small], ids[v_small], v[v_small], k)
+            bars = queries["bar"].to_numpy(np.float64, na_value=-np.inf)
+            # A bar too large for a float to hold is rounded; one step lower it is a bar still.
+            bars = np.where(np.abs(bars) < _EXACT, bars, np.nextafter(bars, -np.inf))
+            rows += search_block(q_ids[q_small], q[q_small], ids[v_small], v[v_small], k, bars=bars[q_small])
         rows += search_wide(q_ids[q_small], q[q_small], ids[~v_small], v[~v_small], k)
         rows += search_wide(q_ids[~q_small], q[~q_small], ids, v, k)
         return pd.DataFrame(rows, columns=columns).astype("int64")
@@ -148,6 +159,17 @@ def _cell(k: int):
     return run
 
 
+def _search(asked: DataFrame, dealt: DataFrame, blocks: int, first: int, last: int, k: int) -> DataFrame:
+    """``query_id, vec_id, score``: the k best of every cell of the shards ``first`` to ``last`` and the query blocks."""
+    cells = dealt.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(first), F.lit(last))))
+    return (
+        asked.groupBy("shard", "block")
+        .cogroup(cells.groupBy("shard", "block"))
+        .applyInPandas(_cell(k), "query_id long, vec_id long, score long")
+    )
+
+
 def top_k(
     queries: DataFrame, vectors: DataFrame, k: int = K, shard_rows: int = SHARD_ROWS, query_rows: int = QUERY_ROWS
 ) -> DataFrame:
@@ -156,24 +178,25 @@ def top_k(
     Both frames are ``id, v`` as ``integer_vectors`` returns them.  A query's
     own id is no candidate; ties go to the smaller id; fewer than k rows come
     back where fewer candidates exist, none on empty tables.  Queries that
-    repeat an id rank once, repeated candidate rows rank as rows.
+    repeat an id rank once, by the smallest of their vectors; repeated candidate
+    rows rank as rows.
     """
-    vectors, queries = materialise(vectors, "maxscore-vectors"), materialise(queries.dropDuplicates(["id"]), "maxscore-queries")
-    shards, blocks = -(-vectors.count() // shard_rows) or 1, -(-queries.count() // query_rows) or 1
+    # Of vectors that share a query's id the smallest asks, so that a task that runs again asks alike.
+    once = queries.groupBy("id").agg(F.min("v").alias("v"))
+    # The written row numbers deal repeated ids alike in both searches, however their scans are split.
+    vectors = materialise(vectors.select("id", "v", F.monotonically_increasing_id().alias("n")), "maxscore-vectors")
+    asked = materialise(once, "maxscore-queries")
+    shards, blocks = -(-vectors.count() // shard_rows) or 1, -(-asked.count() // query_rows) or 1
     # Row numbers by hash spread any order of the input; every shard has every range of ids and scores.
-    cells = vectors.withColumns(
-        {"shard": F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(shards)).cast("int"),
-         "block": F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))}
-    )
-    asked = queries.withColumns(
-        {"block": F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"),
-         "shard": F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))}
-    )
-    found = (
-        asked.groupBy("shard", "block")
-        .cogroup(cells.groupBy("shard", "block"))
-        .applyInPandas(_cell(k), "query_id long, vec_id long, score long")
-    )
+    dealt = vectors.select("id", "v", F.pmod(F.xxhash64("id", "n"), F.lit(shards)).cast("int").alias("shard"))
+    asked = asked.withColumns({"block": F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"), "bar": F.lit(None).cast("double")})
+    found = _search(asked, dealt.filter(F.col("shard") == 0), blocks, 0, 0, k)
+    if shards > 1:
+        found = materialise(found, "maxscore-sample")
+        reached = found.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").cast("double").alias("least"))
+        bars = reached.select(F.col("query_id").alias("id"), F.when(F.col("n") >= k, F.col("least")).alias("bar"))
+        barred = materialise(asked.drop("bar").join(bars, "id", "left"), "maxscore-bars")
+        found = found.unionByName(_search(barred, dealt.filter(F.col("shard") > 0), blocks, 1, shards - 1, k))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -68,6 +68,25 @@ def test_blocks_with_small_tiles_are_exact(n, width, seed):
     assert [tuple(map(int, g)) for g in got] == want
 
 
+def test_bars_leave_out_only_lower_scores():
+    rng = np.random.default_rng(8)
+    v = rng.integers(-3, 4, (400, 5)).astype(float)
+    ids = rng.permutation(400)
+    free = maxscore.search_block(ids[:20], v[:20], ids, v, 6, tile=50)
+    bars = np.array([min(s for q, _, s in free if q == i) for i in ids[:20].tolist()], float)
+    assert maxscore.search_block(ids[:20], v[:20], ids, v, 6, tile=50, bars=bars) == free
+    assert maxscore.search_block(ids[:20], v[:20], ids, v, 6, tile=50, bars=np.full(20, 1e9)) == []
+
+
+def test_repeated_query_ids_and_equal_rows_over_shards(spark):
+    """The smallest of a repeated id's vectors asks; repeated rows rank as rows, in every shard."""
+    rows = [(0, [1.0, 2.0]), (0, [3.0, -1.0]), *[(7, [2.0, 2.0])] * 25, *((i, [i / 8, -i / 16]) for i in range(20, 60))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    vectors = maxscore.integer_vectors(df, "vec_id", "embedding")
+    got = maxscore.top_k(vectors.filter(F.col("id") % 10 == 0), vectors, shard_rows=9, query_rows=2)
+    assert sorted(tuple(r) for r in got.collect()) == brute_top(rows, 10, lambda i: i % 10 == 0)
+
+
 def test_weak_dimensions_cannot_lift_a_vector():
     essential, weak = maxscore.split_terms(np.array([5.0, 1.0, 3.0, 1.0]), 4.5)
     assert set(weak) == {1, 3} and set(essential) == {0, 2}
