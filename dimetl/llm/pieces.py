@@ -48,6 +48,8 @@ JOINED = "\x02"
 #: Letters and signs between which texts are cut where the vocabulary never joins them.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _SIGNS = "\n.,!?;:*%&$#|()\"'-_/=+"
+#: Rank of two parts that are no piece together.
+NO_MERGE = float("-inf")
 #: Slots of the table of pairs of pieces known to fit or not.
 PAIR_SLOTS = 1 << 21
 
@@ -80,23 +82,23 @@ class Vocabulary:
         joined = {p[i : i + 2] for p in self.id_of for i in range(len(p) - 1)}
         letter = re.compile(f"[{_LETTERS}]")
         apart = [c for c in _SIGNS if not any(j[1] == c and letter.match(j[0]) for j in joined)]
-        cuts = [f"(?<=[{_LETTERS}])(?=[{re.escape(''.join(apart))}])"] if apart else []
-        cuts += [] if any("\n" in p for p in self.id_of) else [r"(?<=\n)(?=[^ ])"]
-        #: Places inside a text that no merge crosses, besides the spaces.
-        self.cuts = re.compile("|".join(cuts) or "(?!)")
+        signs = f"[{re.escape(''.join(apart))}]" if apart else "(?!)"
+        #: Places inside a text that no merge crosses, besides the spaces: before a sign behind a letter, behind a line end.
+        self.sign_cut = re.compile(f"{signs}(?<=[{_LETTERS}]{signs})" if apart else signs)
+        self.line_cut = re.compile("(?!)" if any("\n" in p for p in self.id_of) else r"\n(?=[^ ])")
 
     def merged(self, text: str) -> list[str]:
         """Encoding by merges: the best-ranked adjacent pair first, the leftmost of equals."""
-        parts = list(text)
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                rank = self.rank.get(parts[i] + parts[i + 1])
-                if rank is not None and (best is None or rank > best):
-                    best, at = rank, i
-            if at < 0:
-                return parts
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        rank, parts = self.rank, list(text)
+        ranks = [rank.get(a + b, NO_MERGE) for a, b in zip(parts, parts[1:], strict=False)]
+        while ranks and (best := max(ranks)) != NO_MERGE:
+            i = ranks.index(best)
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del ranks[i]
+            if i < len(ranks):
+                ranks[i] = rank.get(parts[i] + parts[i + 1], NO_MERGE)
+            if i:
+                ranks[i - 1] = rank.get(parts[i - 1] + parts[i], NO_MERGE)
         return parts
 
 
@@ -168,7 +170,8 @@ class PieceEncoder:
             return [text]
         if "  " in text or text[0] == " " or text[-1] == " ":
             return [w[1:] for w in re.findall(" +[^ ]+| +", " " + text)]
-        return self.vocabulary.cuts.sub(" " + JOINED, text).split(" ")
+        text = self.vocabulary.sign_cut.sub(rf" {JOINED}\g<0>", text)
+        return self.vocabulary.line_cut.sub(rf"\g<0> {JOINED}", text).split(" ")
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [self._words(t) if JOINED not in t else [] for t in texts]
