@@ -5,7 +5,8 @@ space between certain letters (``BOUNDARY``, rare enough to skip most word
 ends) that follows ``min_chunk`` characters, and after ``max_chunk`` characters
 at the latest, so a boundary depends on nearby content only and chunks fall
 into step again behind an insertion.  A chunk's identifier is its 64-bit hash; the identifiers of a
-document, in order, are its recipe.
+document, in order, are its recipe.  Other scripts are cut at the ends of their
+clauses; unspaced text without any such sign only by length.
 
 The identifiers are *verified*: all chunks are reduced to distinct
 ``(hash, chunk)`` pairs (map-side first, so a chunk that a third of the rows
@@ -24,8 +25,14 @@ from dimetl.llm.common import OWN, id_col, materialise, text_or_empty
 
 MIN_CHUNK = 64
 MAX_CHUNK = 4096
-#: Where a chunk may end: one word end in some forty, by the letters around the white space.
-BOUNDARY = r"[dgy][.,]?\s(?=[b-hB-H])"
+#: Where a chunk may end: one word end in some forty, by the letters around the white space; in other scripts (from U+0370
+#: on) after a sign and white space between two such letters, or after a sign of unspaced scripts. One character class leads
+#: all forms, so that most places are told by a single test.
+BOUNDARY = (
+    r"[dgy\u0370-\uFFFF](?:[.,]?\s(?=[b-hB-H])"
+    r"|(?:[.,!?;:\u060C\u061B\u061F\u06D4]|(?<=\u0964))\s(?=[\u0370-\uFFFF])"
+    r"|(?<=[\u3001\u3002\uFF01\uFF0C\uFF1A\uFF1B\uFF1F]))"
+)
 
 
 def chunks_of(text: Column, min_chunk: int = MIN_CHUNK, max_chunk: int = MAX_CHUNK) -> Column:
@@ -39,12 +46,15 @@ def chunk_hash(chunk: Column, bits: int = 64) -> Column:
     return h if bits >= 64 else F.pmod(h, F.lit(1 << bits))
 
 
-def _same_hash_ordinals(chunks: DataFrame) -> DataFrame:
-    """``(h, chunk, ordinal)`` of the hashes that more than one chunk shares."""
-    dictionary = chunks.distinct()
-    shared = dictionary.groupBy("h").count().filter("count > 1").select("h")
+def _shared_hashes(chunks: DataFrame) -> DataFrame:
+    """The hashes ``h`` that more than one chunk has, told over all chunks; only hashes move after the chunks' own shuffle."""
+    return chunks.distinct().groupBy("h").count().filter("count > 1").select("h")
+
+
+def _ordinals(chunks: DataFrame, shared: DataFrame) -> DataFrame:
+    """``(h, chunk, ordinal)`` of the chunks whose hash is among ``shared``."""
     order = Window.partitionBy("h").orderBy("chunk")
-    return dictionary.join(shared, "h", "left_semi").withColumn("ordinal", F.row_number().over(order))
+    return chunks.join(shared, "h").distinct().withColumn("ordinal", F.row_number().over(order))
 
 
 def exact_dedup(
@@ -79,10 +89,11 @@ def exact_dedup(
     )
 
     pieces = cut.select(F.explode("chunks").alias("chunk")).select(chunk_hash(F.col("chunk"), hash_bits).alias("h"), "chunk")
-    shared = materialise(_same_hash_ordinals(pieces), "dedup-shared-hashes")
-    if shared.isEmpty():
+    hashes = materialise(_shared_hashes(pieces), "dedup-shared-hashes")
+    if hashes.isEmpty():
         recipes = recipes.withColumn("ordinals", F.array().cast("array<struct<pos:int,ordinal:int>>"))
     else:
+        shared = materialise(_ordinals(pieces, hashes), "dedup-ordinals")
         used = (
             cut.select("doc_id", F.sha2("text", 256).alias("text_sha256"), F.posexplode("chunks").alias("pos", "chunk"))
             .withColumn("h", chunk_hash(F.col("chunk"), hash_bits))

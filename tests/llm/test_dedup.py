@@ -78,6 +78,17 @@ def test_chunks_join_to_the_text_and_follow_content(spark):
     assert len(set(cut[0]) & set(cut[1])) >= len(cut[0]) - 5 > 50
 
 
+@pytest.mark.parametrize("letters, end, space", [("абвгдежзиклмн", ", ", " "), ("αβγδεζηθ", ". ", " "), ("语言模型数据处理", "。", ""), ("कखगघचछज", "। ", " ")])
+def test_chunks_of_other_scripts_fall_into_step(spark, letters, end, space):
+    rng = np.random.default_rng(2)
+    clauses = [space.join("".join(rng.choice(list(letters), rng.integers(2, 8))) for _ in range(8)) for _ in range(400)]
+    text = end.join(clauses)
+    rows = spark.createDataFrame([(text,), (letters + end + text,)], "text string")
+    cut = [r.c for r in rows.select(exact_dedup.chunks_of(F.col("text")).alias("c")).collect()]
+    assert ["".join(c) for c in cut] == [r.text for r in rows.collect()]
+    assert len(set(cut[0]) & set(cut[1])) >= len(cut[0]) - 5 > 50
+
+
 # --------------------------------------------------------------- SimHash
 
 def brute_fingerprint(text):
