@@ -19,6 +19,8 @@ Zones that are never the article (menus, forms, adverts, comments, ...) are
 told by element and by name, since their text may vary as well; a name counts
 only for a block that the host's template has on a share of its pages, and a
 compound class only if the block holds the lesser part of the host's text.
+Whatever their names, blocks of the template that stand beside the container of
+most of the host's text and hold little but links are lists of other pages.
 """
 
 from __future__ import annotations
@@ -69,6 +71,8 @@ _UNNAMED = frozenset("h1 h2 h3 h4 h5 h6 p pre blockquote figcaption caption li d
 _MAIN = frozenset(("article", "main"))
 #: Words that a compound class of reader comments begins or ends with, also inside an article.
 _COMMENT_WORDS = frozenset(("comment", "comments"))
+#: A block beside the content with so many links that hold so much of its text is a list of other pages.
+LINKS, LINK_SHARE = 3, 0.75
 #: Words before a zone's name that say what a block has, not what it is, as in ``with-sidebar``.
 _HAVING_WORDS = frozenset("has have with without no non not".split())
 
@@ -113,6 +117,27 @@ def _holds_main(node: Node) -> bool:
     return any(not isinstance(c, str) and (c.tag in _MAIN or _holds_main(c)) for c in node.children)
 
 
+def _link_list(node: Node) -> bool:
+    """Whether links hold nearly all of an element's text."""
+    links, linked, chars, todo = 0, 0, 0, [(node, False)]
+    while todo:
+        at, inside = todo.pop()
+        if isinstance(at, str):
+            n = len(_plain([at]))
+            chars += n
+            linked += n * inside
+        elif not _never_text(at):
+            links += at.tag == "a"
+            todo += [(c, inside or at.tag == "a") for c in at.children]
+    return links >= LINKS and linked >= LINK_SHARE * chars
+
+
+def _holds_content(node: Node, roles: list) -> bool:
+    """Whether one container below holds most of the host's text, so that the others stand beside it."""
+    labels = dict.fromkeys(c.label for c in node.children if not isinstance(c, str))
+    return any(own[0][1] and not own[0][2] and label.split(".")[0] not in _UNNAMED for label, own in zip(labels, roles[1], strict=False))
+
+
 # --------------------------------------------------------------- shapes and templates
 
 #: A shape or template node: [label, pages, text signature (None: no text, -1: varying), characters, children, texts].
@@ -311,9 +336,10 @@ def _aligned(wrapper: list, shape: list) -> list:
 
 # --------------------------------------------------------------- text
 
-def _collect(node: Node, roles: list, runs: list[tuple[list[str], frozenset]], constant: frozenset, in_article: bool, wrapped: bool) -> None:
+def _collect(node: Node, roles: list, runs: list[tuple[list[str], frozenset]], constant: frozenset, in_article: bool, wrapped: bool, in_content: bool = False) -> None:
     """Runs of text of a node's blocks without noise, each with the constant texts of its block."""
     in_article = in_article or node.tag == "article"
+    in_content = in_content or in_article or not _holds_content(node, roles)
     place: dict[str, int] = {}
     # Without a wrapper there is no template to ask, and names count by themselves.
     blank = [_BLANK if wrapped else (frozenset(), True, False), []]
@@ -328,8 +354,10 @@ def _collect(node: Node, roles: list, runs: list[tuple[list[str], frozenset]], c
             runs.append(([], own[0][0]))
         elif child.tag in ("br", "td", "th"):
             runs[-1][0].append(" ")
-        if not child.hidden and not is_noise(child.tag, child.names, in_article, partial(_holds_main, child), own[0][1], child.classes, own[0][2]):
-            _collect(child, own, runs, own[0][0] if block else constant, in_article, wrapped)
+        noise = child.hidden or is_noise(child.tag, child.names, in_article, partial(_holds_main, child), own[0][1], child.classes, own[0][2])
+        beside = not in_content and block and child.tag not in _UNNAMED and own[0][1] and own[0][2]
+        if not noise and not (beside and not _holds_main(child) and _link_list(child)):
+            _collect(child, own, runs, own[0][0] if block else constant, in_article, wrapped, in_content or beside)
         if block:
             runs.append(([], constant))
 
