@@ -72,8 +72,13 @@ def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _nullif_empty(c: Column) -> Column:
-    return F.when(c == "", F.lit(None).cast("string")).otherwise(c)
+    return _let(c, lambda v: F.when(v == "", F.lit(None).cast("string")).otherwise(v))
 
 
 #: Named references: the standard names of HTML 4 and the apostrophe.
@@ -105,7 +110,7 @@ def decode_references(c: Column) -> Column:
 
 def inner_text(c: Column) -> Column:
     """Text of a piece of HTML: markup removed, references decoded, trimmed; empty gives NULL."""
-    return _nullif_empty(F.trim(decode_references(F.regexp_replace(c, r"<[^>]*>", ""))))
+    return _let(F.regexp_replace(c, r"<[^>]*>", ""), lambda v: _nullif_empty(F.trim(decode_references(v))))
 
 
 # ------------------------------------------------------------------ tokens
@@ -138,41 +143,75 @@ def tokens(html: str | Column) -> Column:
     )
 
 
-def _tokens_of(page: str | Column | Tokens) -> Column:
-    return page.column if isinstance(page, Tokens) else tokens(page)
+def _in_tokens(page: str | Column | Tokens, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a page's tokens; a page that is not split yet is split once, however often ``body`` names them."""
+    return body(page.column) if isinstance(page, Tokens) else _let(tokens(page), body)
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once."""
-    return F.element_at(F.transform(F.array(value), body), 1)
+def _marks(toks: Column, hit: Callable[[Column], Column]) -> Column:
+    """Every token's place, name, direction and whether it is ``hit``: the texts need not be moved to look for places."""
+    return F.transform(toks, lambda t, i: F.struct((i + 1).alias("at"), t["name"].alias("name"), t["closing"].alias("closing"), hit(t).alias("hit")))
 
 
-def _end_of(toks: Column, start: Column, name: Column) -> Column:
-    """Place of the end tag of the element that starts at ``start``; 0 if it has none."""
+def _end_of(tags: Column, start: Column) -> Column:
+    """Place of the end tag of the element that starts at the mark ``start``; 0 if it has none."""
 
     def step(s: Column, t: Column) -> Column:
-        same = (s["end"] == 0) & (t["name"] == name)
-        ends = same & t["closing"] & (s["depth"] == 1)
-        depth = s["depth"] + F.when(same, F.when(t["closing"], -1).otherwise(1)).otherwise(0)
-        return F.struct(depth.alias("depth"), (s["at"] + 1).alias("at"), F.when(ends, s["at"] + 1).otherwise(s["end"]).alias("end"))
+        moved = F.struct((s["depth"] + F.when(t["closing"], -1).otherwise(1)).alias("depth"), F.lit(0).alias("end"))
+        ended = F.struct(F.lit(0).alias("depth"), t["at"].alias("end"))
+        return F.when(s["end"] > 0, s).when(t["closing"] & (s["depth"] == 1), ended).otherwise(moved)
+
+    like = F.filter(tags, lambda t: (t["at"] > start["at"]) & (t["name"] == start["name"]))
+    return F.aggregate(like, F.struct(F.lit(1).alias("depth"), F.lit(0).alias("end")), step)["end"]
 
-    begin = F.struct(F.lit(1).alias("depth"), start.cast("int").alias("at"), F.lit(0).alias("end"))
-    return F.aggregate(F.slice(toks, start + 1, F.size(toks)), begin, step)["end"]
+
+def _inside(toks: Column, tags: Column, start: Column) -> Column:
+    """Tokens inside the element that starts at the mark ``start``; NULL without a start, or if it never ends."""
+    found = _let(_end_of(tags, start), lambda end: F.when(end > 0, F.slice(toks, start["at"] + 1, end - start["at"] - 1)))
+    return F.when(start.isNotNull(), found)
 
 
 def element_tokens(toks: Column, wanted: Callable[[Column], Column]) -> Column:
-    """Tokens inside the first element whose start tag is ``wanted``; NULL if there is none or it never ends."""
-    first = F.array_position(F.transform(toks, lambda t: ~t["closing"] & wanted(t)), True)
-    return _let(
-        first,
-        lambda i: F.when(
-            i > 0,
-            _let(
-                F.struct(i.alias("i"), _end_of(toks, i, F.element_at(toks, i.cast("int"))["name"]).alias("end")),
-                lambda p: F.when(p["end"] > 0, F.slice(toks, p["i"] + 1, p["end"] - p["i"] - 1)),
-            ),
-        ),
-    )
+    """Tokens inside the first element whose start tag is ``wanted``; NULL if there is none or it never ends.
+
+    ``toks`` is a column or a value bound by ``_let``: it is named more than once.
+    """
+
+    def found(marks: Column) -> Column:
+        return _let(F.try_element_at(F.filter(marks, lambda m: m["hit"]), F.lit(1)), lambda start: _inside(toks, marks, start))
+
+    return _let(_marks(toks, lambda t: ~t["closing"] & wanted(t)), found)
+
+
+def _element_tokens_each(toks: Column, specs: Sequence[tuple[str, str]], body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``element_tokens`` for every ``(name, pattern)`` of a start tag (any name if empty), as an array in their order.
+
+    The page is gone through once for the start tags that fit any pattern; each
+    pattern is then tried on these alone, and ends are looked for among the tags.
+    """
+    names, either = sorted({name for name, _ in specs}), "|".join(pattern for _, pattern in specs)
+
+    def hit(t: Column) -> Column:
+        fits = ~t["closing"] & F.rlike(t["raw"], F.lit(either))
+        return fits if "" in names else t["name"].isin(names) & fits
+
+    def fitting(m: Column) -> Column:
+        raw = F.element_at(toks, m["at"])["raw"]
+        fits = [F.rlike(raw, F.lit(pattern)) if name == "" else (m["name"] == name) & F.rlike(raw, F.lit(pattern)) for name, pattern in specs]
+        return F.struct(m["at"].alias("at"), m["name"].alias("name"), F.array(*fits).alias("fits"))
+
+    def each(p: Column) -> Column:
+        def one(n: Column) -> Column:
+            start = F.try_element_at(F.filter(p["starts"], lambda c: F.element_at(c["fits"], n)), F.lit(1))
+            return _let(start, lambda at: _let(_inside(toks, p["tags"], at), body))
+
+        return F.transform(F.array(*[F.lit(n + 1) for n in range(len(specs))]), one)
+
+    def places(marks: Column) -> Column:
+        starts = F.transform(F.filter(marks, lambda m: m["hit"]), fitting)
+        return _let(F.struct(F.filter(marks, lambda m: m["name"] != "").alias("tags"), starts.alias("starts")), each)
+
+    return _let(_marks(toks, hit), places)
 
 
 def start_tag(toks: Column, wanted: Callable[[Column], Column]) -> Column:
@@ -190,32 +229,36 @@ def item_tokens(block: Column) -> Column:
 
     An item ends at its end tag, at the next item or at the end of its list.
     """
-    names = F.transform(F.filter(block, lambda t: ~t["closing"] & t["name"].isin("ul", "ol", "li")), lambda t: t["name"])
-    # Inside a list the items stand at depth 0, in a block around lists at depth 1.
-    level = F.when(F.try_element_at(names, F.lit(1)) == "li", 0).otherwise(1)
+
+    def first_level(marks: Column) -> Column:
+        # Inside a list the items stand at depth 0, in a block around lists at depth 1.
+        first = F.try_element_at(F.filter(marks, lambda t: ~t["closing"]), F.lit(1))
+        return F.when(first["name"] == "li", 0).otherwise(1)
 
     def step(s: Column, t: Column) -> Column:
-        at, is_list = s["at"] + 1, t["name"].isin("ul", "ol")
+        at, is_list = t["at"], t["name"].isin("ul", "ol")
         own = (t["name"] == "li") & (s["depth"] == s["level"])
         over = own | (is_list & t["closing"] & (s["depth"] == s["level"]))
-        ended = F.when(over & (s["begin"] > 0), F.array(F.struct(s["begin"].alias("a"), at.alias("b"))))
+        ended = F.array(F.struct(s["begin"].alias("a"), at.alias("b")))
         return F.struct(
-            at.alias("at"),
             s["level"].alias("level"),
             (s["depth"] + F.when(is_list, F.when(t["closing"], -1).otherwise(1)).otherwise(0)).alias("depth"),
             F.when(over, F.when(t["closing"], 0).otherwise(at)).otherwise(s["begin"]).alias("begin"),
-            F.when(ended.isNull(), s["items"]).otherwise(F.concat(s["items"], ended)).alias("items"),
+            F.when(over & (s["begin"] > 0), F.concat(s["items"], ended)).otherwise(s["items"]).alias("items"),
         )
 
     nothing = F.array().cast("array<struct<a:int,b:int>>")
-    begin = F.struct(F.lit(0).alias("at"), level.alias("level"), F.lit(0).alias("depth"), F.lit(0).alias("begin"), nothing.alias("items"))
+
+    def places(marks: Column) -> Column:
+        begin = F.struct(first_level(marks).alias("level"), F.lit(0).alias("depth"), F.lit(0).alias("begin"), nothing.alias("items"))
+        return F.aggregate(marks, begin, step, finish)
 
     def finish(s: Column) -> Column:
-        last = F.array(F.struct(s["begin"].alias("a"), (s["at"] + 1).alias("b")))
+        last = F.array(F.struct(s["begin"].alias("a"), (F.size(block) + 1).alias("b")))
         return F.when(s["begin"] > 0, F.concat(s["items"], last)).otherwise(s["items"])
 
-    places = F.aggregate(block, begin, step, finish)
-    return F.transform(places, lambda p: F.slice(block, p["a"] + 1, p["b"] - p["a"] - 1))
+    marks = F.filter(_marks(block, lambda t: t["name"].isin("ul", "ol", "li")), lambda m: m["hit"])
+    return F.transform(_let(marks, places), lambda p: F.slice(block, p["a"] + 1, p["b"] - p["a"] - 1))
 
 
 def _with_attribute(tag: str, attr: str, value: str) -> str:
@@ -244,20 +287,10 @@ def _classed(tag: str, word: str) -> Callable[[Column], Column]:
     return lambda t: (t["name"] == tag) & t["raw"].rlike(pattern)
 
 
-def _lookups(specs: Sequence[tuple[str, str]]) -> Column:
-    """Wanted start tags as data, ``array<struct<name, pattern>>``: the plan holds one lookup however many there are."""
-    return F.array(*[F.struct(F.lit(name).alias("name"), F.lit(pattern).alias("pattern")) for name, pattern in specs])
-
-
-def _wanted(w: Column) -> Callable[[Column], Column]:
-    return lambda t: ((t["name"] == w["name"]) | (w["name"] == "")) & F.rlike(t["raw"], w["pattern"])
-
-
 def element_texts(page: str | Column | Tokens, specs: Sequence[tuple[str, str | None, str | None]]) -> Column:
     """Texts of the first ``<tag>`` whose ``attr`` is ``value`` (any ``<tag>`` without ``attr``), as an array in the order of ``specs``."""
-    toks = _tokens_of(page)
-    wanted = _lookups([(tag, _with_attribute(tag, attr, value) if attr else f"<{tag}") for tag, attr, value in specs])
-    return F.transform(wanted, lambda w: text_of(element_tokens(toks, _wanted(w))))
+    wanted = [(tag, _with_attribute(tag, attr, value) if attr else f"<{tag}") for tag, attr, value in specs]
+    return _in_tokens(page, lambda toks: _element_tokens_each(toks, wanted, text_of))
 
 
 #: The three lists of a page: tag (any if empty) and class of the block around them.
@@ -266,9 +299,8 @@ DETAILS, ICONS, TAGS = ("ul", "caret-list"), ("", "bloco-caracteristicas"), ("ul
 
 def block_items(page: str | Column | Tokens, blocks: Sequence[tuple[str, str]] = (DETAILS, ICONS, TAGS)) -> Column:
     """Tokens of the items of the first block of each kind, as an array in the order of ``blocks``; NULL for a block that is not there."""
-    toks = _tokens_of(page)
-    wanted = _lookups([(tag, _with_class(tag or "[A-Za-z0-9]+", word)) for tag, word in blocks])
-    return F.transform(wanted, lambda w: _let(element_tokens(toks, _wanted(w)), item_tokens))
+    wanted = [(tag, _with_class(tag or "[A-Za-z0-9]+", word)) for tag, word in blocks]
+    return _in_tokens(page, lambda toks: _element_tokens_each(toks, wanted, item_tokens))
 
 
 def element_text(page: str | Column | Tokens, tag: str, attr: str, value: str) -> Column:
@@ -288,7 +320,7 @@ def element_map(page: str | Column | Tokens, mapping: dict[str, tuple[str, str,
 
 
 def meta_content(page: str | Column | Tokens, prop: str) -> Column:
-    return attribute(start_tag(_tokens_of(page), _is("meta", "property", prop)), "content")
+    return attribute(_in_tokens(page, lambda toks: start_tag(toks, _is("meta", "property", prop))), "content")
 
 
 def meta_map(page: str | Column | Tokens, mapping: dict[str, str] | None = None) -> list[Column]:
@@ -323,8 +355,12 @@ def label_value(found: Column, label: str) -> Column:
 
 
 def label_values(page: str | Column | Tokens) -> list[Column]:
-    """Price (number), listing type, energy certificate and parking spaces."""
-    found = details(page)
+    """``label_fields`` of a page; where the details are a column already, ``label_fields`` reads the page no more."""
+    return label_fields(details(page))
+
+
+def label_fields(found: Column) -> list[Column]:
+    """Price (number), listing type, energy certificate and parking spaces; ``found`` are the ``details``."""
     return [
         parse_price(label_value(found, LABELS["price"])).alias("price"),
         label_value(found, LABELS["listing_type"]).alias("listing_type"),
@@ -361,7 +397,12 @@ def energy_icon(found: Column) -> Column:
 
 
 def indicators(page: str | Column | Tokens) -> list[Column]:
-    found = indicator_items(page)
+    """``indicator_fields`` of a page; where the icons are a column already, ``indicator_fields`` reads the page no more."""
+    return indicator_fields(indicator_items(page))
+
+
+def indicator_fields(found: Column) -> list[Column]:
+    """Numbers of the mapped icons and the energy class; ``found`` are the ``indicator_items``."""
     cols = [indicator(found, title).alias(name) for title, name in INDICATOR_MAP.items()]
     return [*cols, energy_icon(found).alias("energy_certificate_icon")]
 
@@ -371,7 +412,7 @@ COORD_PATTERN = r"query=([+-]?[0-9]*\.?[0-9]+),([+-]?[0-9]*\.?[0-9]+)"
 
 def coordinates(page: str | Column | Tokens) -> list[Column]:
     """Latitude and longitude in the ``onclick`` of the map image."""
-    image = start_tag(_tokens_of(page), _classed("img", "img_mapa"))
+    image = _in_tokens(page, lambda toks: start_tag(toks, _classed("img", "img_mapa")))
     lat = _nullif_empty(F.regexp_extract(image, COORD_PATTERN, 1)).try_cast("double")
     lon = _nullif_empty(F.regexp_extract(image, COORD_PATTERN, 2)).try_cast("double")
     return [lat.alias("latitude"), lon.alias("longitude")]
@@ -400,11 +441,11 @@ NEXT_PAGE_ID = "ctl00_ContentPlaceHolder1_lnkNext"
 
 def listing_links(page: str | Column | Tokens) -> Column:
     """Targets of the anchors with an id inside the results table of an index page, in page order."""
-    block = element_tokens(_tokens_of(page), _is("table", "id", RESULTS_TABLE_ID))
+    block = _in_tokens(page, lambda toks: element_tokens(toks, _is("table", "id", RESULTS_TABLE_ID)))
     anchors = F.filter(block, lambda t: (t["name"] == "a") & ~t["closing"] & t["raw"].rlike(r"\sid\s*="))
     return F.filter(F.transform(anchors, lambda t: attribute(t["raw"], "href")), lambda h: h.isNotNull())
 
 
 def next_page(page: str | Column | Tokens, link_id: str = NEXT_PAGE_ID) -> Column:
     """Target of the paging link; NULL on the last page, where it has none."""
-    return attribute(start_tag(_tokens_of(page), _is("a", "id", link_id)), "href")
+    return attribute(_in_tokens(page, lambda toks: start_tag(toks, _is("a", "id", link_id))), "href")

@@ -171,7 +171,8 @@ def a_listing(spark: SparkSession, d: str, k: int | None = None) -> DataFrame:
 
 def a_listing_page(spark: SparkSession, d: str) -> DataFrame:
     """Stored listing pages in two layouts: one per listing of ``a_listing``, with decoys, odd quoting and missing fields."""
-    c = a_listing(spark, d)
+    # A few customer file splits grow into many pages: they are dealt out before they are built.
+    c = a_listing(spark, d).repartition("c_custkey")
     key = F.col("c_custkey").cast("string")
     q = F.when(F.col("c_custkey") % 3 == 1, F.lit("'")).otherwise(F.lit('"'))
 

@@ -61,8 +61,9 @@ def q_html_element_map(spark, d):
 
 @register("html_meta", with_views("a_listing") + f"SELECT c_custkey AS page_id, 'Home & ' || ContractNumber AS title, {META_SQL}" + FROM_LISTING)
 def q_html_meta(spark, d):
-    h = F.col("html")
-    return a_listing_page(spark, d).select("page_id", remove_unicode(H.tag_text(h, "title")).alias("title"), *H.meta_map(h))
+    h = H.Tokens(F.col("tokens"))
+    split = a_listing_page(spark, d).select("page_id", H.tokens("html").alias("tokens"))
+    return split.select("page_id", remove_unicode(H.tag_text(h, "title")).alias("title"), *H.meta_map(h))
 
 
 @register(
@@ -73,7 +74,8 @@ def q_html_meta(spark, d):
     f"CASE WHEN {ICONS} THEN NULL ELSE CAST(c_custkey % 4 + 1 AS INTEGER) END AS parking_spaces" + FROM_LISTING,
 )
 def q_html_label_value(spark, d):
-    return a_listing_page(spark, d).select("page_id", *H.label_values(F.col("html")))
+    found = a_listing_page(spark, d).select("page_id", H.details(F.col("html")).alias("found"))
+    return found.select("page_id", *H.label_fields(F.col("found")))
 
 
 @register(
@@ -84,7 +86,8 @@ def q_html_label_value(spark, d):
     + FROM_LISTING,
 )
 def q_html_indicators(spark, d):
-    return a_listing_page(spark, d).select("page_id", *H.indicators(F.col("html")))
+    found = a_listing_page(spark, d).select("page_id", H.indicator_items(F.col("html")).alias("found"))
+    return found.select("page_id", *H.indicator_fields(F.col("found")))
 
 
 @register("extract_coords", with_views("a_listing") + f"SELECT c_custkey AS page_id, {COORD_SQL}" + FROM_LISTING)
@@ -98,8 +101,8 @@ def q_extract_coords(spark, d):
     + f"SELECT c_custkey AS page_id, CAST(CASE WHEN {ICONS} THEN 0 ELSE 2 END AS INTEGER) AS n_items, {AMENITIES} AS items_text" + FROM_LISTING,
 )
 def q_amenity_array(spark, d):
-    items = H.amenities(F.col("html"))
-    return a_listing_page(spark, d).select("page_id", F.size(items).alias("n_items"), F.array_join(items, "|").alias("items_text"))
+    items = a_listing_page(spark, d).select("page_id", H.amenities(F.col("html")).alias("items"))
+    return items.select("page_id", F.size("items").alias("n_items"), F.array_join("items", "|").alias("items_text"))
 
 
 SQL_LINKS = (

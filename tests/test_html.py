@@ -111,6 +111,16 @@ def test_long_pages(spark):
     assert (rows[0]["d"], rows[1]["n"], rows[2]["p"]) == ("x" * 500, 3000, 999999)
 
 
+def test_a_lookup_splits_a_page_once(spark):
+    from dimetl.functions import html as H
+
+    h, df = F.col("html"), spark.createDataFrame([(PAGE,)], "html string")
+    lookups = [H.element_map(h), H.tag_text(h, "title"), H.details(h), H.indicator_items(h), H.amenities(h), H.listing_links(h), H.next_page(h)]
+    for found in lookups:
+        plan = df.select(found.alias("found"))._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("regexp_extract_all(html") == 1
+
+
 def test_a_page_is_split_once(spark):
     df = spark.createDataFrame([(1, "u", PAGE)], "page_id long, url string, html string")
     plan = page_extract(df)._jdf.queryExecution().optimizedPlan().toString()
