@@ -11,9 +11,10 @@ globally: the set of non-overlapping spans with the largest total margin wins,
 base spans come first, and an added span must pass its kind's plausibility check,
 which reads it back to a plain address or number.
 
-A span must hold a digit, ``@`` or a spelt-out sign (``_TRIGGER``).  This is a
-constraint of the decoding, so the all-outside path is the only one for a window
-without any, and the network need not run there; every other window is read.
+An added span must hold a digit, ``@`` or a spelt-out sign (``_TRIGGER``).  This
+is a check of the whole span, not of its windows: the network reads every window
+of every text, since a long span may run through windows without such a sign.
+It learns from the windows of its sample that hold one.
 """
 
 from __future__ import annotations
@@ -154,8 +155,18 @@ def new_tagger() -> Tagger:
     return Tagger(CLASSES, tags, follows, np.ones(tags, bool))
 
 
+def windows_of(text: str) -> np.ndarray:
+    """Character classes of every window (n x WINDOW, padded by 0), one each STRIDE: they tile the whole text with overlap."""
+    classes = char_classes(text)
+    count = -(-len(classes) // STRIDE)
+    if not count:
+        return np.zeros((0, WINDOW), np.int8)
+    padded = np.pad(classes, (0, count * STRIDE + WINDOW - STRIDE - len(classes)))
+    return np.lib.stride_tricks.sliding_window_view(padded, WINDOW)[::STRIDE]
+
+
 def _starts(text: str) -> list[int]:
-    """Starts of the windows that hold a trigger; the windows tile the whole text with overlap."""
+    """Starts of the windows to learn from: those that hold a trigger."""
     if not _TRIGGER.search(text):
         return []
     found: set[int] = set()
@@ -252,18 +263,30 @@ def _plausible(kind: int, text: str, before: str = "") -> bool:
     return bool(_PHONE_SHAPE.fullmatch(text.strip()) or text.startswith(("+", "00 ", "00-")) or _LABEL.search(before))
 
 
+def _window_batches(texts: list[str], rows_at_once: int) -> Iterator[tuple[list[tuple[int, int]], np.ndarray]]:
+    """Places ``(text, start)`` and classes of all windows of the texts, ``rows_at_once`` at a time."""
+    places, parts = [], []
+    for i, text in enumerate(texts):
+        windows, at = windows_of(text), 0
+        while at < len(windows):
+            part = windows[at : at + rows_at_once - len(places)]
+            places += [(i, (at + n) * STRIDE) for n in range(len(part))]
+            parts.append(part)
+            at += len(part)
+            if len(places) == rows_at_once:
+                yield places, np.concatenate(parts)
+                places, parts = [], []
+    if places:
+        yield places, np.concatenate(parts)
+
+
 def added_spans(texts: list[str], base: list[list[tuple[int, int, int]]], tagger: Tagger, rows_at_once: int = 512) -> list[list[tuple[int, int, int]]]:
     """Spans that the tagger adds to the base spans of each text."""
-    jobs = [(i, s) for i, t in enumerate(texts) for s in _starts(t)]
     pieces: list[list[tuple[int, int, int, float, bool, bool]]] = [[] for _ in texts]
-    for j in range(0, len(jobs), rows_at_once):
-        part = jobs[j : j + rows_at_once]
-        x = np.zeros((len(part), WINDOW), np.int64)
-        for row, (i, s) in zip(x, part, strict=True):
-            cut = char_classes(texts[i][s : s + WINDOW])
-            row[: len(cut)] = cut
+    for places, x in _window_batches(texts, rows_at_once):
         tags, margin = tagger.decode(x)
-        for (i, s), row, gain in zip(part, tags, margin, strict=True):
+        for n in tags.any(1).nonzero()[0].tolist():
+            (i, s), row, gain = places[n], tags[n], margin[n]
             # A run without a begin at a window's left edge goes on from the window before.
             heads = (row % 2 == 1).nonzero()[0].tolist()
             if s > 0 and row[0] and row[0] % 2 == 0:

@@ -83,9 +83,38 @@ class Tagger:
         return dz_all @ self.p[f"X{d}"].T
 
     def emissions(self, x: np.ndarray) -> np.ndarray:
-        inputs = self.p["E"][x]
-        both = np.concatenate([self._lstm(inputs, d, False)[0] for d in "fb"], axis=2)
-        return both @ self.p["O"] + self.p["o"]
+        """Tag scores (n, length, tags)."""
+        return np.ascontiguousarray(self._scores(x).transpose(2, 0, 1))
+
+    def _scores(self, x: np.ndarray) -> np.ndarray:
+        """Tag scores (length, tags, n); both directions in one loop, windows last so that a step's gates are blocks."""
+        n, length = x.shape
+        k, x = self.hidden, np.ascontiguousarray(x.T)
+        # The sigmoid of z is (tanh(z / 2) + 1) / 2: with halved gates one tanh serves gates and cell input.
+        half = np.repeat(np.float32([0.5, 0.5, 0.5, 1.0]), k)[:, None]
+        table = [np.ascontiguousarray((self.p["E"] @ self.p[f"X{d}"] + self.p[f"c{d}"]).T * half) for d in "fb"]
+        within = np.stack([self.p[f"H{d}"].T * half for d in "fb"])
+        h, c = np.zeros((2, k, n), np.float32), np.zeros((2, k, n), np.float32)
+        z, drive = np.empty((2, 4 * k, n), np.float32), np.empty((4 * k, n), np.float32)
+        both = np.empty((length, 2 * k, n), np.float32)
+        for t in range(length):
+            ends = (t, length - 1 - t)
+            np.matmul(within, h, out=z)
+            for d, at in enumerate(ends):
+                np.take(table[d], x[at], axis=1, out=drive, mode="clip")
+                z[d] += drive
+            np.tanh(z, out=z)
+            gates = z[:, : 3 * k]
+            gates *= 0.5
+            gates += 0.5
+            c *= gates[:, k : 2 * k]
+            z[:, 3 * k :] *= gates[:, :k]
+            c += z[:, 3 * k :]
+            np.tanh(c, out=h)
+            h *= gates[:, 2 * k :]
+            for d, at in enumerate(ends):
+                both[at, d * k : (d + 1) * k] = h[d]
+        return np.matmul(np.ascontiguousarray(self.p["O"].T), both) + self.p["o"][:, None]
 
     # ----------------------------------------------------------- training
 
@@ -152,9 +181,28 @@ class Tagger:
 
     # ----------------------------------------------------------- decoding
 
+    def _calm(self, scores: np.ndarray) -> np.ndarray:
+        """Windows (of scores length, tags, n) no path of which beats tag 0 throughout: the forward pass of Viterbi, without pointers."""
+        trans, start = self.p["T"] + self.blocked, self.p["S"] + self.start_blocked
+        best = start[:, None] + scores[0]
+        outside = best[0]
+        paths = np.empty((self.tags, *best.shape), np.float32)
+        for row in scores[1:]:
+            np.add(best[:, None], trans[:, :, None], out=paths)
+            best = paths.max(0) + row
+            outside = (outside + trans[0, 0]) + row[0]
+        return best.max(0) <= outside
+
     def decode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Viterbi tags (n x length) and each position's score margin over tag 0."""
-        scores = self.emissions(x)
+        scores = self._scores(x)
+        tags, margin = np.zeros(x.shape, np.int8), np.zeros(x.shape, np.float32)
+        rest = (~self._calm(scores)).nonzero()[0]
+        if len(rest):
+            tags[rest], margin[rest] = self._viterbi(np.ascontiguousarray(scores[:, :, rest].transpose(2, 0, 1)))
+        return tags, margin
+
+    def _viterbi(self, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         n, length, _ = scores.shape
         trans, back = self.p["T"] + self.blocked, np.empty(scores.shape, np.int8)
         best = self.p["S"] + self.start_blocked + scores[:, 0]

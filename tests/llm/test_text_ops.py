@@ -418,3 +418,47 @@ def test_local_search_ends_without_an_exchange_left():
     under = [n for n, f in enumerate(fills) if f < 4096]
     fewest = len(fills) == -(-sum(fills) // 4096)
     assert fewest or not any(packing._gain(items[s], items[t], fills[s], fills[t], 4096) for s in under for t in under if s != t)
+
+
+def test_the_tagger_reads_every_window():
+    text, seen = "no such character, then more of them. " * 40, []
+
+    class Counting:
+        def decode(self, x):
+            seen.append(x.copy())
+            return np.zeros(x.shape, np.int8), np.zeros(x.shape, np.float32)
+
+    texts = [text, "", "a1", text[:96]]
+    assert pii.added_spans(texts, [[]] * 4, Counting(), rows_at_once=7) == [[]] * 4
+    assert max(map(len, seen)) == 7 and sum(map(len, seen)) == sum(-(-len(t) // pii.STRIDE) for t in texts)
+    first = np.concatenate(seen)[: -(-len(text) // pii.STRIDE)]
+    assert (first[:, : pii.STRIDE].ravel()[: len(text)] == pii.char_classes(text)).all()
+
+
+def test_a_span_through_a_window_without_a_sign_is_found():
+    # A local part of 130 letters: windows before the sign hold none, and the span is longer than any window.
+    text = "x " * 30 + "a" * 130 + " @ b.com"
+    start, end = 60, len(text)
+
+    class Marking:
+        def decode(self, x):
+            at = np.arange(len(x))[:, None] * pii.STRIDE + np.arange(pii.WINDOW)
+            tags = np.where((at >= start) & (at < end), np.where(at == start, 1, 2), 0).astype(np.int8)
+            return tags, np.ones(x.shape, np.float32)
+
+    assert not pii._TRIGGER.search(text[48 : 48 + pii.WINDOW])
+    assert pii.added_spans([text], [[]], Marking()) == [[(start, 0, end)]]
+
+
+def test_decoding_without_pointers_gives_the_best_paths():
+    rng = np.random.default_rng(3)
+    tagger = pii.new_tagger()
+    x = rng.integers(0, pii.CLASSES, (50, 24))
+    inputs = tagger.p["E"][x]
+    both = np.concatenate([tagger._lstm(inputs, d, False)[0] for d in "fb"], axis=2)
+    assert np.allclose(tagger.emissions(x), both @ tagger.p["O"] + tagger.p["o"], atol=1e-5)
+    for shift in (0.0, 3.0):
+        tagger.p["o"][0] = shift
+        tags, margin = tagger.decode(x)
+        best, gains = tagger._viterbi(tagger.emissions(x))
+        assert (tags == best).all() and np.allclose(margin, gains, atol=1e-5)
