@@ -45,8 +45,8 @@ def scan_json_events(spark: SparkSession, log_root: str) -> DataFrame:
     return scan_json(spark, f"{log_root.rstrip('/')}/*/*/*.json", LOG_SCHEMA)
 
 
-def scan_recursive(spark: SparkSession, root: str, schema: T.StructType, glob: str = "*.json") -> DataFrame:
-    """Every matching file below ``root``, at any depth."""
+def scan_recursive(spark: SparkSession, root: str, schema: T.StructType, glob: str = "{*.json,*.json.gz}") -> DataFrame:
+    """Every matching file below ``root``, at any depth; packed files are read as plain ones."""
     return scan_json(spark, root, schema, recursiveFileLookup="true", pathGlobFilter=glob)
 
 

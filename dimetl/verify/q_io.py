@@ -64,7 +64,8 @@ def write_log(spark, d, split_by_level: bool = False):
     )
     if not split_by_level:
         root = scratch_path(spark, "log_data")
-        log.repartition("y", "m").write.partitionBy("y", "m").json(root)
+        # A month of many rows is split over tasks and files instead of gathered in one.
+        log.hint("rebalance", F.col("y"), F.col("m")).write.partitionBy("y", "m").json(root)
         return root
     roots = []
     for lvl in ("paid", "free"):
@@ -183,7 +184,7 @@ def q_scan_json_subset(spark, d):
 
 def write_csv(spark, d) -> str:
     root = scratch_path(spark, "event_csv")
-    csv_event_frame(a_play(spark, d)).write.option("header", "true").csv(root)
+    csv_event_frame(a_play(spark, d)).write.option("header", "true").option("compression", "gzip").csv(root)
     return root
 
 
@@ -401,7 +402,8 @@ def q_song_star_job(spark, d):
     log_root = scratch_path(spark, "play_log")
     log = play_log_json_frame(a_play(spark, d))
     log = log.withColumns({"y": F.year(F.timestamp_millis("ts")), "m": F.month(F.timestamp_millis("ts"))})
-    log.repartition("y", "m").write.partitionBy("y", "m").json(log_root)
+    # Months of many rows are split over tasks and files; the text is stored packed.
+    log.hint("rebalance", F.col("y"), F.col("m")).write.partitionBy("y", "m").option("compression", "gzip").json(log_root)
     paths = run_song_star(spark, write_songs(spark, d), log_root, scratch_path(spark, "song_star"))
     return spark.read.parquet(paths["songplays"])
 
