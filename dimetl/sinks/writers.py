@@ -90,15 +90,18 @@ def range_cell(df: DataFrame, columns: Sequence[str], bits: int = 6) -> Column:
     shares = [i / parts for i in range(1, parts)]
     ordinal = {c: F.unix_micros(F.col(f"`{c}`").cast("timestamp")) if types[c].startswith(("date", "timestamp")) else F.col(f"`{c}`") for c in columns}
     bounds = df.agg(*[F.percentile_approx(ordinal[c], shares, 100 * parts).alias(f"b{i}") for i, c in enumerate(columns)]).first()
+
+    def place(c: Column, i: int, found: list, low: int, high: int) -> Column:
+        """Spread bits of how many bounds a value is above, by halving: a row meets one bound a level."""
+        if low == high:
+            return F.lit(sum((low >> bit & 1) << (bit * len(columns) + i) for bit in range(bits))).cast("long")
+        mid = (low + high) // 2
+        return F.when(c > F.lit(found[mid]), place(c, i, found, mid + 1, high)).otherwise(place(c, i, found, low, mid))
+
     cell = F.lit(0).cast("long")
     for i, c in enumerate(columns):
         found = sorted(set(bounds[i] or []))
-        above = F.lit(0)
-        for b in found:
-            above = above + F.coalesce(ordinal[c] > F.lit(b), F.lit(False)).cast("int")
-        for bit in range(bits):
-            one = F.shiftright(above, bit).bitwiseAND(F.lit(1)).cast("long")
-            cell = cell.bitwiseOR(F.shiftleft(one, bit * len(columns) + i))
+        cell = cell.bitwiseOR(place(ordinal[c], i, found, 0, len(found)))
     return cell
 
 
