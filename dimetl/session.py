@@ -8,6 +8,8 @@ this module only holds the few settings the library relies on:
   so join strategies and post-shuffle partition counts are picked at run time;
 * dynamic partition overwrite, so a backfill rewrites only the partitions it
   produces;
+* shuffles cut into many small partitions that AQE joins up to 32 MB, so a
+  task's rows, and its memory, do not grow with the input;
 * Parquet timestamps as 64-bit microseconds, which have statistics to skip by
   (the 96-bit form has none).
 
@@ -31,6 +33,8 @@ SESSION_CONF: dict[str, str] = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "400",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32m",
     "spark.ui.enabled": "false",
 }
 
@@ -61,6 +65,8 @@ def apply_runtime_conf(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
+    for key in ("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.adaptive.advisoryPartitionSizeInBytes"):
+        spark.conf.set(key, SESSION_CONF[key])
 
 
 def checkpoint_root(spark: SparkSession) -> str:
