@@ -28,6 +28,8 @@ SNAPSHOT_DATES = ["2024-01-01", "2024-01-08", "2024-01-15"]
 API_PAGE_SIZE = 50
 CUSTOMERS_PER_SUPPLIER = 15
 PARTS_PER_TITLE = 50
+#: Customers whose pages one task builds and reads: AQE would join such small rows in one task.
+CUSTOMERS_PER_TASK = 2000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +40,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # --------------------------------------------------------------------- Spark
 
 
+def dealt(df: DataFrame, rows: int, per_task: int, *by: str | Column) -> DataFrame:
+    """``df`` dealt by hash over as many tasks as ``rows`` need at ``per_task`` each; a given count is not joined by AQE."""
+    return df.repartition(max(1, -(-rows // per_task)), *by)
+
+
 def a_events(spark: SparkSession, d: str) -> DataFrame:
     ev = table(spark, d, "events")
     cu = table(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
@@ -172,7 +179,7 @@ def a_listing(spark: SparkSession, d: str, k: int | None = None) -> DataFrame:
 def a_listing_page(spark: SparkSession, d: str) -> DataFrame:
     """Stored listing pages in two layouts: one per listing of ``a_listing``, with decoys, odd quoting and missing fields."""
     # A few customer file splits grow into many pages: they are dealt out before they are built.
-    c = a_listing(spark, d).repartition("c_custkey")
+    c = dealt(a_listing(spark, d), table(spark, d, "customer").count(), CUSTOMERS_PER_TASK, "c_custkey")
     key = F.col("c_custkey").cast("string")
     q = F.when(F.col("c_custkey") % 3 == 1, F.lit("'")).otherwise(F.lit('"'))
 
@@ -231,7 +238,9 @@ def a_index_page(spark: SparkSession, d: str) -> DataFrame:
         F.lit("' href=\"/buy/"), F.col("c_custkey"), F.lit("?a=1&amp;b=2\">x</a></td></tr>"),
     )
     page = F.floor(F.col("c_custkey") / INDEX_PAGE_SIZE).cast("bigint")
-    rows = c.groupBy(page.alias("page_id")).agg(F.sort_array(F.collect_list(F.struct("c_custkey", row.alias("r")))).alias("rows"), F.max("c_custkey").alias("last"))
+    # The pages are built where their customers are dealt to.
+    by_page = dealt(c.withColumn("page_id", page), c.count(), CUSTOMERS_PER_TASK, "page_id")
+    rows = by_page.groupBy("page_id").agg(F.sort_array(F.collect_list(F.struct("c_custkey", row.alias("r")))).alias("rows"), F.max("c_custkey").alias("last"))
     last = c.agg(F.max(page).alias("last_page"))
     body = F.concat(
         F.lit("<html><body><a id='logo' href='/home'>home</a><table id='ctl00_ContentPlaceHolder1_DataList_imoveis'>"),

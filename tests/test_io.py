@@ -151,3 +151,33 @@ def test_insertion_columns(spark, tmp_dir):
     C.recreate_tables(spark, ["dim_broker"], tmp_dir)
     assert C.insertion_columns(spark, "presentation.dim_broker", ["broker_id"]) == [
         "broker", "hash", "record_start_date", "record_end_date"]
+
+
+def _tables(spark, tmp_dir, customers: int = 0, events: int = 0) -> str:
+    """Driver tables of one file each: customers with their nation, region and suppliers, and events of one month."""
+    custkey = F.col("id").alias("c_custkey")
+    frames = {
+        "customer": spark.range(0, max(customers, 1), 1, 1).select(
+            custkey, F.concat(F.lit("Customer#"), "id").alias("c_name"), F.lit(1).cast("int").alias("c_nationkey"), F.lit(12.5).alias("c_acctbal"), F.lit("AUTOMOBILE").alias("c_mktsegment")
+        ),
+        "nation": spark.sql("SELECT 1 AS n_nationkey, 'N' AS n_name, 0 AS n_regionkey"),
+        "region": spark.sql("SELECT 0 AS r_regionkey, 'R' AS r_name"),
+        "supplier": spark.range(0, 10, 1, 1).select(F.col("id").alias("s_suppkey"), F.concat(F.lit("S"), "id").alias("s_name")),
+        "events": spark.range(0, events, 1, 1).select(
+            F.col("id").alias("event_id"), F.timestamp_seconds(F.col("id") + 1704100000).alias("ts"), (F.col("id") % 7).alias("user_id"),
+            F.lit("click").alias("event_type"), F.lit(1.5).alias("value"), F.lit("{}").alias("props"),
+        ),
+    }
+    for name, df in frames.items():
+        df.coalesce(1).write.parquet(f"{tmp_dir}/{name}.parquet")
+    return tmp_dir
+
+
+def test_pages_are_dealt_over_tasks(spark, tmp_dir):
+    from dimetl.verify import adapters, q_pages
+
+    d = _tables(spark, tmp_dir, customers=3 * adapters.CUSTOMERS_PER_TASK)
+    for pages in (adapters.a_listing_page(spark, d), adapters.a_index_page(spark, d)):
+        assert pages.rdd.getNumPartitions() == 3
+    assert adapters.a_listing_page(spark, d).count() == 3 * adapters.CUSTOMERS_PER_TASK
+    assert q_pages.q_index_links(spark, d).count() == 3 * adapters.CUSTOMERS_PER_TASK
