@@ -30,6 +30,7 @@ from dimetl.verify.adapters import (
     a_play,
     a_song,
     csv_event_frame,
+    dealt,
     log_json_frame,
     play_log_json_frame,
     register_view,
@@ -56,16 +57,23 @@ def write_songs(spark, d) -> str:
     return root
 
 
+#: Events that one task sorts and writes.
+EVENTS_PER_TASK = 250_000
+
+
 def write_log(spark, d, split_by_level: bool = False):
     """Event log JSON files by year and month (``y=YYYY/m=M``)."""
     ev = a_events(spark, d)
+    if not split_by_level:
+        # A task sorts its rows by month before it writes them: they are dealt by their own values,
+        # so that neither a full month nor a table in one file split makes a task large.
+        ev = dealt(ev, table(spark, d, "events").count(), EVENTS_PER_TASK, "event_id", "user_id", "ts_ms", "value")
     log = log_json_frame(ev).withColumns(
         {"y": F.year(F.timestamp_millis("ts")), "m": F.month(F.timestamp_millis("ts"))}
     )
     if not split_by_level:
         root = scratch_path(spark, "log_data")
-        # A month of many rows is split over tasks and files instead of gathered in one.
-        log.hint("rebalance", F.col("y"), F.col("m")).write.partitionBy("y", "m").json(root)
+        log.write.partitionBy("y", "m").json(root)
         return root
     roots = []
     for lvl in ("paid", "free"):

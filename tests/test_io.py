@@ -173,6 +173,17 @@ def _tables(spark, tmp_dir, customers: int = 0, events: int = 0) -> str:
     return tmp_dir
 
 
+def test_a_month_of_the_log_is_written_by_bounded_tasks(spark, tmp_dir, monkeypatch):
+    from dimetl.verify import q_io
+
+    monkeypatch.setattr(q_io, "EVENTS_PER_TASK", 500, raising=False)
+    d = _tables(spark, tmp_dir, customers=5, events=4000)
+    for query in (q_io.q_scan_json_events, q_io.q_copy_json_mapped):
+        df = query(spark, d)
+        per_file = [r["n_rows"] for r in S.ingest_counts(df).collect()]
+        assert sum(per_file) == 4000 and len(per_file) == 8 and max(per_file) < 700
+
+
 def test_pages_are_dealt_over_tasks(spark, tmp_dir):
     from dimetl.verify import adapters, q_pages
 
