@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Hashable
+from itertools import repeat
 
 import numpy as np
 
@@ -50,17 +51,25 @@ class IdCache:
         place = np.repeat(begin - np.cumsum(size) + size, size)
         return self.ids[place + np.arange(len(place))], size
 
+    def _codes(self, words: list) -> np.ndarray:
+        """The number of each word, -1 for new ones: one lookup a word."""
+        return np.fromiter(map(self.code.get, words, repeat(-1)), np.int64, len(words))
+
     def encode(self, texts: list[list]) -> list[np.ndarray]:
         """Ids of each text, given as its list of words."""
-        new = set().union(*texts) - self.code.keys() if texts else set()
+        found = [self._codes(words) for words in texts]
+        new = {words[i] for words, codes in zip(texts, found, strict=True) for i in (codes < 0).nonzero()[0].tolist()}
         if self.words + len(new) > self.max_words:
             self._clear()
             new = set().union(*texts)
+            found = [np.full(len(words), -1) for words in texts]
         if new:
             self._add(sorted(new))
         out = []
-        for words in texts:
-            codes = np.fromiter(map(self.code.__getitem__, words), np.int64, len(words))
+        for words, codes in zip(texts, found, strict=True):
+            late = (codes < 0).nonzero()[0].tolist() if new else []
+            if late:
+                codes[late] = [self.code[words[i]] for i in late]
             begin = self.start[codes]
             size = self.start[codes + 1] - begin
             ends = np.cumsum(size)

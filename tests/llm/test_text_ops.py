@@ -462,3 +462,23 @@ def test_decoding_without_pointers_gives_the_best_paths():
         tags, margin = tagger.decode(x)
         best, gains = tagger._viterbi(tagger.emissions(x))
         assert (tags == best).all() and np.allclose(margin, gains, atol=1e-5)
+
+
+def test_a_known_word_is_looked_up_once():
+    from dimetl.llm.idcache import IdCache
+
+    class Word(str):
+        hashed = 0
+
+        def __hash__(self):
+            Word.hashed += 1
+            return str.__hash__(self)
+
+    cache = IdCache(lambda words: (np.arange(2 * len(words)).astype(np.uint32), np.full(len(words), 2)))
+    texts = [[Word(w) for w in t.split()] for t in ("a b a", "", "b c")]
+    first = [x.tolist() for x in cache.encode(texts)]
+    assert first == [[0, 1, 2, 3, 0, 1], [], [2, 3, 4, 5]]
+    Word.hashed = 0
+    assert [x.tolist() for x in cache.encode(texts)] == first and Word.hashed == 5
+    small = IdCache(lambda words: (np.arange(len(words)).astype(np.uint32), np.full(len(words), 1)), max_words=3)
+    assert [[x.tolist() for x in small.encode(t)] for t in ([["a", "b"]], [["b", "c", "d", "b"]], [["a", "d"]])] == [[[0, 1]], [[0, 1, 2, 0]], [[0, 1]]]
