@@ -280,7 +280,7 @@ def _window_batches(texts: list[str], rows_at_once: int) -> Iterator[tuple[list[
         yield places, np.concatenate(parts)
 
 
-def added_spans(texts: list[str], base: list[list[tuple[int, int, int]]], tagger: Tagger, rows_at_once: int = 512) -> list[list[tuple[int, int, int]]]:
+def added_spans(texts: list[str], base: list[list[tuple[int, int, int]]], tagger: Tagger, rows_at_once: int = 4096) -> list[list[tuple[int, int, int]]]:
     """Spans that the tagger adds to the base spans of each text."""
     pieces: list[list[tuple[int, int, int, float, bool, bool]]] = [[] for _ in texts]
     for places, x in _window_batches(texts, rows_at_once):

@@ -89,32 +89,43 @@ class Tagger:
     def _scores(self, x: np.ndarray) -> np.ndarray:
         """Tag scores (length, tags, n); both directions in one loop, windows last so that a step's gates are blocks."""
         n, length = x.shape
-        k, x = self.hidden, np.ascontiguousarray(x.T)
-        # The sigmoid of z is (tanh(z / 2) + 1) / 2: with halved gates one tanh serves gates and cell input.
+        k, x = self.hidden, np.ascontiguousarray(x.T, np.intp)
+        # The sigmoid of z is (tanh(z / 2) + 1) / 2: with halved gates one tanh serves gates and cell input. The states
+        # are kept doubled, so that no gate is halved after it: their weights are halved instead.
         half = np.repeat(np.float32([0.5, 0.5, 0.5, 1.0]), k)[:, None]
-        table = [np.ascontiguousarray((self.p["E"] @ self.p[f"X{d}"] + self.p[f"c{d}"]).T * half) for d in "fb"]
-        within = np.stack([self.p[f"H{d}"].T * half for d in "fb"])
-        h, c = np.zeros((2, k, n), np.float32), np.zeros((2, k, n), np.float32)
-        z, drive = np.empty((2, 4 * k, n), np.float32), np.empty((4 * k, n), np.float32)
-        both = np.empty((length, 2 * k, n), np.float32)
+        weights = [
+            np.ascontiguousarray(np.concatenate([self.p[f"H{d}"] * np.float32(0.5), self.p[f"X{d}"], self.p[f"c{d}"][None]]).T * half) for d in "fb"
+        ]
+        # A step's input, as one block: the state before it, the character's embedding, a one for the bias.
+        table = np.ascontiguousarray(np.concatenate([self.p["E"], np.ones((len(self.p["E"]), 1), np.float32)], axis=1).T)
+        steps = np.empty((2, length + 1, k + len(table), n), np.float32)
         for t in range(length):
-            ends = (t, length - 1 - t)
-            np.matmul(within, h, out=z)
-            for d, at in enumerate(ends):
-                np.take(table[d], x[at], axis=1, out=drive, mode="clip")
-                z[d] += drive
+            np.take(table, x[t], axis=1, out=steps[0, t, k:], mode="clip")
+            steps[1, length - 1 - t, k:] = steps[0, t, k:]
+        steps[:, 0, :k] = 0
+        c, z = np.zeros((2, k, n), np.float32), np.empty((2, 4 * k, n), np.float32)
+        gates, new = z[:, : 3 * k], z[:, 3 * k :]
+        into, forget, out = z[:, :k], z[:, k : 2 * k], z[:, 2 * k : 3 * k]
+        for t in range(length):
+            np.matmul(weights[0], steps[0, t], out=z[0])
+            np.matmul(weights[1], steps[1, t], out=z[1])
             np.tanh(z, out=z)
-            gates = z[:, : 3 * k]
-            gates *= 0.5
-            gates += 0.5
-            c *= gates[:, k : 2 * k]
-            z[:, 3 * k :] *= gates[:, :k]
-            c += z[:, 3 * k :]
-            np.tanh(c, out=h)
-            h *= gates[:, 2 * k :]
-            for d, at in enumerate(ends):
-                both[at, d * k : (d + 1) * k] = h[d]
-        return np.matmul(np.ascontiguousarray(self.p["O"].T), both) + self.p["o"][:, None]
+            gates += 1
+            new *= into
+            c *= forget
+            c += new
+            c *= 0.5
+            np.tanh(c, out=new)
+            np.multiply(new, out, out=steps[:, t + 1, :k])
+        ahead, back = np.ascontiguousarray((self.p["O"] * np.float32(0.5)).T.reshape(self.tags, 2, k).transpose(1, 0, 2))
+        scores = np.empty((length, self.tags, n), np.float32)
+        other = np.empty((self.tags, n), np.float32)
+        for t, row in enumerate(scores):
+            np.matmul(ahead, steps[0, t + 1, :k], out=row)
+            np.matmul(back, steps[1, length - t, :k], out=other)
+            row += other
+        scores += self.p["o"][:, None]
+        return scores
 
     # ----------------------------------------------------------- training
 
@@ -193,13 +204,64 @@ class Tagger:
             outside = (outside + trans[0, 0]) + row[0]
         return best.max(0) <= outside
 
-    def decode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Viterbi tags (n x length) and each position's score margin over tag 0."""
+    def _flat(self, scores: np.ndarray) -> np.ndarray:
+        """Windows that a more lenient forward pass, which needs fewer sums, finds calm; all of them are calm.
+
+        Scores are gains over staying outside.  Into a tag that all tags may
+        precede, every tag but 0 goes at the cost of the cheapest; a tag that
+        few may precede is reached from these alone.
+        """
+        trans, start = self.p["T"] + self.blocked - self.p["T"][0, 0], self.p["S"] + self.start_blocked
+        few = (self.blocked[1:, 1:] == 0).sum(0) < self.tags - 1
+        order = np.concatenate([1 + np.flatnonzero(~few), 1 + np.flatnonzero(few)])
+        wide, leave = int((~few).sum()), trans[order, 0][:, None]
+        enter, switch = trans[0, order[:wide]][:, None], trans[1:, order[:wide]].max(0)[:, None]
+        within = trans[np.ix_(order, order[wide:])]
+        # The predecessors of the other tags, the most that one of them has; places beyond a tag's own hold a forbidden step.
+        most = int((within > _FORBIDDEN / 2).sum(0).max(initial=0))
+        ahead = np.sort(np.argsort(-within, axis=0, kind="stable")[:most], axis=0)
+        steps = np.take_along_axis(within, ahead, 0)[:, :, None]
+        # Tags in a row are read as a slice.
+        ahead = [slice(a[0], a[0] + len(a)) if (np.diff(a) == 1).all() else a for a in ahead]
+        gains = scores[:, order]
+        gains -= scores[:, :1]
+        best, outside = (start[order] - start[0])[:, None] + gains[0], np.zeros(scores.shape[2], np.float32)
+        if (trans[0, order[wide:]] > _FORBIDDEN / 2).any():
+            return outside > 0  # such a tag may follow tag 0 as well: no shorter way
+        back = np.empty_like(best)
+        for gain in gains[1:]:
+            np.add(best, leave, out=back)
+            new = gain
+            new[:wide] += np.maximum(outside + enter, best.max(0) + switch)
+            if most:
+                path = best[ahead[0]] + steps[0]
+                for n in range(1, most):
+                    np.maximum(path, best[ahead[n]] + steps[n], out=path)
+                new[wide:] += path
+            np.maximum(outside, back.max(0), out=outside)
+            best = new
+        # The hundredth covers what adding up a window's scores may round.
+        return (best.max(0) < -0.01) & (outside <= 0)
+
+    def stirred(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of all windows ``x``, the numbers of those in which some path beats tag 0 throughout, and their tag scores (n, length, tags)."""
         scores = self._scores(x)
+        rest = (~self._flat(scores)).nonzero()[0]
+        scores = scores[:, :, rest]
+        moved = (~self._calm(scores)).nonzero()[0] if len(rest) else rest
+        return rest[moved], np.ascontiguousarray(scores[:, :, moved].transpose(2, 0, 1))
+
+    def decode(self, x: np.ndarray, at_once: int = 512) -> tuple[np.ndarray, np.ndarray]:
+        """Viterbi tags (n x length) and each position's score margin over tag 0.
+
+        ``at_once`` windows go through the network together; the few that some
+        path stirs are traced all at once.
+        """
         tags, margin = np.zeros(x.shape, np.int8), np.zeros(x.shape, np.float32)
-        rest = (~self._calm(scores)).nonzero()[0]
-        if len(rest):
-            tags[rest], margin[rest] = self._viterbi(np.ascontiguousarray(scores[:, :, rest].transpose(2, 0, 1)))
+        found = [(i, *self.stirred(x[i : i + at_once])) for i in range(0, len(x), at_once)]
+        if any(len(rest) for _, rest, _ in found):
+            rest = np.concatenate([i + rest for i, rest, _ in found])
+            tags[rest], margin[rest] = self._viterbi(np.concatenate([scores for _, _, scores in found]))
         return tags, margin
 
     def _viterbi(self, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

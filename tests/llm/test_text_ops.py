@@ -464,6 +464,29 @@ def test_decoding_without_pointers_gives_the_best_paths():
         assert (tags == best).all() and np.allclose(margin, gains, atol=1e-5)
 
 
+def test_the_short_pass_finds_calm_windows_only_and_paths_are_traced_together(monkeypatch):
+    rng = np.random.default_rng(5)
+    tagger, traced = pii.new_tagger(), []
+    x = rng.integers(0, pii.CLASSES, (300, 24))
+    viterbi = tagger._viterbi
+    monkeypatch.setattr(tagger, "_viterbi", lambda scores: traced.append(len(scores)) or viterbi(scores))
+    for scale in (0.1, 1.0):
+        tagger.p["T"] = (scale * rng.standard_normal(tagger.p["T"].shape)).astype(np.float32)
+        tagger.p["S"] = (scale * rng.standard_normal(tagger.p["S"].shape)).astype(np.float32)
+        for shift in (0.0, 1.0, 2.5, 6.0):
+            tagger.p["o"][0] = shift
+            scores = tagger._scores(x)
+            assert not (tagger._flat(scores) & ~tagger._calm(scores)).any()
+            rest, own = tagger.stirred(x)
+            assert rest.tolist() == (~tagger._calm(scores)).nonzero()[0].tolist() and own.shape == (len(rest), 24, tagger.tags)
+            del traced[:]
+            tags, margin = tagger.decode(x, at_once=64)
+            best, gains = viterbi(tagger.emissions(x))
+            assert (tags == best).all() and np.allclose(margin, gains, atol=1e-5)
+            assert traced == ([len(rest)] if len(rest) else [])
+    assert tagger._flat(scores).any()
+
+
 def test_a_known_word_is_looked_up_once():
     from dimetl.llm.idcache import IdCache
 
