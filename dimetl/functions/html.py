@@ -18,6 +18,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
@@ -124,23 +125,27 @@ _TOKEN = (
 
 @dataclass(frozen=True)
 class Tokens:
-    """A page's tokens: ``array<struct<raw, name, closing, text>>``; texts and comments have no name, only texts a text."""
+    """A page's tokens as written, ``array<string>``; only those that a lookup needs are read further."""
 
     column: Column
 
 
 def tokens(html: str | Column) -> Column:
-    raw = F.regexp_extract_all(_c(html), F.lit(_TOKEN), 0)
-    name = "^</?([A-Za-z][A-Za-z0-9]*)"
-    return F.transform(
-        raw,
-        lambda r: F.struct(
-            r.alias("raw"),
-            F.lower(F.regexp_extract(r, name, 1)).alias("name"),
-            r.startswith("</").alias("closing"),
-            F.when(r.rlike("^<(?:!--|/?[A-Za-z])"), F.lit("")).otherwise(decode_references(r)).alias("text"),
-        ),
-    )
+    return F.regexp_extract_all(_c(html), F.lit(_TOKEN), 0)
+
+
+def _name(raw: Column) -> Column:
+    """Name of a tag; empty for texts, comments and stray signs."""
+    return F.lower(F.regexp_extract(raw, "^</?([A-Za-z][A-Za-z0-9]*)", 1))
+
+
+def _tagged(raw: Column, *names: str) -> Column:
+    """Whether a token is a tag of one of the names; texts are told by their first sign."""
+    return raw.startswith("<") & raw.rlike(f"^</?(?i:{'|'.join(names)})(?![A-Za-z0-9])")
+
+
+def _closing(raw: Column) -> Column:
+    return raw.startswith("</")
 
 
 def _in_tokens(page: str | Column | Tokens, body: Callable[[Column], Column]) -> Column:
@@ -148,9 +153,13 @@ def _in_tokens(page: str | Column | Tokens, body: Callable[[Column], Column]) ->
     return body(page.column) if isinstance(page, Tokens) else _let(tokens(page), body)
 
 
-def _marks(toks: Column, hit: Callable[[Column], Column]) -> Column:
-    """Every token's place, name, direction and whether it is ``hit``: the texts need not be moved to look for places."""
-    return F.transform(toks, lambda t, i: F.struct((i + 1).alias("at"), t["name"].alias("name"), t["closing"].alias("closing"), hit(t).alias("hit")))
+def _marks(toks: Column, names: Sequence[str], hit: Callable[[Column], Column]) -> Column:
+    """Place, name, direction of every tag of these names (of every token but texts if there are none), and whether it is ``hit``."""
+
+    def mark(r: Column, i: Column) -> Column:
+        return F.when(_tagged(r, *names) if names else r.startswith("<"), F.struct((i + 1).alias("at"), _name(r).alias("name"), _closing(r).alias("closing"), hit(r).alias("hit")))
+
+    return F.filter(F.transform(toks, mark), lambda m: m.isNotNull())
 
 
 def _end_of(tags: Column, start: Column) -> Column:
@@ -171,8 +180,8 @@ def _inside(toks: Column, tags: Column, start: Column) -> Column:
     return F.when(start.isNotNull(), found)
 
 
-def element_tokens(toks: Column, wanted: Callable[[Column], Column]) -> Column:
-    """Tokens inside the first element whose start tag is ``wanted``; NULL if there is none or it never ends.
+def element_tokens(toks: Column, tag: str, wanted: Callable[[Column], Column]) -> Column:
+    """Tokens inside the first element ``tag`` whose start tag is ``wanted``; NULL if there is none or it never ends.
 
     ``toks`` is a column or a value bound by ``_let``: it is named more than once.
     """
@@ -180,24 +189,22 @@ def element_tokens(toks: Column, wanted: Callable[[Column], Column]) -> Column:
     def found(marks: Column) -> Column:
         return _let(F.try_element_at(F.filter(marks, lambda m: m["hit"]), F.lit(1)), lambda start: _inside(toks, marks, start))
 
-    return _let(_marks(toks, lambda t: ~t["closing"] & wanted(t)), found)
+    return _let(_marks(toks, [tag], lambda r: ~_closing(r) & wanted(r)), found)
 
 
-def _element_tokens_each(toks: Column, specs: Sequence[tuple[str, str]], body: Callable[[Column], Column]) -> Column:
-    """``body`` of ``element_tokens`` for every ``(name, pattern)`` of a start tag (any name if empty), as an array in their order.
+def _element_tokens_each(toks: Column, specs: Sequence[tuple[str, str, str]], body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``element_tokens`` for every ``(name, word, pattern)`` of a start tag (any name if empty), as an array in their order.
 
-    The page is gone through once for the start tags that fit any pattern; each
-    pattern is then tried on these alone, and ends are looked for among the tags.
+    The page is gone through once for the tags of these names and the start tags
+    that fit any pattern, which hold its word; each pattern is then tried on
+    these alone, and ends are looked for among the tags.
     """
-    names, either = sorted({name for name, _ in specs}), "|".join(pattern for _, pattern in specs)
-
-    def hit(t: Column) -> Column:
-        fits = ~t["closing"] & F.rlike(t["raw"], F.lit(either))
-        return fits if "" in names else t["name"].isin(names) & fits
+    names, either = sorted({name for name, _, _ in specs}), "|".join(pattern for _, _, pattern in specs)
+    words = reduce(lambda a, b: lambda r: a(r) | b(r), [lambda r, w=w: F.contains(r, F.lit(w)) for w in sorted({w for _, w, _ in specs})])
 
     def fitting(m: Column) -> Column:
-        raw = F.element_at(toks, m["at"])["raw"]
-        fits = [F.rlike(raw, F.lit(pattern)) if name == "" else (m["name"] == name) & F.rlike(raw, F.lit(pattern)) for name, pattern in specs]
+        raw = F.element_at(toks, m["at"])
+        fits = [F.rlike(raw, F.lit(pattern)) if name == "" else (m["name"] == name) & F.rlike(raw, F.lit(pattern)) for name, _, pattern in specs]
         return F.struct(m["at"].alias("at"), m["name"].alias("name"), F.array(*fits).alias("fits"))
 
     def each(p: Column) -> Column:
@@ -211,17 +218,18 @@ def _element_tokens_each(toks: Column, specs: Sequence[tuple[str, str]], body: C
         starts = F.transform(F.filter(marks, lambda m: m["hit"]), fitting)
         return _let(F.struct(F.filter(marks, lambda m: m["name"] != "").alias("tags"), starts.alias("starts")), each)
 
-    return _let(_marks(toks, hit), places)
+    return _let(_marks(toks, [] if "" in names else names, lambda r: ~_closing(r) & words(r) & F.rlike(r, F.lit(either))), places)
 
 
 def start_tag(toks: Column, wanted: Callable[[Column], Column]) -> Column:
     """The first start tag that is ``wanted``, as written; NULL if there is none."""
-    return F.try_element_at(F.filter(toks, lambda t: ~t["closing"] & wanted(t)), F.lit(1))["raw"]
+    return F.try_element_at(F.filter(toks, lambda r: r.startswith("<") & ~_closing(r) & wanted(r)), F.lit(1))
 
 
 def text_of(toks: Column) -> Column:
-    """Text of tokens, trimmed; empty gives NULL."""
-    return _nullif_empty(F.trim(F.array_join(F.transform(toks, lambda t: t["text"]), "")))
+    """Text of tokens, trimmed; empty gives NULL. Only texts and stray signs have one."""
+    texts = F.filter(toks, lambda r: ~r.startswith("<") | (r == "<"))
+    return _nullif_empty(F.trim(F.array_join(F.transform(texts, decode_references), "")))
 
 
 def item_tokens(block: Column) -> Column:
@@ -257,7 +265,7 @@ def item_tokens(block: Column) -> Column:
         last = F.array(F.struct(s["begin"].alias("a"), (F.size(block) + 1).alias("b")))
         return F.when(s["begin"] > 0, F.concat(s["items"], last)).otherwise(s["items"])
 
-    marks = F.filter(_marks(block, lambda t: t["name"].isin("ul", "ol", "li")), lambda m: m["hit"])
+    marks = _marks(block, ("ul", "ol", "li"), lambda r: F.lit(True))
     return F.transform(_let(marks, places), lambda p: F.slice(block, p["a"] + 1, p["b"] - p["a"] - 1))
 
 
@@ -279,17 +287,17 @@ def attribute(tag: Column, name: str) -> Column:
 
 def _is(tag: str, attr: str, value: str) -> Callable[[Column], Column]:
     pattern = _with_attribute(tag, attr, value)
-    return lambda t: (t["name"] == tag) & t["raw"].rlike(pattern)
+    return lambda r: F.contains(r, F.lit(value)) & r.rlike(pattern) & (_name(r) == tag)
 
 
 def _classed(tag: str, word: str) -> Callable[[Column], Column]:
     pattern = _with_class(tag, word)
-    return lambda t: (t["name"] == tag) & t["raw"].rlike(pattern)
+    return lambda r: F.contains(r, F.lit(word)) & r.rlike(pattern) & (_name(r) == tag)
 
 
 def element_texts(page: str | Column | Tokens, specs: Sequence[tuple[str, str | None, str | None]]) -> Column:
     """Texts of the first ``<tag>`` whose ``attr`` is ``value`` (any ``<tag>`` without ``attr``), as an array in the order of ``specs``."""
-    wanted = [(tag, _with_attribute(tag, attr, value) if attr else f"<{tag}") for tag, attr, value in specs]
+    wanted = [(tag, value, _with_attribute(tag, attr, value)) if attr else (tag, "", f"<{tag}") for tag, attr, value in specs]
     return _in_tokens(page, lambda toks: _element_tokens_each(toks, wanted, text_of))
 
 
@@ -299,7 +307,7 @@ DETAILS, ICONS, TAGS = ("ul", "caret-list"), ("", "bloco-caracteristicas"), ("ul
 
 def block_items(page: str | Column | Tokens, blocks: Sequence[tuple[str, str]] = (DETAILS, ICONS, TAGS)) -> Column:
     """Tokens of the items of the first block of each kind, as an array in the order of ``blocks``; NULL for a block that is not there."""
-    wanted = [(tag, _with_class(tag or "[A-Za-z0-9]+", word)) for tag, word in blocks]
+    wanted = [(tag, word, _with_class(tag or "[A-Za-z0-9]+", word)) for tag, word in blocks]
     return _in_tokens(page, lambda toks: _element_tokens_each(toks, wanted, item_tokens))
 
 
@@ -329,7 +337,7 @@ def meta_map(page: str | Column | Tokens, mapping: dict[str, str] | None = None)
 
 
 def _before_strong(item: Column) -> Column:
-    at = F.array_position(F.transform(item, lambda t: t["name"] == "strong"), True)
+    at = F.array_position(F.transform(item, lambda r: _tagged(r, "strong")), True)
     return _let(at, lambda i: F.when(i > 0, F.slice(item, F.lit(1), i - 1)).otherwise(item))
 
 
@@ -338,7 +346,7 @@ def details_of(items: Column) -> Column:
     return F.transform(
         items,
         lambda li: F.struct(
-            text_of(_before_strong(li)).alias("label"), text_of(element_tokens(li, lambda t: t["name"] == "strong")).alias("value")
+            text_of(_before_strong(li)).alias("label"), text_of(element_tokens(li, "strong", lambda r: F.lit(True))).alias("value")
         ),
     )
 
@@ -374,8 +382,8 @@ def icons_of(items: Column) -> Column:
     return F.transform(
         items,
         lambda li: F.struct(
-            attribute(start_tag(li, lambda t: (t["name"] == "span") & t["raw"].rlike(r"\stitle\s*=")), "title").alias("title"),
-            text_of(element_tokens(li, _classed("span", "num"))).alias("num"),
+            attribute(start_tag(li, lambda r: _tagged(r, "span") & r.rlike(r"\stitle\s*=")), "title").alias("title"),
+            text_of(element_tokens(li, "span", _classed("span", "num"))).alias("num"),
         ),
     )
 
@@ -441,9 +449,9 @@ NEXT_PAGE_ID = "ctl00_ContentPlaceHolder1_lnkNext"
 
 def listing_links(page: str | Column | Tokens) -> Column:
     """Targets of the anchors with an id inside the results table of an index page, in page order."""
-    block = _in_tokens(page, lambda toks: element_tokens(toks, _is("table", "id", RESULTS_TABLE_ID)))
-    anchors = F.filter(block, lambda t: (t["name"] == "a") & ~t["closing"] & t["raw"].rlike(r"\sid\s*="))
-    return F.filter(F.transform(anchors, lambda t: attribute(t["raw"], "href")), lambda h: h.isNotNull())
+    block = _in_tokens(page, lambda toks: element_tokens(toks, "table", _is("table", "id", RESULTS_TABLE_ID)))
+    anchors = F.filter(block, lambda r: _tagged(r, "a") & ~_closing(r) & r.rlike(r"\sid\s*="))
+    return F.filter(F.transform(anchors, lambda r: attribute(r, "href")), lambda h: h.isNotNull())
 
 
 def next_page(page: str | Column | Tokens, link_id: str = NEXT_PAGE_ID) -> Column:

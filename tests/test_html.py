@@ -125,3 +125,15 @@ def test_a_page_is_split_once(spark):
     df = spark.createDataFrame([(1, "u", PAGE)], "page_id long, url string, html string")
     plan = page_extract(df)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_extract_all(html") == 1
+
+
+def test_a_split_page_holds_its_tokens_alone(spark):
+    from dimetl.functions import html as H
+
+    page = "a < b &lt; <!-- <p id='x'>no</p> --><P id='x' class='num'>A < &amp;<br/> B</P><SPAN title='<meta property=\"og:url\">'></SPAN><meta property='og:url' content='u'>"
+    split = spark.createDataFrame([(page,)], "html string").select(H.tokens("html").alias("t"))
+    # Names and texts are read where a lookup asks for them, not kept for every token.
+    assert split.dtypes == [("t", "array<string>")]
+    h = H.Tokens(F.col("t"))
+    r = split.select(H.text_of(F.col("t")).alias("all"), H.tag_text(h, "p").alias("p"), H.tag_text(h, "br").alias("br"), H.meta_content(h, "og:url").alias("m")).first()
+    assert (r["all"], r["p"], r["br"], r["m"]) == ("a < b < A < & B", None, None, "u")
