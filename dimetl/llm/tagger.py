@@ -90,12 +90,10 @@ class Tagger:
         """Tag scores (length, tags, n); both directions in one loop, windows last so that a step's gates are blocks."""
         n, length = x.shape
         k, x = self.hidden, np.ascontiguousarray(x.T, np.intp)
-        # The sigmoid of z is (tanh(z / 2) + 1) / 2: with halved gates one tanh serves gates and cell input. The states
-        # are kept doubled, so that no gate is halved after it: their weights are halved instead.
-        half = np.repeat(np.float32([0.5, 0.5, 0.5, 1.0]), k)[:, None]
-        weights = [
-            np.ascontiguousarray(np.concatenate([self.p[f"H{d}"] * np.float32(0.5), self.p[f"X{d}"], self.p[f"c{d}"][None]]).T * half) for d in "fb"
-        ]
+        # Exponentials of float32 take a fraction of the time of tanh, so gates are 1 / (1 + exp(-z)) and tanh(z) is
+        # 2 / (1 + exp(-2 z)) - 1: the factors stand in the weights, and the cells are kept times -2.
+        factor = np.repeat(np.float32([-1, -1, -1, -2]), k)[:, None]
+        weights = [np.ascontiguousarray(np.concatenate([self.p[f"H{d}"], self.p[f"X{d}"], self.p[f"c{d}"][None]]).T * factor) for d in "fb"]
         # A step's input, as one block: the state before it, the character's embedding, a one for the bias.
         table = np.ascontiguousarray(np.concatenate([self.p["E"], np.ones((len(self.p["E"]), 1), np.float32)], axis=1).T)
         steps = np.empty((2, length + 1, k + len(table), n), np.float32)
@@ -104,20 +102,27 @@ class Tagger:
             steps[1, length - 1 - t, k:] = steps[0, t, k:]
         steps[:, 0, :k] = 0
         c, z = np.zeros((2, k, n), np.float32), np.empty((2, 4 * k, n), np.float32)
-        gates, new = z[:, : 3 * k], z[:, 3 * k :]
+        new = z[:, 3 * k :]
         into, forget, out = z[:, :k], z[:, k : 2 * k], z[:, 2 * k : 3 * k]
-        for t in range(length):
-            np.matmul(weights[0], steps[0, t], out=z[0])
-            np.matmul(weights[1], steps[1, t], out=z[1])
-            np.tanh(z, out=z)
-            gates += 1
-            new *= into
-            c *= forget
-            c += new
-            c *= 0.5
-            np.tanh(c, out=new)
-            np.multiply(new, out, out=steps[:, t + 1, :k])
-        ahead, back = np.ascontiguousarray((self.p["O"] * np.float32(0.5)).T.reshape(self.tags, 2, k).transpose(1, 0, 2))
+        # An exponential too large for float32 is a gate of 0.
+        with np.errstate(over="ignore"):
+            for t in range(length):
+                np.matmul(weights[0], steps[0, t], out=z[0])
+                np.matmul(weights[1], steps[1, t], out=z[1])
+                np.exp(z, out=z)
+                z += 1
+                np.divide(1, z, out=z)
+                new *= -4
+                new += 2
+                new *= into
+                c *= forget
+                c += new
+                np.exp(c, out=new)
+                new += 1
+                np.divide(2, new, out=new)
+                new -= 1
+                np.multiply(new, out, out=steps[:, t + 1, :k])
+        ahead, back = np.ascontiguousarray(self.p["O"].T.reshape(self.tags, 2, k).transpose(1, 0, 2))
         scores = np.empty((length, self.tags, n), np.float32)
         other = np.empty((self.tags, n), np.float32)
         for t, row in enumerate(scores):
@@ -251,7 +256,7 @@ class Tagger:
         moved = (~self._calm(scores)).nonzero()[0] if len(rest) else rest
         return rest[moved], np.ascontiguousarray(scores[:, :, moved].transpose(2, 0, 1))
 
-    def decode(self, x: np.ndarray, at_once: int = 512) -> tuple[np.ndarray, np.ndarray]:
+    def decode(self, x: np.ndarray, at_once: int = 1024) -> tuple[np.ndarray, np.ndarray]:
         """Viterbi tags (n x length) and each position's score margin over tag 0.
 
         ``at_once`` windows go through the network together; the few that some

@@ -464,6 +464,27 @@ def test_decoding_without_pointers_gives_the_best_paths():
         assert (tags == best).all() and np.allclose(margin, gains, atol=1e-5)
 
 
+def test_decoding_takes_exponentials_alone_and_saturated_gates_stay_right(monkeypatch):
+    from types import SimpleNamespace
+
+    from dimetl.llm import tagger as module
+
+    rng = np.random.default_rng(4)
+    x = rng.integers(0, pii.CLASSES, (40, 30))
+    for scale in (1, 200):
+        tagger = pii.new_tagger()
+        for name in ("Xf", "Xb"):
+            tagger.p[name] = tagger.p[name] * np.float32(scale)
+        inputs = tagger.p["E"][x]
+        both = np.concatenate([tagger._lstm(inputs, d, False)[0] for d in "fb"], axis=2)
+        with monkeypatch.context() as m, np.errstate(all="raise", under="ignore"):
+            # A tanh of float32 takes several times as long as an exponential.
+            m.setattr(module, "np", SimpleNamespace(**{k: v for k, v in vars(np).items() if k != "tanh"}))
+            scores = tagger.emissions(x)
+        off = np.abs(scores - (both @ tagger.p["O"] + tagger.p["o"]))
+        assert off.max() < (1e-5 if scale == 1 else 1e-3)
+
+
 def test_the_short_pass_finds_calm_windows_only_and_paths_are_traced_together(monkeypatch):
     rng = np.random.default_rng(5)
     tagger, traced = pii.new_tagger(), []
