@@ -134,6 +134,8 @@ _CLASS_OF = _class_table()
 _AT = r"(?:\s*[\[({<]\s*(?:at|@)\s*[\])}>]\s*|\s+at\s+|\s*@\s*)"
 _DOT = r"(?:\s*[\[({<]\s*(?:dot|\.)\s*[\])}>]\s*|\s+dot\s+|\s*\.\s*)"
 _TRIGGER = re.compile(r"[0-9@]|(?i:\bdot\b)")
+#: Every base span holds such a character.
+_SIGN = re.compile(r"[0-9@]")
 
 
 def tags_of(length: int, spans: list[tuple[int, int, int]]) -> np.ndarray:
@@ -161,7 +163,8 @@ def windows_of(text: str) -> np.ndarray:
     count = -(-len(classes) // STRIDE)
     if not count:
         return np.zeros((0, WINDOW), np.int8)
-    padded = np.pad(classes, (0, count * STRIDE + WINDOW - STRIDE - len(classes)))
+    padded = np.zeros(count * STRIDE + WINDOW - STRIDE, np.int8)
+    padded[: len(classes)] = classes
     return np.lib.stride_tricks.sliding_window_view(padded, WINDOW)[::STRIDE]
 
 
@@ -263,30 +266,31 @@ def _plausible(kind: int, text: str, before: str = "") -> bool:
     return bool(_PHONE_SHAPE.fullmatch(text.strip()) or text.startswith(("+", "00 ", "00-")) or _LABEL.search(before))
 
 
-def _window_batches(texts: list[str], rows_at_once: int) -> Iterator[tuple[list[tuple[int, int]], np.ndarray]]:
-    """Places ``(text, start)`` and classes of all windows of the texts, ``rows_at_once`` at a time."""
-    places, parts = [], []
+def _window_batches(texts: list[str], rows_at_once: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Text numbers, starts and classes of all windows of the texts, ``rows_at_once`` at a time."""
+    numbers, starts, parts, held = [], [], [], 0
     for i, text in enumerate(texts):
         windows, at = windows_of(text), 0
         while at < len(windows):
-            part = windows[at : at + rows_at_once - len(places)]
-            places += [(i, (at + n) * STRIDE) for n in range(len(part))]
+            part = windows[at : at + rows_at_once - held]
+            numbers.append(np.full(len(part), i))
+            starts.append(np.arange(at, at + len(part)) * STRIDE)
             parts.append(part)
-            at += len(part)
-            if len(places) == rows_at_once:
-                yield places, np.concatenate(parts)
-                places, parts = [], []
-    if places:
-        yield places, np.concatenate(parts)
+            at, held = at + len(part), held + len(part)
+            if held == rows_at_once:
+                yield np.concatenate(numbers), np.concatenate(starts), np.concatenate(parts)
+                numbers, starts, parts, held = [], [], [], 0
+    if held:
+        yield np.concatenate(numbers), np.concatenate(starts), np.concatenate(parts)
 
 
-def added_spans(texts: list[str], base: list[list[tuple[int, int, int]]], tagger: Tagger, rows_at_once: int = 4096) -> list[list[tuple[int, int, int]]]:
+def added_spans(texts: list[str], base: list[list[tuple[int, int, int]]], tagger: Tagger, rows_at_once: int = 4224) -> list[list[tuple[int, int, int]]]:
     """Spans that the tagger adds to the base spans of each text."""
     pieces: list[list[tuple[int, int, int, float, bool, bool]]] = [[] for _ in texts]
-    for places, x in _window_batches(texts, rows_at_once):
+    for numbers, starts, x in _window_batches(texts, rows_at_once):
         tags, margin = tagger.decode(x)
         for n in tags.any(1).nonzero()[0].tolist():
-            (i, s), row, gain = places[n], tags[n], margin[n]
+            i, s, row, gain = int(numbers[n]), int(starts[n]), tags[n], margin[n]
             # A run without a begin at a window's left edge goes on from the window before.
             heads = (row % 2 == 1).nonzero()[0].tolist()
             if s > 0 and row[0] and row[0] % 2 == 0:
@@ -400,7 +404,7 @@ def training_snippets(docs: DataFrame, text_column: str = "text", id_column: str
 
 def spans_of(texts: list[str], tagger: Tagger | None) -> tuple[list, list]:
     """Base spans and all spans of each text, each sorted by start, then kind."""
-    base = [base_spans(t) if _TRIGGER.search(t) else [] for t in texts]
+    base = [base_spans(t) if _SIGN.search(t) else [] for t in texts]
     if tagger is None:
         return base, base
     more = added_spans(texts, base, tagger)

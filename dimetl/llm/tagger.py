@@ -11,6 +11,9 @@ from __future__ import annotations
 import numpy as np
 
 _FORBIDDEN = -1e4
+#: Windows that go through the network together: few enough that a step stays in the processor's cache, and no power of two,
+#: whose rows would share few lines of it.
+_BLOCK = 528
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -87,50 +90,65 @@ class Tagger:
         return np.ascontiguousarray(self._scores(x).transpose(2, 0, 1))
 
     def _scores(self, x: np.ndarray) -> np.ndarray:
-        """Tag scores (length, tags, n); both directions in one loop, windows last so that a step's gates are blocks."""
+        """Tag scores (length, tags, n)."""
+        scores = np.empty((x.shape[1], self.tags, len(x)), np.float32)
+        for i in range(0, len(x), _BLOCK):
+            self._block_scores(x[i : i + _BLOCK], scores[:, :, i : i + _BLOCK])
+        return scores
+
+    def _block_scores(self, x: np.ndarray, scores: np.ndarray) -> None:
+        """Fills ``scores``; both directions in one loop, windows last so that a step's gates are blocks."""
         n, length = x.shape
         k, x = self.hidden, np.ascontiguousarray(x.T, np.intp)
-        # Exponentials of float32 take a fraction of the time of tanh, so gates are 1 / (1 + exp(-z)) and tanh(z) is
-        # 2 / (1 + exp(-2 z)) - 1: the factors stand in the weights, and the cells are kept times -2.
-        factor = np.repeat(np.float32([-1, -1, -1, -2]), k)[:, None]
-        weights = [np.ascontiguousarray(np.concatenate([self.p[f"H{d}"], self.p[f"X{d}"], self.p[f"c{d}"][None]]).T * factor) for d in "fb"]
-        # A step's input, as one block: the state before it, the character's embedding, a one for the bias.
-        table = np.ascontiguousarray(np.concatenate([self.p["E"], np.ones((len(self.p["E"]), 1), np.float32)], axis=1).T)
-        steps = np.empty((2, length + 1, k + len(table), n), np.float32)
-        for t in range(length):
-            np.take(table, x[t], axis=1, out=steps[0, t, k:], mode="clip")
-            steps[1, length - 1 - t, k:] = steps[0, t, k:]
-        steps[:, 0, :k] = 0
-        c, z = np.zeros((2, k, n), np.float32), np.empty((2, 4 * k, n), np.float32)
-        new = z[:, 3 * k :]
-        into, forget, out = z[:, :k], z[:, k : 2 * k], z[:, 2 * k : 3 * k]
-        # An exponential too large for float32 is a gate of 0.
+        # Gates are 1 / (1 + 2 ** -z) and tanh(z) is 2 / (1 + 2 ** (-2 z)) - 1, with z times log2(e): the factors stand in the
+        # weights, and the cells are kept times -2 log2(e). Powers of two take less time than exponentials and tanh.
+        unit = np.float32(np.log2(np.e))
+        factor = np.repeat(np.float32([-1, -1, -1, -2]) * unit, k)[:, None]
+        # A step's input, as one block: the state before it, the character's embedding, a one for the bias. The product's last
+        # rows are the tag scores of the state before.
+        wide = self.p["E"].shape[1]
+        weights = np.zeros((2, 4 * k + self.tags, k + wide + 1), np.float32)
+        for own, d, tail in zip(weights, "fb", self.p["O"].reshape(2, k, self.tags), strict=True):
+            own[: 4 * k] = np.concatenate([self.p[f"H{d}"], self.p[f"X{d}"], self.p[f"c{d}"][None]]).T * factor
+            own[4 * k :, :k] = tail.T
+        weights[0, 4 * k :, -1] = self.p["o"]
+        chars = np.ones((length, wide + 1, n), np.float32)
+        for own, classes in zip(chars, x, strict=True):
+            own[:wide] = self.p["E"].take(classes, axis=0, mode="clip").T
+        # Only this step's blocks are held, so they stay in the processor's cache.
+        step, c = np.zeros((2, k + wide + 1, n), np.float32), np.zeros((2, k, n), np.float32)
+        z, squashed = np.empty((2, 4 * k + self.tags, n), np.float32), np.empty((2, k, n), np.float32)
+        state, gates, tail = step[:, :k], z[:, : 4 * k], z[:, 4 * k :]
+        into, forget, out, new = (z[:, i * k : (i + 1) * k] for i in range(4))
+        # A power too large for float32 is a gate of 0.
         with np.errstate(over="ignore"):
-            for t in range(length):
-                np.matmul(weights[0], steps[0, t], out=z[0])
-                np.matmul(weights[1], steps[1, t], out=z[1])
-                np.exp(z, out=z)
-                z += 1
-                np.divide(1, z, out=z)
-                new *= -4
-                new += 2
-                new *= into
-                c *= forget
+            for t in range(length + 1):
+                if t < length:
+                    step[0, k:], step[1, k:] = chars[t], chars[length - 1 - t]
+                np.matmul(weights[0], step[0], out=z[0])
+                np.matmul(weights[1], step[1], out=z[1])
+                if t:
+                    # A position's first half is set, its second added.
+                    if 2 * t <= length + 1:
+                        scores[t - 1] = tail[0]
+                    else:
+                        scores[t - 1] += tail[0]
+                    if 2 * t <= length:
+                        scores[length - t] = tail[1]
+                    else:
+                        scores[length - t] += tail[1]
+                np.exp2(gates, out=gates)
+                gates += 1
+                np.divide(4 * unit, new, out=new)
+                np.subtract(2 * unit, new, out=new)
+                new /= into
+                c /= forget
                 c += new
-                np.exp(c, out=new)
-                new += 1
-                np.divide(2, new, out=new)
-                new -= 1
-                np.multiply(new, out, out=steps[:, t + 1, :k])
-        ahead, back = np.ascontiguousarray(self.p["O"].T.reshape(self.tags, 2, k).transpose(1, 0, 2))
-        scores = np.empty((length, self.tags, n), np.float32)
-        other = np.empty((self.tags, n), np.float32)
-        for t, row in enumerate(scores):
-            np.matmul(ahead, steps[0, t + 1, :k], out=row)
-            np.matmul(back, steps[1, length - t, :k], out=other)
-            row += other
-        scores += self.p["o"][:, None]
-        return scores
+                np.exp2(c, out=squashed)
+                squashed += 1
+                np.divide(2, squashed, out=squashed)
+                squashed -= 1
+                np.divide(squashed, out, out=state)
 
     # ----------------------------------------------------------- training
 
@@ -212,41 +230,42 @@ class Tagger:
     def _flat(self, scores: np.ndarray) -> np.ndarray:
         """Windows that a more lenient forward pass, which needs fewer sums, finds calm; all of them are calm.
 
-        Scores are gains over staying outside.  Into a tag that all tags may
-        precede, every tag but 0 goes at the cost of the cheapest; a tag that
-        few may precede is reached from these alone.
+        Scores are gains over staying outside, and a calm window's outside stays
+        at 0.  Tags that only some tags may precede form a group with these; a
+        group is entered at the cost of its cheapest step and keeps one sum, its
+        best tag's, to which every tag of the group may add the most it can.
         """
         trans, start = self.p["T"] + self.blocked - self.p["T"][0, 0], self.p["S"] + self.start_blocked
-        few = (self.blocked[1:, 1:] == 0).sum(0) < self.tags - 1
-        order = np.concatenate([1 + np.flatnonzero(~few), 1 + np.flatnonzero(few)])
-        wide, leave = int((~few).sum()), trans[order, 0][:, None]
-        enter, switch = trans[0, order[:wide]][:, None], trans[1:, order[:wide]].max(0)[:, None]
-        within = trans[np.ix_(order, order[wide:])]
-        # The predecessors of the other tags, the most that one of them has; places beyond a tag's own hold a forbidden step.
-        most = int((within > _FORBIDDEN / 2).sum(0).max(initial=0))
-        ahead = np.sort(np.argsort(-within, axis=0, kind="stable")[:most], axis=0)
-        steps = np.take_along_axis(within, ahead, 0)[:, :, None]
-        # Tags in a row are read as a slice.
-        ahead = [slice(a[0], a[0] + len(a)) if (np.diff(a) == 1).all() else a for a in ahead]
-        gains = scores[:, order]
-        gains -= scores[:, :1]
-        best, outside = (start[order] - start[0])[:, None] + gains[0], np.zeros(scores.shape[2], np.float32)
-        if (trans[0, order[wide:]] > _FORBIDDEN / 2).any():
-            return outside > 0  # such a tag may follow tag 0 as well: no shorter way
-        back = np.empty_like(best)
-        for gain in gains[1:]:
-            np.add(best, leave, out=back)
-            new = gain
-            new[:wide] += np.maximum(outside + enter, best.max(0) + switch)
-            if most:
-                path = best[ahead[0]] + steps[0]
-                for n in range(1, most):
-                    np.maximum(path, best[ahead[n]] + steps[n], out=path)
-                new[wide:] += path
-            np.maximum(outside, back.max(0), out=outside)
-            best = new
+        few = [j for j in range(1, self.tags) if (self.blocked[1:, j] < 0).any()]
+        group = np.arange(self.tags)
+        for j in few:
+            for i in (self.blocked[:, j] == 0).nonzero()[0]:
+                group[group == group[i]] = group[j]
+        groups = [(group == g).nonzero()[0] for g in dict.fromkeys(group[1:])]
+        if any(g[0] == 0 for g in groups):
+            return np.zeros(scores.shape[2], bool)  # such a tag may follow tag 0 as well: no shorter way
+        length, _, n = scores.shape
+        enter, stay = np.full((2, length, len(groups), n), _FORBIDDEN, np.float32)
+        best, leave = np.empty((len(groups), n), np.float32), np.empty((len(groups), 1), np.float32)
+        own = np.empty((length, n), np.float32)
+        for k, tags in enumerate(groups):
+            leave[k] = trans[tags, 0].max()
+            best[k] = (scores[0, tags] + (start[tags] - start[0])[:, None]).max(0) - scores[0, 0]
+            for j in tags:
+                into, cost = (stay, trans[tags, j].max()) if j in few else (enter, trans[:, j].max())
+                np.subtract(scores[:, j], scores[:, 0], out=own)
+                own += cost
+                np.maximum(into[:, k], own, out=into[:, k])
+        most, top = np.full_like(best, _FORBIDDEN), np.empty(n, np.float32)
+        for entered, stayed in zip(enter[1:], stay[1:], strict=True):
+            np.maximum(most, best, out=most)
+            best.max(0, out=top)
+            np.maximum(top, 0, out=top)
+            best += stayed
+            entered += top
+            np.maximum(best, entered, out=best)
         # The hundredth covers what adding up a window's scores may round.
-        return (best.max(0) < -0.01) & (outside <= 0)
+        return (best.max(0) < -0.01) & ((most + leave).max(0) < -0.01)
 
     def stirred(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of all windows ``x``, the numbers of those in which some path beats tag 0 throughout, and their tag scores (n, length, tags)."""
@@ -256,11 +275,11 @@ class Tagger:
         moved = (~self._calm(scores)).nonzero()[0] if len(rest) else rest
         return rest[moved], np.ascontiguousarray(scores[:, :, moved].transpose(2, 0, 1))
 
-    def decode(self, x: np.ndarray, at_once: int = 1024) -> tuple[np.ndarray, np.ndarray]:
+    def decode(self, x: np.ndarray, at_once: int = 2 * _BLOCK) -> tuple[np.ndarray, np.ndarray]:
         """Viterbi tags (n x length) and each position's score margin over tag 0.
 
-        ``at_once`` windows go through the network together; the few that some
-        path stirs are traced all at once.
+        ``at_once`` windows go through the short pass together; the few that
+        some path stirs are traced all at once.
         """
         tags, margin = np.zeros(x.shape, np.int8), np.zeros(x.shape, np.float32)
         found = [(i, *self.stirred(x[i : i + at_once])) for i in range(0, len(x), at_once)]

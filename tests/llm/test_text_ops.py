@@ -485,6 +485,24 @@ def test_decoding_takes_exponentials_alone_and_saturated_gates_stay_right(monkey
         assert off.max() < (1e-5 if scale == 1 else 1e-3)
 
 
+def test_the_network_holds_one_step_of_a_block_not_every_state():
+    import tracemalloc
+
+    tagger = pii.new_tagger()
+    x = np.random.default_rng(6).integers(0, pii.CLASSES, (1100, pii.WINDOW))
+    tagger._scores(x[:8])
+    tracemalloc.start()
+    scores = tagger._scores(x)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # The states of all steps in both directions alone would be 13 MB, beside scores of 4.
+    assert peak - scores.nbytes < 5e6
+    # Blocks and an odd number of steps change no score.
+    assert np.allclose(scores[:, :, 600:], tagger._scores(x[600:]), atol=1e-5)
+    odd = np.concatenate([tagger._lstm(tagger.p["E"][x[:9, :23]], d, False)[0] for d in "fb"], axis=2) @ tagger.p["O"] + tagger.p["o"]
+    assert np.allclose(tagger.emissions(x[:9, :23]), odd, atol=1e-5)
+
+
 def test_the_short_pass_finds_calm_windows_only_and_paths_are_traced_together(monkeypatch):
     rng = np.random.default_rng(5)
     tagger, traced = pii.new_tagger(), []
