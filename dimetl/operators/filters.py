@@ -35,6 +35,20 @@ def filter_not_blank(df: DataFrame, *columns: str) -> DataFrame:
     return df.where(cond) if cond is not None else df
 
 
+def slice_of(df: DataFrame, columns: Sequence[str], part: tuple[int, int] = (0, 1)) -> DataFrame:
+    """Slice ``i`` of ``n`` (``part``) by a hash of ``columns``: each row is in one slice, equal keys are in the same one."""
+    i, n = part
+    if not 0 <= i < n:
+        raise ValueError(f"no slice {i} of {n}")
+    return df if n == 1 else df.where(F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in columns]), F.lit(n)) == i)
+
+
+def slices(rows: int, per_slice: int) -> list[tuple[int, int]]:
+    """The slices (``slice_of``) that ``rows`` need at ``per_slice`` each, one at least."""
+    n = max(1, -(-rows // per_slice))
+    return [(i, n) for i in range(n)]
+
+
 def project(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     missing = [c for c in columns if c not in df.columns]
     if missing:

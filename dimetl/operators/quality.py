@@ -101,20 +101,29 @@ def dq_fk_orphans(fact: DataFrame, fks: Mapping[str, tuple[DataFrame, str]], fac
     """Referential integrity: fact rows whose non-NULL key has no dimension row.
 
     All keys in one pass: the fact is read once, its keys and those of the
-    dimensions, each tagged with its foreign key's name, meet in one exchange,
-    pre-aggregated, so a hot key is one row there.  Keys are compared as text.
+    dimensions, each tagged with its foreign key's number, meet in one exchange,
+    pre-aggregated, so a hot key is one row there.  Whole numbers and timestamps
+    that have one type on both sides are compared as longs, other keys as text.
     """
     if not fks:
         raise ValueError("no checks given")
-    own = F.array(*[F.struct(F.lit(fk).alias("fk"), F.col(f"`{fk}`").cast("string").alias("k")) for fk in fks])
-    sides = [fact.select(F.explode(own).alias("x")).select("x.fk", "x.k", F.lit(1).alias("n"), F.lit(0).alias("known"))]
-    for fk, (dim, key) in fks.items():
-        sides.append(dim.select(F.lit(fk).alias("fk"), F.col(f"`{key}`").cast("string").alias("k"), F.lit(0).alias("n"), F.lit(1).alias("known")))
+    kinds = {fk: (dict(fact.dtypes)[fk], dict(dim.dtypes)[key]) for fk, (dim, key) in fks.items()}
+
+    def tagged(i: int, fk: str, column: str) -> list[Column]:
+        c, (own, other) = F.col(f"`{column}`"), kinds[fk]
+        short = own == other and own in ("tinyint", "smallint", "int", "bigint", "timestamp")
+        as_long = F.unix_micros(c) if own == "timestamp" else c.cast("bigint")
+        return [F.lit(i).alias("fk"), (as_long if short else F.lit(None).cast("bigint")).alias("l"), (F.lit(None) if short else c).cast("string").alias("k")]
+
+    own = F.array(*[F.struct(*tagged(i, fk, fk)) for i, fk in enumerate(fks)])
+    sides = [fact.select(F.explode(own).alias("x")).select("x.*", F.lit(1).alias("n"), F.lit(0).alias("known"))]
+    for i, (fk, (dim, key)) in enumerate(fks.items()):
+        sides.append(dim.select(*tagged(i, fk, key), F.lit(0).alias("n"), F.lit(1).alias("known")))
     keys = sides[0]
     for side in sides[1:]:
         keys = keys.unionAll(side)
-    met = keys.where(F.col("k").isNotNull()).groupBy("fk", "k").agg(F.sum("n").alias("n"), F.max("known").alias("known"))
-    lost = [F.coalesce(F.sum(F.when((F.col("fk") == fk) & (F.col("known") == 0), F.col("n"))), F.lit(0)).alias(f"n{i}") for i, fk in enumerate(fks)]
+    met = keys.where(F.col("l").isNotNull() | F.col("k").isNotNull()).groupBy("fk", "l", "k").agg(F.sum("n").alias("n"), F.max("known").alias("known"))
+    lost = [F.coalesce(F.sum(F.when((F.col("fk") == i) & (F.col("known") == 0), F.col("n"))), F.lit(0)).alias(f"n{i}") for i in range(len(fks))]
     rows = [F.struct(*_row("fk_orphans", f"{fact_name}.{fk}", F.col(f"n{i}"), F.lit(0), F.col(f"n{i}") == 0)) for i, fk in enumerate(fks)]
     return met.agg(*lost).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 

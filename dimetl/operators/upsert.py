@@ -40,9 +40,11 @@ def upsert_last_wins(
         frames.insert(0, existing.select(*[F.col(f"`{c}`") for c in cols], F.lit(0).alias("__src"), null_ord.alias("__ord")))
     rows = frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
     ordering = F.struct(F.col("__src"), F.col("__ord"))
-    aggs = [F.min_by(F.col(f"`{c}`"), ordering).alias(c) for c in first_cols]
-    aggs += [F.max_by(F.col(f"`{c}`"), ordering).alias(c) for c in last_cols]
-    return rows.groupBy(*key).agg(*aggs).select(*cols)
+    # One aggregate for all first values and one for all last ones: a partial row holds their order once, not per column.
+    ends = {"__first": (F.min_by, list(first_cols)), "__last": (F.max_by, list(last_cols))}
+    aggs = [take(_struct(of), ordering).alias(n) for n, (take, of) in ends.items() if of]
+    values = [F.col(f"{n}.`{c}`").alias(c) for n, (_, of) in ends.items() for c in of]
+    return (rows.groupBy(*key).agg(*aggs) if aggs else rows.select(*key).distinct()).select(*key, *values)
 
 
 def first_per_key(df: DataFrame, key: Sequence[str], order_cols: Sequence[str]) -> DataFrame:

@@ -9,6 +9,11 @@
 Each job stages its normalised input once as Parquet in the output folder (a
 written table: columnar, and the lineage of every later write starts there
 instead of at the raw JSON), then derives and writes each table.
+
+Disk of ``run_song_star``: a write frees its shuffle files as it ends, and the
+tables that grow with the log are written in slices of ``EVENTS_PER_SLICE``
+events, so that shuffles take no more than a slice at a time.  What stays is
+the staged log and the tables, packed.
 """
 
 from __future__ import annotations
@@ -21,11 +26,17 @@ from dimetl.operators import quality as Q
 from dimetl.plans import listings as L
 from dimetl.plans import songplays as SP
 from dimetl.schemas import DIMENSIONS
+from dimetl.session import shuffles_released
 from dimetl.sinks import writers as W
 from dimetl.sinks.paths import exists
-from dimetl.operators.filters import filter_plays
+from dimetl.operators.filters import filter_plays, slices
 from dimetl.sources import files as S
 
+#: Events whose rows are shuffled at a time.
+EVENTS_PER_SLICE = 40_000_000
+#: Parquet codec of the staged log and the star tables.
+PACKED = "zstd"
+
 
 def normalise_log(raw: DataFrame) -> DataFrame:
     """Player log (JSON field names) -> the snake_case play-log columns of the star builder."""
@@ -57,32 +68,43 @@ def run_song_star(
     """Build and write the song-play star schema of one model (``songplays.RULES``); returns table -> path."""
     if not song_root or not log_root or not out_root:
         raise ValueError("run_song_star needs song_root, log_root and out_root")
-    out = out_root.rstrip("/")
-    songs_path, log_path = f"{out}/staging/songs", f"{out}/staging/events"
-    S.scan_recursive(spark, song_root, S.SONG_SCHEMA).write.mode("overwrite").parquet(songs_path)
-    normalise_log(S.scan_recursive(spark, log_root, S.LOG_SCHEMA)).write.mode("overwrite").parquet(log_path)
-    songs_raw, log = spark.read.parquet(songs_path), spark.read.parquet(log_path)
+    with shuffles_released(spark):
+        return _song_star(spark, song_root, log_root, out_root.rstrip("/"), SP.star_rules(variant))
 
-    tables = SP.star_schema(log, songs_raw, variant)
-    paths = {name: f"{out}/{name}" for name in tables}
-    # Five independent sinks: submitted as concurrent jobs, each of which counts its rows.
+
+def _song_star(spark: SparkSession, song_root: str, log_root: str, out: str, rules: SP.StarRules) -> dict[str, str]:
+    songs_path, log_path, lookup_path = (f"{out}/staging/{name}" for name in ("songs", "events", "lookup"))
     n = {"n": F.count(F.lit(1))}
-    counted = W.run_writes(
-        spark,
-        {
-            "songplays": lambda: W.write_partitioned(tables["songplays"], paths["songplays"], ["year", "month"], observe=n),
-            "time": lambda: W.write_partitioned(tables["time"], paths["time"], ["year", "month"], observe=n),
-            "songs": lambda: W.write_partitioned(tables["songs"], paths["songs"], ["year"], observe=n),
-            "users": lambda: W.write_parquet(tables["users"], paths["users"], observe=n),
-            "artists": lambda: W.write_parquet(tables["artists"], paths["artists"], observe=n),
+    W.write_parquet(S.scan_recursive(spark, song_root, S.SONG_SCHEMA), songs_path, codec=PACKED)
+    events = W.write_parquet(normalise_log(S.scan_recursive(spark, log_root, S.LOG_SCHEMA)), log_path, observe=n, codec=PACKED)["n"]
+    songs_raw, log = spark.read.parquet(songs_path), spark.read.parquet(log_path)
+    parts, lookup = slices(events, EVENTS_PER_SLICE), None
+    if len(parts) > 1:  # every slice looks songs up: they are made ready once
+        W.write_parquet(SP.fact_lookup(songs_raw, rules), lookup_path, codec=PACKED)
+        lookup = spark.read.parquet(lookup_path)
+
+    paths = {name: f"{out}/{name}" for name in ("songplays", "users", "songs", "artists", "time")}
+    counted = dict.fromkeys(paths, 0)
+    for part in parts:
+        tables, first = SP.star_schema(log, songs_raw, rules, part, lookup, deal=True), part[0] == 0
+        months = {"partition_by": ["year", "month"], "replace": "all" if first else "none", "observe": n, "rebalance": False, "codec": PACKED}
+        # Independent sinks: submitted as concurrent jobs, each of which counts its rows.
+        writes = {
+            "songplays": lambda: W.write_partitioned(tables["songplays"], paths["songplays"], **months),
+            "time": lambda: W.write_partitioned(tables["time"], paths["time"], **months),
+            "songs": lambda: W.write_partitioned(tables["songs"], paths["songs"], ["year"], observe=n, codec=PACKED),
+            "users": lambda: W.write_parquet(tables["users"], paths["users"], "overwrite" if first else "append", n, PACKED),
+            "artists": lambda: W.write_parquet(tables["artists"], paths["artists"], observe=n, codec=PACKED),
         }
-    )
+        whole = ("songs", "artists")  # of one slice only
+        for name, seen in W.run_writes(spark, {k: f for k, f in writes.items() if first or k not in whole}).items():
+            counted[name] += seen["n"]
 
     written = {name: spark.read.parquet(p) for name, p in paths.items()}
     fact = written["songplays"]
     Q.assert_passed(
         Q.dq_suite(
-            Q.dq_observed(spark, [("row_count", name, counted[name]["n"], 1) for name in tables]),
+            Q.dq_observed(spark, [("row_count", name, counted[name], 1) for name in paths]),
             Q.dq_fk_orphans(
                 fact,
                 {

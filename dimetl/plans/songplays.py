@@ -28,9 +28,10 @@ from pyspark.sql import functions as F
 
 from dimetl.functions.keys import md5_key, ts_text
 from dimetl.functions.time import time_parts
-from dimetl.operators.filters import dim_distinct, filter_not_null, filter_plays
+from dimetl.operators.filters import dim_distinct, filter_not_null, filter_plays, slice_of
 from dimetl.operators.joins import lookup_one, natural_join
 from dimetl.operators.upsert import first_per_key, upsert_last_wins
+from dimetl.sinks.writers import rebalanced
 
 FACT_COLUMNS = [
     "songplay_id", "start_time", "user_id", "level", "song_id", "artist_id",
@@ -98,9 +99,16 @@ def users_table(log: DataFrame, latest_level: bool = True, plays_only: bool = Tr
     return dim_distinct(src, ["user_id", "first_name", "last_name", "gender", "level"])
 
 
-def time_table(frame: DataFrame, weekday_convention: str = "sunday0", ts_col: str = "start_time", distinct: bool = True) -> DataFrame:
+def time_table(
+    frame: DataFrame, weekday_convention: str = "sunday0", ts_col: str = "start_time", distinct: bool = True, deal: bool = False
+) -> DataFrame:
+    """``deal``: rows are dealt by year and month for a partitioned write, before their other parts are computed, and sorted."""
     rows = filter_not_null(frame.select(ts_col), ts_col)
-    return (rows.distinct() if distinct else rows).select(*time_parts(ts_col, weekday_convention))
+    rows = rows.distinct() if distinct else rows
+    if deal:
+        rows = rebalanced(rows.select(ts_col, F.year(ts_col).alias("__y"), F.month(ts_col).alias("__m")), ["__y", "__m"])
+    rows = rows.select(*time_parts(ts_col, weekday_convention))
+    return rows.sortWithinPartitions("year", "month", ts_col) if deal else rows
 
 
 def song_lookup(songs: DataFrame, artists: DataFrame | None = None) -> DataFrame:
@@ -123,8 +131,11 @@ def play_key(*cols) -> F.Column:
     return md5_key(*cols)
 
 
-def songplays(plays_log: DataFrame, songs: DataFrame, variant: str = "lookup") -> DataFrame:
-    """The fact table for one variant; ``songs`` carries ``title, artist_name, duration, song_id, artist_id``."""
+def songplays(plays_log: DataFrame, songs: DataFrame, variant: str = "lookup", deal: bool = False) -> DataFrame:
+    """The fact table for one variant; ``songs`` carries ``title, artist_name, duration, song_id, artist_id``.
+
+    ``deal``: rows are dealt by year and month for a partitioned write, before they get their keys, and sorted.
+    """
     plays = filter_plays(plays_log)
     if variant == "lookup":
         j = lookup_one(
@@ -150,27 +161,56 @@ def songplays(plays_log: DataFrame, songs: DataFrame, variant: str = "lookup") -
         key = play_key("session_id", ts_text("start_time"), "user_id", "item_in_session", "song_id")
     else:
         raise ValueError(f"unknown songplays variant {variant!r}")
-    return j.select(
-        key.alias("songplay_id"), "start_time", "user_id", "level", "song_id", "artist_id",
-        "session_id", "location", "user_agent",
-        F.year("start_time").alias("year"), F.month("start_time").alias("month"),
-    )
+    j = j.withColumns({"year": F.year("start_time"), "month": F.month("start_time")})
+    if deal:
+        # Only what the key and the table are made of: a key is as long as all the rest and does not compress.
+        item = [c for c in ("item_in_session",) if c in j.columns]
+        j = rebalanced(j.select(*FACT_COLUMNS[1:], *item), ["year", "month"]).sortWithinPartitions("year", "month", "start_time")
+    return j.select(key.alias("songplay_id"), *FACT_COLUMNS[1:])
 
 
-def star_schema(plays_log: DataFrame, songs_raw: DataFrame, variant: str | StarRules = "lookup") -> dict[str, DataFrame]:
-    """All five tables (lazy frames) of one model: a name of ``RULES``, a fact variant, or rules of one's own."""
+def star_rules(variant: str | StarRules) -> StarRules:
+    """Rules of a name of ``RULES``, of a fact variant, or one's own."""
     rules = variant if isinstance(variant, StarRules) else {**_BY_VARIANT, **RULES}.get(variant)
     if rules is None:
         raise ValueError(f"unknown star variant {variant!r}")
-    songs = songs_table(songs_raw, rules.first_wins)
-    artists = artists_table(songs_raw, rules.first_wins, rules.artist_year)
-    lookup = song_lookup(songs, artists) if rules.variant == "lookup" else song_rows(songs_raw)
-    fact = songplays(plays_log, lookup, rules.variant)
-    times = {"plays": filter_plays(plays_log), "events": plays_log, "fact": fact}[rules.time_from]
+    return rules
+
+
+def fact_lookup(songs_raw: DataFrame, variant: str | StarRules = "lookup") -> DataFrame:
+    """The songs that plays are matched with under one model."""
+    rules = star_rules(variant)
+    if rules.variant != "lookup":
+        return song_rows(songs_raw)
+    return song_lookup(songs_table(songs_raw, rules.first_wins), artists_table(songs_raw, rules.first_wins, rules.artist_year))
+
+
+def star_schema(
+    plays_log: DataFrame,
+    songs_raw: DataFrame,
+    variant: str | StarRules = "lookup",
+    part: tuple[int, int] = (0, 1),
+    lookup: DataFrame | None = None,
+    deal: bool = False,
+) -> dict[str, DataFrame]:
+    """All five tables (lazy frames) of one model: a name of ``RULES``, a fact variant, or rules of one's own.
+
+    ``part``: slice ``i`` of ``n`` of the tables that grow with the log (songplays,
+    users, time); the slices of a table together are the table.  Each is cut by
+    what its rows meet on, so a slice needs no row of another.  ``lookup`` is a
+    stored ``fact_lookup``; ``deal`` as in ``songplays``.
+    """
+    rules = star_rules(variant)
+    lookup = fact_lookup(songs_raw, rules) if lookup is None else lookup
+    fact = songplays(slice_of(plays_log, ["song", "artist"], part), slice_of(lookup, ["title", "artist_name"], part), rules.variant, deal)
+    if rules.time_from == "fact":
+        times = fact
+    else:
+        times = slice_of(filter_plays(plays_log) if rules.time_from == "plays" else plays_log, ["start_time"], part)
     return {
         "songplays": fact,
-        "users": users_table(plays_log, rules.latest_level, rules.users_from_plays),
-        "songs": songs,
-        "artists": artists,
-        "time": time_table(times, rules.weekday, distinct=rules.time_from != "fact"),
+        "users": users_table(slice_of(plays_log, ["user_id"], part), rules.latest_level, rules.users_from_plays),
+        "songs": songs_table(songs_raw, rules.first_wins),
+        "artists": artists_table(songs_raw, rules.first_wins, rules.artist_year),
+        "time": time_table(times, rules.weekday, distinct=rules.time_from != "fact", deal=deal),
     }

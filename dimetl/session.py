@@ -23,6 +23,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -69,6 +71,21 @@ def apply_runtime_conf(spark: SparkSession) -> None:
         spark.conf.set(key, SESSION_CONF[key])
 
 
+#: Spark removes an execution's shuffle files as it ends; else they stay until the driver's JVM collects garbage.
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """Within it, every action frees its shuffle files as it ends, so that a job's disk is that of its largest step."""
+    before = spark.conf.get(RELEASE)
+    spark.conf.set(RELEASE, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(RELEASE, before)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of this session.
 

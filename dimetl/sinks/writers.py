@@ -7,7 +7,8 @@ Rows are rebalanced by the partition columns first: a partition value gets few
 files, a hot one is split over several tasks.  Partition columns should be
 low-cardinality (year, month).  ``observe`` names numbers that the write itself
 counts (aggregate columns), so a gate on them needs no second scan; they are
-taken in the writing stage, after any shuffle.
+taken in the writing stage, after any shuffle.  ``codec`` is a Parquet codec
+other than the session's.
 """
 
 from __future__ import annotations
@@ -35,36 +36,46 @@ def _observed(df: DataFrame, observe: Mapping[str, Column] | None) -> tuple[Data
     return df.observe(seen, *[c.alias(n) for n, c in observe.items()]), lambda: dict(seen.get)
 
 
-def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", observe: Mapping[str, Column] | None = None) -> dict[str, object]:
+def write_parquet(
+    df: DataFrame, path: str, mode: str = "overwrite", observe: Mapping[str, Column] | None = None, codec: str | None = None
+) -> dict[str, object]:
     """Parquet write; returns the ``observe`` numbers."""
     _check(df, path)
     df, counted = _observed(df, observe)
-    df.write.mode(mode).parquet(path)
+    df.write.mode(mode).parquet(path, compression=codec)
     return counted()
 
 
+def rebalanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows dealt by the partition columns: a value gets few tasks, a hot one is split."""
+    return df.hint("rebalance", *[F.col(f"`{c}`") for c in partition_by])
+
+
 def write_partitioned(
     df: DataFrame,
     path: str,
     partition_by: Sequence[str],
     replace: str = "all",
     observe: Mapping[str, Column] | None = None,
+    rebalance: bool = True,
+    codec: str | None = None,
 ) -> dict[str, object]:
-    """Partitioned Parquet write; ``replace`` is ``"all"`` (the table) or ``"slices"`` (the partitions present).
+    """Partitioned Parquet write; ``replace`` is ``"all"`` (the table), ``"slices"`` (the partitions present) or ``"none"`` (append).
 
+    Without ``rebalance`` the rows are written where they are (``rebalanced`` already).
     Returns the ``observe`` numbers.
     """
     _check(df, path)
     if not partition_by:
         raise ValueError("no partition columns")
-    if replace not in ("all", "slices"):
-        raise ValueError(f"replace is 'all' or 'slices', not {replace!r}")
-    df, counted = _observed(df.hint("rebalance", *[F.col(f"`{c}`") for c in partition_by]), observe)
+    if replace not in ("all", "slices", "none"):
+        raise ValueError(f"replace is 'all', 'slices' or 'none', not {replace!r}")
+    df, counted = _observed(rebalanced(df, partition_by) if rebalance else df, observe)
     (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "static" if replace == "all" else "dynamic")
+        df.write.mode("append" if replace == "none" else "overwrite")
+        .option("partitionOverwriteMode", "dynamic" if replace == "slices" else "static")
         .partitionBy(*partition_by)
-        .parquet(path)
+        .parquet(path, compression=codec)
     )
     return counted()
 

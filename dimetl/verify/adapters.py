@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dimetl.operators.filters import slice_of
 from dimetl.session import apply_runtime_conf
 
 SNAPSHOT_BASE_YEAR = 1997
@@ -73,16 +74,23 @@ def _title() -> Column:
     return F.concat("p_name", F.lit(" "), F.floor(F.col("p_partkey") / PARTS_PER_TITLE).cast("string"))
 
 
-def a_play(spark: SparkSession, d: str) -> DataFrame:
+def a_play(spark: SparkSession, d: str, part: tuple[int, int] | None = None) -> DataFrame:
+    """``part``: the orders of slice ``i`` of ``n``; they meet their customers before the lines, which are shuffled once less so."""
     li = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_shipdate", "l_returnflag", "l_linestatus")
     od = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     pt = table(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_retailprice")
     cu = table(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey", "c_acctbal")
-    j = (
-        li.join(od, li.l_orderkey == od.o_orderkey)
-        .join(pt, li.l_partkey == pt.p_partkey)
-        .join(cu, od.o_custkey == cu.c_custkey, "left")
-    )
+    song = F.when(F.col("l_partkey") % 10 == 0, F.lit("missing")).otherwise(_title())
+    if part is None:
+        j = (
+            li.join(od, li.l_orderkey == od.o_orderkey)
+            .join(pt, li.l_partkey == pt.p_partkey)
+            .join(cu, od.o_custkey == cu.c_custkey, "left")
+        )
+    else:
+        od = slice_of(od, ["o_orderkey"], part).join(cu, od.o_custkey == cu.c_custkey, "left")
+        lines = slice_of(li, ["l_orderkey"], part).join(pt, li.l_partkey == pt.p_partkey).withColumn("song", song)
+        j, song = lines.join(od, F.col("l_orderkey") == F.col("o_orderkey")), F.col("song")
     ts_ms = (
         F.unix_millis(F.col("l_shipdate").cast("timestamp"))
         + (F.col("l_orderkey") % 86400) * 1000
@@ -97,7 +105,7 @@ def a_play(spark: SparkSession, d: str) -> DataFrame:
         F.when(F.col("o_custkey") % 2 == 0, F.lit("F")).otherwise(F.lit("M")).alias("gender"),
         F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), F.lit("paid")).otherwise(F.lit("free")).alias("level"),
         F.col("p_brand").alias("artist"),
-        F.when(F.col("l_partkey") % 10 == 0, F.lit("missing")).otherwise(_title()).alias("song"),
+        song.alias("song"),
         F.col("p_retailprice").alias("length"),
         ts_ms.alias("ts_ms"),
         F.timestamp_millis(ts_ms).alias("start_time"),

@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dimetl.operators import quality as Q
-from dimetl.operators.filters import filter_not_blank, lookup_session_item, lookup_song_users, lookup_user_session
+from dimetl.operators.filters import filter_not_blank, lookup_session_item, lookup_song_users, lookup_user_session, slices
 from dimetl.plans import event_tables as ET
 from dimetl.plans import songplays as SP
 from dimetl.schemas import CSV_TIMED_POSITIONS, LISTING_ATTRIBUTES, LOG_SCHEMA, SONG_SCHEMA
-from dimetl.session import scratch_path
+from dimetl.session import scratch_path, shuffles_released
 from dimetl.sinks import catalog as C
 from dimetl.sinks import writers as W
 from dimetl.sources import files as S
@@ -47,13 +47,13 @@ LOG_COLS = ", ".join(LOG_SCHEMA.names)
 # ------------------------------------------------------------ file writers
 
 
-def write_songs(spark, d) -> str:
+def write_songs(spark, d, codec: str | None = None) -> str:
     """Song JSON files three directory levels deep (hash letter / year parity / fixed)."""
     root = scratch_path(spark, "song_data")
     s = a_song(spark, d).withColumns(
         {"l1": F.substring(F.md5("song_id"), 1, 1), "l2": (F.col("year") % 2).cast("string"), "l3": F.lit("A")}
     )
-    s.repartition("l1", "l2").write.partitionBy("l1", "l2", "l3").json(root)
+    s.repartition("l1", "l2").write.partitionBy("l1", "l2", "l3").json(root, compression=codec)
     return root
 
 
@@ -83,6 +83,26 @@ def write_log(spark, d, split_by_level: bool = False):
     return roots
 
 
+#: Plays that are joined and shuffled at a time.
+PLAYS_PER_SLICE = 40_000_000
+
+
+def write_play_log(spark, d) -> str:
+    """Play log JSON files, packed, by year and month (``y=YYYY/m=M``).
+
+    Rows are written where the last join left them, sessions together, not shuffled
+    once more; a slice of the orders at a time, whose shuffles are freed.
+    """
+    root = scratch_path(spark, "play_log")
+    with shuffles_released(spark):
+        for part in slices(table(spark, d, "lineitem").count(), PLAYS_PER_SLICE):
+            log = play_log_json_frame(a_play(spark, d, part))
+            log = log.withColumns({"y": F.year(F.timestamp_millis("ts")), "m": F.month(F.timestamp_millis("ts"))})
+            log = log.sortWithinPartitions("y", "m", "sessionId", "itemInSession")
+            log.write.mode("append").partitionBy("y", "m").option("compression", "gzip").json(root)
+    return root
+
+
 STAGING_EVENT_MAPPING = [
     ("artist", "$.artist"), ("auth", "$.auth"), ("first_name", "$.firstName"), ("gender", "$.gender"),
     ("item_in_session", "$.itemInSession"), ("last_name", "$.lastName"), ("length", "$.length"),
@@ -407,12 +427,7 @@ def q_song_star_job(spark, d):
     """The whole song-play load: raw song and play-log JSON folders -> five gated star tables."""
     from dimetl.plans.jobs import run_song_star
 
-    log_root = scratch_path(spark, "play_log")
-    log = play_log_json_frame(a_play(spark, d))
-    log = log.withColumns({"y": F.year(F.timestamp_millis("ts")), "m": F.month(F.timestamp_millis("ts"))})
-    # Months of many rows are split over tasks and files; the text is stored packed.
-    log.hint("rebalance", F.col("y"), F.col("m")).write.partitionBy("y", "m").option("compression", "gzip").json(log_root)
-    paths = run_song_star(spark, write_songs(spark, d), log_root, scratch_path(spark, "song_star"))
+    paths = run_song_star(spark, write_songs(spark, d, "gzip"), write_play_log(spark, d), scratch_path(spark, "song_star"))
     return spark.read.parquet(paths["songplays"])
 
 
